@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import packing, token_output
+from . import packing, simhash, token_output
 
-_MODULES = (packing, token_output)
+_MODULES = (packing, simhash, token_output)
 
 
 def queries() -> dict:
