@@ -59,3 +59,22 @@ def release(spark: SparkSession) -> None:
 def doc_text(docs: DataFrame, *extra: str) -> DataFrame:
     """doc_id and text (null: empty) and the named extra columns; clashing extra columns of the input don't matter."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
+
+
+def ascii_lower(text):
+    """A-Z in lower case, all other characters as they are; a chain of byte replacements where the text isn't plain ASCII."""
+    other = text
+    for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ":
+        other = F.replace(other, F.lit(c), F.lit(c.lower()))
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(other)
+
+
+def word_array(text, separators: str):
+    """The maximal runs of characters outside the class ``separators`` (Java regex class body), in order."""
+    return F.array_remove(F.split(text, f"[{separators}]+", -1), "")
+
+
+#: Separators of the plain word rule: ASCII white space.
+SPACE = " \\t-\\r"
+#: Separators of the alphanumeric word rule: ASCII other than digits and lower-case letters.
+NOT_ALNUM = "\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F"

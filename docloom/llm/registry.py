@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import packing, simhash, token_output
+from . import decontamination, packing, simhash, token_output
 
-_MODULES = (packing, simhash, token_output)
+_MODULES = (decontamination, packing, simhash, token_output)
 
 
 def queries() -> dict:
