@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontamination, packing, simhash, token_output
+from . import decontamination, packing, quality_rules, simhash, token_output
 
-_MODULES = (decontamination, packing, simhash, token_output)
+_MODULES = (decontamination, packing, quality_rules, simhash, token_output)
 
 
 def queries() -> dict:
