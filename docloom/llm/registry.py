@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontamination, packing, pii, quality_rules, simhash, token_output
+from . import decontamination, packing, pii, quality_classifier, quality_rules, simhash, token_output
 
-_MODULES = (decontamination, packing, pii, quality_rules, simhash, token_output)
+_MODULES = (decontamination, packing, pii, quality_classifier, quality_rules, simhash, token_output)
 
 
 def queries() -> dict:
