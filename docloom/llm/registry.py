@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontamination, fingerprint_index, packing, pii, quality_classifier, quality_rules, simhash, token_output
+from . import decontamination, fingerprint_index, packing, pii, quality_classifier, quality_rules, simhash, suffix_dedup, token_output
 
-_MODULES = (decontamination, fingerprint_index, packing, pii, quality_classifier, quality_rules, simhash, token_output)
+_MODULES = (decontamination, fingerprint_index, packing, pii, quality_classifier, quality_rules, simhash, suffix_dedup, token_output)
 
 
 def queries() -> dict:
