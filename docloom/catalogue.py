@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .plans import box_queries, table_queries, text_queries  # noqa: F401  registers the queries
+from .plans.registry import ORACLE, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
