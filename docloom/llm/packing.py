@@ -5,7 +5,7 @@ rest. Best-fit decreasing takes pieces by falling length and puts each into the
 the least room that holds it, found in a segment tree over remaining capacities in logarithmic
 time. Pieces of equal length are interchangeable, so the tree is driven by the histogram of lengths
 (at most ``capacity`` counts, whatever the size of the corpus): a run of equal pieces meets a run of
-equally full sequences, and one step places as many as both have. The outcome is that of placing
+equally full sequences, and one step fills as many as both allow. The outcome is that of placing
 the pieces one by one. The runs go back to the pieces by a join on length and rank; ranks within a
 length come from counts per task, so no task ever holds all pieces of a length.
 """
@@ -72,18 +72,24 @@ def best_fit_runs(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
         while left:
             room = tree.tightest(length)
             if room < 0:
-                take, first, room = left, fresh, capacity
-                fresh += left
+                room, first, count = capacity, fresh, left
             else:
                 first, count = open_runs[room].popleft()
-                take = min(left, count)
+            # nothing is tighter than this room, so a sequence takes pieces of this length until it is too full
+            each = min(room // length, left)
+            take = min(count, left // each)
+            if room == capacity and first == fresh:
+                fresh += take
+            else:
                 if take < count:
                     open_runs[room].appendleft((first + take, count - take))
                 if not open_runs[room]:
                     tree.set(room, False)
-            out.append((length, rank, rank + take - 1, first, capacity - room))
-            put(room - length, first, take)
-            rank, left = rank + take, left - take
+            for k in range(each):
+                out.append((length, rank, rank + take - 1, first, capacity - room + k * length))
+                rank += take
+            put(room - each * length, first, take)
+            left -= each * take
     return out
 
 
