@@ -15,7 +15,8 @@ only the current column's order and common prefixes are kept.
 
 The columns are streamed: segments come sorted by anchor from the shuffle's sorted files, are taken in
 slabs of at most ``SLAB`` segments, and anchors with more different segments than ``HOT`` are opened
-into single windows that are counted by content instead, so no anchor gathers in one task.
+into single windows that are counted by content instead, so no anchor gathers in one task. Segments are first told apart by a
+64-bit hash within their anchor, so bytes are fetched and moved once per different segment only.
 """
 
 from __future__ import annotations
@@ -97,24 +98,41 @@ def repeated_windows(group: np.ndarray, copies: np.ndarray, texts: list[bytes],
 
 
 def _prepare(docs: DataFrame, touched: DataFrame, window: int) -> DataFrame:
-    """One row per document: its bytes if it has repeated anchors, else its digest; and the anchors' segments."""
-    schema = "doc_id long, n_bytes long, body binary, sha string, segs array<struct<mh:bigint,start:int,off:int,content:binary>>"
+    """One row per document: its bytes if it has repeated anchors, else its digest; and the anchors' segments with a hash (sd) of their bytes."""
+    schema = "doc_id long, n_bytes long, body binary, sha string, segs array<struct<mh:bigint,start:int,nw:smallint,off:smallint,sd:bigint>>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
         for batch in batches:
             out = []
             for doc, text, at in zip(batch["doc_id"], batch["text"], batch["at"]):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 if at is None or not len(at):
                     out.append((doc, len(raw), None, hashlib.sha256(raw).hexdigest(), []))
-                else:
-                    out.append((doc, len(raw), raw, None, [{"mh": r["mh"], "start": r["start"], "off": r["off"], "content": raw[r["start"] : r["start"] + r["nw"] + window - 1]} for r in at]))
+                    continue
+                h = np.fromiter((xxhash.xxh64_intdigest(raw[x["start"] : x["start"] + x["nw"] + window - 1]) for x in at), np.uint64, len(at)).view(np.int64).tolist()
+                out.append((doc, len(raw), raw, None, [{"mh": x["mh"], "start": x["start"], "nw": x["nw"], "off": x["off"], "sd": d} for x, d in zip(at, h)]))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "body", "sha", "segs"])
 
     at = touched.groupBy("doc_id").agg(F.collect_list(F.struct("mh", "start", "nw", "off")).alias("at"))
     return doc_text(docs).join(at, "doc_id", "left").select("doc_id", "text", "at").mapInPandas(run, schema)
 
 
+def _contents(prepared: DataFrame, classes: DataFrame, window: int) -> DataFrame:
+    """(mh, sd, off, n, content): the bytes of each class, cut from its first document."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(x["mh"], x["sd"], x["off"], x["n"], body[x["start"] : x["start"] + x["nw"] + window - 1]) for body, cs in zip(batch["body"], batch["cs"]) for x in cs]
+            yield pd.DataFrame(out, columns=["mh", "sd", "off", "n", "content"])
+
+    wanted = classes.select(F.col("f.doc_id").alias("doc_id"), F.struct("mh", "sd", "off", "n", F.col("f.start").alias("start"), F.col("f.nw").alias("nw")).alias("c"))
+    wanted = wanted.groupBy("doc_id").agg(F.collect_list("c").alias("cs"))
+    bodies = prepared.select("doc_id", "body").where("body IS NOT NULL")
+    return bodies.join(wanted, "doc_id").select("body", "cs").mapInPandas(run, "mh long, sd long, off short, n long, content binary")
+
+
 def _sorted_columns(classes: DataFrame, window: int, gram: int) -> DataFrame:
     """(mh, sd, spans): repeated windows of each distinct segment, from the column-wise construction."""
 
@@ -149,13 +167,17 @@ def _sorted_columns(classes: DataFrame, window: int, gram: int) -> DataFrame:
 
 def covered_spans(prepared: DataFrame, window: int, gram: int, hot: int = HOT) -> DataFrame:
     """(doc_id, a, b): half-open ranges of places where strings of ``window`` bytes start that also start elsewhere."""
-    seen = prepared.select("doc_id", F.explode("segs").alias("s")).select("doc_id", "s.*").withColumn("sd", F.xxhash64("content", "off"))
-    classes = materialize(seen.groupBy("mh", "sd", "off", "content").agg(F.count("*").alias("n")), "classes")
+    seen = prepared.select("doc_id", F.explode("segs").alias("s")).select("doc_id", "s.*")
+    classes = materialize(seen.groupBy("mh", "sd", "off").agg(F.min(F.struct("doc_id", "start", "nw")).alias("f"), F.count("*").alias("n")), "classes")
+    release(prepared.sparkSession)
     crowded = materialize(classes.groupBy("mh").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("mh"), "hot")
-    spans = _sorted_columns(classes.join(crowded, "mh", "left_anti"), window, gram).select("mh", "sd", F.explode("spans").alias("x")).select("mh", "sd", "x.a", "x.b")
-    if crowded.limit(1).count():
+    some = crowded.limit(1).count() > 0
+    usual = classes.join(crowded, "mh", "left_anti") if some else classes
+    spans = materialize(_sorted_columns(_contents(prepared, usual, window), window, gram).select("mh", "sd", F.explode("spans").alias("x")).select("mh", "sd", "x.a", "x.b"), "spans")
+    release(prepared.sparkSession)
+    if some:
         size = F.length("content") - (window - 1)
-        one = classes.join(crowded, "mh").select("mh", "sd", "off", "n", F.posexplode_outer(F.transform(F.sequence(F.lit(1), size), lambda i: F.sha2(F.substring("content", i, F.lit(window)), 256))).alias("a", "w"))
+        one = _contents(prepared, classes.join(crowded, "mh", "left_semi"), window).select("mh", "sd", "off", "n", F.posexplode_outer(F.transform(F.sequence(F.lit(1), size), lambda i: F.sha2(F.substring("content", i, F.lit(window)), 256))).alias("a", "w"))
         one = materialize(one.select("mh", "sd", "n", "a", (F.col("off") - F.col("a")).alias("place"), "w"), "single")
         twice = one.groupBy("mh", "place", "w").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
         spans = spans.unionByName(one.drop("n").join(twice, ["mh", "place", "w"]).select("mh", "sd", "a", (F.col("a") + 1).alias("b")))
