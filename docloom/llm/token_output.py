@@ -101,7 +101,7 @@ def write_token_shards(docs: DataFrame, folder: str, tokenizer: str | None = Non
         rows: list = []
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["doc_id"].to_numpy()
-            for a, b in slices(texts):
+            for a, b in slices(texts, min(4_000_000, 4 * shard_ids)):
                 flat, size = enc.encode(texts[a:b])
                 ids.append(np.insert(flat, np.cumsum(size), end_id).astype(f"<u{width}"))
                 sizes.append(size + 1)
