@@ -7,10 +7,10 @@ one level are compacted into one of the next when ``FAN`` of them have gathered.
 can only repeat if its anchor does (see ``windows``), so the index holds one entry for about seven
 windows, and loses none.
 
-Repeated entries are then verified on the text: every window of theirs gets a 64-bit hash of its whole
-text, compared among windows of the same anchor. Equal segments are collapsed first (a copy of a
-segment with an earlier one is covered whole); only segments that differ within an anchor are opened
-into windows. All steps are joins and partial-aggregated minima on high-cardinality keys; a passage in
+Repeated entries are then verified on the text: the words of a segment (consecutive windows with one
+anchor) get a 64-bit hash, compared within the anchor. A segment with an equal earlier one is covered
+whole; where an anchor has different segments, the first of each is opened into windows, each with a
+hash of its words. Word spans are fetched for those only. All steps are joins and partial-aggregated minima on high-cardinality keys; a passage in
 a third of all documents is one row per task after the map side.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_text, materialize, release, remove, scratch, table
 from .tokens import slices
-from .windows import SpanHash, segments, union
+from .windows import SpanHash, gather, segments, union
 
 WINDOW, GRAM, FAN, BATCHES = 20, 8, 4, 3
 _RUN = "mh long, doc_id long, start int, nw short"
@@ -115,13 +115,12 @@ class FingerprintIndex:
 
 
 def _prepare(docs: DataFrame, touched: DataFrame, window: int) -> DataFrame:
-    """One row per document: its words if it has repeated entries, else its digest; and the entries with window hashes."""
-    schema = "doc_id long, n_words long, body binary, sha string, segs array<struct<mh:bigint,start:int,nw:int,wh:binary>>"
+    """One row per document: its words if it has repeated entries, else its digest; and the entries with a hash (sd) of their words."""
+    schema = "doc_id long, n_words long, body binary, sha string, segs array<struct<mh:bigint,start:int,nw:smallint,sd:bigint>>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
-        digest = xxhash.xxh64_digest
         for batch in batches:
             out = []
             for doc, text, at in zip(batch["doc_id"], batch["text"], batch["at"]):
@@ -130,23 +129,46 @@ def _prepare(docs: DataFrame, touched: DataFrame, window: int) -> DataFrame:
                     out.append((doc, line.count(b" ") + 1 if line else 0, None, hashlib.sha256(line).hexdigest(), []))
                     continue
                 start, end = (x.tolist() for x in _bounds(line))
-                segs = [(r["mh"], r["start"], r["nw"], b"".join(digest(line[start[i] : end[i + window - 1]]) for i in range(r["start"], r["start"] + r["nw"]))) for r in at]
-                out.append((doc, len(start), line, None, [dict(zip(("mh", "start", "nw", "wh"), x)) for x in segs]))
+                h = np.fromiter((xxhash.xxh64_intdigest(line[start[x["start"]] : end[x["start"] + x["nw"] + window - 2]]) for x in at), np.uint64, len(at)).view(np.int64).tolist()
+                out.append((doc, len(start), line, None, [{"mh": x["mh"], "start": x["start"], "nw": x["nw"], "sd": d} for x, d in zip(at, h)]))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "body", "sha", "segs"])
 
     at = touched.groupBy("doc_id").agg(F.collect_list(F.struct("mh", "start", "nw")).alias("at"))
     return doc_text(docs).join(at, "doc_id", "left").select("doc_id", "text", "at").mapInPandas(run, schema)
 
 
-def covered_spans(prepared: DataFrame) -> DataFrame:
+def _opened(prepared: DataFrame, classes: DataFrame, window: int) -> DataFrame:
+    """(mh, w, doc_id, start): every window of the classes' first segments with the hash of its words."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            out = []
+            for doc, line, cs in zip(batch["doc_id"], batch["body"], batch["cs"]):
+                start, end = (x.tolist() for x in _bounds(line))
+                n = np.array([x["nw"] for x in cs], np.int64)
+                at = gather(np.array([x["start"] for x in cs], np.int64), n)
+                w = np.fromiter((digest(line[start[i] : end[i + window - 1]]) for i in at.tolist()), np.uint64, len(at))
+                out.append((np.repeat(np.array([x["mh"] for x in cs], np.int64), n), w.view(np.int64), np.full(len(at), doc), at.astype(np.int32)))
+            if out:
+                yield pd.DataFrame(dict(zip(("mh", "w", "doc_id", "start"), map(np.concatenate, zip(*out)))))
+
+    wanted = classes.select(F.col("f.doc_id").alias("doc_id"), F.struct("mh", F.col("f.start").alias("start"), F.col("f.nw").alias("nw")).alias("c"))
+    wanted = wanted.groupBy("doc_id").agg(F.collect_list("c").alias("cs"))
+    return prepared.select("doc_id", "body").where("body IS NOT NULL").join(wanted, "doc_id").select("doc_id", "body", "cs").mapInPandas(run, "mh long, w long, doc_id long, start int")
+
+
+def covered_spans(prepared: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, a, b): half-open ranges of window starts whose words also start earlier."""
-    seen = prepared.select("doc_id", F.explode("segs").alias("s")).select("doc_id", "s.*").withColumn("sd", F.xxhash64("wh"))
-    classes = materialize(seen.groupBy("mh", "sd", "wh").agg(F.min(F.struct("doc_id", "start")).alias("f")), "classes")
-    later = seen.select("doc_id", "start", "nw", "mh", "sd").join(classes.select("mh", "sd", "f"), ["mh", "sd"]).where("doc_id <> f.doc_id OR start <> f.start")
+    seen = prepared.select("doc_id", F.explode("segs").alias("s")).select("doc_id", "s.*")
+    classes = materialize(seen.groupBy("mh", "sd").agg(F.min(F.struct("doc_id", "start", "nw")).alias("f")), "classes")
+    later = seen.join(classes, ["mh", "sd"]).where("doc_id <> f.doc_id OR start <> f.start")
     whole = later.select("doc_id", F.col("start").alias("a"), (F.col("start") + F.col("nw")).alias("b"))
     mixed = classes.groupBy("mh").agg(F.count("*").alias("n")).where("n > 1").select("mh")
-    opened = classes.join(mixed, "mh").select("mh", "f", F.posexplode_outer(F.expr("transform(sequence(1, length(wh), 8), i -> substring(wh, i, 8))")).alias("i", "w"))
-    opened = materialize(opened.select("mh", "w", F.col("f.doc_id").alias("doc_id"), (F.col("f.start") + F.col("i")).alias("start")), "opened")
+    opened = materialize(_opened(prepared, classes.join(mixed, "mh", "left_semi"), window), "opened")
+    release(prepared.sparkSession)
     first = opened.groupBy("mh", "w").agg(F.min(F.struct("doc_id", "start")).alias("g"), F.count("*").alias("n")).where("n > 1").drop("n")
     single = opened.join(first, ["mh", "w"]).where("doc_id <> g.doc_id OR start <> g.start").select("doc_id", F.col("start").alias("a"), (F.col("start") + 1).alias("b"))
     return whole.unionByName(single)
@@ -176,7 +198,7 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES, window: int = WINDOW
     release(spark)
     prepared = materialize(_prepare(docs, touched, window), "prepared")
     release(spark)
-    spans = covered_spans(prepared).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = covered_spans(prepared, window).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
