@@ -139,13 +139,16 @@ def setpoints(cells: DataFrame, patterns: DataFrame) -> DataFrame:
     Tables with two columns are claims and left out. Glasses are the numbered heads of columns; tables
     that name the same glass add to one record.
     """
-    wide = upright(cells)
-    width = wide.groupBy("table_id").agg(F.max("c").alias("m"))
-    body = wide.join(width.where("m > 1").select("table_id"), "table_id", "left_semi")
-    glass = body.where("r = 0 AND c > 0").select("table_id", "c", T.example_id(F.col("content")).alias("glass_id")).where("glass_id IS NOT NULL")
-    names = property_names(body.where("c = 0 AND r > 0"), patterns)
-    label = body.where("c = 0 AND r > 0").select("table_id", "r", "content").join(names, "content").drop("content")
-    data = body.where("r > 0 AND c > 0 AND content IS NOT NULL").join(glass, ["table_id", "c"]).join(label, ["table_id", "r"])
+    # heads, labels and widths are windows inside a table: one exchange on table_id serves them all
+    over = lambda *keys: Window.partitionBy("table_id", *keys)
+    wide = upright(cells).withColumns({
+        "m": F.max("c").over(over()),
+        "head": F.max(F.when((F.col("r") == 0) & (F.col("c") > 0), F.col("content"))).over(over("c")),
+        "label": F.max(F.when((F.col("c") == 0) & (F.col("r") > 0), F.col("content"))).over(over("r")),
+    })
+    body = wide.where("m > 1 AND r > 0 AND c > 0 AND content IS NOT NULL AND label IS NOT NULL").withColumn("glass_id", T.example_id(F.col("head"))).where("glass_id IS NOT NULL")
+    names = property_names(cells.where("content IS NOT NULL AND (c = 0 OR transposed)").select("content").distinct(), patterns)
+    data = body.join(names.withColumnRenamed("content", "label"), "label")
     data = data.withColumns({"value": T.clean_value(F.col("content")), "unit": T.value_unit(F.col("content"), F.col("unit"))})
     last = data.groupBy("glass_id", "property").agg(F.max(F.struct("table_id", "r", "c", "value", F.coalesce("unit", F.lit("")).alias("unit"), "comment")).alias("m"))
     return last.select("glass_id", "property", F.col("m.value").alias("value"), F.col("m.unit").alias("unit"), F.col("m.comment").alias("comment"))
