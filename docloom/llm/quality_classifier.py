@@ -1,7 +1,8 @@
 """Quality classifier by co-training a text view and a page-metadata view.
 
 A bounded sample of labelled documents (``LABELLED``) and one of unlabelled documents (``POOL``), both
-taken by a hash of doc_id, are brought to the driver; nothing else is. Two logistic classifiers are
+taken by a hash of doc_id, are brought to the driver as 32-bit hashes of their distinct words and a few
+numbers on their shape; nothing else is. Two logistic classifiers are
 trained: one on words and shape of the text, one on language, source and length. Each round, every
 classifier labels the pool and hands its confident cases to the other as training rows. A held-out
 share of the labelled sample then calibrates both views (Platt) and weighs them into one score. All
@@ -14,6 +15,7 @@ A document is good if its labels say quality 1 and toxic 0.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,8 +27,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-LABELLED, POOL, WORDS, VALUES = 6000, 4000, 1500, 500
+LABELLED, POOL, WORDS, VALUES = 6000, 3000, 1600, 500
 ROUNDS, CONFIDENT, THRESHOLD = 3, 0.95, 0.4
+STEMS = (5, 7)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -47,13 +50,14 @@ def _shape(text: str, words: list[str], distinct: int) -> list[float]:
 
 def _fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, l2: float, steps: int = 250) -> np.ndarray:
     """Weighted logistic regression with intercept in the last place, by Adam on the whole sample."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    beta = np.zeros(x.shape[1])
+    one = np.float32(1)
+    beta = np.zeros(x.shape[1] + 1)
     m, v = np.zeros_like(beta), np.zeros_like(beta)
     keep = np.r_[np.full(len(beta) - 1, l2), 0.0]
     for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        g = x.T @ (w * (p - y)) / w.sum() + keep * beta
+        p = _sigmoid(x @ beta[:-1].astype(x.dtype) + beta[-1])
+        off = (w * (p - y) / w.sum()).astype(x.dtype)
+        g = np.r_[off @ x, off.sum() * one] + keep * beta
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         beta -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return beta
@@ -72,44 +76,53 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 class TextView:
     """Words that tell the classes apart, and the shape of the text."""
 
-    words: dict[str, int] = field(default_factory=dict)
+    words: np.ndarray = None
     mean: np.ndarray = None
     scale: np.ndarray = None
     beta: np.ndarray = None
 
     @staticmethod
-    def parse(text: str | None) -> tuple[set[str], list[float]]:
+    def parse(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes of the distinct words, and the shape."""
         text = text or ""
         words = _WORD.findall(text.lower())
         distinct = set(words)
-        return distinct, _shape(text, words, len(distinct))
+        shape = np.array(_shape(text, words, len(distinct)))
+        # stems, marked as such: inflected forms of a word are often too rare to count by themselves
+        terms = distinct | {"^" + w[:n] for n in STEMS for w in distinct if len(w) > n}
+        return np.unique(np.fromiter((zlib.crc32(w.encode()) for w in terms), np.uint32, len(terms))), shape
 
     def choose(self, parsed: list, y: np.ndarray) -> None:
         """Words whose document frequencies differ most between the classes, by the log odds ratio over its error."""
         n = [max(1, int((y == c).sum())) for c in (0, 1)]
-        seen = [Counter(w for (ws, _), c in zip(parsed, y) if c == k for w in ws) for k in (0, 1)]
-        rank = []
-        for w in set(seen[0]) | set(seen[1]):
-            a, b = seen[0][w] + 0.5, seen[1][w] + 0.5
-            if a + b >= 6:
-                z = (np.log(a / (n[0] - a + 1)) - np.log(b / (n[1] - b + 1))) / np.sqrt(1 / a + 1 / b)
-                if abs(z) > 3:
-                    rank.append((-abs(z), w))
-        self.words = {w: i for i, (_, w) in enumerate(sorted(rank)[:WORDS])}
+        every, place = np.unique(np.concatenate([ws for ws, _ in parsed]), return_inverse=True)
+        label = np.repeat(y, [len(ws) for ws, _ in parsed])
+        a, b = (np.bincount(place[label == c], minlength=len(every)) + 0.5 for c in (0, 1))
+        z = np.abs((np.log(a / (n[0] - a + 1)) - np.log(b / (n[1] - b + 1))) / np.sqrt(1 / a + 1 / b))
+        z[(a + b < 6) | (z <= 3)] = 0
+        best = np.lexsort((every, -z))[:WORDS]
+        self.words = np.sort(every[best[z[best] > 0]])
         shape = np.array([s for _, s in parsed])
         self.mean, self.scale = shape.mean(0), shape.std(0) + 1e-6
 
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the chosen words among a document's."""
+        if not len(self.words) or not len(hashes):
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return at[self.words[at] == hashes]
+
     def matrix(self, parsed: list) -> np.ndarray:
         k = len(self.words)
         x = np.zeros((len(parsed), k + len(self.mean)), np.float32)
         for i, (ws, shape) in enumerate(parsed):
-            x[i, [self.words[w] for w in ws if w in self.words]] = 1
-            x[i, k:] = np.clip((np.array(shape) - self.mean) / self.scale, -6, 6)
+            x[i, self._known(ws)] = 1
+            x[i, k:] = np.clip((shape - self.mean) / self.scale, -6, 6)
         return x
 
     def predict(self, parsed: list) -> np.ndarray:
         k = len(self.words)
-        out = np.array([(np.clip((np.array(s) - self.mean) / self.scale, -6, 6) @ self.beta[k:-1]) + sum(self.beta[self.words[w]] for w in ws & self.words.keys()) for ws, s in parsed])
+        out = np.array([np.clip((s - self.mean) / self.scale, -6, 6) @ self.beta[k:-1] + self.beta[self._known(ws)].sum() for ws, s in parsed])
         return _sigmoid(out + self.beta[-1]) if len(parsed) else np.zeros(0)
 
 
@@ -156,9 +169,8 @@ class CoModel:
         return p[0], p[1], _sigmoid(self.mix[0] * _logit(p[0]) + self.mix[1] * _logit(p[1]) + self.mix[2])
 
 
-def co_train(texts: list, rows: list[tuple], y: np.ndarray, pool_texts: list, pool_rows: list[tuple], rounds: int = ROUNDS, confident: float = CONFIDENT) -> CoModel:
-    """Train on labelled and pool documents; every fifth labelled row is held out for calibration and the report."""
-    parsed, pool = [TextView.parse(t) for t in texts], [TextView.parse(t) for t in pool_texts]
+def co_train(parsed: list, rows: list[tuple], y: np.ndarray, pool: list, pool_rows: list[tuple], rounds: int = ROUNDS, confident: float = CONFIDENT) -> CoModel:
+    """Train on parsed labelled and pool documents; every fifth labelled row is held out for calibration and the report."""
     held = np.arange(len(y)) % 5 == 4
     pick = lambda items, mask: [v for v, m in zip(items, mask) if m]
     text, meta = TextView(), MetaView()
@@ -193,21 +205,34 @@ def co_train(texts: list, rows: list[tuple], y: np.ndarray, pool_texts: list, po
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> CoModel | None:
     """Co-train on bounded samples; None where the labels don't hold both classes."""
-    order = F.xxhash64("doc_id")
     good = ((F.coalesce("quality", F.lit(1)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int").alias("good")
     chosen = labels.where(F.col("doc_id").isNotNull()).select("doc_id", good).groupBy("doc_id").agg(F.min("good").alias("good"))
     # documents of the pipeline may have lost labelled rows: take them among those still there
     own = docs.select("doc_id", "text", "lang", "source", "n_chars")
     ids = chosen.join(own.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
-    known = own.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).orderBy(order, "doc_id").collect()
+    known = _parsed(own.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]))
     y = np.array([r.good for r in known])
     if len(set(y.tolist())) < 2:
         return None
     others = own.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(pool + labelled)
     others = others.join(F.broadcast(ids.select("doc_id")), "doc_id", "left_anti").limit(pool)
-    free = own.join(F.broadcast(others.distinct()), "doc_id").dropDuplicates(["doc_id"]).orderBy(order, "doc_id").collect()
+    free = _parsed(own.join(F.broadcast(others.distinct()), "doc_id").dropDuplicates(["doc_id"]).withColumn("good", F.lit(0)))
     meta = lambda rows: [(r.lang, r.source, r.n_chars) for r in rows]
-    return co_train([r.text for r in known], meta(known), y, [r.text for r in free], meta(free))
+    words = lambda rows: [(np.frombuffer(r.words, np.uint32), np.frombuffer(r.shape)) for r in rows]
+    return co_train(words(known), meta(known), y, words(free), meta(free))
+
+
+def _parsed(sample: DataFrame) -> list:
+    """A sample's rows in the order of a hash of doc_id, texts parsed on the executors."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            both = [TextView.parse(t) for t in batch["text"]]
+            yield batch.drop(columns="text").assign(words=[w.tobytes() for w, _ in both], shape=[s.tobytes() for _, s in both])
+
+    rows = sample.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"), "good")
+    out = rows.mapInPandas(run, "doc_id long, lang string, source string, n_chars double, good int, words binary, shape binary")
+    return out.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
