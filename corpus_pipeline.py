@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import decontamination, packing, pii, quality_classifier, simhash
+from docloom.llm import decontamination, packing, pii, quality_classifier, set_similarity, simhash
 from docloom.llm.common import materialize, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -30,6 +30,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _only(docs, simhash.near_duplicates(docs).where("doc_id = component_id"))
 
 
+def similar_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each class connected at Jaccard 0.8 or more of five-word shingles."""
+    classes = materialize(set_similarity.similar_classes(docs), "classes")
+    return _only(docs, classes.groupBy("class").agg(F.min("doc_id").alias("doc_id")))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7's classes first, then what is still similar among the documents they leave."""
+    return similar_dedup(spark, materialize(near_dedup(spark, docs, sf_dir), "near"), sf_dir)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word inside a benchmark window."""
     return _only(docs, decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0"))
@@ -49,7 +60,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality_classifier", quality), ("simhash_near_dedup", near_dedup), ("benchmark_decontamination", decontaminate), ("pii", private_data), ("best_fit_packing", pack)]
+STAGES = [("quality_classifier", quality), ("simhash_near_dedup", near_copies), ("benchmark_decontamination", decontaminate), ("pii", private_data), ("best_fit_packing", pack)]
 
 #: SQL can express neither the classifier nor the tokenizer; the stages are tested against brute force.
 ORACLE_SQL = None
