@@ -11,45 +11,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import decontamination, packing, pii, quality_classifier, set_similarity, simhash
-from docloom.llm.common import materialize, table
+from docloom.llm.common import materialize, release, remove, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.select(*COLUMNS).join(ids.select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
+def _rows(docs: DataFrame) -> DataFrame:
+    """The documents with a unique ``row``, written once so that it stays: doc_id may be null or repeated."""
+    release(docs.sparkSession)
+    return materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "rows")
+
+
+def _by_row(rows: DataFrame) -> DataFrame:
+    """The documents as operators take them, told apart by row instead of doc_id."""
+    return rows.select(F.col("row").alias("doc_id"), "text", "lang", "source", "n_chars")
+
+
+def _only(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The documents whose row is among the chosen doc_ids."""
+    return rows.join(chosen.select(F.col("doc_id").alias("row")), "row", "left_semi").select(*COLUMNS)
+
+
+def _least(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """One document of each class: the one with the least doc_id, null last, then the least row."""
+    own = rows.select("row", "doc_id").join(classes.select(F.col("doc_id").alias("row"), "class"), "row")
+    first = own.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("f"))
+    return _only(rows, first.select(F.col("f.row").alias("doc_id")))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier keeps."""
-    return _only(docs, quality_classifier.classify(docs, table(spark, sf_dir, "labels")).where("kept"))
+    return quality_classifier.keep_good(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each near-duplicate class."""
-    return _only(docs, simhash.near_duplicates(docs).where("doc_id = component_id"))
-
-
-def similar_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each class connected at Jaccard 0.8 or more of five-word shingles."""
-    classes = materialize(set_similarity.similar_classes(docs), "classes")
-    return _only(docs, classes.groupBy("class").agg(F.min("doc_id").alias("doc_id")))
+    rows = _rows(docs)
+    return _least(rows, simhash.near_duplicates(_by_row(rows)).withColumnRenamed("component_id", "class"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7's classes first, then what is still similar among the documents they leave."""
-    return similar_dedup(spark, materialize(near_dedup(spark, docs, sf_dir), "near"), sf_dir)
+    """Operator 7's classes first; of the documents they leave, the one with the least id of each class
+    connected at Jaccard 0.8 or more of five-word shingles."""
+    rows = _rows(docs)
+    classes = simhash.near_duplicates(_by_row(rows)).withColumnRenamed("component_id", "class")
+    left = _rows(_least(rows, classes))
+    remove(spark, rows._docloom_path)
+    release(spark)
+    return _least(left, set_similarity.similar_classes(_by_row(left)))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word inside a benchmark window."""
-    return _only(docs, decontamination.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit = 0"))
+    rows = _rows(docs)
+    return _only(rows, decontamination.contamination(_by_row(rows), table(spark, sf_dir, "benchmark")).where("n_hit = 0"))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind; n_chars follows the text."""
-    spans = pii.find_pii(docs).where(F.size("spans") > 0).select("doc_id", "spans")
-    met = docs.select(*COLUMNS).join(spans, "doc_id", "left")
+    rows = _rows(docs)
+    spans = pii.find_pii(_by_row(rows)).where(F.size("spans") > 0).select(F.col("doc_id").alias("row"), "spans")
+    met = rows.join(spans, "row", "left")
     met = met.withColumn("text", F.when(F.size("spans") > 0, pii.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
     changed = F.size(F.coalesce("spans", F.array().cast(met.schema["spans"].dataType))) > 0
     return met.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)

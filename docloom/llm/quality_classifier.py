@@ -257,6 +257,19 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", "source", "n_chars").mapInPandas(run, schema)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of documents that ``classify`` keeps, with all their columns; rows are judged in place, whatever their ids."""
+    model = train(docs, labels)
+    if model is None:
+        return docs
+
+    def good(text: pd.Series, lang: pd.Series, source: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series(model.score([TextView.parse(t) for t in text], list(zip(lang, source, n)))[2] >= threshold)
+
+    judge = F.pandas_udf(good, "boolean")
+    return docs.where(judge(F.coalesce("text", F.lit("")), "lang", "source", F.col("n_chars").cast("double")))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all ``documents``, trained on ``labels``."""
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

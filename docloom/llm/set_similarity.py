@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_text, materialize
+from .common import doc_text, materialize, release, remove
 from .components import connected_components
 
 WIDTH = 5
@@ -198,6 +198,7 @@ def similar_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     scan = materialize(_scan(docs, width), "sets")
     names = scan.where("chunk < 0").select("doc_id", "g")
     pairs = materialize(_pairs(_cells(docs, _weights(scan), width)), "pairs")
+    release(docs.sparkSession)
     members = pairs.select("h", F.col("a").alias("g")).unionByName(pairs.select("h", F.col("b").alias("g"))).distinct()
     members = materialize(members, "members")
 
@@ -209,4 +210,6 @@ def similar_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     held = doc_text(docs).join(wanted, "doc_id").select("g", "text").mapInPandas(sets, "g long, s binary").join(members, "g")
     links = pairs.groupBy("h").cogroup(held.groupBy("h")).applyInPandas(_check, "u long, v long")
     tree = connected_components(links)
-    return names.join(tree, F.col("g") == F.col("vertex"), "left").select("doc_id", F.coalesce("root", "g").alias("class"))
+    out = materialize(names.join(tree, F.col("g") == F.col("vertex"), "left").select("doc_id", F.coalesce("root", "g").alias("class")), "classes")
+    remove(docs.sparkSession, scan._docloom_path, pairs._docloom_path, members._docloom_path)
+    return out

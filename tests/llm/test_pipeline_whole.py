@@ -56,3 +56,26 @@ def test_near_stage_leaves_no_similar_pair(spark, sf):
     kept = [x.text for x in out.collect()]
     assert len(kept) == 187 and len(set(classes(kept))) == len(kept)
     assert set_similarity.similar_classes(spark.createDataFrame([], DOC)).count() == 0
+
+
+def test_stages_with_null_and_repeated_ids(spark, sf):
+    """The same texts under null or repeated ids meet the same end as under unique ones."""
+    benchmark = [x.text for x in table(spark, sf, "benchmark").limit(3).collect()]
+    some = table(spark, sf, "documents").limit(30).collect()
+    clean = [(x.text, x.lang, x.source, x.n_chars) for x in some]
+    dirty = [(t, "en", "s", 1) for t in ("mail me@example.org now", "host 10.1.2.3 up", *benchmark)]
+    texts = clean + dirty + clean[:5]
+    stages = dict(corpus_pipeline.STAGES)
+
+    def table_of(ids):
+        return spark.createDataFrame([(i, *t) for i, t in zip(ids, texts)], DOC).repartition(3)
+
+    unique = table_of(range(10**6, 10**6 + len(texts)))
+    for ids in ([None] * len(texts), [10**6] * len(texts)):
+        for name in ("quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "pii"):
+            want = sorted(str(x.text) for x in stages[name](spark, unique, sf).collect())
+            got = stages[name](spark, table_of(ids), sf)
+            assert got.columns == unique.columns
+            # of similar texts the one kept goes by id
+            got = sorted(str(x.text) for x in got.collect())
+            assert len(got) == len(want) if name == "simhash_near_dedup" else got == want, name
