@@ -2,8 +2,9 @@
 
 Documents are range-partitioned by ``doc_id``; every task streams its sorted share into shard files
 of bounded size. A shard file holds, after a fixed header, the Elias-Fano coded document ids (as
-distances from the shard's first), the Elias-Fano coded boundaries, and the ids as little-endian
-unsigned integers of two or four bytes, whichever the vocabulary needs. Offsets come from ``select``
+distances from the shard's first; documents without an id come first and are only counted), the
+Elias-Fano coded boundaries, and the ids as little-endian unsigned integers of two or four bytes,
+whichever the vocabulary needs. Offsets come from ``select``
 on the boundaries, so no table of 64-bit offsets is stored. Only one line per shard (its number of
 documents and ids) reaches the driver, which turns them into the shards' places in the whole.
 
@@ -20,31 +21,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import doc_text, scratch, table
 from .elias_fano import EliasFano
-from .tokens import default_tokenizer, encoder, slices
+from .tokens import SLICE_BYTES, arrow_slices, default_tokenizer, encoder
 
-MAGIC = b"EFTOK01\0"
-_HEAD = struct.Struct("<8sqQQQQB7x")
+MAGIC = b"EFTOK02\0"
+_HEAD = struct.Struct("<8sqQQQQQB7x")
 #: Ids after which a task begins a new shard file.
 SHARD_IDS = 8_000_000
 
 
-def pack_shard(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, width: int) -> bytes:
-    """The bytes of a shard: header, document ids, boundaries, token ids."""
+def pack_shard(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, width: int, nameless: int = 0) -> bytes:
+    """The bytes of a shard: header, document ids, boundaries, token ids; the first ``nameless`` documents have no id."""
     first = int(doc_ids[0]) if len(doc_ids) else 0
-    docs = EliasFano.encode(np.asarray(doc_ids) - first).to_bytes()
+    docs = EliasFano.encode(np.asarray(doc_ids, np.int64) - first).to_bytes()
     bounds = EliasFano.encode(np.concatenate([[0], np.cumsum(sizes)])).to_bytes()
-    return _HEAD.pack(MAGIC, first, len(doc_ids), len(ids), len(docs), len(bounds), width) + docs + bounds + ids.astype(f"<u{width}").tobytes()
+    return _HEAD.pack(MAGIC, first, len(sizes), nameless, len(ids), len(docs), len(bounds), width) + docs + bounds + ids.astype(f"<u{width}", copy=False).tobytes()
 
 
 class Shard:
     """Random access to a shard's documents."""
 
     def __init__(self, data: bytes):
-        magic, self.first, self.n_docs, self.n_ids, a, b, width = _HEAD.unpack_from(data)
+        magic, self.first, self.n_docs, self.nameless, self.n_ids, a, b, width = _HEAD.unpack_from(data)
         if magic != MAGIC:
             raise ValueError("not a token shard")
         at = _HEAD.size
@@ -52,12 +54,13 @@ class Shard:
         self.bounds = EliasFano.from_bytes(data[at + a : at + a + b])
         self.ids = np.frombuffer(data, f"<u{width}", self.n_ids, at + a + b)
 
-    def document(self, i: int) -> tuple[int, np.ndarray]:
+    def document(self, i: int) -> tuple[int | None, np.ndarray]:
         """Document id and token ids of the shard's ``i``-th document."""
-        return self.first + self.docs.select(i), self.ids[self.bounds.select(i) : self.bounds.select(i + 1)]
+        doc = self.first + self.docs.select(i - self.nameless) if i >= self.nameless else None
+        return doc, self.ids[self.bounds.select(i) : self.bounds.select(i + 1)]
 
-    def doc_ids(self) -> np.ndarray:
-        return self.first + self.docs.select_range(0, self.n_docs)
+    def doc_ids(self) -> pa.Array:
+        return pa.concat_arrays([pa.nulls(self.nameless, pa.int64()), pa.array(self.first + self.docs.select_range(0, self.n_docs - self.nameless), pa.int64())])
 
     def boundaries(self) -> np.ndarray:
         return self.bounds.select_range(0, self.n_docs + 1)
@@ -77,43 +80,36 @@ def _put(folder: str, name: str, data: bytes) -> None:
 def write_token_shards(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = 2, shard_ids: int = SHARD_IDS) -> list[tuple[str, int, int, int]]:
     """Encode every text, append ``end_id``, write shards to ``folder``; returns (file, first place, documents, ids) per shard.
 
-    Null and empty texts give the end id alone. Equal ``doc_id`` values stay neighbours in some order.
-    An empty table gives no shards.
+    Null and empty texts give the end id alone. Documents without a doc_id come first; equal ids stay
+    neighbours in some order. An empty table gives no shards. Other columns are ignored.
     """
     tokenizer = tokenizer or default_tokenizer()
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, k, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer)
-        width = 2 if max(enc.tok.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        done: list = []
-        ids, sizes, held = [], [], 0
+        part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
+        keys, sizes, ids, rows = [], [], [], []
 
         def flush() -> None:
-            nonlocal k, held
-            name = f"part-{part:06d}-{k:05d}.eft"
-            _put(folder, name, pack_shard(np.concatenate(done), np.concatenate(sizes), np.concatenate(ids), width))
-            rows.append((name, part, k, sum(map(len, done)), held))
-            done.clear(), ids.clear(), sizes.clear()
-            k, held = k + 1, 0
-
-        rows: list = []
-        for batch in batches:
-            texts, keys = batch["text"].tolist(), batch["doc_id"].to_numpy()
-            for a, b in slices(texts, min(4_000_000, 4 * shard_ids)):
-                flat, size = enc.encode(texts[a:b])
-                ids.append(np.insert(flat, np.cumsum(size), end_id).astype(f"<u{width}"))
-                sizes.append(size + 1)
-                done.append(keys[a:b])
-                held += len(ids[-1])
-                if held >= shard_ids:
-                    flush()
-        if held:
+            key, flat = pa.concat_arrays(keys), np.concatenate(ids)
+            name = f"part-{part:06d}-{len(rows):05d}.eft"
+            width = 2 if flat.dtype.itemsize <= 2 else 4
+            _put(folder, name, pack_shard(key.drop_null().to_numpy(), np.concatenate(sizes), flat, width, key.null_count))
+            rows.append({"file": name, "part": part, "k": len(rows), "n_docs": len(key), "n_ids": len(flat)})
+            keys.clear(), ids.clear(), sizes.clear()
+
+        for batch in arrow_slices(batches, size=min(SLICE_BYTES, 4 * shard_ids)):
+            flat, size = enc.encode_ended(batch.column("text"), end_id)
+            keys.append(batch.column("doc_id")), ids.append(flat), sizes.append(size)
+            if sum(map(len, ids)) >= shard_ids:
+                flush()
+        if keys:
             flush()
-        yield pd.DataFrame(rows, columns=["file", "part", "k", "n_docs", "n_ids"])
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("file", pa.string()), *[(c, pa.int64()) for c in ("part", "k", "n_docs", "n_ids")]]))
 
-    rows = doc_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInPandas(write, "file string, part long, k long, n_docs long, n_ids long").collect()
+    ordered = doc_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = ordered.mapInArrow(write, "file string, part long, k long, n_docs long, n_ids long").collect()
     out, at = [], 0
     for r in sorted(rows, key=lambda r: (r.part, r.k)):
         out.append((r.file, at, r.n_docs, r.n_ids))
@@ -135,7 +131,7 @@ def read_token_shards(spark: SparkSession, folder: str, shards: list[tuple[str,
                 bounds = shard.boundaries()
                 ids = shard.ids.astype("<u4")
                 crc = [zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-                yield pd.DataFrame({"doc_id": shard.doc_ids(), "start": place[path.rsplit("/", 1)[1]] + bounds[:-1], "n_tokens": np.diff(bounds), "ids_crc32": np.array(crc, np.int64)})
+                yield pd.DataFrame({"doc_id": shard.doc_ids().to_pandas(integer_object_nulls=True), "start": place[path.rsplit("/", 1)[1]] + bounds[:-1], "n_tokens": np.diff(bounds), "ids_crc32": np.array(crc, np.int64)})
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.eft").load(folder).select("path", "content")
     return files.mapInPandas(read, schema)
