@@ -6,8 +6,10 @@ the least room that holds it, found in a segment tree over remaining capacities
 time. Pieces of equal length are interchangeable, so the tree is driven by the histogram of lengths
 (at most ``capacity`` counts, whatever the size of the corpus): a run of equal pieces meets a run of
 equally full sequences, and one step fills as many as both allow. The outcome is that of placing
-the pieces one by one. The runs go back to the pieces by a join on length and rank; ranks within a
-length come from counts per task, so no task ever holds all pieces of a length.
+the pieces one by one. Ranks within a length come from counts per task (joined by length and task,
+both sides dealt out), so no task ever holds all pieces of a length. The runs are sent to all tasks:
+their number is bounded by the capacity alone (``best_fit_runs``), not by the corpus; each piece finds
+its own by binary search.
 """
 
 from __future__ import annotations
@@ -17,12 +19,12 @@ from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import doc_text, materialize, table
-from .tokens import default_tokenizer, encoder, slices
+from .tokens import arrow_slices, default_tokenizer, encoder
 
 CAPACITY = 2048
 
@@ -57,7 +59,12 @@ class CapacityTree:
 
 
 def best_fit_runs(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """Runs (length, first rank, last rank, first sequence, offset): pieces of a length by rank go to consecutive sequences."""
+    """Runs (length, first rank, last rank, first sequence, offset): pieces of a length by rank go to consecutive sequences.
+
+    A step ends a length or uses up an entry of equally full sequences. Each length leaves two entries
+    more at most, and an entry that is used up is followed by one with less room; so there are at most
+    ``2 * capacity ** 2 / 2`` steps whatever the counts (a few thousand as measured).
+    """
     tree = CapacityTree(capacity)
     open_runs: dict[int, deque] = {}
     out, fresh = [], 0
@@ -97,62 +104,64 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     """Pieces (doc_id, piece, start, length, ids_crc32) with the writing task and the rank among its pieces of that length."""
     tokenizer = tokenizer or default_tokenizer()
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            texts, keys = batch["text"].tolist(), batch["doc_id"].to_numpy()
-            for a, b in slices(texts):
-                flat, size = enc.encode(texts[a:b])
-                ids = np.insert(flat, np.cumsum(size), end_id).astype("<u4")
-                size = size + 1
-                first = np.cumsum(size) - size
-                parts = -(-size // capacity)
-                piece = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-                start = piece * capacity
-                length = np.minimum(np.repeat(size, parts) - start, capacity)
-                at = np.repeat(first, parts) + start
-                crc = np.fromiter((zlib.crc32(ids[i : i + n]) for i, n in zip(at, length)), np.int64, len(at))
-                order = np.argsort(length, kind="stable")
-                ranked = length[order]
-                new = np.r_[True, ranked[1:] != ranked[:-1]] if len(ranked) else np.zeros(0, bool)
-                head = np.flatnonzero(new)
-                k = np.empty(len(length), np.int64)
-                k[order] = np.arange(len(ranked)) - head[np.cumsum(new) - 1] + seen[ranked]
-                seen += np.bincount(length, minlength=capacity + 1)
-                yield pd.DataFrame({"doc_id": np.repeat(keys[a:b], parts), "piece": piece.astype(np.int32), "start": start, "length": length, "ids_crc32": crc, "part": part, "k": k})
-
-    return doc_text(docs).mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, part long, k long")
+        for batch in arrow_slices(batches):
+            flat, size = enc.encode_ended(batch.column("text"), end_id)
+            ids = flat.astype("<u4")
+            first = np.cumsum(size) - size
+            parts = -(-size // capacity)
+            owner = np.repeat(np.arange(len(size)), parts)
+            piece = np.arange(parts.sum()) - (np.cumsum(parts) - parts)[owner]
+            start = piece * capacity
+            length = np.minimum(size[owner] - start, capacity)
+            at = first[owner] + start
+            crc = np.fromiter((zlib.crc32(ids[i : i + n]) for i, n in zip(at, length)), np.int64, len(at))
+            order = np.argsort(length, kind="stable")
+            ranked = length[order]
+            head = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.zeros(0, np.int64)
+            k = np.empty(len(length), np.int64)
+            k[order] = np.arange(len(ranked)) - np.repeat(head, np.diff(np.r_[head, len(ranked)])) + seen[ranked]
+            seen += np.bincount(length, minlength=capacity + 1)
+            columns = [batch.column("doc_id").take(pa.array(owner)), pa.array(piece, pa.int32()), *map(pa.array, (start, length, crc, np.full(len(k), part), k))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "k"])
+
+    return doc_text(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, part long, k long")
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
     """Sequence and offset of every piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null or empty text is a piece of the end id alone; an empty table gives no rows; repeated rows
-    and ids are pieces of their own. Columns other than doc_id and text are ignored.
+    and ids, null ones too, are pieces of their own. Columns other than doc_id and text are ignored.
     """
     spark = docs.sparkSession
     cut = materialize(pieces(docs, tokenizer, capacity, end_id), "pieces")
     counts = materialize(cut.groupBy("length", "part").agg(F.count("*").alias("n")), "counts")
-    total = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()
-    runs = best_fit_runs({r.length: r.n for r in total}, capacity)
-    plan = pd.DataFrame(runs, columns=["length", "lo", "hi", "first", "offset"])
-    runs_df = spark.createDataFrame(plan, "length long, lo long, hi long, first long, offset long") if len(plan) else spark.createDataFrame([], "length long, lo long, hi long, first long, offset long")
+    total = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()  # one row for each length
+    runs = np.array(best_fit_runs({r.length: r.n for r in total}, capacity), np.int64).reshape(-1, 5)
+    runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
+    sent = spark.sparkContext.broadcast(runs)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("end", F.col("base") + F.col("n") - 1)
-    # a task's ranks of a length may meet several runs: cut the runs at the tasks' ranks
-    met = (
-        base.join(runs_df, "length")
-        .where("lo <= end and hi >= base")
-        .select("length", "part", F.greatest(F.lit(0).cast("long"), F.col("lo") - F.col("base")).alias("lo"), (F.col("hi") - F.col("base")).alias("hi"), (F.col("first") - F.col("lo") + F.col("base")).alias("shift"), "offset")
-    )
-    return (
-        cut.join(met, ["length", "part"])
-        .where("k >= lo and k <= hi")
-        .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("shift") + F.col("k")).alias("sequence_id"), "offset")
-    )
+    base = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    ranked = cut.join(base.hint("merge"), ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("k")).alias("rank"))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = sent.value
+        begin = np.searchsorted(runs[:, 0], np.arange(capacity + 2))
+        for batch in batches:
+            length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
+            at = np.empty(len(rank), np.int64)
+            for x in np.unique(length):
+                mine = length == x
+                at[mine] = begin[x] + np.searchsorted(runs[begin[x] : begin[x + 1], 1], rank[mine], side="right") - 1
+            out = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(runs[at, 3] + rank - runs[at, 1]), pa.array(runs[at, 4])], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+
+    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
