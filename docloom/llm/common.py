@@ -19,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``; a local one only where none is set (tests)."""
+    """A fresh path below ``spark.checkpoint.dir``; a local one only where none is set and one machine runs all (tests)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = getattr(spark, "_docloom_scratch", None)
         if base is None:
             base = "file://" + tempfile.mkdtemp(prefix="docloom-")
@@ -29,12 +31,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(schema).parquet(path)
     out._docloom_path = path
     return out

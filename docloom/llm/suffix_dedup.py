@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_text, materialize, release, remove, table
 from .tokens import slices
-from .windows import SpanHash, segments, union
+from .windows import segments, union
 
 WINDOW, GRAM = 200, 72
 SLAB, HOT = 8192, 4096
@@ -49,12 +49,11 @@ def anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
                 data = np.frombuffer(b"".join(raw), np.uint8)
                 if len(data) < window:
                     continue
-                at = np.arange(len(data) - gram + 1)
-                h = SpanHash(data)(at, at + gram)
-                s, n, place = segments(h, np.repeat(np.arange(len(raw), dtype=np.int32), sizes), gram, window)
+                at = np.arange(len(data))
+                s, n, place, mh = segments(data, at, at + 1, np.repeat(np.arange(len(raw), dtype=np.int32), sizes), gram, window)
                 doc = np.searchsorted(np.cumsum(sizes), s, side="right")
                 first = (np.cumsum(sizes) - sizes)[doc]
-                yield pd.DataFrame({"mh": h[place].view(np.int64), "doc_id": keys[a:b][doc], "start": (s - first).astype(np.int32), "nw": n.astype(np.int16), "off": (place - s).astype(np.int16)})
+                yield pd.DataFrame({"mh": mh.view(np.int64), "doc_id": keys[a:b][doc], "start": (s - first).astype(np.int32), "nw": n.astype(np.int16), "off": (place - s).astype(np.int16)})
 
     return doc_text(docs).mapInPandas(run, "mh long, doc_id long, start int, nw short, off short")
 

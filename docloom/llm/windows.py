@@ -39,11 +39,13 @@ class SpanHash:
         return h
 
 
-def segments(h: np.ndarray, owner: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and anchor place of every segment; ``owner`` is the document of each unit."""
+#: Units whose windows are cut at once; the places within must fit ``_PLACE``.
+PIECE = 1 << 22
+
+
+def _piece(h: np.ndarray, owner: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and anchor place of every segment."""
     m, w = len(owner) - window + 1, window - k + 1
-    if m <= 0:
-        return (np.zeros(0, np.int64),) * 3
     low = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
     size = 1
     while size * 2 <= w:
@@ -59,6 +61,21 @@ def segments(h: np.ndarray, owner: np.ndarray, k: int, window: int) -> tuple[np.
     return valid[head], np.diff(np.r_[head, len(valid)]), place[head]
 
 
+def segments(data: np.ndarray, start: np.ndarray, end: np.ndarray, owner: np.ndarray, k: int, window: int, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows, anchor place and anchor hash of every segment.
+
+    ``start`` and ``end`` are the units' byte places in ``data``, ``owner`` the document of each. Windows are
+    cut ``piece`` at a time; a segment that a cut parts is two segments, which cover the same windows.
+    """
+    out = []
+    for lo in range(0, len(start) - window + 1, piece):
+        hi = min(lo + piece + window - 1, len(start))
+        h = SpanHash(data[start[lo] : end[hi - 1]])(start[lo : hi - k + 1] - start[lo], end[lo + k - 1 : hi] - start[lo])
+        s, n, place = _piece(h, owner[lo:hi], k, window)
+        out.append((s + lo, n, place + lo, h[place]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
 def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The numbers of all ranges [start, start + size), one range after the other."""
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
