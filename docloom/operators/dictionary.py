@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def match_names(texts: DataFrame, patterns: DataFrame, text: str = "content") -> DataFrame:
-    """Distinct texts with the first canonical name (by order, then pattern order) whose pattern matches at the start.
+#: Rows of a word list beyond which it isn't broadcast.
+BROADCAST_ROWS = 100_000
 
-    Only distinct texts meet the patterns; the dictionary is a few dozen rows and broadcast.
+
+def first_match(s: Column, knowledge: dict[str, list[str]]) -> Column:
+    """(canonical, pattern) of the first name, in the dictionary's order, one of whose patterns matches at the start; null if none.
+
+    The patterns are constants of the plan, compiled once; nothing is joined.
     """
+    none = F.lit(None).cast("struct<canonical:string,pattern:string>")
+    return F.coalesce(*[F.when(s.rlike(f"^(?:{p})"), F.struct(F.lit(name).alias("canonical"), F.lit(p).alias("pattern"))) for name, ps in knowledge.items() for p in ps], none)
+
+
+def match_names(texts: DataFrame, knowledge: dict[str, list[str]], text: str = "content") -> DataFrame:
+    """Distinct texts with their first canonical name and its pattern."""
     words = texts.select(text).where(F.col(text).isNotNull()).distinct()
-    met = words.join(F.broadcast(patterns), F.expr(f"{text} rlike concat('^(?:', pattern, ')')"))
-    best = met.groupBy(text).agg(F.min(F.struct("ord", "pat_ord", "canonical", "pattern")).alias("m"))
-    return words.join(best, text, "left").select(text, F.col("m.canonical").alias("canonical"), F.col("m.pattern").alias("pattern"))
+    return words.select(text, first_match(F.col(text), knowledge).alias("m")).select(text, "m.canonical", "m.pattern")
 
 
 def line_units(lines: DataFrame, units: DataFrame, text: str = "content") -> DataFrame:
     """Lines with the first unit one of whose synonyms their blank-free lower-case text contains."""
     keyed = lines.withColumn("_key", F.translate(F.lower(text), " ()", ""))
-    met = keyed.join(F.broadcast(units), F.contains(F.col("_key"), F.col("synonym")))
+    small = units.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    met = keyed.join(F.broadcast(units) if small else units, F.contains(F.col("_key"), F.col("synonym")))
     return met.groupBy(*lines.columns).agg(F.min(F.struct("ord", "unit")).alias("m")).select(*lines.columns, F.col("m.unit").alias("unit"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .dictionary import match_names
+from .dictionary import first_match
 
 
 def gaps(values: DataFrame, threshold: float, key: str = "page_id") -> DataFrame:
@@ -30,9 +30,9 @@ def modal_width(rows: DataFrame, key: str) -> DataFrame:
     return top.groupBy(key).agg(F.max("n").alias("width"))
 
 
-def upright(cells: DataFrame) -> DataFrame:
-    """Rows and columns of transposed tables swapped."""
-    return cells.select("table_id", F.when(F.col("transposed"), F.col("c")).otherwise(F.col("r")).alias("r"), F.when(F.col("transposed"), F.col("r")).otherwise(F.col("c")).alias("c"), "content")
+def upright(cells: DataFrame, *extra: str) -> DataFrame:
+    """Rows and columns of transposed tables swapped; ``extra`` columns are kept."""
+    return cells.select(*extra, "table_id", F.when(F.col("transposed"), F.col("c")).otherwise(F.col("r")).alias("r"), F.when(F.col("transposed"), F.col("r")).otherwise(F.col("c")).alias("c"), "content")
 
 
 def dense(cells: DataFrame) -> DataFrame:
@@ -51,11 +51,11 @@ def previous_nonempty(cells: DataFrame) -> DataFrame:
 
 
 def header_paths(cells: DataFrame) -> DataFrame:
-    """Data cells with the texts of header cells above and of the label at the left, outermost first."""
+    """Data cells of labelled cells (see ``label_flags``) with all column labels above and row labels at the left, outermost first."""
     above = Window.partitionBy("table_id", "c").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     left = Window.partitionBy("table_id", "r").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
-    out = cells.withColumns({"up": F.collect_list(F.when(F.col("r") == 0, F.col("content"))).over(above), "side": F.collect_list(F.when(F.col("c") == 0, F.col("content"))).over(left)})
-    return out.where("r > 0 AND c > 0").select("table_id", "r", "c", F.array_join("up", " | ").alias("column_path"), F.array_join("side", " | ").alias("row_path"))
+    out = cells.repartition("table_id").withColumns({"up": F.collect_list(F.when(F.col("column_label"), F.col("content"))).over(above), "side": F.collect_list(F.when(F.col("row_label"), F.col("content"))).over(left)})
+    return out.where("NOT column_label AND NOT row_label").select("table_id", "r", "c", F.array_join("up", " | ").alias("column_path"), F.array_join("side", " | ").alias("row_path"))
 
 
 def spans(cells: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def spans(cells: DataFrame) -> DataFrame:
 def numbering_runs(cells: DataFrame) -> DataFrame:
     """Rows and columns at least half of whose consecutive labels count up by one."""
     number = F.regexp_extract("content", r"(\d+)$", 1).try_cast("long")
-    out = None
+    out, cells = None, cells.select("table_id", "r", "c", "content").repartition("table_id")  # one exchange serves both axes
     for axis, along, across in (("row", "r", "c"), ("column", "c", "r")):
         w = Window.partitionBy("table_id", along).orderBy(across)
         step = (F.lead("v").over(w) - F.col("v") == 1).cast("int")
@@ -118,58 +118,90 @@ def claims(cells: DataFrame) -> DataFrame:
     return rows.select("table_id", "r", F.replace(F.replace("compound", F.lit(" ι "), F.lit(" + ")), F.lit(" t "), F.lit(" + ")).alias("compound"), "amount")
 
 
-def property_names(labels: DataFrame, patterns: DataFrame) -> DataFrame:
+def property_names(labels: DataFrame, knowledge: dict[str, list[str]]) -> DataFrame:
     """Distinct label texts with property name, unit and comment.
 
-    The unit is the first bracketed text after bracket repair; a name is looked up whole, or each summand
-    apart when it holds a plus sign.
+    The unit is the first bracketed text after bracket repair. A name without a plus sign is looked up
+    whole and marked if it is a total amount; one with several summands is looked up summand by summand;
+    one with a plus sign and a single summand stays as it is.
     """
     own = labels.select("content").where("content IS NOT NULL").distinct()
     parsed = own.select("content", T.fix_brackets(F.col("content")).alias("fixed")).select("content", T.name_of(F.col("fixed")).alias("name"), T.unit_of(F.col("fixed")).alias("unit"))
-    terms = parsed.select("content", F.posexplode(F.filter(F.transform(F.split("name", r"\+"), lambda x: F.trim(x)), lambda x: x != "")).alias("pos", "term"))
-    found = match_names(terms, patterns, "term")
-    joined = terms.join(found, "term", "left").groupBy("content").agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("canonical", "term").alias("n"), F.when(F.col("canonical").isNotNull(), F.concat_ws(" -> ", "term", "pattern")).otherwise(F.lit("new")).alias("k")))).alias("l"))
-    name, comment = F.array_join(F.transform("l", lambda x: x["n"]), " + "), F.array_join(F.transform("l", lambda x: x["k"]), "; ")
-    return parsed.join(joined, "content").select("content", name.alias("property"), F.when(F.col("unit") == "", F.lit(None)).otherwise(T.guard_unit(F.col("unit"), name)).alias("unit"), comment.alias("comment"))
-
-
-def setpoints(cells: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(glass_id, property, value, unit, comment): the last write of every glass and property wins.
+    plus = F.contains("name", F.lit("+"))
+    summands = F.filter(F.transform(F.split("name", r"\+"), lambda x: F.trim(x)), lambda x: x != "")
+    terms = parsed.select("content", "name", "unit", F.when(~plus, F.array("name")).otherwise(summands).alias("terms"))
+    hits = F.transform("terms", lambda x: F.struct(x.alias("term"), first_match(x, knowledge).alias("hit")))
+    found = terms.select("content", "name", "unit", (plus & (F.size("terms") > 1)).alias("many"), F.when(~plus | (F.size("terms") > 1), hits).alias("hits"))
+    one = F.get("hits", F.lit(0))
+    arrow = lambda x: F.concat(x["term"], F.lit(" -> "), x["hit"]["pattern"])
+    total = F.when(F.contains("name", F.lit("total amount")), " [total]").otherwise("")
+    several = F.array_join(F.transform("hits", lambda x: F.coalesce(x["hit"]["canonical"], x["term"])), " + ")
+    name = F.when(F.col("many"), several).when(one["hit"]["canonical"].isNotNull(), F.concat(one["hit"]["canonical"], total)).otherwise(F.col("name"))
+    comment = F.when(F.col("many"), F.array_join(F.transform(F.filter("hits", lambda x: x["hit"].isNotNull()), lambda x: F.concat(arrow(x), F.lit("  "))), "")).when(one["hit"]["canonical"].isNotNull(), arrow(one)).otherwise("new")
+    out = found.select("content", name.alias("property"), "unit", comment.alias("comment"))
+    return out.select("content", "property", F.when(F.col("unit") != "", T.guard_unit(F.col("unit"), F.col("property"))).alias("unit"), "comment")
+
+
+def setpoints(cells: DataFrame, knowledge: dict[str, list[str]]) -> DataFrame:
+    """(doc_id, glass_id, property, value, unit, comment, tables): the last write of a document's glass and property wins.
 
     Tables with two columns are claims and left out. Glasses are the numbered heads of columns; tables
-    that name the same glass add to one record.
+    of one document that name the same glass add to one record, whose ``tables`` are all that name it with
+    the property. Cells without a doc_id column count as one document's.
     """
     # heads, labels and widths are windows inside a table: one exchange on table_id serves them all
     over = lambda *keys: Window.partitionBy("table_id", *keys)
-    wide = upright(cells).withColumns({
+    if "doc_id" not in cells.columns:
+        cells = cells.withColumn("doc_id", F.lit(None).cast("long"))
+    wide = upright(cells, "doc_id").repartition("table_id").withColumns({
         "m": F.max("c").over(over()),
         "head": F.max(F.when((F.col("r") == 0) & (F.col("c") > 0), F.col("content"))).over(over("c")),
         "label": F.max(F.when((F.col("c") == 0) & (F.col("r") > 0), F.col("content"))).over(over("r")),
     })
     body = wide.where("m > 1 AND r > 0 AND c > 0 AND content IS NOT NULL AND label IS NOT NULL").withColumn("glass_id", T.example_id(F.col("head"))).where("glass_id IS NOT NULL")
-    names = property_names(cells.where("content IS NOT NULL AND (c = 0 OR transposed)").select("content").distinct(), patterns)
+    names = property_names(cells.where("content IS NOT NULL AND (c = 0 OR transposed)").select("content"), knowledge)
     data = body.join(names.withColumnRenamed("content", "label"), "label")
     data = data.withColumns({"value": T.clean_value(F.col("content")), "unit": T.value_unit(F.col("content"), F.col("unit"))})
-    last = data.groupBy("glass_id", "property").agg(F.max(F.struct("table_id", "r", "c", "value", F.coalesce("unit", F.lit("")).alias("unit"), "comment")).alias("m"))
-    return last.select("glass_id", "property", F.col("m.value").alias("value"), F.col("m.unit").alias("unit"), F.col("m.comment").alias("comment"))
+    last = data.groupBy("doc_id", "glass_id", "property").agg(F.max(F.struct("table_id", "r", "c", "value", F.coalesce("unit", F.lit("")).alias("unit"), "comment")).alias("m"), F.sort_array(F.collect_set("table_id")).alias("tables"))
+    return last.select("doc_id", "glass_id", "property", F.col("m.value").alias("value"), F.col("m.unit").alias("unit"), F.col("m.comment").alias("comment"), "tables")
+
+
+_GLASS = ("doc_id", "glass_id")
+
+
+def _is_component(value, unit):
+    return ~value.isin("N.A.", "0.0", "") & unit.isin("mol%", "wt%", "mass%")
 
 
 def component_count(points: DataFrame) -> DataFrame:
-    """Number of composition values per glass."""
-    ok = ~F.col("value").isin("N.A.", "0.0", "") & F.col("unit").isin("mol%", "wt%", "mass%")
-    return points.groupBy("glass_id").agg(F.count_if(ok).alias("n_components"), F.count("*").alias("n_properties"))
+    """Number of composition values per glass of a document."""
+    return points.groupBy(*_GLASS).agg(F.count_if(_is_component(F.col("value"), F.col("unit"))).alias("n_components"), F.count("*").alias("n_properties"))
 
 
-def wide_table(points: DataFrame, properties: list[str]) -> DataFrame:
-    """One row per glass, value and unit columns per property."""
-    cols = []
+def column_keys(properties: list[str]) -> dict[str, str]:
+    """A plain column name for every property: letters and digits in lower case, numbered where that isn't unique."""
+    out: dict[str, str] = {}
     for p in properties:
-        key = "".join(ch if ch.isascii() and ch.isalnum() else "_" for ch in p).lower()
-        cols += [F.max(F.when(F.col("property") == p, F.col("value"))).alias(f"{key}_value"), F.max(F.when(F.col("property") == p, F.col("unit"))).alias(f"{key}_unit")]
-    return points.groupBy("glass_id").agg(*cols)
+        key = "".join(ch if ch.isascii() and ch.isalnum() else "_" for ch in p.translate({0x2080 + i: str(i) for i in range(10)})).lower()
+        out[p] = key if key not in out.values() else f"{key}_{len(out)}"
+    return out
+
+
+def wide_table(points: DataFrame, properties: list[str]) -> DataFrame:
+    """One row per glass of a document: value and unit columns for each of the properties, all others in ``others``.
+
+    The columns are the dictionary's names, so the schema doesn't hang on the data; ``others`` is a list of
+    ``name=value unit`` for properties found beyond it, by name.
+    """
+    entry = F.struct("property", F.struct("value", "unit").alias("s"))
+    rows = points.groupBy(*_GLASS).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("m"))
+    cols = [F.col("m")[p][c].alias(f"{key}_{c}") for p, key in column_keys(properties).items() for c in ("value", "unit")]
+    rest = F.map_entries(F.map_filter("m", lambda k, v: ~k.isin(*properties)))
+    return rows.select(*_GLASS, *cols, F.array_join(F.transform(rest, lambda x: F.concat(x["key"], F.lit("="), x["value"]["value"], F.lit(" "), x["value"]["unit"])), "; ").alias("others"))
 
 
 def extraction(points: DataFrame) -> DataFrame:
-    """Nested record of each glass: properties as a map."""
+    """Nested record of each glass of a document: identifier, components, tables that name it, properties as a map."""
     entry = F.struct("property", F.struct("value", "unit", "comment").alias("s"))
-    return points.groupBy("glass_id").agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("setpoints")).select(F.col("glass_id").alias("generatedObjectIdentifier"), F.size(F.map_filter("setpoints", lambda k, v: ~v["value"].isin("N.A.", "0.0", "") & v["unit"].isin("mol%", "wt%", "mass%"))).alias("NumberOfComponent"), "setpoints")
+    out = points.groupBy(*_GLASS).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("setpoints"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("tables")))).alias("tables"))
+    return out.select(*_GLASS, F.concat_ws("-", F.col("doc_id").cast("string"), "glass_id").alias("generatedObjectIdentifier"), F.size(F.map_filter("setpoints", lambda k, v: _is_component(v["value"], v["unit"]))).alias("NumberOfComponent"), "tables", "setpoints")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BOXES = """SELECT page_id, area_id, category, x1, y1, x1 + w AS x2, y1 + h AS y2, confidence FROM (
   SELECT CAST(floor(l_orderkey/64.0) AS BIGINT) AS page_id, l_orderkey*10 + l_linenumber AS area_id,
@@ -16,17 +17,18 @@ GRID = """WITH l AS (SELECT l_orderkey AS t, l_linenumber AS r, min(l_partkey) A
            FROM {lineitem} GROUP BY l_orderkey, l_linenumber),
 cells AS (
   SELECT DISTINCT t, 0 AS r, c, CONCAT('Ex. ', CAST((t % 50) * 3 + c AS STRING)) AS content FROM l CROSS JOIN (SELECT 1 AS c UNION ALL SELECT 2 UNION ALL SELECT 3) k
-  UNION ALL SELECT t, r, 0, CASE pk % 12 WHEN 0 THEN 'SiO2 [mol%]' WHEN 1 THEN 'B2O3' WHEN 2 THEN 'Al2O3 (wt%)' WHEN 3 THEN 'Na2O + K2O'
+  UNION ALL SELECT t, r, 0, CASE pk % 14 WHEN 0 THEN 'SiO2 [mol%]' WHEN 1 THEN 'B2O3' WHEN 2 THEN 'Al2O3 (wt%)' WHEN 3 THEN 'Na2O + K2O'
       WHEN 4 THEN 'MgO {{mass%}}' WHEN 5 THEN 'TiO2' WHEN 6 THEN 'Tg [C]' WHEN 7 THEN 'Youngs modulus (GPa)' WHEN 8 THEN 'Refractive index'
-      WHEN 9 THEN '5iO, [mol%' WHEN 10 THEN 'ZnO' ELSE 'unknown prop' END FROM l
+      WHEN 9 THEN '5iO, [mol%' WHEN 10 THEN 'ZnO' WHEN 11 THEN 'SiO2 total amount' WHEN 12 THEN 'MgO +' ELSE 'unknown prop' END FROM l
   UNION ALL SELECT t, r, 1, CASE WHEN pk % 5 = 0 THEN CONCAT(CAST(q AS STRING), ' %') ELSE CAST(q AS STRING) END FROM l
   UNION ALL SELECT t, r, 2, CAST(sk AS STRING) FROM l WHERE pk % 7 <> 0
   UNION ALL SELECT t, r, 3, CAST(pk AS STRING) FROM l WHERE sk % 9 <> 0)
-SELECT CAST(t AS BIGINT) AS table_id, CAST(CASE WHEN t % 10 = 0 THEN c ELSE r END AS INT) AS r, CAST(CASE WHEN t % 10 = 0 THEN r ELSE c END AS INT) AS c, content,
+SELECT CAST(floor(t / 10.0) AS BIGINT) AS doc_id, CAST(t AS BIGINT) AS table_id, CAST(CASE WHEN t % 10 = 0 THEN c ELSE r END AS INT) AS r, CAST(CASE WHEN t % 10 = 0 THEN r ELSE c END AS INT) AS c, content,
        t % 10 = 0 AS transposed
 FROM cells WHERE NOT (t % 10 = 1 AND c > 1)"""
 
 BOXES_SQL, GRID_SQL = BOXES.format(lineitem="lineitem"), GRID.format(lineitem="lineitem")
+_LABELS = ("SiO2 [mol%]", "B2O3", "Al2O3 (wt%)", "Na2O + K2O", "MgO {mass%}", "TiO2", "Tg [C]", "Youngs modulus (GPa)", "Refractive index", "5iO, [mol%", "ZnO", "SiO2 total amount", "MgO +", "unknown prop")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,5 +41,16 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table cells: table_id, r, c, content, transposed."""
-    return spark.sql(GRID, lineitem=table(spark, sf_dir, "lineitem"))
+    """Table cells: doc_id, table_id, r, c, content, transposed: the rows of ``GRID``, made in one pass over the lines."""
+    line = F.struct(F.col("l_linenumber").cast("int").alias("r"), "pk", "sk", "q")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("pk"), F.min("l_suppkey").alias("sk"), F.min("l_quantity").cast("long").cast("string").alias("q"))
+    tables = lines.groupBy(F.col("l_orderkey").cast("long").alias("t")).agg(F.collect_list(line).alias("lines"))
+    cell = lambda r, c, content: F.struct(r.cast("int").alias("r"), F.lit(c).alias("c"), content.alias("content"))
+    head = F.array(*[cell(F.lit(0), c, F.concat(F.lit("Ex. "), ((F.col("t") % 50) * 3 + c).cast("string"))) for c in (1, 2, 3)])
+    label = lambda x: F.element_at(F.array(*[F.lit(v) for v in _LABELS]), (x["pk"] % len(_LABELS) + 1).cast("int"))
+    body = lambda x: F.array(cell(x["r"], 0, label(x)), cell(x["r"], 1, F.when(x["pk"] % 5 == 0, F.concat(x["q"], F.lit(" %"))).otherwise(x["q"])), F.when(x["pk"] % 7 != 0, cell(x["r"], 2, x["sk"].cast("string"))), F.when(x["sk"] % 9 != 0, cell(x["r"], 3, x["pk"].cast("string"))))
+    kept = F.filter(F.concat(head, F.flatten(F.transform("lines", body))), lambda x: x.isNotNull())
+    cells = tables.select("t", F.explode(kept).alias("x")).select("t", "x.*").where("NOT (t % 10 = 1 AND c > 1)")
+    turned = F.col("t") % 10 == 0
+    swap = lambda a, b: F.when(turned, F.col(b)).otherwise(F.col(a)).alias(a)
+    return cells.select(F.floor(F.col("t") / 10).alias("doc_id"), F.col("t").alias("table_id"), swap("r", "c"), swap("c", "r"), "content", turned.alias("transposed"))

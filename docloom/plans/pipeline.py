@@ -114,8 +114,7 @@ def functional(frames: Tables, no_predefined_column_labels=1, no_predefined_row_
 
 @stage("GlassExtractorISC")
 def extract(frames: Tables, knowledge_path=None) -> Tables:
-    spark = frames["table_cells"].sparkSession
-    points = tables.setpoints(frames["table_cells"], knowledge.patterns(spark, knowledge.load(spark, knowledge_path)))
+    points = tables.setpoints(frames["table_cells"], knowledge.load(frames["table_cells"].sparkSession, knowledge_path))
     return {"setpoints": points, "steps": tables.extraction(points), "claims": tables.claims(frames["table_cells"])}
 
 

@@ -10,7 +10,7 @@ from .fixtures import GRID_SQL, grid, table
 from .registry import query
 
 _G = f"WITH g AS ({GRID_SQL}) "
-_U = f"WITH g0 AS ({GRID_SQL}), g AS (SELECT table_id, CASE WHEN transposed THEN c ELSE r END AS r, CASE WHEN transposed THEN r ELSE c END AS c, content FROM g0) "
+_U = f"WITH g0 AS ({GRID_SQL}), g AS (SELECT doc_id, table_id, CASE WHEN transposed THEN c ELSE r END AS r, CASE WHEN transposed THEN r ELSE c END AS c, content FROM g0) "
 _VALUES = ", ".join("(" + ", ".join([str(i), "'" + n.replace("'", "''") + "'", str(j), "'" + p.replace("'", "''") + "'"]) + ")" for i, (n, ps) in enumerate(knowledge.DEFAULT.items()) for j, p in enumerate(ps))
 _K = f", k(ord, canonical, pat_ord, pattern) AS (VALUES {_VALUES}) "
 
@@ -29,9 +29,12 @@ def cell_spans(spark, d):
     return tables.spans(_upright(spark, d))
 
 
-@query("header_paths", _U + "SELECT a.table_id, a.r, a.c, coalesce(u.content, '') AS column_path, coalesce(l.content, '') AS row_path FROM g a LEFT JOIN g u ON u.table_id = a.table_id AND u.c = a.c AND u.r = 0 LEFT JOIN g l ON l.table_id = a.table_id AND l.r = a.r AND l.c = 0 WHERE a.r > 0 AND a.c > 0")
+_FLAGS = ", s AS (SELECT *, coalesce(max(content) FILTER (WHERE c = 0) OVER (PARTITION BY table_id, r), chr(1)) AS k FROM g), s0 AS (SELECT *, max(k) FILTER (WHERE r = 0) OVER (PARTITION BY table_id) AS k0 FROM s), fl AS (SELECT table_id, r, c, content, coalesce(k = k0, false) AS column_label, NOT coalesce(k = k0, false) AND c < 1 AS row_label FROM s0) "
+
+
+@query("header_paths", _U + _FLAGS + ", p AS (SELECT *, string_agg(content, ' | ') FILTER (WHERE column_label) OVER (PARTITION BY table_id, c ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS up, string_agg(content, ' | ') FILTER (WHERE row_label) OVER (PARTITION BY table_id, r ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS side FROM fl) SELECT table_id, r, c, coalesce(up, '') AS column_path, coalesce(side, '') AS row_path FROM p WHERE NOT column_label AND NOT row_label")
 def header_paths(spark, d):
-    return tables.header_paths(_upright(spark, d))
+    return tables.header_paths(tables.label_flags(_upright(spark, d)))
 
 
 @query("prev_nonempty_cell", _U + ", p AS (SELECT *, lag(r) OVER w AS pr, lag(content) OVER w AS above FROM g WINDOW w AS (PARTITION BY table_id, c ORDER BY r)) SELECT table_id, r, c, above, CAST(r - pr - 1 AS INTEGER) AS skipped FROM p WHERE above IS NOT NULL")
@@ -85,7 +88,7 @@ _MATCH = ", t AS (SELECT DISTINCT content FROM g), f AS (SELECT content, canonic
 
 @query("regex_dictionary", _G + _K + _MATCH + "SELECT t.content, canonical, pattern FROM t LEFT JOIN f ON f.content = t.content AND j = 1")
 def regex_dictionary(spark, d):
-    return dictionary.match_names(grid(spark, d), knowledge.patterns(spark))
+    return dictionary.match_names(grid(spark, d), knowledge.DEFAULT)
 
 
 _UNITS = ", ".join(f"({i}, '{u}', '{s}')" for i, (u, ss) in enumerate(knowledge.UNITS.items()) for s in [u, *ss])
@@ -118,7 +121,7 @@ def table_counts(spark, d):
 
 
 def _points(spark, d):
-    return tables.setpoints(grid(spark, d), knowledge.patterns(spark))
+    return tables.setpoints(grid(spark, d), knowledge.DEFAULT)
 
 
 _EXAMPLE = "CASE WHEN regexp_extract(content, '(?: |^|.)\\d+ *(\\.|,)? *\\d*', 0) = '' THEN NULL ELSE concat(CASE WHEN contains(content, 'Ex') THEN 'Ex-' WHEN contains(content, 'No') THEN 'No-' ELSE '' END, regexp_replace(replace(regexp_replace(regexp_extract(content, '(?: |^|.)\\d+ *(\\.|,)? *\\d*', 0), '^\\.', ''), ' ', ''), '^-', '')) END"
@@ -129,37 +132,45 @@ _SET = (
 gl AS (SELECT table_id, c, {_EXAMPLE} AS glass_id FROM b WHERE r = 0 AND c > 0),
 lab AS (SELECT DISTINCT content, {_FIX} AS fixed FROM b WHERE c = 0 AND r > 0),
 par AS (SELECT content, CASE WHEN regexp_extract(fixed, '{_BR}', 0) = '' THEN trim(fixed) ELSE trim(replace(fixed, regexp_extract(fixed, '{_BR}', 0), '')) END AS name, translate(regexp_extract(fixed, '{_BR}', 1), '()[]{{}} ', '') AS unit FROM lab),
-ter AS (SELECT content, unnest(list_filter(list_transform(string_split(name, '+'), lambda x: trim(x)), lambda x: x <> '')) AS term, unnest(range(len(list_filter(list_transform(string_split(name, '+'), lambda x: trim(x)), lambda x: x <> '')))) AS pos FROM par),
+tps AS (SELECT content, name, unit, contains(name, '+') AS plus, list_filter(list_transform(string_split(name, '+'), lambda x: trim(x)), lambda x: x <> '') AS ts FROM par),
+trm AS (SELECT content, CASE WHEN NOT plus THEN [name] WHEN len(ts) > 1 THEN ts ELSE [] END AS ts FROM tps),
+ter AS (SELECT content, unnest(ts) AS term, unnest(range(len(ts))) AS pos FROM trm),
 hit AS (SELECT term, canonical, pattern, row_number() OVER (PARTITION BY term ORDER BY ord, pat_ord) AS j FROM (SELECT DISTINCT term FROM ter) JOIN k ON regexp_matches(term, '^(?:' || pattern || ')')),
-nam AS (SELECT content, string_agg(coalesce(canonical, ter.term), ' + ' ORDER BY pos) AS property, string_agg(CASE WHEN canonical IS NULL THEN 'new' ELSE ter.term || ' -> ' || pattern END, '; ' ORDER BY pos) AS comment FROM ter LEFT JOIN hit ON hit.term = ter.term AND j = 1 GROUP BY content),
+agg AS (SELECT content, string_agg(coalesce(canonical, ter.term), ' + ' ORDER BY pos) AS joined, max(canonical) AS canonical, coalesce(string_agg(ter.term || ' -> ' || pattern || '  ', '' ORDER BY pos), '') AS arrows FROM ter LEFT JOIN hit ON hit.term = ter.term AND j = 1 GROUP BY content),
+nam AS (SELECT t.content, CASE WHEN plus AND len(ts) > 1 THEN joined WHEN NOT plus AND canonical IS NOT NULL THEN canonical || CASE WHEN contains(name, 'total amount') THEN ' [total]' ELSE '' END ELSE name END AS property,
+  CASE WHEN plus AND len(ts) > 1 THEN arrows WHEN NOT plus AND canonical IS NOT NULL THEN rtrim(arrows) ELSE 'new' END AS comment FROM tps t LEFT JOIN agg USING (content)),
 lb AS (SELECT nam.content, property, comment, CASE WHEN unit = '' THEN NULL WHEN unit IN ('wt%', 'mol%', 'mass%') AND contains(property, ' ') AND NOT contains(property, '+') THEN '-' ELSE unit END AS unit FROM nam JOIN par USING (content)),
-dat AS (SELECT glass_id, property, comment, d.table_id, d.r, d.c, replace(replace(replace(replace(replace(d.content, '. .', '.'), ' ', ''), '..', '.'), '%', ''), '^{{}}', '') AS value, CASE WHEN contains(d.content, '%') AND coalesce(unit, '') = '' THEN '%' ELSE coalesce(unit, '') END AS unit
+dat AS (SELECT d.doc_id, glass_id, property, comment, d.table_id, d.r, d.c, replace(replace(replace(replace(replace(d.content, '. .', '.'), ' ', ''), '..', '.'), '%', ''), '^{{}}', '') AS value, CASE WHEN contains(d.content, '%') AND coalesce(unit, '') = '' THEN '%' ELSE coalesce(unit, '') END AS unit
   FROM b d JOIN gl ON gl.table_id = d.table_id AND gl.c = d.c JOIN b l ON l.table_id = d.table_id AND l.r = d.r AND l.c = 0 JOIN lb ON lb.content = l.content WHERE d.r > 0 AND d.c > 0 AND glass_id IS NOT NULL),
-sp AS (SELECT glass_id, property, value, unit, comment FROM (SELECT *, row_number() OVER (PARTITION BY glass_id, property ORDER BY table_id DESC, r DESC, c DESC) AS j FROM dat) WHERE j = 1) """
+tab AS (SELECT doc_id, glass_id, list_sort(list(DISTINCT table_id)) AS tables FROM dat GROUP BY 1, 2),
+sp AS (SELECT doc_id, glass_id, property, value, unit, comment FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, glass_id, property ORDER BY table_id DESC, r DESC, c DESC) AS j FROM dat) WHERE j = 1) """
 )
 
 
 @query("setpoint_last_wins", _SET + "SELECT * FROM sp")
 def setpoint_last_wins(spark, d):
-    return _points(spark, d)
+    return _points(spark, d).drop("tables")
 
 
-_WIDE = ["SiO₂", "B₂O₃", "Al₂O₃", "MgO", "TiO₂", "Tg"]
+_KEYS = tables.column_keys(list(knowledge.DEFAULT))
+_OTHERS = "coalesce(string_agg(property || '=' || value || ' ' || unit, '; ' ORDER BY property) FILTER (WHERE property NOT IN (" + ", ".join(f"'{p}'" for p in _KEYS) + ")), '') AS others"
 
 
-@query("setpoints_wide", _SET + "SELECT glass_id, " + ", ".join(f"max(value) FILTER (WHERE property = '{p}') AS {k}_value, max(unit) FILTER (WHERE property = '{p}') AS {k}_unit" for p in _WIDE for k in ["".join(ch if ch.isascii() and ch.isalnum() else "_" for ch in p).lower()]) + " FROM sp GROUP BY 1")
+@query("setpoints_wide", _SET + "SELECT doc_id, glass_id, " + ", ".join(f"max({c}) FILTER (WHERE property = '{p}') AS {k}_{c}" for p, k in _KEYS.items() for c in ("value", "unit")) + f", {_OTHERS} FROM sp GROUP BY 1, 2")
 def setpoints_wide(spark, d):
-    return tables.wide_table(_points(spark, d), _WIDE)
+    return tables.wide_table(_points(spark, d), list(knowledge.DEFAULT))
 
 
-@query("extraction_records")
+@query("extraction_records", _SET + "SELECT doc_id || '-' || glass_id AS id, count(*) FILTER (WHERE value NOT IN ('N.A.', '0.0', '') AND unit IN ('mol%', 'wt%', 'mass%')) AS n_components, any_value(array_to_string(tables, ',')) AS tables, string_agg(property || '=' || value || ' ' || unit || ' (' || comment || ')', '; ' ORDER BY property) AS record FROM sp JOIN tab USING (doc_id, glass_id) GROUP BY doc_id, glass_id")
 def extraction_records(spark, d):
-    return tables.extraction(_points(spark, d))
+    out = tables.extraction(_points(spark, d))
+    entry = lambda x: F.concat(x["key"], F.lit("="), x["value"]["value"], F.lit(" "), x["value"]["unit"], F.lit(" ("), x["value"]["comment"], F.lit(")"))
+    return out.select(F.col("generatedObjectIdentifier").alias("id"), F.col("NumberOfComponent").cast("long").alias("n_components"), F.array_join(F.transform("tables", lambda x: x.cast("string")), ",").alias("tables"), F.array_join(F.transform(F.map_entries("setpoints"), entry), "; ").alias("record"))
 
 
 from .registry import ORACLE  # noqa: E402
 
-ORACLE["component_count"] = _SET + "SELECT glass_id, count(*) FILTER (WHERE value NOT IN ('N.A.', '0.0', '') AND unit IN ('mol%', 'wt%', 'mass%')) AS n_components, count(*) AS n_properties FROM sp GROUP BY 1"
+ORACLE["component_count"] = _SET + "SELECT doc_id, glass_id, count(*) FILTER (WHERE value NOT IN ('N.A.', '0.0', '') AND unit IN ('mol%', 'wt%', 'mass%')) AS n_components, count(*) AS n_properties FROM sp GROUP BY 1, 2"
 
 
 @query("table_csv", _U + ", s AS (SELECT table_id, max(r) AS mr, max(c) AS mc FROM g GROUP BY 1), p AS (SELECT table_id, mc, unnest(range(0, mr + 1)) AS r FROM s), q AS (SELECT table_id, r, unnest(range(0, mc + 1)) AS c FROM p) SELECT q.table_id, CAST(q.r AS INTEGER) AS r, string_agg(CASE WHEN content IS NULL THEN '' WHEN q.r = 0 THEN '~' || content WHEN q.c = 0 THEN '^' || content ELSE content END, ',' ORDER BY q.c) AS line FROM q LEFT JOIN g ON g.table_id = q.table_id AND g.r = q.r AND g.c = q.c GROUP BY 1, 2")
