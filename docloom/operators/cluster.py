@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 _OUT = "page_id long, group_id long, x1 double, y1 double, x2 double, y2 double, score double, members array<long>"
 
 
+def fresh(boxes: DataFrame) -> DataFrame:
+    """Boxes with columns of their own: two sides of a grouped function may come from one table."""
+    return boxes.select(*[F.col(c).alias(c) for c in ("page_id", "area_id", "x1", "y1", "x2", "y2")])
+
+
 def row_islands(areas: DataFrame, tolerance: float = 3.0, keys: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Row numbers of boxes whose y-intervals chain together with at least ``tolerance`` in common."""
     w = Window.partitionBy(*keys).orderBy("y1", "area_id")
@@ -139,4 +144,4 @@ def first_fit_cells(strings: DataFrame, lines: DataFrame, gap: float = 35.0, tol
         rows = [(key[0], min(m), *b, 0.0, m) for b, m in cells]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _OUT.split(", ")])
 
-    return strings.groupBy("page_id").cogroup(lines.groupBy("page_id")).applyInPandas(run, _OUT)
+    return strings.groupBy("page_id").cogroup(fresh(lines).groupBy("page_id")).applyInPandas(run, _OUT)

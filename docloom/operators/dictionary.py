@@ -33,6 +33,27 @@ def line_units(lines: DataFrame, units: DataFrame, text: str = "content") -> Dat
     return met.groupBy(*lines.columns).agg(F.min(F.struct("ord", "unit")).alias("m")).select(*lines.columns, F.col("m.unit").alias("unit"))
 
 
+def corrections(tokens: DataFrame, words: DataFrame, distance: int = 1, prefix: int = 3) -> DataFrame:
+    """Close words (``word`` and, if there, count ``n``) of tokens that are neither numbers nor prefixes of a known word.
+
+    Among equally close words the most frequent one is taken, then the first by name.
+    """
+    a = tokens.select("token").where(F.col("token").isNotNull() & ~F.col("token").rlike(r"^[+-]?(\d|[.,]\d)")).distinct().withColumn("p", F.substring("token", 1, prefix))
+    count = F.col("n") if "n" in words.columns else F.lit(1)
+    b = words.groupBy("word").agg(F.sum(count).alias("n")).withColumn("p", F.substring("word", 1, prefix))
+    met = a.join(b, "p")
+    known = met.where(F.startswith("word", F.col("token"))).select("token").distinct()
+    near = met.join(known, "token", "left_anti").withColumn("d", F.levenshtein("token", "word", distance)).where("d >= 0")
+    best = near.groupBy("token").agg(F.min(F.struct("d", (-F.col("n")).alias("k"), "word")).alias("m"))
+    return best.select("token", F.col("m.word").alias("word"), F.col("m.d").cast("long").alias("distance"))
+
+
+def with_prefix(words: DataFrame, prefix: str, most: int | None = None) -> DataFrame:
+    """Known words (word, n) that begin with a prefix, by falling frequency, then name; ``most`` of them if given."""
+    out = words.where(F.startswith("word", F.lit(prefix))).orderBy(F.desc("n"), "word")
+    return out if most is None else out.limit(most)
+
+
 def close_words(tokens: DataFrame, words: DataFrame, distance: int = 1, prefix: int = 3) -> DataFrame:
     """Each token's closest dictionary word with its first letters and at most ``distance`` edits; ties to the first word."""
     a = tokens.select("token").distinct().withColumn("p", F.substring("token", 1, prefix))

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cluster import _union_find, merge_boxes
+from .cluster import _union_find, fresh, merge_boxes
 
 _BOX = ["x1", "y1", "x2", "y2"]
 _GROUP = "page_id long, group_id long, x1 double, y1 double, x2 double, y2 double, members array<long>"
@@ -305,7 +305,7 @@ def recognised_rows(cells: DataFrame, lines: DataFrame, shift: float = 5.0) -> D
         out = [(key[0], n, width, ids[sorted(r, key=lambda i: b[i, 0])].tolist()) for n, r in enumerate(best)]
         return pd.DataFrame(out, columns=["page_id", "row_no", "width", "members"])
 
-    return cells.groupBy("page_id").cogroup(lines.groupBy("page_id")).applyInPandas(run, schema)
+    return cells.groupBy("page_id").cogroup(fresh(lines).groupBy("page_id")).applyInPandas(run, schema)
 
 
 def modal_size(sizes: list[int]) -> int:

@@ -1,21 +1,23 @@
 """Stages by name and pipelines from JSON: each stage turns named tables into named tables.
 
-A configuration is a list of ``{"name": ..., "modules": [{"name": ..., "parameter": {...}}]}``. Unknown
-stages and unknown parameters are errors when the pipeline is built, not when it runs.
+A configuration is a list of ``{"name": ..., "modules": [{"name": ..., "parameter": {...}}]}``. Unknown stages
+are errors when the pipeline is built, not when it runs; so are unknown parameters, except in configuration
+files, whose parameters that a stage doesn't have are left out with a warning.
 """
 
 from __future__ import annotations
 
 import inspect
 import json
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import knowledge
-from ..operators import cluster, spatial, tables
+from ..functions.knowledge import load as load_knowledge
+from ..operators import cluster, layout, spatial, tables
 
 Tables = dict[str, DataFrame]
 STAGES: dict[str, Callable] = {}
@@ -77,12 +79,22 @@ def load(spark: SparkSession, path: str) -> dict[str, Pipeline]:
 def build(config: dict) -> Pipeline:
     out = Pipeline(config["name"])
     for m in config["modules"]:
-        out.add(m["name"], **m.get("parameter", {}))
+        given, known = m.get("parameter") or m.get("parameters") or {}, parameters(m["name"]) if m["name"] in STAGES else None
+        if known is not None and (odd := sorted(set(given) - set(known))):
+            warnings.warn(f"{m['name']} leaves out {', '.join(odd)}", stacklevel=2)
+            given = {k: v for k, v in given.items() if k in known}
+        out.add(m["name"], **given)
     return out
 
 
 @stage("DeleteUtilityModule")
-def delete(frames: Tables, delete=("String",)) -> Tables:
+def delete(frames: Tables, delete=("String",), last=None) -> Tables:
+    """Areas of the categories, or those of them that the ``last`` so many revisions added, and references to them go."""
+    if last is not None:
+        from ..operators.revisions import delete_recent
+
+        kept = delete_recent(frames["areas"], list(delete), int(last), "page_id")
+        return {"areas": kept}
     gone = frames["areas"].where(F.col("category").isin(*delete)).select("area_id")
     out = {"areas": frames["areas"].join(gone, "area_id", "left_anti")}
     if "refs" in frames:
@@ -93,28 +105,31 @@ def delete(frames: Tables, delete=("String",)) -> Tables:
 
 
 @stage("CellDetector")
-def cells(frames: Tables, apply_to="String", drawn_elements=("DrawnLine", "LogicalLine"), space_between_words=35.0, size_difference_tolerance=2.0) -> Tables:
+def cells(frames: Tables, apply_to="String", lines="Line", strings="String", drawn_elements=("DrawnLine", "LogicalLine"), space_between_words=35.0, space_between_lines=0.0, size_difference_tolerance=2.0) -> Tables:
     a = frames["areas"]
-    found = cluster.first_fit_cells(a.where(F.col("category") == apply_to), a.where(F.col("category").isin(*drawn_elements)), float(space_between_words), float(size_difference_tolerance))
+    kinds = [apply_to] if isinstance(apply_to, str) else list(apply_to)
+    found = cluster.first_fit_cells(a.where(F.col("category").isin(*kinds)), a.where(F.col("category").isin(*drawn_elements)), float(space_between_words), float(size_difference_tolerance))
     return {"cells": found}
 
 
 @stage("MarkovChainRecognizer")
-def rows(frames: Tables, threshold_vertical_translation=3.0) -> Tables:
+def rows(frames: Tables, threshold_vertical_translation=3.0, lines="Line", strings="String", apply_to=("TableCell",), table_grid=("DrawnLine", "LogicalLine"), max_iterations=10, convergence_threshold=0.1) -> Tables:
     boxes = frames["cells"].withColumn("area_id", F.col("group_id"))
     placed = cluster.row_islands(boxes, float(threshold_vertical_translation))
     return {"rows": placed, "widths": tables.modal_width(placed.groupBy("page_id", "row_no").agg(F.count("*").alias("n")), "page_id")}
 
 
 @stage("FunctionalRecognizer")
-def functional(frames: Tables, no_predefined_column_labels=1, no_predefined_row_labels=1) -> Tables:
+def functional(frames: Tables, no_predefined_column_labels=1, no_predefined_row_labels=1, common_prefixes="No\\.;Ex\\.;Number;Example", enforce_ordererd_numbering=False) -> Tables:
     grid = frames["table_cells"]
     return {"labels": tables.label_flags(tables.upright(grid), no_predefined_column_labels, no_predefined_row_labels), "orientation": tables.orientation(tables.numbering_runs(grid))}
 
 
 @stage("GlassExtractorISC")
-def extract(frames: Tables, knowledge_path=None) -> Tables:
-    points = tables.setpoints(frames["table_cells"], knowledge.load(frames["table_cells"].sparkSession, knowledge_path))
+def extract(frames: Tables, knowledge_path=None, lines="Line", strings="String", string="String", knowledge=None, knowledge_fallback=None) -> Tables:
+    """Setpoints by the dictionary at ``knowledge_path``, else at ``knowledge`` or ``knowledge_fallback`` if those are paths of folders, else the default."""
+    path = next((p for p in (knowledge_path, knowledge, knowledge_fallback) if p and "/" in p), None)
+    points = tables.setpoints(frames["table_cells"], load_knowledge(frames["table_cells"].sparkSession, path))
     return {"setpoints": points, "steps": tables.extraction(points), "claims": tables.claims(frames["table_cells"])}
 
 
@@ -125,9 +140,12 @@ def captions(frames: Tables, table="Table", caption="Caption") -> Tables:
 
 
 @stage("LogicalLineGuesser")
-def logical_lines(frames: Tables, gap_between_columns=3.0, v_split=2) -> Tables:
-    a = frames["areas"]
-    return {"column_gaps": tables.gaps(a.select("page_id", F.col("x1").alias("v")), float(gap_between_columns)), "parts": tables.split_parts(a, int(v_split))}
+def logical_lines(frames: Tables, apply_to=("Table",), subelement="TableCell", gap_between_rows=3.0, gap_between_columns=3.0, h_split=1, v_split=2, merge_radius_vertical=20.0, merge_radius_horizontal=20.0) -> Tables:
+    """Vertical and horizontal lines in the white gaps of the boxes, merged over the parts of a page."""
+    a = frames["areas"].where(F.col("category") == subelement) if "category" in frames["areas"].columns else frames["areas"]
+    upright = layout.merge_lines(layout.logical_lines(a, float(gap_between_columns), int(v_split), "x"), float(merge_radius_vertical), True)
+    flat = layout.merge_lines(layout.logical_lines(a, float(gap_between_rows), int(h_split), "y"), float(merge_radius_horizontal), False)
+    return {"logical_lines": upright.withColumn("vertical", F.lit(True)).unionByName(flat.withColumn("vertical", F.lit(False))), "parts": tables.split_parts(a, int(v_split))}
 
 
 @stage("NonMaximumSuppression")
@@ -153,3 +171,6 @@ def export_coco(frames: Tables, output_dir="output", type=("Table",)) -> Tables:
     writers.coco_annotations(chosen).write.json(f"{output_dir}/annotations")
     writers.coco_categories(chosen).write.json(f"{output_dir}/categories")
     return {}
+
+
+from . import modules  # noqa: E402, F401  registers the other stages

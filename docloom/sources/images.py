@@ -163,3 +163,65 @@ def ocr_lines(rows: DataFrame) -> DataFrame:
     own = rows.where((F.col("conf") >= 0) & (F.trim("text") != "") & (F.lower("text") != "nan"))
     words = F.transform(F.sort_array(F.collect_list(F.struct("word_no", "text"))), lambda x: x["text"])
     return own.groupBy("page", "block", "par", "line").agg(F.array_join(words, " ").alias("content"), F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"), F.avg("conf").alias("conf"))
+
+
+def ruled_lines(images: DataFrame, least: int = 200, gap: int = 10, thick: int = 8) -> DataFrame:
+    """Horizontal and vertical ruled lines of images (page_id, area_id, box): runs of dark pixels, breaks up to ``gap`` closed,
+    of at least ``least`` pixels; neighbouring runs that overlap are one line, up to ``thick`` pixels."""
+
+    def runs(mask: np.ndarray) -> list[tuple[int, int, int]]:
+        out = []
+        for y, row in enumerate(mask):
+            edge = np.flatnonzero(np.diff(np.r_[0, row.astype(np.int8), 0]))
+            a, b = edge[::2], edge[1::2]
+            if len(a):
+                new = np.r_[True, a[1:] - b[:-1] > gap]
+                first, last = a[new], b[np.r_[np.flatnonzero(new)[1:] - 1, len(b) - 1]]
+                out += [(y, int(x), int(z)) for x, z in zip(first, last) if z - x >= least]
+        return out
+
+    def joined(found: list[tuple[int, int, int]]) -> list[list[int]]:
+        lines: list[list[int]] = []
+        for y, a, b in found:
+            near = next((k for k in lines if k[3] == y - 1 and k[0] < b and a < k[1] and y - k[2] < thick), None)
+            if near:
+                near[:] = [min(near[0], a), max(near[1], b), near[2], y]
+            else:
+                lines.append([a, b, y, y])
+        return lines
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for r in batch.itertuples(index=False):
+                mask = ink(_array(r.data, r.width, r.height))
+                boxes = [(a, y, b, z + 1) for a, b, y, z in joined(runs(mask))] + [(y, a, z + 1, b) for a, b, y, z in joined(runs(mask.T))]
+                out += [(r.page_id, i, *map(float, b)) for i, b in enumerate(boxes)]
+            yield pd.DataFrame(out, columns=["page_id", "area_id", "x1", "y1", "x2", "y2"])
+
+    return images.mapInPandas(run, "page_id long, area_id long, x1 double, y1 double, x2 double, y2 double")
+
+
+def masked(images: DataFrame, boxes: DataFrame, thickness: int = 2, shade: int = 0) -> DataFrame:
+    """Images with the outlines of their boxes drawn in; images without boxes stay as they are."""
+    lists = boxes.groupBy("page_id").agg(*[F.collect_list(F.col(c).cast("int")).alias(c) for c in ("x1", "y1", "x2", "y2")])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for r in batch.itertuples(index=False):
+                a = _array(r.data, r.width, r.height).copy()
+                for x1, y1, x2, y2 in zip(*(v if v is not None else [] for v in (r.x1, r.y1, r.x2, r.y2))):
+                    x1, y1 = max(0, x1), max(0, y1)
+                    for part in (a[y1 : y1 + thickness, x1:x2], a[max(0, y2 - thickness) : y2, x1:x2], a[y1:y2, x1 : x1 + thickness], a[y1:y2, max(0, x2 - thickness) : x2]):
+                        part[:] = shade
+                out.append((r.page_id, r.width, r.height, a.tobytes()))
+            yield pd.DataFrame(out, columns=["page_id", "width", "height", "data"])
+
+    return images.join(lists, "page_id", "left").select("page_id", "width", "height", "data", "x1", "y1", "x2", "y2").mapInPandas(run, _IMAGE)
+
+
+def portable(images: DataFrame) -> DataFrame:
+    """Images as files in the portable grey format: page_id and content."""
+    head = F.concat(F.lit("P5 "), F.col("width").cast("string"), F.lit(" "), F.col("height").cast("string"), F.lit(" 255\n"))
+    return images.select("page_id", F.concat(F.encode(head, "UTF-8"), F.col("data")).alias("content"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box, polyline_box
@@ -67,6 +67,14 @@ def read_table_json(spark: SparkSession, path: str) -> DataFrame:
     return one.select("doc_id", F.coalesce("oid", "key").alias("area_id"), "category", *pick, F.col("data")["content"].alias("content"), "confidence")
 
 
+def synthetic_page(areas: DataFrame) -> dict[str, DataFrame]:
+    """One page for each document of table annotations, and its table's references to all other areas."""
+    first = areas.where("category = 'Table'").groupBy("doc_id").agg(F.min("area_id").alias("parent_id"))
+    size = areas.groupBy("doc_id").agg(F.max("x2").alias("img_width"), F.max("y2").alias("img_height"))
+    refs = areas.where("category <> 'Table'").join(first, "doc_id").select("doc_id", "parent_id", F.col("area_id").alias("child_id"), (F.row_number().over(Window.partitionBy("doc_id").orderBy("area_id")) - 1).alias("pos"))
+    return {"pages": size.select("doc_id", F.lit(0).alias("number"), "img_width", "img_height"), "refs": refs}
+
+
 def read_coco(spark: SparkSession, path: str) -> DataFrame:
     """Annotations with image and category names; crowds and degenerate boxes are left out."""
     schema = "images ARRAY<STRUCT<id: LONG, file_name: STRING, width: DOUBLE, height: DOUBLE>>, annotations ARRAY<STRUCT<id: LONG, image_id: LONG, category_id: LONG, bbox: ARRAY<DOUBLE>, iscrowd: INT>>, categories ARRAY<STRUCT<id: LONG, name: STRING>>"
@@ -75,7 +83,7 @@ def read_coco(spark: SparkSession, path: str) -> DataFrame:
     img = raw.select(F.explode("images").alias("i")).select(F.col("i.id").alias("image_id"), "i.file_name", "i.width", "i.height")
     cat = raw.select(F.explode("categories").alias("c")).select(F.col("c.id").alias("category_id"), F.col("c.name").alias("category"))
     b = [F.greatest(F.lit(0.0), c) for c in (F.get("bbox", F.lit(0)), F.get("bbox", F.lit(1)), F.get("bbox", F.lit(0)) + F.get("bbox", F.lit(2)), F.get("bbox", F.lit(1)) + F.get("bbox", F.lit(3)))]
-    out = ann.join(img, "image_id").join(F.broadcast(cat), "category_id")
+    out = ann.join(img, "image_id").join(cat, "category_id")
     return out.select("image_id", "id", "file_name", "category", b[0].alias("x1"), b[1].alias("y1"), F.least(b[2], F.col("width")).alias("x2"), F.least(b[3], F.col("height")).alias("y2")).where("x2 > x1 AND y2 > y1")
 
 
