@@ -29,7 +29,7 @@ def softmax_top(logits: Column) -> Column:
     return F.struct((F.array_position(e, top) - 1).cast("int").alias("label"), (1 / F.aggregate(F.transform(e, lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)).alias("score"))
 
 
-def above_thresholds(objects: DataFrame, thresholds: dict[str, float], default: float = 0.5) -> DataFrame:
+def above_thresholds(objects: DataFrame, thresholds: dict, default: float = 0.5) -> DataFrame:
     """Detections whose score reaches their label's threshold."""
     t = F.lit(default)
     for label, value in thresholds.items():
@@ -86,23 +86,5 @@ def merge_ocr(old: DataFrame, new: DataFrame) -> DataFrame:
     return met.select("page_id", "area_id", "content", "other", action.alias("action"))
 
 
-def average_precision(detections: DataFrame, truth: DataFrame, iou: float = 0.5) -> DataFrame:
-    """Precision, recall and area under the curve per label.
-
-    Detections (page_id, area_id, label, score, box) take, by falling score, the free true box they overlap
-    most: decided by ranking candidate pairs from both sides, so one true box counts once.
-    """
-    a, b = Box.of("a"), Box.of("b")
-    on = (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.label") == F.col("b.label")) & a.overlaps(b)
-    pairs = detections.alias("a").join(truth.alias("b"), on).select("a.label", F.col("a.area_id").alias("d"), F.col("b.area_id").alias("t"), "a.score", a.iou(b).alias("iou")).where(F.col("iou") >= iou)
-    best = pairs.groupBy("label", "d", "score").agg(F.max(F.struct("iou", "t")).alias("m")).select("label", "d", "score", "m.t")
-    hit = best.groupBy("label", "t").agg(F.max(F.struct("score", "d")).alias("m")).select("label", F.col("m.d").alias("area_id"), F.lit(1).alias("hit"))
-    n = truth.groupBy("label").agg(F.count("*").alias("n"))
-    marked = detections.select("label", "area_id", "score").join(hit, ["label", "area_id"], "left").join(n, "label")
-    w = Window.partitionBy("label").orderBy(F.desc("score"), "area_id").rowsBetween(Window.unboundedPreceding, 0)
-    curve = marked.select("label", "n", "hit", F.sum(F.coalesce("hit", F.lit(0))).over(w).alias("tp"), F.count("*").over(w).alias("k"))
-    return curve.groupBy("label").agg((F.coalesce(F.sum(F.when(F.col("hit") == 1, F.col("tp") / F.col("k"))), F.lit(0.0)) / F.first("n")).alias("ap"), (F.max("tp") / F.first("n")).alias("recall"), (F.max("tp") / F.max("k")).alias("precision"))
-
-
 def f1(precision: Column, recall: Column) -> Column:
     return 2 * precision * recall / (precision + recall + 1e-8)

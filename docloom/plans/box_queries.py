@@ -97,10 +97,10 @@ def overlap_by_category(spark, d):
     return spatial.overlaps_by_category(_cat(b, "TableCell"), b, ["String", "DrawnLine"])
 
 
-@query("point_lookup", _B + "SELECT p.page_id, p.x, p.y, a.area_id FROM (SELECT DISTINCT page_id, 300.0::DOUBLE AS x, 200.0::DOUBLE AS y FROM b) p JOIN b a ON a.page_id = p.page_id AND a.x1 <= p.x AND a.x2 >= p.x AND a.y1 <= p.y AND a.y2 >= p.y")
+@query("point_lookup", _B + "SELECT p.page_id, p.x, p.y, a.area_id FROM (SELECT page_id, (x1 + x2) * 0.5 AS x, (y1 + y2) * 0.5 AS y FROM b WHERE category = 'Line') p JOIN b a ON a.page_id = p.page_id AND a.x1 <= p.x AND a.x2 >= p.x AND a.y1 <= p.y AND a.y2 >= p.y")
 def point_lookup(spark, d):
     b = boxes(spark, d)
-    return spatial.at_positions(b, b.select("page_id", F.lit(300.0).alias("x"), F.lit(200.0).alias("y")).distinct())
+    return spatial.at_positions(b, b.where("category = 'Line'").select("page_id", *[c.alias(n) for c, n in zip(Box.of().middle, "xy")]))
 
 
 @query("neighbors_lrtb", _B + ", q AS (SELECT page_id, area_id AS own, unnest([{'side': 'left', 'x': x1 - 1, 'y': (y1 + y2) * 0.5}, {'side': 'right', 'x': x2 + 1, 'y': (y1 + y2) * 0.5}, {'side': 'above', 'x': (x1 + x2) * 0.5, 'y': y1 - 1}, {'side': 'below', 'x': (x1 + x2) * 0.5, 'y': y2 + 1}]) AS s FROM b) SELECT q.own AS area_id, s.side AS side, a.area_id AS other_id FROM q JOIN b a ON a.page_id = q.page_id AND a.x1 <= s.x AND a.x2 >= s.x AND a.y1 <= s.y AND a.y2 >= s.y WHERE s.x >= 0 AND s.y >= 0 AND q.own <> a.area_id")
@@ -215,7 +215,7 @@ def coco_annotations(spark, d):
 
 @query("reading_order")
 def reading_order(spark, d):
-    return cluster.reading_order(boxes(spark, d).where("category = 'String'"))
+    return cluster.reading_order(boxes(spark, d))
 
 
 @query("merge_boxes_fixpoint")

@@ -63,5 +63,9 @@ def slot_confidence(spark, d):
 
 @query("detection_precision")
 def detection_precision(spark, d):
+    from ..operators import evaluation
+
     b = boxes(spark, d).withColumnsRenamed({"category": "label", "confidence": "score"})
-    return structure.average_precision(b.where("area_id % 3 > 0"), b.where("area_id % 2 = 0"))
+    found, truth = b.where("area_id % 3 > 0"), b.where("area_id % 2 = 0")
+    out = evaluation.precision_curves(evaluation.greedy_matches(found, truth), truth)
+    return out.select("label", *[F.round(c, 9).alias(c) for c in ("ap", "recall", "precision")], F.round(structure.f1(F.col("precision"), F.col("recall")), 9).alias("f1"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import references
+from ..operators import references, structure
 from .fixtures import table
 from .registry import query
 
@@ -57,18 +57,22 @@ def majority_number(spark, d):
     return best.select("l_orderkey", F.col("m.l_suppkey").alias("num"), (-F.col("m.k")).alias("n"))
 
 
-@query("roman_numerals", "WITH v(s, n) AS (VALUES ('I', 1), ('IV', 4), ('XIV', 14), ('MCMXCIX', 1999), ('XL', 40), ('CDXLIV', 444), ('abc', 0)) SELECT p_partkey % 7 AS k, s, n, count(*) AS parts FROM part JOIN (SELECT row_number() OVER () - 1 AS i, s, n FROM v) q ON q.i = p_partkey % 7 GROUP BY 1, 2, 3")
+_ROMAN = "list_transform(string_split(s, ''), lambda c: CASE c WHEN 'I' THEN 1 WHEN 'V' THEN 5 WHEN 'X' THEN 10 WHEN 'L' THEN 50 WHEN 'C' THEN 100 WHEN 'D' THEN 500 WHEN 'M' THEN 1000 END)"
+
+
+@query("roman_numerals", "WITH p AS (SELECT p_partkey, p_partkey % 3999 + 1 AS k FROM part), r AS (SELECT p_partkey, repeat('M', CAST(k // 1000 AS INTEGER)) || ['', 'C', 'CC', 'CCC', 'CD', 'D', 'DC', 'DCC', 'DCCC', 'CM'][k // 100 % 10 + 1] || ['', 'X', 'XX', 'XXX', 'XL', 'L', 'LX', 'LXX', 'LXXX', 'XC'][k // 10 % 10 + 1] || ['', 'I', 'II', 'III', 'IV', 'V', 'VI', 'VII', 'VIII', 'IX'][k % 10 + 1] AS s FROM p), v AS (SELECT *, " + _ROMAN + " AS vs FROM r) SELECT p_partkey, s, CAST(list_sum(list_transform(range(1, len(vs) + 1), lambda i: CASE WHEN vs[i] < coalesce(vs[i + 1], 0) THEN -vs[i] ELSE vs[i] END)) AS INTEGER) AS n FROM v")
 def roman_numerals(spark, d):
-    words = F.array(*[F.lit(x) for x in ("I", "IV", "XIV", "MCMXCIX", "XL", "CDXLIV", "abc")])
-    p = table(spark, d, "part").select((F.col("p_partkey") % 7).alias("k")).withColumn("s", F.get(words, F.col("k").cast("int")))
-    return p.select("k", "s", F.coalesce(T.roman(F.col("s")), F.lit(0)).alias("n")).groupBy("k", "s", "n").agg(F.count("*").alias("parts"))
+    k = F.col("p_partkey") % 3999 + 1
+    digit = lambda n, one, five, ten: F.element_at(F.array(*[F.lit(x) for x in ("", one, one * 2, one * 3, one + five, five, five + one, five + one * 2, five + one * 3, one + ten)]), (F.floor(k / n) % 10 + 1).cast("int"))
+    s = F.concat(F.expr("repeat('M', cast(floor((p_partkey % 3999 + 1) / 1000) as int))"), digit(100, "C", "D", "M"), digit(10, "X", "L", "C"), digit(1, "I", "V", "X"))
+    return table(spark, d, "part").select("p_partkey", s.alias("s")).select("p_partkey", "s", T.roman(F.col("s")).alias("n"))
 
 
-@query("bracket_repair", "SELECT x, CASE WHEN contains(x, '[') AND NOT contains(x, ']') THEN regexp_replace(x, '^([^\\[]*\\[[^\\\\|1I]*)[\\\\|1I]', '\\1]') WHEN contains(x, ']') AND NOT contains(x, '[') THEN regexp_replace(x, '^([^\\]]*)[/|IΓ]([^\\]/|IΓ]*\\])', '\\1[\\2') ELSE x END AS fixed, n FROM (SELECT CASE l_partkey % 4 WHEN 0 THEN 'SiO2 [mol%|' WHEN 1 THEN 'B2O3 /wt%]' WHEN 2 THEN 'MgO [x]' ELSE 'a [b' END AS x, count(*) AS n FROM lineitem GROUP BY 1)")
+@query("bracket_repair", "WITH t AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_brand || ' [' || p_type || '|' WHEN 1 THEN p_brand || ' /' || p_type || ']' WHEN 2 THEN p_brand || ' [x]' WHEN 3 THEN p_type || ' [b' ELSE p_type END AS x FROM part) SELECT p_partkey, CASE WHEN contains(x, '[') AND NOT contains(x, ']') THEN regexp_replace(x, '^([^\\[]*\\[[^\\\\|1I]*)[\\\\|1I]', '\\1]') WHEN contains(x, ']') AND NOT contains(x, '[') THEN regexp_replace(x, '^([^\\]]*)[/|IΓ]([^\\]/|IΓ]*\\])', '\\1[\\2') ELSE x END AS fixed FROM t")
 def bracket_repair(spark, d):
-    k = F.col("l_partkey") % 4
-    x = F.when(k == 0, "SiO2 [mol%|").when(k == 1, "B2O3 /wt%]").when(k == 2, "MgO [x]").otherwise("a [b")
-    return table(spark, d, "lineitem").groupBy(x.alias("x")).agg(F.count("*").alias("n")).select("x", T.fix_brackets(F.col("x")).alias("fixed"), "n")
+    k = F.col("p_partkey") % 5
+    x = F.when(k == 0, F.concat("p_brand", F.lit(" ["), "p_type", F.lit("|"))).when(k == 1, F.concat("p_brand", F.lit(" /"), "p_type", F.lit("]"))).when(k == 2, F.concat("p_brand", F.lit(" [x]"))).when(k == 3, F.concat("p_type", F.lit(" [b"))).otherwise(F.col("p_type"))
+    return table(spark, d, "part").select("p_partkey", T.fix_brackets(x).alias("fixed"))
 
 
 @query("value_clean", "WITH v AS (SELECT DISTINCT l_quantity, CASE CAST(l_quantity AS BIGINT) % 4 WHEN 0 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ' %' WHEN 1 THEN '1..' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) WHEN 2 THEN '2. .' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || '^{}' END AS s FROM lineitem) SELECT s, replace(replace(replace(replace(replace(s, '. .', '.'), ' ', ''), '..', '.'), '%', ''), '^{}', '') AS v FROM v")
@@ -78,10 +82,15 @@ def value_clean(spark, d):
     return table(spark, d, "lineitem").select(s.alias("s")).distinct().select("s", T.clean_value(F.col("s")).alias("v"))
 
 
-@query("date_parse", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
+@query("date_parse", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_orderkey % 4 < 3 THEN strftime(o_orderdate, '%Y-%m-%d') END AS any_day FROM orders")
 def date_parse(spark, d):
-    o = table(spark, d, "orders")
-    return o.select("o_orderkey", T.month_date(F.concat(F.lit("Filed: "), F.date_format("o_orderdate", "MMMM d, yyyy"), F.lit(" x"))).alias("day"))
+    from ..operators.titlepage import any_date
+
+    k = F.col("o_orderkey") % 4
+    month = F.when(k == 0, F.date_format("o_orderdate", "MMMM d, yyyy")).when(k == 1, F.date_format("o_orderdate", "MMM. d, yyyy")).otherwise(F.upper(F.date_format("o_orderdate", "MMM dd, yyyy")))
+    other = F.when(k == 0, F.date_format("o_orderdate", "d.M.yyyy")).when(k == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k == 2, F.date_format("o_orderdate", "MMMM d, yyyy")).otherwise("no date")
+    o = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Filed: "), month, F.lit(" x")).alias("m"), F.concat(F.lit("on "), other, F.lit(" x")).alias("a"))
+    return o.select("o_orderkey", T.month_date(F.col("m")).alias("day"), any_date(F.col("a")).alias("any_day"))
 
 
 @query("ipc_split", "SELECT p_brand, array_to_string(list_sort(list_filter(list_distinct(list_transform(string_split('C03C 3/091)' || p_brand || ') nan) C03C 3/091', ')'), lambda x: trim(x))), lambda x: x <> '' AND x <> 'nan')), ',') AS codes FROM (SELECT DISTINCT p_brand FROM part)")
@@ -95,10 +104,10 @@ def caption_pattern(spark, d):
     return lines(spark, d).where(T.caption_like(F.col("line"), ["Table", "The"]))
 
 
-@query("file_parts", "SELECT url, regexp_replace(string_split(url, '/')[-1], '\\.[^.]*$', '') IS NOT NULL AS ok, lower(string_split(string_split(url, '/')[-1], '.')[-1]) AS suffix FROM pages")
+@query("file_parts", "SELECT url, regexp_replace(regexp_replace(string_split(url, '/')[-1], '\\.[^.]*$', ''), '\\.', '', 'g') AS name, lower(string_split(string_split(url, '/')[-1], '.')[-1]) AS suffix FROM pages")
 def file_parts(spark, d):
     name, suffix = T.file_parts(F.col("url"))
-    return table(spark, d, "pages").select("url", name.isNotNull().alias("ok"), suffix.alias("suffix"))
+    return table(spark, d, "pages").select("url", name.alias("name"), suffix.alias("suffix"))
 
 
 @query("pages_nav_links", "SELECT page_id, len(regexp_extract_all(html, '<li[^>]*>')) AS n_items, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS title FROM pages")
@@ -106,10 +115,9 @@ def pages_nav_links(spark, d):
     return table(spark, d, "pages").select("page_id", F.size(F.regexp_extract_all("html", F.lit("<li[^>]*>"), F.lit(0))).cast("long").alias("n_items"), F.regexp_extract("html", "<h1[^>]*>([^<]*)</h1>", 1).alias("title"))
 
 
-@query("revision_state", "SELECT user_id, event_id FROM (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS j FROM events WHERE event_type IN ('click', 'view', 'signup', 'error')) WHERE j = 1 AND event_type <> 'error'")
+@query("revision_state", "SELECT user_id, event_id FROM (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS j FROM events) WHERE j = 1 AND event_type <> 'error'")
 def revision_state(spark, d):
-    log = table(spark, d, "events").where(F.col("event_type").isin("click", "view", "signup", "error"))
-    log = log.withColumn("op", F.when(F.col("event_type") == "error", "del").otherwise("add"))
+    log = table(spark, d, "events").withColumn("op", F.when(F.col("event_type") == "error", "del").otherwise("add"))
     return references.revision_state(log, "user_id", ["ts", "event_id"]).select("user_id", "event_id")
 
 
@@ -127,15 +135,14 @@ def mode_value(spark, d):
 
 @query("softmax_argmax", "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS label, round(1 / list_sum(list_transform(embedding, lambda x: exp(CAST(x AS DOUBLE) - CAST(list_max(embedding) AS DOUBLE)))), 6) AS score FROM embeddings")
 def softmax_argmax(spark, d):
-    e = F.transform("embedding", lambda x: x.cast("double"))
-    top = F.array_max(e)
-    return table(spark, d, "embeddings").select("vec_id", (F.array_position("embedding", F.array_max("embedding")) - 1).cast("int").alias("label"), F.round(1 / F.aggregate(F.transform(e, lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x), 6).alias("score"))
+    top = structure.softmax_top(F.col("embedding"))
+    return table(spark, d, "embeddings").select("vec_id", top.alias("m")).select("vec_id", "m.label", F.round("m.score", 6).alias("score"))
 
 
-@query("class_threshold", "SELECT vec_id, label, score FROM (SELECT vec_id, label, list_max(embedding) AS score FROM embeddings) WHERE score >= CASE label % 3 WHEN 0 THEN 0.2 WHEN 1 THEN 0.25 ELSE 0.3 END")
+@query("class_threshold", "SELECT vec_id, label, score FROM (SELECT vec_id, label, list_max(embedding) AS score FROM embeddings) WHERE score >= CASE label WHEN 0 THEN 0.2 WHEN 1 THEN 0.25 WHEN 2 THEN 0.35 ELSE 0.3 END")
 def class_threshold(spark, d):
-    k = F.col("label") % 3
-    return table(spark, d, "embeddings").select("vec_id", "label", F.array_max("embedding").alias("score")).where(F.col("score") >= F.when(k == 0, 0.2).when(k == 1, 0.25).otherwise(0.3))
+    found = table(spark, d, "embeddings").select("vec_id", "label", F.array_max("embedding").alias("score"))
+    return structure.above_thresholds(found, {0: 0.2, 1: 0.25, 2: 0.35}, 0.3)
 
 
 @query("stream_ingest", "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1")
@@ -147,5 +154,6 @@ def stream_ingest(spark, d):
 
 @query("event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def event_windows(spark, d):
-    e = table(spark, d, "events")
-    return e.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
+    from ..streaming.ingest import windowed_counts
+
+    return windowed_counts(table(spark, d, "events"))
