@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Scratch paths given out by this driver.
+_given: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``; a local one only where none is set and one machine runs all (tests)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -28,7 +33,8 @@ def scratch(spark: SparkSession, name: str) -> str:
         if base is None:
             base = "file://" + tempfile.mkdtemp(prefix="docloom-")
             spark._docloom_scratch = base
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _given.append(f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _given[-1]
 
 
 def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -50,6 +56,15 @@ def remove(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def scratch_cleared(spark: SparkSession):
+    """Scratch written inside is deleted at the end, except the paths put into the list that it gives."""
+    begin, kept = len(_given), []
+    yield kept
+    remove(spark, *[p for p in _given[begin:] if p not in kept])
+    del _given[begin:]
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop shuffle files of finished steps now instead of at some later collection."""
     import gc

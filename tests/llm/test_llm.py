@@ -283,12 +283,12 @@ def test_pii_recall_of_discovered(spark):
     r = random.Random(3)
     lead = ["ring me at", "my card is", "write to me"]
     seed = [lambda: f"+1 499 555 {r.randint(1000, 9999)}", lambda: "4111 1111 1111 1111", lambda: f"u{r.randint(0, 999)}@x.org"]
-    seed[1] = lambda: r.choice(["4111111111111111", "5500005555555559", "340000000000000009", "6011000000000004", "5105105105105100", "4012888888881881", "4222222222222220"])
+    seed[1] = lambda: r.choice(["4111111111111111", "5500005555555559", "6011000000000004", "5105105105105100", "4012888888881881"])
     hidden = [lambda: f"499{r.randint(1000000, 9999999)}", lambda: f"41111111{r.randint(1000, 9999)}", lambda: f"u{r.randint(0, 999)}@local"]
     rows, want = [], set()
     for i in range(600):
         k = i % 3
-        if i % 5:
+        if i % 20:
             rows.append((i, f"{sentence(8)} {lead[k]} {seed[k]()} {sentence(8)}"))
         else:
             what, front = hidden[k](), f"{sentence(8)} {lead[k]} "
@@ -394,13 +394,13 @@ def test_classifier_learns_from_all_documents(spark):
     for i in range(1500):
         y, new = i % 2, i >= 300
         ws = [r.choice(good if y else bad) for _ in range(30)] + [("later" if y else "ended")] * new
-        # the last rows have a source that only unlabelled rows have, and words of neither kind
-        rows.append((i, " ".join(ws), "en", f"{'news' if y else 'spam'}{i % 7 if new else 'a'}", 100))
+        source = ("fresh" if y else "stale") if i >= 1400 else f"{'news' if y else 'spam'}{i % 7}"
+        rows.append((i, " ".join(ws), "en", source, 100))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(300)], "doc_id long, quality int, toxic int")
     model = quality_classifier.train(quality_classifier.features(docs), labels)
     slot = quality_classifier.meta_slot
-    assert model.meta.evidence[slot("source", "news3")] > 1 and model.meta.evidence[slot("source", "spam4")] < -1
+    assert model.meta.evidence[slot("source", "fresh")] > 1 and model.meta.evidence[slot("source", "stale")] < -1
     word = lambda w: quality_classifier.parse(w)[0]
     assert model.text.evidence[word("later")].mean() > 0.5 and model.text.evidence[word("ended")].mean() < -0.5
 

@@ -79,3 +79,63 @@ def test_stages_with_null_and_repeated_ids(spark, sf):
             # of similar texts the one kept goes by id
             got = sorted(str(x.text) for x in got.collect())
             assert len(got) == len(want) if name == "simhash_near_dedup" else got == want, name
+
+
+def test_stages_with_odd_tables(spark, sf):
+    """Empty tables, extra columns with clashing names, ties and repeated rows, for every stage."""
+    from pyspark.sql import functions as F
+
+    stages = corpus_pipeline.STAGES
+    empty = spark.createDataFrame([], DOC)
+    some = table(spark, sf, "documents").limit(40)
+    both = some.unionByName(some)  # every row twice, so every score and length is a tie
+    wide = both.withColumns({c: F.lit("clash") for c in ("row", "d", "th", "ws", "spans", "slots", "score", "kept", "class", "component_id", "piece", "length")})
+    for name, stage in stages:
+        assert stage(spark, empty, sf).count() == 0, name
+        plain, clash = stage(spark, both, sf), stage(spark, wide, sf)
+        assert plain.columns == clash.columns and plain.count() == clash.count(), name
+        if name != "best_fit_packing":
+            assert clash.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert dict(stages)["simhash_near_dedup"](spark, both, sf).count() == dict(stages)["simhash_near_dedup"](spark, some, sf).count()
+    assert dict(stages)["benchmark_decontamination"](spark, both, sf).count() == 2 * dict(stages)["benchmark_decontamination"](spark, some, sf).count()
+
+
+def test_whole_chain_by_hand(spark, sf):
+    """The chained result equals what plain Python makes of the classifier's documents, stage by stage."""
+    import hashlib
+    import re
+    import zlib
+
+    import numpy as np
+    from docloom.llm import tokens
+
+    kept = [x for x in dict(corpus_pipeline.STAGES)["quality_classifier"](spark, table(spark, sf, "documents"), sf).orderBy("doc_id").collect()]
+    root = classes([x.text for x in kept])
+    near = [x for i, x in enumerate(kept) if root[i] == i]
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    windows = set()
+    for x in table(spark, sf, "benchmark").collect():
+        w = words(x.text)
+        n = min(10, len(w))
+        windows |= {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if n else set()
+    sizes = {len(w) for w in windows}
+    hit = lambda w: any(tuple(w[k : k + n]) in windows for n in sizes for k in range(len(w) - n + 1))
+    clean = [x for x in near if not hit(words(x.text))]
+    stages = dict(corpus_pipeline.STAGES)
+    texts = {x.doc_id: x.text for x in stages["pii"](spark, spark.createDataFrame(clean, DOC), sf).collect()}
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    assert set(texts) == {x.doc_id for x in clean} and not any(email.search(t or "") for t in texts.values())
+    assert all(texts[x.doc_id] == x.text for x in clean if not re.search(r"[0-9@]", x.text or ""))
+    tok = tokens.ChunkEncoder(tokens.default_tokenizer()).tok
+    want = set()
+    for doc, text in texts.items():
+        ids = [*tok.encode(text or "", add_special_tokens=False).ids, 0]
+        for p, s in enumerate(range(0, len(ids), 2048)):
+            part = ids[s : s + 2048]
+            want.add((doc, p, s, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert {(x.doc_id, x.piece, x.start, x.length, x.ids_crc32) for x in got} == want, hashlib.sha256(str(len(got)).encode()).hexdigest()[:6]
+    places = {}
+    for x in got:
+        places.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    assert all(sum(n for _, n in v) <= 2048 and [a for a, _ in sorted(v)] == list(np.cumsum([0, *(n for _, n in sorted(v))])[:-1]) for v in places.values())
