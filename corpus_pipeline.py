@@ -2,7 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir), works on all rows the stage before it kept, and returns a
 DataFrame that is written as Parquet and read again as the next stage's docs. All but the last return
-the columns of ``documents``.
+the columns of ``documents``; other columns of docs, whatever their names, are left out.
+
+For all stages: rows are told apart by a number of their own, so null and repeated doc_ids are rows like
+any other; a null text counts as empty; an empty table gives an empty table. Repeated rows are judged
+each, and of equal or near-equal texts the near-duplicate stage keeps one. Each stage says what ties do.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.llm import decontamination, packing, pii, quality_classifier, set_similarity, simhash
-from docloom.llm.common import materialize, release, remove, table
+from docloom.llm.common import materialize, release, remove, scratch_cleared, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -40,7 +44,8 @@ def _least(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier keeps."""
+    """Documents that the co-trained classifier keeps; a score at the threshold is kept, and so are all documents where the
+    labels don't hold both classes. Empty texts are judged by their metadata and shape like any other."""
     return quality_classifier.keep_good(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
 
 
@@ -52,7 +57,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7's classes first; of the documents they leave, the one with the least id of each class
-    connected at Jaccard 0.8 or more of five-word shingles."""
+    connected at Jaccard 0.8 or more of five-word shingles. Among equal ids the first row stays, documents with
+    an id before those without; all texts without a word are one class."""
     rows = _rows(docs)
     classes = simhash.near_duplicates(_by_row(rows)).withColumnRenamed("component_id", "class")
     left = _rows(_least(rows, classes))
@@ -62,13 +68,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a word inside a benchmark window."""
+    """Documents without a word inside a benchmark window; texts without words stay."""
     rows = _rows(docs)
     return _only(rows, decontamination.contamination(_by_row(rows), table(spark, sf_dir, "benchmark")).where("n_hit = 0"))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data replaced by its kind; n_chars follows the text."""
+    """All documents, personal data replaced by its kind; n_chars follows the text where it changed. Of overlapping spans the
+    one that begins first names the kind, the shorter one among equal begins. Null texts stay null."""
     rows = _rows(docs)
     spans = pii.find_pii(_by_row(rows)).where(F.size("spans") > 0).select(F.col("doc_id").alias("row"), "spans")
     met = rows.join(spans, "row", "left")
@@ -78,7 +85,8 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents packed into sequences."""
+    """Pieces of all documents packed into sequences; an empty text is a piece of the end id alone. Pieces of equal length
+    take their places in any order."""
     return packing.pack(docs)
 
 
@@ -89,8 +97,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage's result is written and read again."""
+    """All stages over ``documents``; every stage's result is written and read again, and what else it wrote is deleted."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scratch_cleared(spark) as kept:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+            kept.append(docs._docloom_path)
     return STAGES[-1][1](spark, docs, sf_dir)
