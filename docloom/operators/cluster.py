@@ -54,6 +54,24 @@ def _hulls(b: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, list[np.ndarra
     return np.array([[*b[m, :2].min(0), *b[m, 2:].max(0)] for m in members]), members
 
 
+def _near(b: np.ndarray, gap_x: float, gap_y: float, block: int = 1 << 20) -> np.ndarray:
+    """Pairs of boxes within the gaps on both axes: boxes sorted by their left end meet only a run of those after them."""
+    order = np.argsort(b[:, 0], kind="stable")
+    s, out = b[order], []
+    ends = np.searchsorted(s[:, 0], s[:, 2] + gap_x, side="right")
+    size = np.maximum(ends - np.arange(len(s)) - 1, 0)
+    upto, lo = np.cumsum(size), 0
+    while lo < len(s):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + block, side="right")))
+        n = size[lo:hi]
+        i = np.repeat(np.arange(lo, hi), n)
+        j = i + 1 + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        met = (s[i, 1] <= s[j, 3] + gap_y) & (s[i, 3] >= s[j, 1] - gap_y)
+        out.append(np.c_[order[i[met]], order[j[met]]])
+        lo = hi
+    return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+
+
 def merge_boxes(areas: DataFrame, gap_x: float, gap_y: float, max_height: float | None = None, rounds: int = 11) -> DataFrame:
     """Hulls of boxes within the gaps on both axes, repeated on the hulls until their number stays; members by id."""
 
@@ -61,10 +79,13 @@ def merge_boxes(areas: DataFrame, gap_x: float, gap_y: float, max_height: float
         page = page.sort_values("area_id")
         b, sets = page[["x1", "y1", "x2", "y2"]].to_numpy(float), [[i] for i in page["area_id"]]
         for _ in range(rounds):
-            near = (b[:, None, 0] <= b[None, :, 2] + gap_x) & (b[:, None, 2] >= b[None, :, 0] - gap_x) & (b[:, None, 1] <= b[None, :, 3] + gap_y) & (b[:, None, 3] >= b[None, :, 1] - gap_y)
+            pairs = _near(b, gap_x, gap_y)
             if max_height is not None:
-                near &= np.maximum(b[:, None, 3], b[None, :, 3]) - np.minimum(b[:, None, 1], b[None, :, 1]) <= max_height
-            hulls, members = _hulls(b, _union_find(len(b), np.argwhere(np.triu(near, 1))))
+                i, j = pairs.T
+                pairs = pairs[np.maximum(b[i, 3], b[j, 3]) - np.minimum(b[i, 1], b[j, 1]) <= max_height]
+            if not len(pairs):
+                break
+            hulls, members = _hulls(b, _union_find(len(b), pairs))
             sets = [[a for i in m for a in sets[i]] for m in members]
             if len(hulls) == len(b):
                 break
@@ -87,26 +108,36 @@ def nms(areas: DataFrame, threshold: float, mode: str = "merge", measure: str =
     mode: ``delete`` and ``merge`` take the last box (by id) and drop, or merge into its hull, the earlier
     ones whose share inside it (pixel areas, one added per side) is over the threshold; ``score`` takes the
     best score first. measure: ``own`` share of the dropped box, ``kept`` of the kept one, ``iou``.
+    Shares are worked out once for the pairs that overlap at all.
     """
 
     def run(page: pd.DataFrame) -> pd.DataFrame:
+        page = page.iloc[_order(page, mode == "score")]
         b, ids, conf = page[["x1", "y1", "x2", "y2"]].to_numpy(float), page["area_id"].to_numpy(), page["confidence"].to_numpy(float)
         one = 0.0 if mode == "score" else 1.0
         size = (b[:, 2] - b[:, 0] + one) * (b[:, 3] - b[:, 1] + one)
-        left, rows = list(_order(page, mode == "score")), []
-        while left:
-            i, rest = left[-1], np.array(left[:-1], int)
-            w = np.minimum(b[i, 2], b[rest, 2]) - np.maximum(b[i, 0], b[rest, 0]) + one
-            h = np.minimum(b[i, 3], b[rest, 3]) - np.maximum(b[i, 1], b[rest, 1]) + one
-            inter = np.clip(w, 0, None) * np.clip(h, 0, None)
-            base = {"own": size[rest], "kept": size[i], "iou": size[i] + size[rest] - inter}[measure]
-            gone = inter / base > threshold
-            group = np.r_[i, rest[gone]].astype(int)
-            hull = [*b[group, :2].min(0), *b[group, 2:].max(0)] if mode == "merge" else b[i]
-            inside = (b[group, 0] >= b[i, 0]) & (b[group, 1] >= b[i, 1]) & (b[group, 2] <= b[i, 2]) & (b[group, 3] <= b[i, 3])
+        pairs = np.sort(_near(b, one, one), axis=1)
+        drop, keep = pairs.T  # the later one is picked first
+        span = np.minimum(b[drop, 2:], b[keep, 2:]) - np.maximum(b[drop, :2], b[keep, :2]) + one
+        inter = np.clip(span, 0, None).prod(1)
+        base = {"own": size[drop], "kept": size[keep], "iou": size[keep] + size[drop] - inter}[measure]
+        gone = inter / base > threshold
+        below: dict[int, list[int]] = {}
+        for i, j in zip(keep[gone].tolist(), drop[gone].tolist()):
+            below.setdefault(i, []).append(j)
+        left, rows = np.ones(len(b), bool), []
+        for i in range(len(b) - 1, -1, -1):
+            if not left[i]:
+                continue
+            group = [i, *(j for j in below.get(i, ()) if left[j])]
+            left[group] = False
+            if mode != "merge" or len(group) == 1:
+                rows.append((page["page_id"].iloc[0], ids[i], *b[i], conf[i], sorted(ids[group].tolist())))
+                continue
+            m = b[group]
+            inside = (m[:, :2] >= b[i, :2]).all(1) & (m[:, 2:] <= b[i, 2:]).all(1)
             inside[0] = False
-            rows.append((page["page_id"].iloc[0], ids[i], *hull, conf[group[~inside]].mean() if mode == "merge" else conf[i], sorted(ids[group].tolist())))
-            left = rest[~gone].tolist()
+            rows.append((page["page_id"].iloc[0], ids[i], *m[:, :2].min(0), *m[:, 2:].max(0), conf[group][~inside].mean(), sorted(ids[group].tolist())))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _OUT.split(", ")])
 
     return areas.groupBy("page_id").applyInPandas(run, _OUT)

@@ -74,13 +74,19 @@ def fit_to_lines(tables: DataFrame, lines: DataFrame) -> DataFrame:
     return out.select("page_id", "area_id", F.coalesce("hx1", "x1").alias("x1"), F.coalesce("vy1", "y1").alias("y1"), F.coalesce("hx2", "x2").alias("x2"), F.coalesce("vy2", "y2").alias("y2"))
 
 
-def slots(packages: DataFrame, containers: DataFrame, threshold: float = 0.5, unique: bool = True) -> DataFrame:
-    """Containers of each package by covered share: the best one, or all at or above the threshold."""
+def slots(packages: DataFrame, containers: DataFrame, threshold: float = 0.5, unique: bool = True, forced: bool = False) -> DataFrame:
+    """Containers of each package by covered share: the best one, or all at or above the threshold.
+
+    With ``forced`` the best one counts whatever its share, as long as they overlap at all.
+    """
     met = overlapping(packages, containers).select(F.col("a.page_id").alias("page_id"), F.col("a.area_id").alias("area_id"), F.col("b.area_id").alias("container_id"), Box.of("a").covered_share(Box.of("b")).alias("share"))
-    if not unique:
+    if not unique and not forced:
         return met.where(F.col("share") >= threshold)
     best = met.groupBy("page_id", "area_id").agg(F.min(F.struct((-F.col("share")).alias("s"), "container_id")).alias("m"))
-    return best.select("page_id", "area_id", F.col("m.container_id").alias("container_id"), (-F.col("m.s")).alias("share")).where(F.col("share") >= threshold)
+    best = best.select("page_id", "area_id", F.col("m.container_id").alias("container_id"), (-F.col("m.s")).alias("share"))
+    if not unique:
+        return best.unionByName(met.where(F.col("share") >= threshold)).distinct()
+    return best if forced else best.where(F.col("share") >= threshold)
 
 
 def row_column_cells(rows: DataFrame, columns: DataFrame, spans: DataFrame, share: float = 0.5) -> DataFrame:

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from ..functions.geometry import Box
 
 
-def apply_model(pages: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], schema: str) -> DataFrame:
-    """Detections or recognised text from a model: ``load`` runs once per task, its result once per Arrow batch."""
+def apply_model(pages: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], schema: str, batch_size: int = 8) -> DataFrame:
+    """Detections or recognised text from a model: ``load`` runs once per task, its result once for so many rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()
         for batch in batches:
-            yield predict(batch)
+            for k in range(0, len(batch), batch_size):
+                yield predict(batch.iloc[k : k + batch_size])
 
     return pages.mapInPandas(run, schema)
 
@@ -65,6 +66,12 @@ def merge_data(a: Column, b: Column) -> Column:
     return F.map_zip_with(a, b, lambda k, x, y: F.when(x.isNull(), y).when(y.isNull(), x).otherwise(F.concat(x, y)))
 
 
+def merge_areas(pairs: DataFrame) -> DataFrame:
+    """Pairs of areas (aliases a and b) as one: the hull, joined string data, the larger confidence, and the first's id."""
+    a, b = Box.of("a"), Box.of("b")
+    return pairs.select(F.col("a.page_id").alias("page_id"), F.col("a.area_id").alias("area_id"), *a.union(b).columns(), merge_data(F.col("a.data"), F.col("b.data")).alias("data"), F.greatest("a.confidence", "b.confidence").alias("confidence"))
+
+
 def split_words(lines: DataFrame) -> DataFrame:
     """Word boxes of a text line (id, content, x1, x2) by the share of its characters."""
     word = lines.select("*", F.posexplode(F.split("content", " ", -1)).alias("word_no", "word"))

@@ -42,12 +42,13 @@ def dense(cells: DataFrame) -> DataFrame:
     return places.join(cells.select("table_id", "r", "c", "content"), ["table_id", "r", "c"], "left")
 
 
-def previous_nonempty(cells: DataFrame) -> DataFrame:
-    """For every cell the nearest non-empty cell above in its column, and how many empty places lie between."""
-    w = Window.partitionBy("table_id", "c").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last(F.when(F.col("content").isNotNull(), F.struct("r", "content")), ignorenulls=True).over(w)
+def previous_nonempty(cells: DataFrame, along: str = "r", name: str = "above") -> DataFrame:
+    """For every cell the nearest non-empty cell above in its column (along r) or left in its row (along c), and how many empty places lie between."""
+    across = "c" if along == "r" else "r"
+    w = Window.partitionBy("table_id", across).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(F.col("content").isNotNull(), F.struct(along, "content")), ignorenulls=True).over(w)
     out = dense(cells).withColumn("p", last).where("content IS NOT NULL AND p IS NOT NULL")
-    return out.select("table_id", "r", "c", F.col("p.content").alias("above"), (F.col("r") - F.col("p.r") - 1).alias("skipped"))
+    return out.select("table_id", "r", "c", F.col("p.content").alias(name), (F.col(along) - F.col(f"p.{along}") - 1).alias("skipped"))
 
 
 def header_paths(cells: DataFrame) -> DataFrame:
@@ -92,10 +93,22 @@ def label_flags(cells: DataFrame, header_rows: int = 1, label_columns: int = 1)
 
 
 def starting_rows(cells: DataFrame) -> DataFrame:
-    """Header rows of a table: up to and including the first completely filled one."""
-    rows = cells.groupBy("table_id", "r").agg(F.count("content").alias("n"))
-    width = cells.groupBy("table_id").agg((F.max("c") + 1).alias("w"))
-    return rows.join(width, "table_id").groupBy("table_id").agg(F.min(F.when(F.col("n") == F.col("w"), F.col("r"))).alias("last_header"))
+    """Last header row of a table: the first completely filled one, or the second before the first row up to it most of whose
+    texts are numbers; null where no row is full, negative where a table begins with numbers."""
+    number = F.coalesce(T.is_number(F.trim("content")), F.lit(False)).cast("int")
+    rows = cells.groupBy("table_id", "r").agg(F.count("content").alias("n"), F.sum(number).alias("k"), F.max("c").alias("c"))
+    width = F.max("c").over(Window.partitionBy("table_id")) + 1
+    rows = rows.withColumn("w", width).withColumn("full", F.min(F.when(F.col("n") == F.col("w"), F.col("r"))).over(Window.partitionBy("table_id")))
+    plain = F.min(F.when((F.col("r") <= F.col("full")) & (2 * F.col("k") > F.col("n")), F.col("r") - 2))
+    return rows.groupBy("table_id").agg(F.least(F.first("full"), F.coalesce(plain, F.first("full"))).alias("last_header"))
+
+
+def table_counts(tables: DataFrame, keys: tuple[str, ...] = ("doc",)) -> DataFrame:
+    """Per document the number of tables (a number counts once, and a continued table not at all), and the column counts of all
+    in order, -1 for those without cells. ``tables`` has the keys, table_id, number, continued and n_columns."""
+    first = F.row_number().over(Window.partitionBy(*keys, "number").orderBy("table_id")) == 1
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("table_id", F.coalesce("n_columns", F.lit(-1)).alias("n")))), lambda x: x["n"])
+    return tables.withColumn("first", first).groupBy(*keys).agg(F.count_if(F.col("first") & ~F.col("continued")).alias("n_tables"), listed.alias("widths"))
 
 
 def carry_prefix(tables: DataFrame, doc: str, order: str, prefix: str) -> DataFrame:

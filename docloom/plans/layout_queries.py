@@ -545,3 +545,34 @@ def _piece_counts(old, new):
     from ..operators.spatial import overlapping
 
     return overlapping(old, new).groupBy(F.col("a.page_id").alias("page_id"), F.col("a.area_id").alias("area_id")).agg(F.count("*").alias("pieces"))
+
+
+@query("merged_areas", _B + "SELECT a.page_id, a.area_id, least(a.x1, c.x1) AS x1, least(a.y1, c.y1) AS y1, greatest(a.x2, c.x2) AS x2, greatest(a.y2, c.y2) AS y2, a.category || c.category AS content, greatest(a.confidence, c.confidence) AS confidence FROM b a JOIN b c ON a.page_id = c.page_id AND c.area_id = a.area_id + 1")
+def merged_areas(spark, d):
+    b = boxes(spark, d).withColumn("data", F.create_map(F.lit("content"), F.col("category")))
+    met = b.alias("a").join(b.alias("b"), F.expr("a.page_id = b.page_id AND b.area_id = a.area_id + 1"))
+    return structure.merge_areas(met).withColumn("content", F.col("data")["content"]).drop("data")
+
+
+@query("slot_forced", _OBJ + f"SELECT page_id, area_id, container_id FROM (SELECT p.page_id, p.area_id, c.area_id AS container_id, row_number() OVER (PARTITION BY p.page_id, p.area_id ORDER BY {_SHARE} DESC, c.area_id) AS j FROM ob p JOIN ob c ON {_MEET} WHERE p.category = 'String' AND c.category = 'Line') WHERE j = 1")
+def slot_forced(spark, d):
+    from ..operators import spatial
+
+    b = boxes(spark, d)
+    return spatial.slots(b.where("category = 'String'"), b.where("category = 'Line'"), forced=True).select("page_id", "area_id", "container_id")
+
+
+@query("html_rows", "WITH r AS (SELECT page_id, regexp_extract_all(html, '(?s)<(?:li|tr)[^>]*>(.*?)</(?:li|tr)>', 1) AS rs FROM pages), e AS (SELECT page_id, unnest(rs) AS h, unnest(range(len(rs))) AS n FROM r) SELECT page_id, CAST(n AS INTEGER) AS n, trim(regexp_replace(h, '<[^>]*>', '', 'g')) AS content FROM e")
+def html_rows(spark, d):
+    from ..sources.readers import html_rows as rows
+
+    return rows(table(spark, d, "pages"), "page_id", ("li", "tr")).select("page_id", "n", "content")
+
+
+@query("dictionary_corrections", "WITH w AS (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(regexp_replace(text, '[^ -~]', '?', 'g'), ' ')) AS word FROM benchmark) WHERE length(word) >= 2 GROUP BY 1), t AS (SELECT DISTINCT substr(word, 1, length(word) - 1) || 'q' AS token FROM w WHERE length(word) > 3), k AS (SELECT token, word, n FROM t JOIN w ON substr(token, 1, 3) = substr(word, 1, 3)), p AS (SELECT DISTINCT token FROM k WHERE starts_with(word, token)), d AS (SELECT token, word, n, CAST(levenshtein(token, word) AS BIGINT) AS distance FROM k ANTI JOIN p USING (token) WHERE NOT regexp_matches(token, '^[+-]?(\\d|[.,]\\d)') AND levenshtein(token, word) <= 1) SELECT token, word, distance FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY distance, n DESC, word) AS j FROM d) WHERE j = 1")
+def dictionary_corrections(spark, d):
+    from ..operators import dictionary
+
+    words = table(spark, d, "benchmark").select(F.explode(F.split(F.regexp_replace("text", "[^ -~]", "?"), " ")).alias("word")).where(F.length("word") >= 2).groupBy("word").agg(F.count("*").alias("n"))
+    tokens = words.where(F.length("word") > 3).select(F.concat(F.expr("substring(word, 1, length(word) - 1)"), F.lit("q")).alias("token")).distinct()
+    return dictionary.corrections(tokens, words)

@@ -63,6 +63,15 @@ class Pipeline:
                 frames = {**frames, **STAGES[module](frames, **parameter)}
         return frames
 
+    def process_full(self, frames: Tables) -> Tables:
+        """All steps, with a table ``revisions`` (rev, module, tables changed): one revision for each step."""
+        spark, log = next(iter(frames.values())).sparkSession, []
+        for rev, (module, parameter) in enumerate(self.steps):
+            changed = STAGES[module](frames, **parameter)
+            frames = {**frames, **changed}
+            log.append((rev, module, sorted(changed)))
+        return {**frames, "revisions": spark.createDataFrame(log, "rev int, module string, tables array<string>")}
+
     def process(self, frames: Tables):
         """Step by step: yields (tables, stage name, state)."""
         for module, parameter in self.steps:

@@ -66,9 +66,21 @@ def repeated_stub(spark, d):
     return tables.label_flags(_upright(spark, d))
 
 
-@query("starting_rows", _U + ", n AS (SELECT table_id, r, count(content) AS n FROM g GROUP BY 1, 2), w AS (SELECT table_id, max(c) + 1 AS w FROM g GROUP BY 1) SELECT n.table_id, coalesce(min(r) FILTER (WHERE n = w), -1) AS last_header FROM n JOIN w USING (table_id) GROUP BY 1")
+@query("starting_rows", _U + ", n AS (SELECT table_id, r, count(content) AS n, count(*) FILTER (WHERE regexp_matches(trim(content), '^[+-]?(\\d|[.,]\\d)')) AS k, max(c) AS c FROM g GROUP BY 1, 2), w AS (SELECT *, max(c) OVER (PARTITION BY table_id) + 1 AS w FROM n), f AS (SELECT *, min(r) FILTER (WHERE n = w) OVER (PARTITION BY table_id) AS fr FROM w) SELECT table_id, coalesce(least(any_value(fr), coalesce(min(r - 2) FILTER (WHERE r <= fr AND 2 * k > n), any_value(fr))), -9) AS last_header FROM f GROUP BY 1")
 def starting_rows(spark, d):
-    return tables.starting_rows(_upright(spark, d)).withColumn("last_header", F.coalesce("last_header", F.lit(-1)))
+    return tables.starting_rows(_upright(spark, d)).withColumn("last_header", F.coalesce("last_header", F.lit(-9)))
+
+
+@query("prev_nonempty_left", _U + ", p AS (SELECT *, lag(c) OVER w AS pc, lag(content) OVER w AS before FROM g WINDOW w AS (PARTITION BY table_id, r ORDER BY c)) SELECT table_id, r, c, before, CAST(c - pc - 1 AS INTEGER) AS skipped FROM p WHERE before IS NOT NULL")
+def prev_nonempty_left(spark, d):
+    return tables.previous_nonempty(_upright(spark, d), "c", "before")
+
+
+@query("numbered_tables", _U + ", w AS (SELECT doc_id AS doc, table_id, table_id % 4 AS number, table_id % 3 = 0 AS continued, CASE WHEN table_id % 5 = 0 THEN NULL ELSE max(c) + 1 END AS n FROM g GROUP BY 1, 2), f AS (SELECT *, row_number() OVER (PARTITION BY doc, number ORDER BY table_id) AS j FROM w) SELECT doc, count(*) FILTER (WHERE j = 1 AND NOT continued) AS n_tables, string_agg(CAST(coalesce(n, -1) AS VARCHAR), ',' ORDER BY table_id) AS widths FROM f GROUP BY 1")
+def numbered_tables(spark, d):
+    own = tables.upright(grid(spark, d), "doc_id").groupBy(F.col("doc_id").alias("doc"), "table_id").agg((F.max("c") + 1).alias("n"))
+    own = own.select("doc", "table_id", (F.col("table_id") % 4).alias("number"), (F.col("table_id") % 3 == 0).alias("continued"), F.when(F.col("table_id") % 5 != 0, F.col("n")).alias("n_columns"))
+    return tables.table_counts(own).withColumn("widths", F.array_join(F.transform("widths", lambda x: x.cast("string")), ","))
 
 
 @query("carry_prefix", "SELECT l_orderkey, l_linenumber, l_partkey, last_value(CASE WHEN l_partkey % 3 = 0 THEN l_returnflag END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY 1, 2)")
@@ -187,7 +199,7 @@ def table_markdown(spark, d):
     return markdown_lines(_upright(spark, d))
 
 
-@query("table_html")
+@query("table_html", _U + ", s AS (SELECT table_id, max(r) AS mr, max(c) AS mc FROM g GROUP BY 1), p AS (SELECT table_id, mc, unnest(range(0, mr + 1)) AS r FROM s), q AS (SELECT table_id, r, unnest(range(0, mc + 1)) AS c FROM p), t AS (SELECT q.table_id, q.r, q.c, CASE WHEN q.r = 0 OR q.c = 0 THEN '<th>' ELSE '<td>' END || replace(replace(replace(coalesce(content, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || CASE WHEN q.r = 0 OR q.c = 0 THEN '</th>' ELSE '</td>' END AS h FROM q LEFT JOIN g ON g.table_id = q.table_id AND g.r = q.r AND g.c = q.c), l AS (SELECT table_id, r, '<tr>' || string_agg(h, '' ORDER BY c) || '</tr>' AS h FROM t GROUP BY 1, 2) SELECT table_id, '<table>' || string_agg(h, '' ORDER BY r) || '</table>' AS html FROM l GROUP BY 1")
 def table_html(spark, d):
     from ..sources.writers import html_tables
 

@@ -52,7 +52,7 @@ def read_native(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     b = Box(*[F.col(f"box.{c}") for c in ("x1", "y1", "x2", "y2")]).normalized()
     scale = [F.when(F.col("box.img_sp"), F.lit(1.0)).otherwise(F.coalesce(c, F.lit(1.0))) for c in ("factor_width", "factor_height")]
     areas = met.select("doc_id", "page_id", "area_id", "category", *b.scaled(*scale).columns(), F.when(F.col("box.img_sp"), "img").otherwise("xml").alias("space"), F.col("data")["content"].alias("content"), "data", "confidence", "ord")
-    return {"documents": d.select("doc_id", "metadata", F.unbase64("raw_pdf").alias("raw_pdf")), "pages": pages, "areas": areas, "refs": refs, "revisions": d.select("doc_id", F.posexplode("revisions").alias("rev", "r")).select("doc_id", "rev", "r.*"), "fonts": d.select("doc_id", F.explode("fonts").alias("f")).select("doc_id", "f.*")}
+    return {"documents": d.select("doc_id", "metadata", F.unbase64("raw_pdf").alias("raw_pdf")), "pages": pages, "areas": areas, "refs": refs, "revisions": d.select("doc_id", F.posexplode("revisions").alias("rev", "r")).select("doc_id", "rev", "r.*", F.try_to_timestamp("r.timestamp").alias("at")), "fonts": d.select("doc_id", F.explode("fonts").alias("f")).select("doc_id", "f.*")}
 
 
 def read_table_json(spark: SparkSession, path: str) -> DataFrame:
@@ -104,6 +104,30 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return img.select(doc.alias("doc_id"), F.lit(0).alias("number"), F.col("image.width").cast("double").alias("img_width"), F.col("image.height").cast("double").alias("img_height"))
 
 
+def html_rows(pages: DataFrame, key: str, tags: tuple[str, ...] = ("tr",), cells: tuple[str, ...] = ("td", "th")) -> DataFrame:
+    """Rows of the tables of HTML pages: (key, n, content without tags, cells as an array of texts)."""
+    any_of = "|".join(tags)
+    found = F.regexp_extract_all("html", F.lit(rf"(?s)<(?:{any_of})[^>]*>(.*?)</(?:{any_of})>"), F.lit(1))
+    plain = lambda c: F.trim(F.regexp_replace(c, "<[^>]*>", ""))
+    cell = F.regexp_extract_all("h", F.lit(rf"(?s)<(?:{'|'.join(cells)})[^>]*>(.*?)</(?:{'|'.join(cells)})>"), F.lit(1))
+    return pages.select(key, F.posexplode(found).alias("n", "h")).select(key, "n", plain(F.col("h")).alias("content"), F.transform(cell, plain).alias("cells"))
+
+
+def native_json(pages: DataFrame, areas: DataFrame, refs: DataFrame) -> DataFrame:
+    """Native documents (doc_id, json) from their tables, as ``read_native`` takes them: boxes in pixels, empty data and confidence left out."""
+    box = F.struct("x1", "y1", "x2", "y2", F.lit(True).alias("img_sp"))
+    data = F.when(F.col("content").isNotNull(), F.create_map(F.lit("content"), F.col("content")))
+    by_id = lambda ids, rows: F.map_from_entries(F.sort_array(F.collect_list(F.struct(ids, rows))))
+    table = lambda df, key, row, name: df.groupBy("doc_id").agg(F.struct(by_id(F.col(key), row).alias("byId"), F.sort_array(F.collect_list(key)).alias("allIds")).alias(name))
+    text = lambda c: F.col(c).cast("string")
+    p = table(pages.withColumn("page_id", text("page_id")), "page_id", F.struct(F.col("page_id").alias("oid"), "number", "factor_width", "factor_height"), "pages")
+    a = table(areas.withColumn("area_id", text("area_id")), "area_id", F.struct(F.col("area_id").alias("oid"), "category", box.alias("boundingBox"), data.alias("data"), F.nullif("confidence", F.lit(0.0)).alias("confidence")), "areas")
+    children = refs.groupBy("doc_id", text("parent_id").alias("parent_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", text("child_id").alias("c")))), lambda x: x["c"]).alias("cs"))
+    r = children.groupBy("doc_id").agg(F.struct(F.map_from_entries(F.collect_list(F.struct("parent_id", "cs"))).alias("byId"), F.sort_array(F.collect_list("parent_id")).alias("allIds")).alias("references"))
+    out = p.join(a, "doc_id").join(r, "doc_id", "left")
+    return out.select("doc_id", F.to_json(F.struct(F.col("doc_id").cast("string").alias("oid"), "pages", "areas", "references")).alias("json"))
+
+
 def biblio_fields(rows: DataFrame) -> DataFrame:
     """Bibliographic rows (patent_no, inid, content) as one record per patent."""
     pick = lambda code, name: F.max(F.when(F.contains("inid", F.lit(code)), F.col("content"))).alias(name)

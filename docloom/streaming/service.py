@@ -6,6 +6,7 @@ Everything lives in files below ``root`` (a path that all executors see), so any
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable
 
@@ -59,6 +60,13 @@ class Service:
                 return found.state
         return "queued" if self._exists(f"uploads/{job}") else "unknown"
 
+    def wait(self, job: str, every: float = 5.0, most: float = 600.0) -> str:
+        """The job's state once it isn't queued any more, asked for every so many seconds; queued after ``most`` of them."""
+        until = time.monotonic() + most
+        while (state := self.status(job)) == "queued" and time.monotonic() < until:
+            time.sleep(every)
+        return state
+
     def result(self, job: str) -> DataFrame:
         """A finished job's rows (they need a ``path`` column)."""
         return self.spark.read.parquet(self._at("results")).where(F.endswith("path", F.lit(job)))

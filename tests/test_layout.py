@@ -319,3 +319,19 @@ def test_stages(spark, sf, tmp_path):
     labelled = pipeline.Pipeline("s").add("FunctionalRecognizer").add("ExportTableStructureModule", output_dir=str(tmp_path))
     labelled.run({"table_cells": grid(spark, sf).where("table_id < 20")})
     assert spark.read.text(str(tmp_path / "structure")).count() > 0
+
+
+def test_native_documents_round_trip(spark, tmp_path):
+    pages = spark.createDataFrame([("d", "p", 0, 2.0, 2.0)], "doc_id string, page_id string, number int, factor_width double, factor_height double")
+    areas_ = spark.createDataFrame([("d", "a", "String", 1.0, 2.0, 3.0, 4.0, "x", 0.5), ("d", "b", "Line", 0.0, 0.0, 9.0, 9.0, None, 0.0)], "doc_id string, area_id string, category string, x1 double, y1 double, x2 double, y2 double, content string, confidence double")
+    refs = spark.createDataFrame([("d", "p", "a", 0), ("d", "p", "b", 1)], "doc_id string, parent_id string, child_id string, pos int")
+    readers.native_json(pages, areas_, refs).select("json").write.text(str(tmp_path / "n"))
+    back = readers.read_native(spark, str(tmp_path / "n"))
+    got = {r.area_id: (r.page_id, r.category, r.x1, r.y2, r.content, r.confidence) for r in back["areas"].collect()}
+    assert got == {"a": ("p", "String", 1.0, 4.0, "x", 0.5), "b": ("p", "Line", 0.0, 9.0, None, None)}
+    assert back["refs"].count() == 2
+
+
+def test_pipeline_logs_revisions(spark, sf):
+    out = pipeline.Pipeline("p").add("FunctionalRecognizer").add("GlassExtractorISC").process_full({"table_cells": grid(spark, sf).where("table_id < 50")})
+    assert [(r.rev, r.module) for r in out["revisions"].orderBy("rev").collect()] == [(0, "FunctionalRecognizer"), (1, "GlassExtractorISC")]
