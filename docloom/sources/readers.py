@@ -117,7 +117,7 @@ def native_json(pages: DataFrame, areas: DataFrame, refs: DataFrame) -> DataFram
     """Native documents (doc_id, json) from their tables, as ``read_native`` takes them: boxes in pixels, empty data and confidence left out."""
     box = F.struct("x1", "y1", "x2", "y2", F.lit(True).alias("img_sp"))
     data = F.when(F.col("content").isNotNull(), F.create_map(F.lit("content"), F.col("content")))
-    by_id = lambda ids, rows: F.map_from_entries(F.sort_array(F.collect_list(F.struct(ids, rows))))
+    by_id = lambda ids, rows: F.map_from_entries(F.collect_list(F.struct(ids, rows)))
     table = lambda df, key, row, name: df.groupBy("doc_id").agg(F.struct(by_id(F.col(key), row).alias("byId"), F.sort_array(F.collect_list(key)).alias("allIds")).alias(name))
     text = lambda c: F.col(c).cast("string")
     p = table(pages.withColumn("page_id", text("page_id")), "page_id", F.struct(F.col("page_id").alias("oid"), "number", "factor_width", "factor_height"), "pages")
