@@ -4,30 +4,33 @@ An item is a set of windows (ten consecutive words, or the whole of a shorter it
 of five-word shingles. A document contains a window only if it contains all its shingles, so one of
 them, the rarest in the corpus, is a sufficient prefix for containment 1.
 
-1. Hashes of all shingles of all documents meet the benchmark's shingles; only hits are kept.
-2. Hits are counted; every window orders its shingles by that frequency and keeps the rarest one. A
-   window with a shingle of frequency zero occurs nowhere and goes.
-3. Hits join the prefixes. The prefix's place in the window gives the window's start in the document
-   (positional bound: not before the text; length bound: not past its end).
-4. Candidates join the texts by document and are verified word by word.
-
-The benchmark's distinct shingles are broadcast while there are at most ``BROADCAST_ROWS`` of them
-(16 bytes each) and joined by shuffle beyond that. All joins on documents are on ``doc_id``; hot
-passages make more hits in many documents but nothing is gathered by passage.
+1. The benchmark's shingles are counted over all documents, by task first; that orders them by rarity.
+2. Every window keeps its rarest shingle as prefix. A window with a shingle that no document has occurs
+   nowhere and goes.
+3. The documents' shingles are joined with the prefixes only. The prefix's place in the window gives the
+   window's start in the document (positional bound: not before the text; length bound: not past its
+   end), and the words around the shingle come along, so the window is compared word by word at once:
+   no document's words are moved or looked up again.
+
+Both passes first test a shingle's hash against a bit map of bounded size made of the hashes sought, inside the
+document's row; only what it lets through becomes a row. Hashes and prefixes are broadcast while there are at
+most ``BROADCAST_ROWS`` of them and joined by shuffle beyond that.
 
 Generators are the outer ones: for the others the optimiser infers a filter on the array, pushes it
-below and so computes the words again for every shingle.
+below and so computes the words again for every shingle. They also keep a row for documents without hits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, doc_text, materialize, table, word_array
+from .common import NOT_ALNUM, ascii_lower, doc_text, materialize, release, remove, table, word_array
 
 WINDOW, SHINGLE = 10, 5
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
+#: Bits of the map for each hash, and its longs at most (a power of two).
+MAP_BITS, MAP_LONGS = 32, 1 << 16
 
 
 def _words(text):
@@ -35,10 +38,37 @@ def _words(text):
 
 
 def _shingles(words, width: int):
-    """Hashes of ``width`` words in a row, by place."""
+    """(pos, h) of ``width`` words in a row, by place."""
     n = F.size(words) - width + 1
-    at = lambda i: F.xxhash64(F.lit(width), *[F.element_at(words, (i + 1 + k).cast("int")) for k in range(width)])
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<bigint>"))
+    at = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(width), *[F.element_at(words, (i + 1 + k).cast("int")) for k in range(width)]).alias("h"))
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
+
+
+def _bit_map(hashes: DataFrame, n: int) -> tuple[Column, int]:
+    """A bit map of the ``n`` hashes in column ``h`` as a literal, and its number of longs: ``MAP_LONGS`` rows at most come to the driver."""
+    size = min(MAP_LONGS, 1 << max(4, (n * MAP_BITS // 64).bit_length()))
+    rows = hashes.groupBy(F.expr(f"shiftright(h, 6) & {size - 1}L").alias("k")).agg(F.expr("bit_or(shiftleft(1L, cast(h & 63L AS INT)))").alias("v")).collect()
+    longs = dict.fromkeys(range(size), 0) | {r.k: r.v for r in rows}
+    # one string, which is folded into an array: a list would be an expression for each long
+    return F.split(F.lit(",".join(map(str, longs.values()))), ",").cast("array<bigint>"), size
+
+
+def _marked(bits: Column, size: int, h: Column) -> Column:
+    shift = lambda x, n: F.call_function("shiftright", x, n)
+    long = F.element_at(bits, (shift(h, F.lit(6)).bitwiseAND(F.lit(size - 1)) + 1).cast("int"))
+    return shift(long, h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def _hits(base: DataFrame, sought: DataFrame, n: int, widths: list[int], keep: list[str], reach: int = 0, ahead: int = 0) -> DataFrame:
+    """The ``keep`` columns with (c: pos, h, lo, near) of shingles that may be sought; near are the words from ``reach``
+    before the shingle to ``ahead`` after its start, lo the first one's place. A document without any keeps a row with null c."""
+    bits, size = _bit_map(sought, n)
+    found = F.concat(*[F.filter(_shingles(F.col("ws"), w), lambda x: _marked(bits, size, x["h"])) for w in widths])
+    lo = lambda x: F.greatest(x["pos"] - reach, F.lit(0))
+    around = lambda x: F.slice("ws", lo(x) + 1, F.least(x["pos"] + ahead, F.size("ws")) - lo(x))
+    if ahead:
+        found = F.transform(found, lambda x: F.struct(x["pos"].alias("pos"), x["h"].alias("h"), lo(x).alias("lo"), around(x).alias("near")))
+    return base.select(*keep, F.explode_outer(found).alias("c")).select(*keep, "c.*")
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
@@ -49,45 +79,49 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHIN
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted item ids as strings) of every document.
+    """doc_id, n_words, n_hit, items (sorted item ids as strings) of every row of documents.
 
     Null and empty texts have no words and no hits; items without words match nothing; repeated items
-    count by their ids; a repeated doc_id gets its own rows with the hits of its text only if its texts
-    are equal, as documents are joined by id. Columns beyond the named ones are ignored.
+    count by their ids, an item without an id hits words but isn't listed. Rows are judged each, whatever
+    their doc_id: null and repeated ones are allowed. Columns beyond the named ones are ignored.
     """
     spark = docs.sparkSession
-    windows = materialize(item_windows(benchmark, window, shingle), "windows")
+    items = materialize(item_windows(benchmark, window, shingle), "items")
+    windows = materialize(items.select("ws", "size", "w").distinct().withColumn("win", F.monotonically_increasing_id()), "windows")
     widths = sorted(r.w for r in windows.select("w").distinct().collect())
-    base = doc_text(docs).select("doc_id", _words(F.col("text")).alias("ws"))
+    base = doc_text(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), _words(F.col("text")).alias("ws"))
+    base = base.select("doc_id", "row", "ws", F.size("ws").cast("long").alias("n_words"))
     if not widths:
-        return base.select("doc_id", F.size("ws").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
+        return base.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items"))
     shingles = None
     for w in widths:
-        one = windows.where(F.col("w") == w).select("item_id", "size", "ws", F.posexplode_outer(_shingles(F.col("ws"), w)).alias("off", "h"))
+        one = windows.where(F.col("w") == w).select("win", "size", "ws", F.explode_outer(_shingles(F.col("ws"), w)).alias("s")).select("win", "size", "ws", F.col("s.pos").alias("off"), "s.h")
         shingles = one if shingles is None else shingles.unionByName(one)
     shingles = materialize(shingles, "shingles")
-    wanted = shingles.select("h").distinct()
-    small = wanted.count() <= BROADCAST_ROWS
-    hashes = base.select("doc_id", F.explode_outer(F.array(*[_shingles(F.col("ws"), w) for w in widths])).alias("hs")) if len(widths) > 1 else base.select("doc_id", _shingles(F.col("ws"), widths[0]).alias("hs"))
-    hits = hashes.select("doc_id", F.posexplode_outer("hs").alias("pos", "h")).join(F.broadcast(wanted) if small else wanted, "h")
-    hits = materialize(hits, "hits")
-    rarity = hits.groupBy("h").agg(F.count("*").alias("n"))
+    sized = lambda t, n: F.broadcast(t) if n <= BROADCAST_ROWS else t
+    wanted = materialize(shingles.select("h").distinct(), "wanted")
+    n_wanted = wanted.count()
+    rarity = materialize(_hits(base, wanted, n_wanted, widths, []).join(sized(wanted, n_wanted), "h").groupBy("h").agg(F.count("*").alias("n")), "rarity")
     prefix = (
         shingles.join(rarity, "h", "left")
-        .groupBy("item_id", "size", "ws")
+        .groupBy("win", "size", "ws")
         .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "off", "h")).alias("p"))
         .where("p.n > 0")
-        .select("item_id", "ws", F.col("p.off").alias("off"), F.col("p.h").alias("h"))
+        .select("win", "size", F.col("ws").alias("words"), F.col("p.off").alias("off"), F.col("p.h").alias("h"))
     )
-    found = hits.join(prefix, "h").where("pos >= off").select("doc_id", F.struct((F.col("pos") - F.col("off")).alias("start"), "item_id", F.col("ws").alias("window")).alias("c"))
-    found = found.groupBy("doc_id").agg(F.collect_list("c").alias("cs"))
-    met = base.join(found, "doc_id", "left").withColumn("cs", F.expr("filter(cs, c -> slice(ws, c.start + 1, size(c.window)) = c.window)"))
-    return met.select(
-        "doc_id",
-        F.size("ws").cast("long").alias("n_words"),
-        F.coalesce(F.size(F.array_distinct(F.flatten(F.expr("transform(cs, c -> sequence(c.start, c.start + size(c.window) - 1))")))), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.array_sort(F.array_distinct(F.expr("transform(cs, c -> cast(c.item_id as string))"))), F.array().cast("array<string>")).alias("items"),
-    ).withColumn("n_hit", F.greatest("n_hit", F.lit(0).cast("long")))
+    prefix = materialize(prefix, "prefix")
+    n_prefix = prefix.count()
+    hits = _hits(base, prefix.select("h"), n_prefix, widths, ["doc_id", "row", "n_words"], window - 1, window)
+    whole = F.expr("pos >= off AND pos - off + size <= n_words AND slice(near, pos - off - lo + 1, size) = words")
+    met = hits.join(sized(prefix, n_prefix), "h", "left").select("doc_id", "row", "n_words", F.when(whole, F.struct((F.col("pos") - F.col("off")).alias("a"), "size")).alias("span"), F.when(whole, F.col("win")).alias("win"))
+    rows = materialize(met.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.collect_set("span").alias("spans"), F.collect_set("win").alias("wins")), "hits")
+    release(spark)
+    named = items.join(windows, ["ws", "size", "w"]).where("item_id IS NOT NULL").select("win", F.col("item_id").cast("string").alias("item_id")).distinct()
+    found = rows.select("row", F.explode("wins").alias("win")).join(named, "win").groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    covered = F.expr("aggregate(array_sort(spans), struct(0 AS n, 0 AS p), (x, s) -> struct(x.n + greatest(s.a + s.size - greatest(x.p, s.a), 0) AS n, greatest(x.p, s.a + s.size) AS p), x -> x.n)")
+    remove(spark, shingles._docloom_path, wanted._docloom_path, rarity._docloom_path, prefix._docloom_path)
+    out = rows.join(found, "row", "left")
+    return out.select("doc_id", "n_words", covered.cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
