@@ -40,7 +40,7 @@ def _words(text):
 def _shingles(words, width: int):
     """(pos, h) of ``width`` words in a row, by place."""
     n = F.size(words) - width + 1
-    at = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(width), *[F.element_at(words, (i + 1 + k).cast("int")) for k in range(width)]).alias("h"))
+    at = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(width), F.get(words, i), *[F.get(words, i + k) for k in range(1, width)]).alias("h"))
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
 
 
@@ -55,7 +55,7 @@ def _bit_map(hashes: DataFrame, n: int) -> tuple[Column, int]:
 
 def _marked(bits: Column, size: int, h: Column) -> Column:
     shift = lambda x, n: F.call_function("shiftright", x, n)
-    long = F.element_at(bits, (shift(h, F.lit(6)).bitwiseAND(F.lit(size - 1)) + 1).cast("int"))
+    long = F.get(bits, shift(h, F.lit(6)).bitwiseAND(F.lit(size - 1)).cast("int"))
     return shift(long, h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
