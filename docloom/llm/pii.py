@@ -1,7 +1,7 @@
 """Personal data: four base rules and bootstrapped contextual extraction, with DataFrame functions only.
 
-Base spans are the seeds. Seeds and other identifier-like tokens (a digit or an at sign) are mentions,
-each with two lexical patterns: the two words before it, and the word on either side. Over the graph of
+Base spans are the seeds. Seeds, other tokens with a digit or an at sign, and runs of digit groups parted
+by single blanks are mentions, each with two lexical patterns: the two words before it, and the word on either side. Over the graph of
 patterns and instances, scores go back and forth: a pattern's confidence for a kind is the share of its
 mentions whose instances are of that kind, an instance's score is the noisy-or of its patterns'
 confidences. Patterns need ``SUPPORT`` distinct known instances and ``PATTERN`` confidence; mentions of
@@ -30,9 +30,12 @@ RULES = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
+GROUPS = rf"(?<![^{SPACE}])[0-9(][0-9().-]*+(?: [0-9(][0-9().-]*+)++"
 ROUNDS, SUPPORT, PATTERN, INSTANCE = 3, 5, 0.8, 0.9
-#: Characters beside a mention in which its context words are looked for.
-CONTEXT = 80
+#: Least number of digits that an instance needs to be taken for a kind (an email needs an at sign instead).
+DIGITS = {"ip": 4, "card": 6, "phone": 6}
+#: Characters beside a mention that are looked at first for its context words; where they don't hold those whole, more and then all are.
+_NEAR = (80, 4000)
 
 
 def _found(rule: str, guard):
@@ -67,44 +70,75 @@ def _valid(kind: str):
 
 
 def base_spans(text: DataFrame) -> DataFrame:
-    """doc_id, text, base (array of rank, kind, s, e, m by kind, then place) of whole texts."""
+    """doc_id, row (unique), text, base (array of rank, kind, s, e, m by kind, then place) of whole texts."""
     has = {"email": F.contains("text", F.lit("@")), "ip": F.col("text").rlike(r"[0-9]\.[0-9]"), "card": F.col("text").rlike(r"[0-9](?:[ -]?[0-9]){15}"), "phone": F.col("text").rlike(r"\+[0-9]")}
-    out = text.select("doc_id", "text", *[_found(RULES[k], has[k]).alias(f"r_{k}") for k in KINDS])
+    out = text.select("doc_id", F.monotonically_increasing_id().alias("row"), "text", *[_found(RULES[k], has[k]).alias(f"r_{k}") for k in KINDS])
     tag = lambda k, n: F.transform(F.filter(f"r_{k}", _valid(k)), lambda x: F.struct(F.lit(n).alias("rank"), F.lit(k).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
-    return out.select("doc_id", "text", F.concat(*[tag(k, n) for n, k in enumerate(KINDS)]).alias("base"))
+    return out.select("doc_id", "row", "text", F.concat(*[tag(k, n) for n, k in enumerate(KINDS)]).alias("base"))
+
+
+_TWO = rf"([^{SPACE}]+[{SPACE}]+[^{SPACE}]+)[{SPACE}]*[\"'(\[<]*$"
+_ONE = rf"^[^A-Za-z0-9{SPACE}]*[{SPACE}]+([^{SPACE}]+)"
+
+
+def _words_before(s, n):
+    """The two words before place ``s`` if they stand whole within ``n`` characters, else empty."""
+    near = F.substring(F.col("text"), F.greatest(s - n, F.lit(0)) + 1, F.least(s, F.lit(n)))
+    return F.when(s <= n, F.regexp_extract(near, rf"(?:^|[{SPACE}]){_TWO}", 1)).otherwise(F.regexp_extract(near, rf"[{SPACE}]{_TWO}", 1))
+
+
+def _word_after(e, n):
+    """The word after place ``e`` if it stands whole within ``n`` characters, else empty."""
+    near = F.substring(F.col("text"), e + 1, F.lit(n))
+    return F.when(F.col("n") - e <= n, F.regexp_extract(near, _ONE, 1)).otherwise(F.regexp_extract(near, rf"{_ONE}[{SPACE}]", 1))
 
 
 def _mentions(found: DataFrame) -> DataFrame:
-    """doc_id, base without texts, and mentions (kind or null, s, e, instance, patterns)."""
-    found = found.select("doc_id", "text", "base", _found(TOKEN, F.col("text").rlike("[0-9@]")).alias("tokens"))
+    """doc_id, row, base without texts, and mentions (kind or null, s, e, inst, at, digits, pats)."""
+    found = found.select("doc_id", "row", "text", "base", F.length("text").alias("n"), _found(TOKEN, F.col("text").rlike("[0-9@]")).alias("tokens"), _found(GROUPS, F.col("text").rlike("[0-9).-] [0-9(]")).alias("groups"))
     # token punctuation at the ends is no part of the identifier
     head = lambda x: F.length(F.regexp_extract(x["m"], "^[\"'(\\[<{:=,;]*", 0))
     tail = lambda x: F.length(F.regexp_extract(x["m"], "[^A-Za-z0-9]*$", 0))
-    trim = F.filter(F.transform("tokens", lambda x: F.struct(F.substring(x["m"], head(x) + 1, F.length(x["m"]) - head(x) - tail(x)).alias("m"), (x["s"] + head(x)).alias("s"), (x["e"] - tail(x)).alias("e"))), lambda x: F.length(x["m"]) >= 6)
-    other = F.filter(trim, lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    trimmed = lambda c: F.transform(c, lambda x: F.struct(F.substring(x["m"], head(x) + 1, F.length(x["m"]) - head(x) - tail(x)).alias("m"), (x["s"] + head(x)).alias("s"), (x["e"] - tail(x)).alias("e")))
+    digits = lambda x: F.length(_digits(x["m"]))
+    within = lambda x: F.exists("groups", lambda g: (g["s"] < x["e"]) & (x["s"] < g["e"]))
+    # what could never be taken for any kind is no mention; a group of few digits inside a run is none by itself
+    able = lambda x: F.contains(x["m"], F.lit("@")) | (digits(x) >= min(DIGITS.values()))
+    single = F.filter(F.filter("tokens", able), lambda x: (digits(x) >= min(DIGITS["card"], DIGITS["phone"])) | ~within(x))
+    other = F.filter(F.concat(trimmed(single), trimmed("groups")), lambda x: (x["s"] < x["e"]) & ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
     every = F.concat(F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["s"].alias("s"), b["e"].alias("e"), b["m"].alias("m"))), F.transform(other, lambda x: F.struct(F.lit(None).cast("string").alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"))))
+    # one step for the usual mentions, another for those whose words reach farther
+    first, far = _NEAR
+    keep = lambda x: [x[c].alias(c) for c in ("kind", "s", "e", "m")]
+    found = found.select("doc_id", "row", "base", "text", "n", F.transform(every, lambda x: F.struct(*keep(x), _words_before(x["s"], first).alias("two"), _word_after(x["e"], first).alias("right"))).alias("mentions"))
+
+    def reach(x):
+        all_before = F.regexp_extract(F.substring(F.col("text"), F.lit(1), x["s"]), rf"(?:^|[{SPACE}]){_TWO}", 1)
+        all_after = F.regexp_extract(F.substring(F.col("text"), x["e"] + 1, F.col("n") - x["e"]), _ONE, 1)
+        two = F.when((x["s"] <= first) | (x["two"] != ""), x["two"]).otherwise(F.coalesce(F.nullif(_words_before(x["s"], far), F.lit("")), all_before))
+        right = F.when((F.col("n") - x["e"] <= first) | (x["right"] != ""), x["right"]).otherwise(F.coalesce(F.nullif(_word_after(x["e"], far), F.lit("")), all_after))
+        return F.struct(*keep(x), F.lower(two).alias("two"), F.lower(right).alias("right"))
+
+    found = found.select("doc_id", "row", "base", F.transform("mentions", reach).alias("mentions"))
 
     def context(x):
-        lo = F.greatest(x["s"] - CONTEXT, F.lit(0))
-        before, after = F.substring(F.col("text"), lo + 1, x["s"] - lo), F.substring(F.col("text"), x["e"] + 1, F.lit(CONTEXT))
-        two = F.lower(F.regexp_extract(before, rf"([^{SPACE}]+[{SPACE}]+[^{SPACE}]+)[{SPACE}]*[\"'(\[<]*$", 1))
-        left, right = F.regexp_extract(two, rf"([^{SPACE}]+)$", 1), F.lower(F.regexp_extract(after, rf"^[^A-Za-z0-9{SPACE}]*[{SPACE}]+([^{SPACE}]+)", 1))
+        left = F.regexp_extract(x["two"], rf"([^{SPACE}]+)$", 1)
         plain = lambda c: F.regexp_replace(F.regexp_replace(c, "[0-9]", "0"), rf"[{SPACE}]+", " ")
-        pats = F.array(F.when(two != "", F.concat(F.lit("2:"), plain(two))), F.when((left != "") & (right != ""), F.concat(F.lit("b:"), plain(left), F.lit("_"), plain(right))))
+        pats = F.array(F.when(x["two"] != "", F.concat(F.lit("2:"), plain(x["two"]))), F.when((left != "") & (x["right"] != ""), F.concat(F.lit("b:"), plain(left), F.lit("_"), plain(x["right"]))))
         return F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e"), F.sha2(F.lower(x["m"]), 256).alias("inst"), F.contains(x["m"], F.lit("@")).alias("at"), F.length(_digits(x["m"])).alias("digits"), F.array_compact(pats).alias("pats"))
 
-    return found.select("doc_id", "base", F.transform(every, context).alias("mentions"))
+    return found.select("doc_id", "row", "base", F.transform("mentions", context).alias("mentions"))
 
 
 def find_pii(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, pattern: float = PATTERN, instance: float = INSTANCE) -> DataFrame:
     """doc_id, base and spans (arrays of rank, kind, s, e by kind, then place; code points, end exclusive).
 
     Null and empty texts have no spans. Without seeds nothing is learned and spans equal base. Equal
-    rows get equal spans; a repeated doc_id with different texts should be told apart by the caller, as
-    discovered spans are joined by id. Columns other than doc_id and text are ignored.
+    texts get equal spans; rows are judged each, whatever their doc_id: null and repeated ones are
+    allowed. Columns other than doc_id and text are ignored; an empty table gives no rows.
     """
     seen = materialize(_mentions(base_spans(doc_text(docs))), "mentions")
-    flat = seen.select("doc_id", F.explode("mentions").alias("x")).select("doc_id", "x.*")
+    flat = seen.select("row", F.explode("mentions").alias("x")).select("row", "x.*")
     edges = materialize(flat.select("inst", "kind", "at", "digits", F.explode("pats").alias("pat")).groupBy("pat", "inst", "kind").agg(F.count("*").alias("n"), F.max("at").alias("at"), F.max("digits").alias("digits")), "edges")
     # only patterns that seeds support can ever be accepted in the first round; later rounds widen from them
     scores = materialize(edges.where("kind IS NOT NULL").select("inst", "kind", F.lit(1.0).alias("score")).distinct(), "scores")
@@ -117,17 +151,17 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, patt
             remove(docs.sparkSession, good._docloom_path)
         good = new
         unknown = edges.where("kind IS NULL").drop("kind").join(good, "pat")
-        unknown = unknown.where(F.when(F.col("kind") == "email", F.col("at")).otherwise(F.col("digits") >= 6))
+        unknown = unknown.where(F.when(F.col("kind") == "email", F.col("at")).when(F.col("kind") == "ip", F.col("digits") >= DIGITS["ip"]).when(F.col("kind") == "card", F.col("digits") >= DIGITS["card"]).otherwise(F.col("digits") >= DIGITS["phone"]))
         learned = unknown.groupBy("inst", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999999)))))).alias("score"))
         seeds = edges.where("kind IS NOT NULL").select("inst", "kind", F.lit(1.0).alias("score")).distinct()
         old, scores = scores, materialize(seeds.unionByName(learned.where(F.col("score") >= instance)).groupBy("inst", "kind").agg(F.max("score").alias("score")), "scores")
         remove(docs.sparkSession, old._docloom_path)
     found = flat.where("kind IS NULL").drop("kind").withColumn("pat", F.explode("pats")).join(good.select("pat", "kind"), "pat").join(scores.select("inst", "kind"), ["inst", "kind"])
     rank = F.create_map(*[x for n, k in enumerate(KINDS) for x in (F.lit(k), F.lit(n))])
-    extra = found.select("doc_id", F.struct(rank[F.col("kind")].alias("rank"), "kind", "s", "e").alias("x")).groupBy("doc_id").agg(F.collect_set("x").alias("extra"))
+    extra = found.select("row", F.struct(rank[F.col("kind")].alias("rank"), "kind", "s", "e").alias("x")).groupBy("row").agg(F.collect_set("x").alias("extra"))
     none = F.array().cast("array<struct<rank:int,kind:string,s:int,e:int>>")
     base = F.transform("base", lambda b: F.struct(b["rank"].alias("rank"), b["kind"].alias("kind"), b["s"].alias("s"), b["e"].alias("e")))
-    out = seen.join(extra, "doc_id", "left").select("doc_id", F.sort_array(base).alias("base"), F.coalesce("extra", none).alias("extra"))
+    out = seen.join(extra, "row", "left").select("doc_id", F.sort_array(base).alias("base"), F.coalesce("extra", none).alias("extra"))
     key = lambda c: F.sort_array(F.array_distinct(c))
     return out.select("doc_id", "base", key(F.concat("base", "extra")).alias("spans"))
 
