@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontamination, fingerprint_index, packing, pii, quality_classifier, quality_rules, simhash, suffix_dedup, token_output
+from . import chat_format, conversation_repair, decontamination, fingerprint_index, group_packing, itemsets, packing, pii, quality_classifier, quality_rules, simhash, suffix_dedup, token_output
 
-_MODULES = (chat_format, decontamination, fingerprint_index, packing, pii, quality_classifier, quality_rules, simhash, suffix_dedup, token_output)
+_MODULES = (chat_format, conversation_repair, decontamination, fingerprint_index, group_packing, itemsets, packing, pii, quality_classifier, quality_rules, simhash, suffix_dedup, token_output)
 
 
 def queries() -> dict:
