@@ -569,10 +569,18 @@ def html_rows(spark, d):
     return rows(table(spark, d, "pages"), "page_id", ("li", "tr")).select("page_id", "n", "content")
 
 
-@query("dictionary_corrections", "WITH w AS (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(regexp_replace(text, '[^ -~]', '?', 'g'), ' ')) AS word FROM benchmark) WHERE length(word) >= 2 GROUP BY 1), t AS (SELECT DISTINCT substr(word, 1, length(word) - 1) || 'q' AS token FROM w WHERE length(word) > 3), k AS (SELECT token, word, n FROM t JOIN w ON substr(token, 1, 3) = substr(word, 1, 3)), p AS (SELECT DISTINCT token FROM k WHERE starts_with(word, token)), d AS (SELECT token, word, n, CAST(levenshtein(token, word) AS BIGINT) AS distance FROM k ANTI JOIN p USING (token) WHERE NOT regexp_matches(token, '^[+-]?(\\d|[.,]\\d)') AND levenshtein(token, word) <= 1) SELECT token, word, distance FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY distance, n DESC, word) AS j FROM d) WHERE j = 1")
+_WORDS = "w AS (SELECT word, count(*) AS n FROM (SELECT unnest(string_split(regexp_replace(text, '[^ -~]', '?', 'g'), ' ')) AS word FROM benchmark) WHERE length(word) >= 2 GROUP BY 1)"
+_EDITED = "e AS (SELECT word, CAST(n % length(word) AS INTEGER) AS i FROM w), t AS (SELECT substr(word, 1, i) || 'q' || substr(word, i + 2) AS token FROM e UNION SELECT substr(word, 1, i) || substr(word, i + 2) FROM e UNION SELECT substr(word, 1, i) || 'q' || substr(word, i + 1) FROM e UNION SELECT DISTINCT unnest(string_split(regexp_replace(text, '[^ -~]', '?', 'g'), ' ')) FROM documents WHERE text IS NOT NULL)"
+
+
+@query("dictionary_corrections", f"WITH {_WORDS}, {_EDITED}, p AS (SELECT DISTINCT substr(word, 1, i) AS token FROM w, range(0, 60) r(i) WHERE i <= length(word)), d AS (SELECT token, word, n, CAST(levenshtein(token, word) AS BIGINT) AS distance FROM t JOIN w ON substr(token, 1, 1) = substr(word, 1, 1) WHERE NOT regexp_matches(token, '^[+-]?(\\d|[.,]\\d)') AND abs(length(token) - length(word)) <= 1 AND levenshtein(token, word) <= 1 AND token NOT IN (SELECT token FROM p)) SELECT token, word, distance FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY distance, n DESC, word) AS j FROM d) WHERE j = 1")
 def dictionary_corrections(spark, d):
+    """Words of all documents, and dictionary words with a letter changed, left out or put in at any place, against the dictionary."""
     from ..operators import dictionary
 
-    words = table(spark, d, "benchmark").select(F.explode(F.split(F.regexp_replace("text", "[^ -~]", "?"), " ")).alias("word")).where(F.length("word") >= 2).groupBy("word").agg(F.count("*").alias("n"))
-    tokens = words.where(F.length("word") > 3).select(F.concat(F.expr("substring(word, 1, length(word) - 1)"), F.lit("q")).alias("token")).distinct()
-    return dictionary.corrections(tokens, words)
+    split = lambda name: table(spark, d, name).where("text IS NOT NULL").select(F.explode(F.split(F.regexp_replace("text", "[^ -~]", "?"), " ", -1)).alias("word"))
+    words = split("benchmark").where(F.length("word") >= 2).groupBy("word").agg(F.count("*").alias("n"))
+    i = (F.col("n") % F.length("word")).cast("int")
+    before, after, rest = F.substring("word", F.lit(1), i), F.substring("word", i + 1, F.length("word")), F.substring("word", i + 2, F.length("word"))
+    edited = words.select(F.explode(F.array(F.concat(before, F.lit("q"), rest), F.concat(before, rest), F.concat(before, F.lit("q"), after))).alias("token"))
+    return dictionary.corrections(edited.unionByName(split("documents").withColumnRenamed("word", "token")), words)

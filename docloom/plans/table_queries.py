@@ -114,7 +114,7 @@ def unit_dictionary(spark, d):
 _TOK = "WITH w AS (SELECT unnest(string_split(regexp_replace(text, '[^ -~]', '?', 'g'), ' ')) AS word FROM benchmark), dct AS (SELECT DISTINCT word FROM w WHERE length(word) >= 2), tok AS (SELECT DISTINCT 'x' AS z, substr(word, 1, length(word) - 1) AS token FROM dct) "
 
 
-@query("fuzzy_dictionary", _TOK + "SELECT token, word, distance FROM (SELECT token, word, CAST(levenshtein(token, word) AS BIGINT) AS distance, row_number() OVER (PARTITION BY token ORDER BY levenshtein(token, word), word) AS j FROM tok JOIN dct ON substr(token, 1, 3) = substr(word, 1, 3) WHERE levenshtein(token, word) <= 1) WHERE j = 1")
+@query("fuzzy_dictionary", _TOK + "SELECT token, word, distance FROM (SELECT token, word, CAST(levenshtein(token, word) AS BIGINT) AS distance, row_number() OVER (PARTITION BY token ORDER BY levenshtein(token, word), word) AS j FROM tok JOIN dct ON levenshtein(token, word) <= 1) WHERE j = 1")
 def fuzzy_dictionary(spark, d):
     words = table(spark, d, "benchmark").select(F.explode(F.split(F.regexp_replace("text", "[^ -~]", "?"), " ")).alias("word")).where(F.length("word") >= 2).distinct()
     return dictionary.close_words(words.select(F.expr("substring(word, 1, length(word) - 1)").alias("token")), words)

@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import random
 
 import numpy as np
 import pytest
@@ -280,6 +281,25 @@ def test_corrections(spark):
     assert [r.word for r in dictionary.with_prefix(words, "gl").collect()] == ["glaze", "glass", "gloss"]
 
 
+@pytest.mark.parametrize("distance,shared", [(1, 0), (2, 0), (2, 1), (1, 3)])
+def test_corrections_against_all_pairs(spark, distance, shared):
+    """Edits anywhere, first letters too; equal to the edit distance of all pairs."""
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("abcé") for _ in range(rng.randint(0, 6))) for _ in range(80)} | {"glass"})
+    tokens = sorted({"".join(rng.choice("abcé") for _ in range(rng.randint(0, 7))) for _ in range(80)} | {"lass", "glas", "xglass", "x" * 5000})
+    got = dictionary.close_pairs(spark.createDataFrame([(t,) for t in [*tokens, None]], "token string"), spark.createDataFrame([(w,) for w in [*words, None, words[0]]], "word string"), distance, shared)
+    want = [(t, w, edits(t, w)) for t, w in itertools.product(tokens, words) if abs(len(t) - len(w)) <= distance and edits(t, w) <= distance and t[:shared] == w[:shared]]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_service(spark, tmp_path):
     def process(files):
         return files.select("path", F.decode("content", "UTF-8").alias("t")).withColumn("n", F.when(F.col("t") == "bad", F.raise_error(F.lit("no"))).otherwise(F.length("t").cast("string")).cast("int")).drop("t")
