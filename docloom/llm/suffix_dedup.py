@@ -98,24 +98,24 @@ def repeated_windows(group: np.ndarray, copies: np.ndarray, texts: list[bytes],
 
 def _prepare(docs: DataFrame, touched: DataFrame, window: int) -> DataFrame:
     """One row per document: its bytes if it has repeated anchors, else its digest; and the anchors' segments with a hash (sd) of their bytes."""
-    schema = "doc_id long, n_bytes long, body binary, sha string, segs array<struct<mh:bigint,start:int,nw:smallint,off:smallint,sd:bigint>>"
+    schema = "doc_id long, id string, n_bytes long, body binary, sha string, segs array<struct<mh:bigint,start:int,nw:smallint,off:smallint,sd:bigint>>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         for batch in batches:
             out = []
-            for doc, text, at in zip(batch["doc_id"], batch["text"], batch["at"]):
+            for doc, own, text, at in zip(batch["doc_id"], batch["id"], batch["text"], batch["at"]):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 if at is None or not len(at):
-                    out.append((doc, len(raw), None, hashlib.sha256(raw).hexdigest(), []))
+                    out.append((doc, own, len(raw), None, hashlib.sha256(raw).hexdigest(), []))
                     continue
                 h = np.fromiter((xxhash.xxh64_intdigest(raw[x["start"] : x["start"] + x["nw"] + window - 1]) for x in at), np.uint64, len(at)).view(np.int64).tolist()
-                out.append((doc, len(raw), raw, None, [{"mh": x["mh"], "start": x["start"], "nw": x["nw"], "off": x["off"], "sd": d} for x, d in zip(at, h)]))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "body", "sha", "segs"])
+                out.append((doc, own, len(raw), raw, None, [{"mh": x["mh"], "start": x["start"], "nw": x["nw"], "off": x["off"], "sd": d} for x, d in zip(at, h)]))
+            yield pd.DataFrame(out, columns=["doc_id", "id", "n_bytes", "body", "sha", "segs"])
 
     at = touched.groupBy("doc_id").agg(F.collect_list(F.struct("mh", "start", "nw", "off")).alias("at"))
-    return doc_text(docs).join(at, "doc_id", "left").select("doc_id", "text", "at").mapInPandas(run, schema)
+    return doc_text(docs, "id").join(at, "doc_id", "left").select("doc_id", F.col("id").cast("string").alias("id"), "text", "at").mapInPandas(run, schema)
 
 
 def _contents(prepared: DataFrame, classes: DataFrame, window: int) -> DataFrame:
@@ -188,23 +188,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
 
     Every byte covered by a ``window``-byte string that also starts anywhere else goes, judged on the
     input. Null and empty texts have no bytes; texts shorter than a window keep all; equal rows are
-    copies of each other and go whole if long enough. Documents are joined by doc_id, which must be
-    unique. Other columns are ignored; an empty table gives no rows.
+    copies of each other and go whole if long enough. Rows are told apart by a number of their own, so
+    null and repeated ids are rows like any other. Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    # written once, so that a row keeps its number
+    docs = materialize(doc_text(docs).select(F.monotonically_increasing_id().alias("doc_id"), F.col("doc_id").alias("id"), "text"), "rows")
     entries = materialize(anchors(docs, window, gram), "anchors")
     twice = entries.groupBy("mh").agg(F.count("*").alias("n")).where("n > 1").select("mh")
     touched = materialize(entries.join(twice, "mh", "left_semi"), "touched")
     remove(spark, entries._docloom_path)
     release(spark)
     prepared = materialize(_prepare(docs, touched, window), "prepared")
+    remove(spark, docs._docloom_path, touched._docloom_path)
     release(spark)
     spans = covered_spans(prepared, window, gram, hot).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, n, body, sha, spans in zip(batch["doc_id"], batch["n_bytes"], batch["body"], batch["sha"], batch["spans"]):
+            for doc, n, body, sha, spans in zip(batch["id"], batch["n_bytes"], batch["body"], batch["sha"], batch["spans"]):
                 if body is None or spans is None or not len(spans):
                     out.append((doc, n, 0, 0, None, sha or hashlib.sha256(body).hexdigest()))
                     continue
@@ -213,7 +216,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
                 out.append((doc, n, n - len(kept), len(runs), kept, hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    return prepared.drop("segs").join(spans, "doc_id", "left").select("doc_id", "n_bytes", "body", "sha", "spans").mapInPandas(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    out = prepared.drop("segs").join(spans, "doc_id", "left").select("id", "n_bytes", "body", "sha", "spans").mapInPandas(cut, "doc_id string, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

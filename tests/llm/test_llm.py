@@ -80,6 +80,15 @@ def test_suffix_dedup(docs, empty, hot):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_of_null_and_repeated_ids(spark):
+    """Rows that share an id, or have none, are judged each by its own text."""
+    passage, other = "".join(rng.choice("abcdefgh") for _ in range(300)), ["".join(rng.choice("stuvwxyz") for _ in range(500)) for _ in range(3)]
+    rows = [(1, passage + other[0][:100]), (1, other[1]), (2, "q" + passage), (None, other[2]), (None, other[2] + "k"), (None, "k"), (3, "same " * 60), (3, "same " * 60), ((1 << 60) + 1, "z")]
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, id string, body string").repartition(3)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffix_dedup.remove_repeats(df).collect())
+    assert got == [(False, 1, 400, 300), (False, 1, 500, 0), (False, 2, 301, 300), (False, 3, 300, 300), (False, 3, 300, 300), (False, (1 << 60) + 1, 1, 0), (True, 0, 1, 0), (True, 0, 500, 500), (True, 0, 501, 500)]
+
+
 def repeats_removed(texts):
     """(words, removed, hash of what stays) of each text, by brute force."""
     seen, out = set(), []
