@@ -350,10 +350,3 @@ def place_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["page_id", "r", "c", "area_id"])
 
     return flat.groupBy("page_id").applyInPandas(run, "page_id long, r long, c long, area_id long")
-
-
-def line_clusters(lines: DataFrame, distance: float = 25.0) -> DataFrame:
-    """Line segments nearer than ``distance`` (directly or through others) with the regression line through their ends."""
-    near = merge_boxes(lines, distance, distance, rounds=1).select("page_id", "group_id", F.explode("members").alias("area_id"))
-    ends = lines.join(near, ["page_id", "area_id"]).select("page_id", "group_id", F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p"))
-    return ends.groupBy("page_id", "group_id").agg(F.regr_slope("p.y", "p.x").alias("slope"), F.regr_intercept("p.y", "p.x").alias("intercept"), F.min("p.x").alias("x1"), F.max("p.x").alias("x2"), (F.count("*") / 2).cast("long").alias("n"))

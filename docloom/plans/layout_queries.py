@@ -174,11 +174,6 @@ def placed_cells(spark, d):
     return layout.place_cells(layout.recognised_rows(cells, b.where("category = 'DrawnLine'")), cells)
 
 
-@query("line_clusters")
-def line_clusters(spark, d):
-    return layout.line_clusters(boxes(spark, d).where("category = 'DrawnLine'"), 5.0).select("page_id", "group_id", F.round("slope", 6).alias("slope"), F.round("intercept", 6).alias("intercept"), "n")
-
-
 @query("merged_baselines")
 def merged_baselines(spark, d):
     return layout.merge_baselines(boxes(spark, d).where("category = 'String'"), 16.0)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import knowledge
-from ..operators import captions, cluster, dictionary, layout, references, revisions, structure, tables, titlepage
+from ..operators import captions, cluster, density, dictionary, layout, raster, references, revisions, structure, tables, titlepage
 from ..sources import images as pictures
 from ..sources import readers, spans, writers
 from .pipeline import Tables, stage
@@ -157,16 +157,22 @@ def detect_components(frames: Tables, mode="Page", lang="", add_new_area=("OCRLi
 
 @stage("LineDetectorCanny")
 def detect_lines(frames: Tables, max_line_gap=10, min_line_length=200, minimum_number_of_votes=10) -> Tables:
-    """Ruled lines of page images; pieces near each other on one line count as one."""
-    found = pictures.ruled_lines(frames["images"], int(min_line_length), int(max_line_gap))
-    return {"line_clusters": layout.line_clusters(found), **_with(frames, found, "DrawnLine")}
+    """Ruled and slanted lines of page images; segments whose pixels cluster count as one line."""
+    points = raster.outline_points(raster.ink_runs(frames["images"]))
+    found = raster.straight_lines(points, 180, int(minimum_number_of_votes), float(min_line_length), float(max_line_gap)).withColumnRenamed("line_id", "area_id")
+    flat = found.withColumn("low", F.least("y1", "y2")).withColumn("y2", F.greatest("y1", "y2")).withColumn("y1", F.col("low")).drop("low")
+    return {"straight_lines": found, "line_clusters": density.line_clusters(flat), **_with(frames, flat, "DrawnLine")}
 
 
 @stage("ParagraphDetector")
 def detect_paragraphs(frames: Tables, lines="Line", strings="String", gap_x=10.0, gap_y=10.0) -> Tables:
-    """Paragraphs as text lines near each other, and the columns of each page."""
+    """Paragraphs of the page images' ink, without images as text lines near each other; and the columns of each page."""
     own = _of(frames, lines)
-    out = _with(frames, cluster.merge_boxes(own, float(gap_x), float(gap_y)), "Paragraph")
+    found = cluster.merge_boxes(own, float(gap_x), float(gap_y))
+    if "images" in frames:
+        ink = raster.paragraph_boxes(raster.ink_runs(frames["images"])).select("page_id", F.col("group_id").alias("area_id"), *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
+        found = cluster.merge_boxes(ink, 0.0, 0.0, rounds=1000)
+    out = _with(frames, found, "Paragraph")
     if "pages" in frames:
         out["layouts"] = layout.page_columns(own, frames["pages"].select("page_id", "img_width", "img_height"))
     return out
