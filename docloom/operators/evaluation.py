@@ -167,3 +167,83 @@ def sine_positions(x: Column, y: Column, width: Column, height: Column, size: in
             angle = v / n * turn / base ** (2 * (i // 2) / size)
             out.append(F.sin(angle) if i % 2 == 0 else F.cos(angle))
     return F.array(*out)
+
+
+# evaluation of boxes by size, overlap and number of detections
+
+#: Fixed value: most detections of a page and label that count.
+LIMITS = (1, 10, 100)
+
+
+def judged_boxes(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, most: int = LIMITS[-1]) -> DataFrame:
+    """(page_id, label, area_id, score, place, boxes, overlap, hit, ignored): each of a page's ``most`` best detections of a label, for every range of sizes and overlap.
+
+    By falling score (then area_id) a detection takes the free true box that it overlaps most (the last by area_id among equals), at least by ``overlap``; true
+    boxes of other sizes and crowds (``crowd``, if there) only where none other is left, and such detections are ignored, as are those of other
+    sizes that find nothing. A crowd may be found again and again, and its overlap is the share of the detection alone.
+    """
+    truth = truth if "crowd" in truth.columns else truth.withColumn("crowd", F.lit(False))
+    best = Window.partitionBy("page_id", "label").orderBy(F.desc("score"), "area_id")
+    ranked = detections.select("page_id", "label", "area_id", "score", "x1", "y1", "x2", "y2").withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
+    a, b = Box.of("a"), Box.of("b")
+    on = (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.label") == F.col("b.label")) & a.overlaps(b)
+    width, height = F.least(a.x2, b.x2) - F.greatest(a.x1, b.x1), F.least(a.y2, b.y2) - F.greatest(a.y1, b.y1)
+    share = F.when(F.col("b.crowd"), width * height / a.area).otherwise(width * height / (a.area + b.area - width * height))
+    near = F.collect_list(F.when(share >= min(overlaps), F.struct(share.alias("iou"), F.col("b.area_id").alias("t"), F.col("b.crowd").alias("crowd"), b.area.alias("size"))))
+    own = truth.select(*[F.col(c).alias(c) for c in ("page_id", "label", "area_id", "x1", "y1", "x2", "y2", "crowd")])
+    met = ranked.alias("a").join(own.alias("b"), on, "left").groupBy("a.page_id", "a.label", "a.area_id", "a.score", "a.place", a.area.alias("size")).agg(near.alias("near"))
+    schema = "page_id long, label string, area_id long, score double, place int, boxes string, overlap double, hit boolean, ignored boolean"
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rows = list(group.sort_values("place")[["page_id", "label", "area_id", "score", "place", "size", "near"]].itertuples(index=False, name=None))
+        out = []
+        for name, (low, high) in SIZES.items():
+            # own size first, then the most overlap, then the last by id
+            lists = [sorted(((n["crowd"] or not low <= n["size"] <= high, -n["iou"], -n["t"], n["crowd"]) for n in near)) for *_, near in rows]
+            for overlap in overlaps:
+                taken: set = set()
+                for (page, label, area, score, place, size, _), near in zip(rows, lists):
+                    found = next((n for n in near if -n[1] >= overlap and n[2] not in taken), None)
+                    if found is not None and not found[3]:
+                        taken.add(found[2])
+                    out.append((page, label, area, score, place, name, overlap, found is not None, bool(found[0]) if found else not low <= size <= high))
+        return pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return met.groupBy("page_id", "label").applyInPandas(run, schema)
+
+
+def recall_precision(judged: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, limits: tuple[int, ...] = LIMITS) -> DataFrame:
+    """(label, boxes, overlap, most, ap, recall): average precision at 101 recall places, and recall, with at most ``most`` detections of a page.
+
+    The precision at a place is the greatest of all steps with that recall or more: steps leave the greatest precision of each place they reach, and a
+    running maximum from the right over those 101 places does the rest. Steps are counted in slices of scores first and inside them
+    afterwards, so no task holds a whole label. Labels without a true box of a size have no row for it.
+    """
+    truth = truth if "crowd" in truth.columns else truth.withColumn("crowd", F.lit(False))
+    sizes = F.explode(F.array(*[F.struct(F.lit(k).alias("boxes"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for k, (lo, hi) in SIZES.items()]))
+    real = truth.where("NOT crowd").select("label", Box.of().area.alias("size"), sizes.alias("s")).where("size BETWEEN s.lo AND s.hi").groupBy("label", "s.boxes").agg(F.count("*").alias("n"))
+    keys = ["label", "boxes", "overlap", "most"]
+    most = F.explode(F.filter(F.array(*map(F.lit, limits)), lambda m: F.col("place") <= m))
+    steps = judged.where("NOT ignored").select("label", "boxes", "overlap", "score", "page_id", "area_id", F.col("hit").cast("long").alias("hit"), most.alias("most")).withColumn("slice", F.floor(F.col("score") * 256))
+    before = Window.partitionBy(*keys).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    slices = steps.groupBy(*keys, "slice").agg(F.sum("hit").alias("h"), F.count("*").alias("k"))
+    slices = slices.select(*keys, "slice", F.coalesce(F.sum("h").over(before), F.lit(0)).alias("h"), F.coalesce(F.sum("k").over(before), F.lit(0)).alias("k"))
+    inside = Window.partitionBy(*keys, "slice").orderBy(F.desc("score"), "page_id", "area_id")
+    counted = steps.withColumn("tp", F.sum("hit").over(inside)).withColumn("seen", F.row_number().over(inside)).join(slices, [*keys, "slice"]).join(real, ["label", "boxes"])
+    tp, seen = F.col("tp") + F.col("h"), F.col("seen") + F.col("k")
+    places = counted.select(*keys, "n", tp.alias("tp"), F.expr("((tp + h) * 100) div n").alias("place"), (tp / seen).alias("precision"))
+    places = places.groupBy(*keys, "place").agg(F.max("precision").alias("precision"), F.max("tp").alias("tp"))
+    up = Window.partitionBy(*keys).orderBy("place")
+    right = F.max("precision").over(Window.partitionBy(*keys).orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, 0))
+    filled = places.withColumn("w", right * (F.col("place") - F.coalesce(F.lag("place").over(up), F.lit(-1))))
+    found = filled.groupBy(*keys).agg((F.sum("w") / 101).alias("ap"), F.max("tp").alias("tp"))
+    wanted = F.array(*[F.struct(F.lit(o).alias("overlap"), F.lit(m).alias("most")) for o in overlaps for m in limits])
+    every = real.withColumn("x", F.explode(wanted)).select("label", "boxes", "n", "x.overlap", "x.most")
+    return every.join(found, keys, "left").select(*keys, F.coalesce("ap", F.lit(0.0)).alias("ap"), (F.coalesce("tp", F.lit(0)) / F.col("n")).alias("recall"))
+
+
+def box_evaluation(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, limits: tuple[int, ...] = LIMITS) -> DataFrame:
+    """Means over labels and overlaps: (boxes, most, ap, ap50, ap75, ar)."""
+    curves = recall_precision(judged_boxes(detections, truth, overlaps, max(limits)), truth, overlaps, limits)
+    at = lambda o: F.avg(F.when(F.col("overlap") == o, F.col("ap")))
+    return curves.groupBy("boxes", "most").agg(F.avg("ap").alias("ap"), at(0.5).alias("ap50"), at(0.75).alias("ap75"), F.avg("recall").alias("ar"))
