@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.knowledge import load as load_knowledge
-from ..operators import cluster, layout, spatial, tables
+from ..operators import chains, cluster, layout, spatial, tables
 
 Tables = dict[str, DataFrame]
 STAGES: dict[str, Callable] = {}
@@ -123,9 +123,10 @@ def cells(frames: Tables, apply_to="String", lines="Line", strings="String", dra
 
 @stage("MarkovChainRecognizer")
 def rows(frames: Tables, threshold_vertical_translation=3.0, lines="Line", strings="String", apply_to=("TableCell",), table_grid=("DrawnLine", "LogicalLine"), max_iterations=10, convergence_threshold=0.1) -> Tables:
-    boxes = frames["cells"].withColumn("area_id", F.col("group_id"))
-    placed = cluster.row_islands(boxes, float(threshold_vertical_translation))
-    return {"rows": placed, "widths": tables.modal_width(placed.groupBy("page_id", "row_no").agg(F.count("*").alias("n")), "page_id")}
+    """Rows of cells that no flat line of ``table_grid`` parts, by walks until two groupings agree; and the probable number of columns."""
+    grid = frames["areas"].where(F.col("category").isin(*table_grid) & (F.col("y2") - F.col("y1") <= F.col("x2") - F.col("x1")))
+    found = chains.row_chains(frames["cells"].withColumn("area_id", F.col("group_id")), grid, float(threshold_vertical_translation), int(max_iterations), float(convergence_threshold))
+    return {"rows": found, "widths": chains.probable_width(found)}
 
 
 @stage("FunctionalRecognizer")

@@ -127,6 +127,15 @@ def sliding_metric(spark, d):
     return table(spark, d, "events").select("event_id", F.round(F.avg("value").over(w), 6).alias("mean"), F.max("value").over(w).alias("top"), F.round(F.percentile("value", 0.5).over(w), 6).alias("mid"))
 
 
+@query("sliding_stream", "SELECT user_id, event_id, round(avg(value) OVER w, 6) AS mean, max(value) OVER w AS top, round(median(value) OVER w, 6) AS mid, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 9) AS overall, count(*) OVER w AS n FROM events WHERE ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)")
+def sliding_stream(spark, d):
+    """The sliding metric as a stream with state and timers."""
+    from ..streaming.sliding import streamed
+
+    found = streamed(spark, table(spark, d, "events"))
+    return found.select("user_id", "event_id", F.round("mean", 6).alias("mean"), "top", F.round("mid", 6).alias("mid"), F.round("overall", 9).alias("overall"), "n")
+
+
 @query("mode_value", "SELECT user_id, event_type, n FROM (SELECT user_id, event_type, count(*) AS n, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, min(event_id)) AS j FROM events GROUP BY 1, 2) WHERE j = 1")
 def mode_value(spark, d):
     h = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("f"))
