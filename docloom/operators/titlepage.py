@@ -104,3 +104,33 @@ def metadata(numbers: DataFrame, records: DataFrame, doc: str = "doc_id") -> Dat
     met = tried.join(records, "patent_no")
     first = met.withColumn("j", F.row_number().over(Window.partitionBy(doc).orderBy("k"))).where("j = 1")
     return first.drop("j", "k")
+
+
+#: The codes that a field is taken from, the first that is there.
+FIELDS = {"title": (54,), "inventors": (72, 75, 76), "applicant": (71, 75, 76), "assignee": (73, 76), "published": (45, 43), "classes": (51,), "abstract": (57,)}
+
+
+def from_title_page(areas: DataFrame, pages: DataFrame) -> DataFrame:
+    """Records (doc_id, title, inventors, applicant, assignee, publication_date, ipc, abstract) read off title pages.
+
+    ``areas``: doc_id, page_id, area_id, category, content, box; ``pages``: doc_id, page_id, img_width, division. Each code's area is the one that carries it
+    (``first_labels``); its text is what stands right of it on its side of the page (``right_blocks``), or what follows the code in the area itself. Documents without any are left out.
+    """
+    labels = first_labels(areas).join(areas.select("doc_id", "area_id", "page_id", "content", "x1", "y1", "x2", "y2"), ["doc_id", "area_id"])
+    middles = pages.select("doc_id", "page_id").join(page_middle(pages), "doc_id").select("page_id", "middle")
+    text = areas.where(F.col("content").isNotNull())
+    # a label is no text of another label
+    others = text.join(labels.select("page_id", "area_id").distinct(), ["page_id", "area_id"], "left_anti")
+    right = right_blocks(labels.select("page_id", "area_id", "x1", "y1", "x2", "y2").distinct(), others, middles).select("page_id", F.col("label").alias("area_id"), F.col("content").alias("beside"))
+    own = F.nullif(F.trim(F.regexp_replace("content", r"^\s*[\[(]?\s*\d\d\s*[\])]?", "")), F.lit(""))
+    told = labels.withColumn("own", own).join(right, ["page_id", "area_id"], "left").withColumn("text", F.coalesce("own", "beside")).where("text IS NOT NULL")
+    first = lambda codes: F.min(F.when(F.col("code").cast("int").isin(*codes), F.struct(F.array_position(F.array(*map(F.lit, codes)), F.col("code").cast("int")).alias("k"), "text")))["text"]
+    out = told.groupBy("doc_id").agg(*[first(codes).alias(name) for name, codes in FIELDS.items()])
+    return out.select("doc_id", F.regexp_replace("title", r"^(?:\[[A-Z]{2}\])\s", "").alias("title"), "inventors", "applicant", "assignee", any_date(F.col("published")).alias("publication_date"), F.array_sort(F.array_distinct(ipc_codes(F.col("classes")))).alias("ipc"), "abstract")
+
+
+def documents_metadata(numbers: DataFrame, records: DataFrame, areas: DataFrame, pages: DataFrame) -> DataFrame:
+    """Each document's bibliographic record, or where there is none what its title page says; ``patent_no`` is null then."""
+    known = metadata(numbers, records)
+    read = from_title_page(areas, pages).join(known.select("doc_id"), "doc_id", "left_anti")
+    return known.select("doc_id", "patent_no", "title", "inventors", "applicant", "assignee", "publication_date", "ipc", "abstract").unionByName(read.withColumn("patent_no", F.lit(None).cast("string")))

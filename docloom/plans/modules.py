@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import knowledge
 from ..operators import captions, cluster, density, dictionary, layout, raster, references, revisions, structure, tables, titlepage
 from ..sources import images as pictures
-from ..sources import readers, spans, writers
+from ..operators.graph import cut
+from ..sources import pdf, readers, spans, writers
 from .pipeline import Tables, stage
 
 MODELS: dict[str, tuple[Callable, str]] = {}
@@ -76,7 +77,14 @@ def import_images(frames: Tables, path="") -> Tables:
 
 @stage("PDFConverter")
 def convert(frames: Tables, keep_chars=False, extract_drawn_figures=False, dpi=300) -> Tables:
-    """Words of spans, and strokes and figures of drawings, as the extractor plug-in hands them over in ``spans`` and ``drawings``."""
+    """Words of spans, and strokes and figures of drawings: of the PDF files in ``pdf_files`` (doc_id, content), or as an extractor plug-in hands them over in ``spans`` and ``drawings``."""
+    if "pdf_files" in frames and "spans" not in frames:
+        found = pdf.pdf_tables(frames["pdf_files"])
+        # written once, so that a page keeps its number
+        pages = cut(found["pages"].withColumn("number", F.col("page_id")).withColumn("page_no", F.monotonically_increasing_id()), "pdf-pages")
+        own = lambda name: found[name].join(pages.select("doc_id", "page_id", "page_no"), ["doc_id", "page_id"]).withColumn("page_id", F.col("page_no")).drop("page_no", "doc_id")
+        told = {"pdf_pages": pages.withColumn("page_id", F.col("page_no")).drop("page_no"), "spans": own("words"), "drawings": own("items"), "pdf_images": own("images"), "pdf_errors": found["errors"]}
+        return told | convert({**frames, **told}, keep_chars, extract_drawn_figures, dpi)
     words = spans.fold_spans(frames["spans"])
     out = {"words": words}
     if extract_drawn_figures and "drawings" in frames:
@@ -228,11 +236,15 @@ def correct(frames: Tables, dict_path="", distance=1, distance_type="levenshtein
 
 @stage("MetadataExtractor")
 def extract_metadata(frames: Tables, lines="Line", strings="String", string="String") -> Tables:
-    """Document numbers; with ``bibliography`` rows (patent_no, pos, inid, criterion, content) also their records."""
+    """Document numbers; with ``bibliography`` rows (patent_no, pos, inid, criterion, content) also their records, with ``title_areas`` and
+    ``title_pages`` what title pages say where there is no such record."""
     numbers = titlepage.document_numbers(frames["lines"])
     out = {"document_numbers": numbers}
     if "bibliography" in frames:
-        out["metadata"] = titlepage.metadata(numbers, titlepage.bibliography(frames["bibliography"]))
+        records = titlepage.bibliography(frames["bibliography"])
+        out["metadata"] = titlepage.documents_metadata(numbers, records, frames["title_areas"], frames["title_pages"]) if "title_areas" in frames else titlepage.metadata(numbers, records)
+    elif "title_areas" in frames:
+        out["metadata"] = titlepage.from_title_page(frames["title_areas"], frames["title_pages"])
     return out
 
 

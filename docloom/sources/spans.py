@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import Box
+
 _LINE = ("page_id", "line_id")
 #: Pixels that a page image may have on a side; points to an inch; share of the previous size up to which a span is raised or lowered.
 MOST_PIXELS, POINTS, SMALL = 9000, 72, 0.75
@@ -122,3 +124,29 @@ def majority_font(chars: DataFrame, keys: tuple[str, ...] = ("page_id", "word_id
     """The most frequent font of each word's characters; the first by name among equals."""
     n = chars.groupBy(*keys, "font").agg(F.count("*").alias("n"))
     return n.groupBy(*keys).agg(F.min(F.struct((-F.col("n")).alias("k"), "font")).alias("m")).select(*keys, F.col("m.font").alias("font"))
+
+
+#: Names of tokens that stand for pictures and lines, and the font where none is known.
+PICTURE, LINE, NO_FONT = "##LTFigure##", "##LTLine##", "default"
+
+
+def layout_tokens(words: DataFrame, chars: DataFrame, pictures: DataFrame, lines: DataFrame, pages: DataFrame, share: float = 0.95) -> DataFrame:
+    """Tokens of pages for layout models: page_id, place, token, x1, y1, x2, y2 (0 to 1000), font.
+
+    Words (page_id, word_id, content, box) come first, in the order of their ids, then pictures, then lines (page_id, area_id, box). A word's font is
+    the most common of the characters (page_id, char_id, font, box) with over ``share`` of their area inside it, the first met among equals.
+    Boxes are whole thousandths of the page's width and height (whole points); those of pictures and lines of its width on both axes. Blanks in words go.
+    """
+    a, b = Box.of("a"), Box.of("b")
+    w, h = F.least(a.x2, b.x2) - F.greatest(a.x1, b.x1), F.least(a.y2, b.y2) - F.greatest(a.y1, b.y1)
+    on = (F.col("a.page_id") == F.col("b.page_id")) & (w >= 0) & (h >= 0) & (b.area > 0) & (w * h > share * b.area)
+    inside = words.alias("a").join(chars.alias("b"), on).groupBy("a.page_id", "a.word_id", "b.font").agg(F.count("*").alias("n"), F.min("b.char_id").alias("first"))
+    fonts = inside.groupBy("page_id", "word_id").agg(F.max(F.struct("n", (-F.col("first")).alias("f"), "font"))["font"].alias("font"))
+    part = lambda c, size: F.least(F.lit(1000), F.greatest(F.lit(0), (F.col(c) / size * 1000).cast("int")))
+    width, height = F.col("xml_width").cast("int"), F.col("xml_height").cast("int")
+    box = lambda across, down: [part("x1", across).alias("x1"), part("y1", down).alias("y1"), part("x2", across).alias("x2"), part("y2", down).alias("y2")]
+    told = words.join(fonts, ["page_id", "word_id"], "left").join(pages, "page_id").select("page_id", F.lit(0).alias("kind"), F.col("word_id").alias("id"), squeezed(F.col("content")).alias("token"), *box(width, height), F.coalesce("font", F.lit(NO_FONT)).alias("font"))
+    for kind, (name, rows) in enumerate(((PICTURE, pictures), (LINE, lines)), 1):
+        told = told.unionByName(rows.join(pages, "page_id").select("page_id", F.lit(kind).alias("kind"), F.col("area_id").alias("id"), F.lit(name).alias("token"), *box(width, width), F.lit(NO_FONT).alias("font")))
+    order = Window.partitionBy("page_id").orderBy("kind", "id")
+    return told.withColumn("place", F.row_number().over(order).cast("long") - 1).select("page_id", "place", "token", "x1", "y1", "x2", "y2", "font")
