@@ -38,14 +38,51 @@ DIGITS = {"ip": 4, "card": 6, "phone": 6}
 _NEAR = (80, 4000)
 
 
-def _found(rule: str, guard):
-    """Array of (m, s, e): matches of a rule with code point places."""
-    lit = F.lit(rule)
-    cut, hits = F.split("text", rule, -1), F.regexp_extract_all("text", lit, F.lit(0))
-    step = lambda a, x: F.struct((a["p"] + F.length(x["piece"]) + F.length(x["m"])).alias("p"), F.concat(a["out"], F.array(F.struct(x["m"].alias("m"), (a["p"] + F.length(x["piece"])).alias("s"), (a["p"] + F.length(x["piece"]) + F.length(x["m"])).alias("e")))).alias("out"))
-    none = F.array().cast("array<struct<m:string,s:int,e:int>>")
-    both = F.filter(F.arrays_zip(cut.alias("piece"), hits.alias("m")), lambda x: x["m"].isNotNull())
-    return F.when(guard, F.aggregate(both, F.struct(F.lit(0).alias("p"), none.alias("out")), step, lambda a: a["out"])).otherwise(none)
+#: Matches whose places are added up at once, and characters of a block of text.
+_MATCHES, _BLOCK = 128, 1024
+_SPANS = "array<struct<m:string,s:int,e:int>>"
+
+
+def _matches(df: DataFrame, rules: dict) -> DataFrame:
+    """The table with an array of (m, s, e) for each name: matches of a rule with code point places, where its guard holds.
+
+    Places are sums of lengths, first inside groups of ``_MATCHES`` and then over groups: near linear in the number of matches.
+    """
+    names, none = list(rules), F.array().cast("array<struct<a:int,m:string>>")
+
+    def cut(rule, guard):
+        pieces, hits = F.split("text", rule, -1), F.regexp_extract_all("text", F.lit(rule), F.lit(0))
+        both = F.filter(F.arrays_zip(pieces.alias("piece"), hits.alias("m")), lambda x: x["m"].isNotNull())
+        return F.when(guard, F.transform(both, lambda x: F.struct(F.length(x["piece"]).alias("a"), x["m"].alias("m")))).otherwise(none)
+
+    df = df.withColumns({f"_z_{n}": cut(*rules[n]) for n in names})
+
+    def placed(z):
+        step = lambda t, x: F.struct((t["p"] + x["a"] + F.length(x["m"])).alias("p"), F.concat(t["out"], F.array(F.struct(x["m"].alias("m"), (t["p"] + x["a"]).alias("s"), (t["p"] + x["a"] + F.length(x["m"])).alias("e")))).alias("out"))
+        last = F.greatest(F.floor((F.size(z) - 1) / _MATCHES), F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.aggregate(F.slice(z, i * _MATCHES + 1, F.lit(_MATCHES)), F.struct(F.lit(0).alias("p"), F.array().cast(_SPANS).alias("out")), step))
+
+    df = df.withColumns({f"_g_{n}": placed(F.col(f"_z_{n}")) for n in names})
+
+    def moved(g):
+        before = F.aggregate(g, F.struct(F.lit(0).alias("p"), F.array().cast("array<int>").alias("out")), lambda t, x: F.struct((t["p"] + x["p"]).alias("p"), F.concat(t["out"], F.array(t["p"])).alias("out")), lambda t: t["out"])
+        return F.flatten(F.transform(F.arrays_zip(g.alias("g"), before.alias("o")), lambda x: F.transform(x["g"]["out"], lambda y: F.struct(y["m"].alias("m"), (y["s"] + x["o"]).alias("s"), (y["e"] + x["o"]).alias("e")))))
+
+    return df.withColumns({n: moved(F.col(f"_g_{n}")) for n in names}).drop(*[f"_{k}_{n}" for k in "zg" for n in names])
+
+
+def _blocks(text):
+    """The text in blocks of ``_BLOCK`` characters, cut from larger ones: no place is looked for from the text's beginning."""
+    wide = 64 * _BLOCK
+    cut = lambda t, size: F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.length(t) - 1, F.lit(0)) / size).cast("int")), lambda i: F.substring(t, i * size + 1, F.lit(size)))
+    return F.flatten(F.transform(cut(text, wide), lambda t: cut(t, _BLOCK)))
+
+
+def _between(blocks, a, b):
+    """The characters at places a to b of a text in blocks."""
+    first, last = F.floor(a / _BLOCK).cast("int"), F.floor(F.greatest(b - 1, a) / _BLOCK).cast("int")
+    some = F.when(last == first, F.get(blocks, first)).when(last == first + 1, F.concat(F.get(blocks, first), F.get(blocks, last))).otherwise(F.array_join(F.slice(blocks, first + 1, last - first + 1), ""))
+    return F.when(b > a, F.substring(some, a - first * _BLOCK + 1, b - a)).otherwise("")
 
 
 def _digits(m):
@@ -72,7 +109,7 @@ def _valid(kind: str):
 def base_spans(text: DataFrame) -> DataFrame:
     """doc_id, row (unique), text, base (array of rank, kind, s, e, m by kind, then place) of whole texts."""
     has = {"email": F.contains("text", F.lit("@")), "ip": F.col("text").rlike(r"[0-9]\.[0-9]"), "card": F.col("text").rlike(r"[0-9](?:[ -]?[0-9]){15}"), "phone": F.col("text").rlike(r"\+[0-9]")}
-    out = text.select("doc_id", F.monotonically_increasing_id().alias("row"), "text", *[_found(RULES[k], has[k]).alias(f"r_{k}") for k in KINDS])
+    out = _matches(text.select("doc_id", F.monotonically_increasing_id().alias("row"), "text"), {f"r_{k}": (RULES[k], has[k]) for k in KINDS})
     tag = lambda k, n: F.transform(F.filter(f"r_{k}", _valid(k)), lambda x: F.struct(F.lit(n).alias("rank"), F.lit(k).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m")))
     return out.select("doc_id", "row", "text", F.concat(*[tag(k, n) for n, k in enumerate(KINDS)]).alias("base"))
 
@@ -83,38 +120,61 @@ _ONE = rf"^[^A-Za-z0-9{SPACE}]*[{SPACE}]+([^{SPACE}]+)"
 
 def _words_before(s, n):
     """The two words before place ``s`` if they stand whole within ``n`` characters, else empty."""
-    near = F.substring(F.col("text"), F.greatest(s - n, F.lit(0)) + 1, F.least(s, F.lit(n)))
+    near = _between(F.col("blocks"), F.greatest(s - n, F.lit(0)), s)
     return F.when(s <= n, F.regexp_extract(near, rf"(?:^|[{SPACE}]){_TWO}", 1)).otherwise(F.regexp_extract(near, rf"[{SPACE}]{_TWO}", 1))
 
 
 def _word_after(e, n):
     """The word after place ``e`` if it stands whole within ``n`` characters, else empty."""
-    near = F.substring(F.col("text"), e + 1, F.lit(n))
+    near = _between(F.col("blocks"), e, F.least(e + n, F.col("n")))
     return F.when(F.col("n") - e <= n, F.regexp_extract(near, _ONE, 1)).otherwise(F.regexp_extract(near, rf"{_ONE}[{SPACE}]", 1))
 
 
+def _merged(items, marks):
+    """Items and marks (places) in one order, an item before a mark at its own place."""
+    return F.sort_array(F.concat(F.transform(items, lambda x: F.struct(x["s"].alias("p"), F.lit(0).alias("mark"), x["e"].alias("e"))), F.transform(marks, lambda p: F.struct(p.alias("p"), F.lit(1).alias("mark"), p.alias("e")))))
+
+
+def _marked(merged):
+    """For each item, in order, whether a mark lies in it. Items are apart, so that is so if what comes next is a mark before its end."""
+    told = F.transform(merged, lambda x, i: F.struct(x["mark"].alias("mark"), F.coalesce((F.get(merged, i + 1)["mark"] == 1) & (F.get(merged, i + 1)["p"] < x["e"]), F.lit(False)).alias("hit")))
+    return F.transform(F.filter(told, lambda x: x["mark"] == 0), lambda x: x["hit"])
+
+
+def _parts(x):
+    """Places where the blank-separated parts of a match begin."""
+    at = F.filter(F.sequence(F.lit(0), F.length(x["m"]) - 1), lambda i: (F.substring(x["m"], i + 1, F.lit(1)) != " ") & ((i == 0) | (F.substring(x["m"], i, F.lit(1)) == " ")))
+    return F.transform(at, lambda i: i + x["s"])
+
+
 def _mentions(found: DataFrame) -> DataFrame:
     """doc_id, row, base without texts, and mentions (kind or null, s, e, inst, at, digits, pats)."""
-    found = found.select("doc_id", "row", "text", "base", F.length("text").alias("n"), _found(TOKEN, F.col("text").rlike("[0-9@]")).alias("tokens"), _found(GROUPS, F.col("text").rlike("[0-9).-] [0-9(]")).alias("groups"))
+    found = _matches(found.select("doc_id", "row", "text", "base"), {"tokens": (TOKEN, F.col("text").rlike("[0-9@]")), "groups": (GROUPS, F.col("text").rlike("[0-9).-] [0-9(]"))})
+    # what could never be taken for any kind is no mention; a group of few digits inside a run is none by itself
+    digits = lambda x: F.length(_digits(x["m"]))
+    able = lambda x: F.contains(x["m"], F.lit("@")) | (digits(x) >= min(DIGITS.values()))
+    found = found.withColumns({"tokens": F.filter("tokens", able), "based": F.flatten(F.transform("base", _parts)), "grouped": F.flatten(F.transform("groups", _parts))})
+    # a span of any kind that meets a token or a run of groups has a part that begins in it
+    found = found.withColumns({"t_base": _merged(F.col("tokens"), F.col("based")), "t_group": _merged(F.col("tokens"), F.col("grouped")), "g_base": _merged(F.col("groups"), F.col("based"))})
+    found = found.withColumns({c: _marked(F.col(c)) for c in ("t_base", "t_group", "g_base")})
     # token punctuation at the ends is no part of the identifier
     head = lambda x: F.length(F.regexp_extract(x["m"], "^[\"'(\\[<{:=,;]*", 0))
     tail = lambda x: F.length(F.regexp_extract(x["m"], "[^A-Za-z0-9]*$", 0))
     trimmed = lambda c: F.transform(c, lambda x: F.struct(F.substring(x["m"], head(x) + 1, F.length(x["m"]) - head(x) - tail(x)).alias("m"), (x["s"] + head(x)).alias("s"), (x["e"] - tail(x)).alias("e")))
-    digits = lambda x: F.length(_digits(x["m"]))
-    within = lambda x: F.exists("groups", lambda g: (g["s"] < x["e"]) & (x["s"] < g["e"]))
-    # what could never be taken for any kind is no mention; a group of few digits inside a run is none by itself
-    able = lambda x: F.contains(x["m"], F.lit("@")) | (digits(x) >= min(DIGITS.values()))
-    single = F.filter(F.filter("tokens", able), lambda x: (digits(x) >= min(DIGITS["card"], DIGITS["phone"])) | ~within(x))
-    other = F.filter(F.concat(trimmed(single), trimmed("groups")), lambda x: (x["s"] < x["e"]) & ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    zipped = lambda x, **marks: F.arrays_zip(F.col(x).alias("x"), *[F.col(c).alias(n) for n, c in marks.items()])
+    single = F.transform(F.filter(zipped("tokens", based="t_base", grouped="t_group"), lambda z: ~z["based"] & ((digits(z["x"]) >= min(DIGITS["card"], DIGITS["phone"])) | ~z["grouped"])), lambda z: z["x"])
+    several = F.transform(F.filter(zipped("groups", based="g_base"), lambda z: ~z["based"]), lambda z: z["x"])
+    found = found.select("doc_id", "row", "base", F.length("text").alias("n"), _blocks(F.col("text")).alias("blocks"), F.filter(F.concat(trimmed(single), trimmed(several)), lambda x: x["s"] < x["e"]).alias("other"))
+    other = F.col("other")
     every = F.concat(F.transform("base", lambda b: F.struct(b["kind"].alias("kind"), b["s"].alias("s"), b["e"].alias("e"), b["m"].alias("m"))), F.transform(other, lambda x: F.struct(F.lit(None).cast("string").alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"))))
     # one step for the usual mentions, another for those whose words reach farther
     first, far = _NEAR
     keep = lambda x: [x[c].alias(c) for c in ("kind", "s", "e", "m")]
-    found = found.select("doc_id", "row", "base", "text", "n", F.transform(every, lambda x: F.struct(*keep(x), _words_before(x["s"], first).alias("two"), _word_after(x["e"], first).alias("right"))).alias("mentions"))
+    found = found.select("doc_id", "row", "base", "blocks", "n", F.transform(every, lambda x: F.struct(*keep(x), _words_before(x["s"], first).alias("two"), _word_after(x["e"], first).alias("right"))).alias("mentions"))
 
     def reach(x):
-        all_before = F.regexp_extract(F.substring(F.col("text"), F.lit(1), x["s"]), rf"(?:^|[{SPACE}]){_TWO}", 1)
-        all_after = F.regexp_extract(F.substring(F.col("text"), x["e"] + 1, F.col("n") - x["e"]), _ONE, 1)
+        all_before = F.regexp_extract(_between(F.col("blocks"), F.lit(0), x["s"]), rf"(?:^|[{SPACE}]){_TWO}", 1)
+        all_after = F.regexp_extract(_between(F.col("blocks"), x["e"], F.col("n")), _ONE, 1)
         two = F.when((x["s"] <= first) | (x["two"] != ""), x["two"]).otherwise(F.coalesce(F.nullif(_words_before(x["s"], far), F.lit("")), all_before))
         right = F.when((F.col("n") - x["e"] <= first) | (x["right"] != ""), x["right"]).otherwise(F.coalesce(F.nullif(_word_after(x["e"], far), F.lit("")), all_after))
         return F.struct(*keep(x), F.lower(two).alias("two"), F.lower(right).alias("right"))
@@ -162,16 +222,19 @@ def find_pii(docs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, patt
     none = F.array().cast("array<struct<rank:int,kind:string,s:int,e:int>>")
     base = F.transform("base", lambda b: F.struct(b["rank"].alias("rank"), b["kind"].alias("kind"), b["s"].alias("s"), b["e"].alias("e")))
     out = seen.join(extra, "row", "left").select("doc_id", F.sort_array(base).alias("base"), F.coalesce("extra", none).alias("extra"))
-    key = lambda c: F.sort_array(F.array_distinct(c))
-    return out.select("doc_id", "base", key(F.concat("base", "extra")).alias("spans"))
+    # extra spans are apart from base spans, and each is there once
+    return out.select("doc_id", "base", F.sort_array(F.concat("base", "extra")).alias("spans"))
 
 
-def redact(text, spans):
-    """The text with every span, overlapping ones as one, replaced by its kind in brackets."""
-    ordered = F.sort_array(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
+def redact(docs: DataFrame) -> DataFrame:
+    """The table with every span (``spans``) of its ``text``, overlapping ones as one, replaced by its kind in brackets."""
+    ordered = F.sort_array(F.transform("spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
+    some = F.size("spans") > 0
+    cut = docs.withColumn("_blocks", F.when(some, _blocks(F.col("text"))))
     start = F.struct(F.lit(0).alias("p"), F.array().cast("array<string>").alias("out"))
-    put = lambda a, x: F.when(x["s"] >= a["p"], F.struct(x["e"].alias("p"), F.concat(a["out"], F.array(F.substring(text, a["p"] + 1, x["s"] - a["p"]), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))).alias("out"))).otherwise(F.struct(F.greatest(a["p"], x["e"]).alias("p"), a["out"].alias("out")))
-    return F.when(F.size(spans) > 0, F.aggregate(ordered, start, put, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["p"] + 1, F.length(text))))).otherwise(text)
+    put = lambda a, x: F.when(x["s"] >= a["p"], F.struct(x["e"].alias("p"), F.concat(a["out"], F.array(_between(F.col("_blocks"), a["p"], x["s"]), F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))).alias("out"))).otherwise(F.struct(F.greatest(a["p"], x["e"]).alias("p"), a["out"].alias("out")))
+    whole = F.aggregate(ordered, start, put, lambda a: F.concat(F.array_join(a["out"], ""), _between(F.col("_blocks"), a["p"], F.length("text"))))
+    return cut.withColumn("text", F.when(some, whole).otherwise(F.col("text"))).drop("_blocks")
 
 
 def digest(found: DataFrame) -> DataFrame:

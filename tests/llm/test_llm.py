@@ -273,7 +273,23 @@ def test_pii_learns_from_context(spark):
     found = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [(x.kind, x.s, x.e) for x in found[99].spans] == [("phone", 19, 29)] and not found[100].spans
     t = spark.createDataFrame([("ab me@x.org cd +12345678 e",)], "text string").withColumn("spans", F.expr("array(struct(0 AS rank, 'email' AS kind, 3 AS s, 11 AS e), struct(3 AS rank, 'phone' AS kind, 15 AS s, 24 AS e))"))
-    assert t.select(pii.redact(F.col("text"), F.col("spans"))).first()[0] == "ab [EMAIL] cd [PHONE] e"
+    assert pii.redact(t).first().text == "ab [EMAIL] cd [PHONE] e"
+    long = spark.createDataFrame([("é" * 3000 + "me@x.org" + "z" * 5000, [("email", 3000, 3008)]), ("", []), (None, None)], "text string, spans array<struct<kind:string,s:int,e:int>>")
+    assert [r.text for r in pii.redact(long).collect()] == ["é" * 3000 + "[EMAIL]" + "z" * 5000, "", None]
+
+
+def test_pii_is_linear_in_the_text(spark):
+    """A text of 0.8 MB with 24,000 mentions, base spans and runs of groups among them."""
+    import time
+
+    kinds = ["call 499 555 {:04d} now", "mail u{}@x.org soon", "id {:08d} given", "at +1 499 555 {:04d} or"]
+    text = " ".join(kinds[i % 4].format(i % 10000) + " wörter" for i in range(24_000))
+    docs = spark.createDataFrame([(1, text), (2, text[:400])], "doc_id long, text string")
+    pii.find_pii(docs.where("doc_id = 2")).count()
+    start = time.time()
+    got = {r.doc_id: r for r in pii.digest(pii.find_pii(docs)).collect()}
+    assert got[1].n_email == 6000 and got[1].n_phone == 6000 and time.time() - start < 60
+    assert pii.redact(pii.find_pii(docs).where("doc_id = 1").withColumn("text", F.lit(text))).first().text.count("[EMAIL]") == 6000
 
 
 def test_pii_context_is_not_cut(spark):
