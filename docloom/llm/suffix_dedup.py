@@ -43,7 +43,7 @@ def anchors(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, keys = batch["text"].tolist(), batch["doc_id"].to_numpy()
-            for a, b in slices(texts, 2_000_000):
+            for a, b in slices(texts, 1_000_000):
                 raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts[a:b]]
                 sizes = np.fromiter(map(len, raw), np.int64, len(raw))
                 data = np.frombuffer(b"".join(raw), np.uint8)

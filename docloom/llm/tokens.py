@@ -21,9 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks that a worker keeps at most; the cache starts anew beyond it.
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS = 450_000
 #: Bytes of text that are encoded at once.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 _TAIL = ".,;:!?*$%&#|"
 _ALNUM = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
 
