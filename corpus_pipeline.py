@@ -79,7 +79,7 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     rows = _rows(docs)
     spans = pii.find_pii(_by_row(rows)).where(F.size("spans") > 0).select(F.col("doc_id").alias("row"), "spans")
     met = rows.join(spans, "row", "left")
-    met = met.withColumn("text", F.when(F.size("spans") > 0, pii.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    met = pii.redact(met)
     changed = F.size(F.coalesce("spans", F.array().cast(met.schema["spans"].dataType))) > 0
     return met.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
