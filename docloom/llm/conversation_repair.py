@@ -235,5 +235,44 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.withColumn("repaired_sha256", F.sha2(joined, 256)).drop("repaired")
 
 
+def _sql() -> str:
+    """The same rows by the plain recurrence from each conversation's last row to its first: per grammar state the least key of cost and audit."""
+    put = lambda k, more, edit: f"lpad(CAST(CAST(substr({k}, 1, 9) AS BIGINT) + {more} AS VARCHAR), 9, '0') || '{edit}' || substr({k}, 10)"
+    cut = f"CASE WHEN cut THEN {TRUNCATED} ELSE 0 END"
+
+    def step(own: str, next_state: str, kept: dict[str, str]) -> str:
+        keep = " ".join(f"WHEN initial = '{c}' THEN {put(to, cut, 'K')}" for c, to in kept.items())
+        return f"least({put(own, DELETE, 'D')}, CASE WHEN NOT gone THEN {put(next_state, f'{REROLE} + {cut}', 'R')} END, CASE WHEN gone THEN NULL {keep} END)"
+
+    insert = lambda k: put(k, INSERT, "I")
+    return f"""
+WITH RECURSIVE tab AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(0, 256)) AS i))),
+raw AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS cid, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+hashed AS (SELECT raw.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(name) + 1), lambda i: CAST(ord(substr(name, i, 1)) AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM raw, tab),
+rows AS (SELECT cid, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN replace(replace(replace(text, '.', ''), '!', ''), '?', '') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text) AS n, substr(role, 1, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM rows),
+seen AS (SELECT *, row_number() OVER (PARTITION BY cid, role, text ORDER BY n) > 1 AS again, lag(initial) OVER (PARTITION BY cid ORDER BY n) AS before FROM placed),
+coded AS (SELECT cid, n, turn, role, text, initial, said = '' AS blank, said <> '' AND again AS twice, said <> '' AND NOT again AND right(said, 1) NOT IN ('.', '!', '?') AS cut, said = '' OR again AS gone, before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au') AS illegal FROM seen),
+counts AS (SELECT cid, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE twice) AS duplicate, count(*) FILTER (WHERE cut) AS truncated, count(*) FILTER (WHERE illegal) AS illegal FROM coded GROUP BY cid),
+best AS (
+  SELECT cid, n AS t, '000000000' AS v0, '000000006II' AS vs, '000000003I' AS vu, '000000000' AS va FROM counts
+  UNION ALL
+  SELECT cid, t, least(b0, {insert("wu")}), least(bs, {insert("wu")}), wu, wa FROM (
+    SELECT *, least(bu, {insert("ba")}) AS wu, least(ba, {insert("bu")}) AS wa FROM (
+      SELECT x.cid, x.t - 1 AS t, {step("v0", "vu", {"u": "vu", "s": "vs"})} AS b0, {step("vs", "vu", {"u": "vu"})} AS bs, {step("vu", "va", {"a": "va"})} AS bu, {step("va", "vu", {"u": "vu"})} AS ba
+      FROM best x JOIN coded r ON r.cid = x.cid AND r.n = x.t
+    )
+  )
+),
+told AS (SELECT cid, CAST(substr(v0, 1, 9) AS BIGINT) AS cost, substr(v0, 10) AS audit FROM best WHERE t = 0),
+edits AS (SELECT cid, i, substr(audit, i, 1) AS edit FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS i FROM told)),
+numbered AS (SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER w AS n, count(*) FILTER (WHERE edit <> 'D') OVER w AS place FROM edits WINDOW w AS (PARTITION BY cid ORDER BY i ROWS UNBOUNDED PRECEDING)),
+kept AS (SELECT e.cid, e.i, e.edit, e.place, CASE WHEN e.edit <> 'I' THEN r.role END AS role, CASE WHEN e.edit = 'I' THEN '' ELSE r.text END AS text, max(CASE WHEN e.place = 1 AND e.edit = 'K' AND r.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.cid) AS first FROM numbered e LEFT JOIN coded r ON r.cid = e.cid AND r.n = e.n WHERE e.edit <> 'D'),
+fixed AS (SELECT cid, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - first) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS repaired FROM kept GROUP BY cid)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT cid, conv_id FROM raw) c LEFT JOIN counts USING (cid) LEFT JOIN told USING (cid) LEFT JOIN fixed USING (cid)
+"""
+
+
 QUERIES = {"op12_conversation_repair": op12_conversation_repair}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op12_conversation_repair": _sql()}

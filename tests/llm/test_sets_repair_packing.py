@@ -174,8 +174,11 @@ def test_conversation_query(spark, sf):
             role = "user"
         text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
         rows += [(r.turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
-    got = {r.conv_id: r for r in conversation_repair.op12_conversation_repair(spark, sf).collect()}
+    found = conversation_repair.op12_conversation_repair(spark, sf)
+    got = {r.conv_id: r for r in found.collect()}
     assert set(got) == set(convs)
+    sql = duckdb.sql(conversation_repair.ORACLE["op12_conversation_repair"].replace("FROM conversations", f"FROM '{sf}/conversations.parquet'"))
+    assert sql.columns == found.columns and sorted(map(str, sql.fetchall())) == sorted(str(tuple(r)) for r in got.values())
     for c, rows in convs.items():
         *counts, cost, audit, fixed = brute_repair([(role, x) for _, role, x in order(rows)])
         r = got[c]
