@@ -31,11 +31,11 @@ named AS (SELECT m.page_id, m.b, min(r.root) AS least FROM met m JOIN root r ON
 """
 
 
-@query("density_clusters", _B + _NEAR + "SELECT p.page_id, p.area_id AS point_id, r.root IS NOT NULL AS core, coalesce(r.root, n.least) AS cluster FROM p LEFT JOIN root r ON r.page_id = p.page_id AND r.a = p.area_id LEFT JOIN named n ON n.page_id = p.page_id AND n.b = p.area_id")
+@query("density_clusters", _B + _NEAR + "SELECT p.page_id, p.area_id AS point_id, r.root IS NOT NULL AS core, coalesce(r.root, n.least, -1) AS cluster FROM p LEFT JOIN root r ON r.page_id = p.page_id AND r.a = p.area_id LEFT JOIN named n ON n.page_id = p.page_id AND n.b = p.area_id")
 def density_clusters(spark, d):
-    """Corners of all boxes; four within forty pixels make a core point."""
+    """Corners of all boxes; four within forty pixels make a core point; -1 for points of no cluster."""
     points = boxes(spark, d).select("page_id", F.col("area_id").alias("point_id"), F.col("x1").alias("x"), F.col("y1").alias("y"))
-    return density.density_clusters(points, 40.0, 4).select("page_id", "point_id", "core", "cluster")
+    return density.density_clusters(points, 40.0, 4).select("page_id", "point_id", "core", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
 
 
 def _diagonals(spark, d: str) -> DataFrame:
