@@ -26,6 +26,8 @@ from .components import connected_components
 
 WIDTH = 5
 BUCKETS, CHUNK = 1 << 16, 1 << 12
+#: Ids (16 MB) up to which a list of documents is sent to all tasks, so that no text is shuffled to meet it.
+SENT_IDS = 1_000_000
 #: Pairs of a large cell that are tested at a time.
 SLAB = 1 << 20
 _CELL = "h long, g long, n int, pos int, p0 long, p1 long, p2 long, p3 long"
@@ -189,6 +191,11 @@ def _check(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
 
 
+def sent(ids: DataFrame) -> DataFrame:
+    """A written table of ids, broadcast if it has ``SENT_IDS`` rows at most; else both sides of its join are shuffled."""
+    return F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+
+
 def similar_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, class): documents connected by pairs at 0.8 or more have one class.
 
@@ -206,10 +213,10 @@ def similar_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"g": batch["g"], "s": [shingles(t, width).tobytes() for t in batch["text"]]})
 
-    wanted = names.join(members.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.min("doc_id").alias("doc_id"))
-    held = doc_text(docs).join(wanted, "doc_id").select("g", "text").mapInPandas(sets, "g long, s binary").join(members, "g")
+    wanted = materialize(names.join(members.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.min("doc_id").alias("doc_id")), "wanted")
+    held = doc_text(docs).join(sent(wanted), "doc_id").select("g", "text").mapInPandas(sets, "g long, s binary").join(members, "g")
     links = pairs.groupBy("h").cogroup(held.groupBy("h")).applyInPandas(_check, "u long, v long")
     tree = connected_components(links)
     out = materialize(names.join(tree, F.col("g") == F.col("vertex"), "left").select("doc_id", F.coalesce("root", "g").alias("class")), "classes")
-    remove(docs.sparkSession, scan._docloom_path, pairs._docloom_path, members._docloom_path)
+    remove(docs.sparkSession, scan._docloom_path, pairs._docloom_path, members._docloom_path, wanted._docloom_path)
     return out
