@@ -32,8 +32,9 @@ def _by_row(rows: DataFrame) -> DataFrame:
 
 
 def _only(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The documents whose row is among the chosen doc_ids."""
-    return rows.join(chosen.select(F.col("doc_id").alias("row")), "row", "left_semi").select(*COLUMNS)
+    """The documents whose row is among the chosen doc_ids: those of the others are found first, by ids alone, so that texts stay where they are."""
+    gone = materialize(rows.select("row").join(chosen.select(F.col("doc_id").alias("row")), "row", "left_anti"), "gone")
+    return rows.join(set_similarity.sent(gone), "row", "left_anti").select(*COLUMNS)
 
 
 def _least(rows: DataFrame, classes: DataFrame) -> DataFrame:
