@@ -26,7 +26,7 @@ from .components import connected_components
 
 WIDTH = 5
 BUCKETS, CHUNK = 1 << 16, 1 << 12
-#: Ids (16 MB) up to which a list of documents is sent to all tasks, so that no text is shuffled to meet it.
+#: Ids and cells (16 MB) up to which a list of documents is sent to all tasks, so that no text is shuffled to meet it.
 SENT_IDS = 1_000_000
 #: Pairs of a large cell that are tested at a time.
 SLAB = 1 << 20
@@ -191,9 +191,11 @@ def _check(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["u", "v"]).astype("int64")
 
 
-def sent(ids: DataFrame) -> DataFrame:
-    """A written table of ids, broadcast if it has ``SENT_IDS`` rows at most; else both sides of its join are shuffled."""
-    return F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+def sent(ids: DataFrame, cells: str | None = None) -> DataFrame:
+    """A written table of ids, broadcast if its rows and the entries of its array ``cells`` are ``SENT_IDS`` at most; else
+    both sides of its join are shuffled."""
+    each = F.lit(1) + F.size(cells) if cells else F.lit(1)
+    return F.broadcast(ids) if (ids.agg(F.sum(each.cast("long"))).first()[0] or 0) <= SENT_IDS else ids
 
 
 def similar_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -206,15 +208,18 @@ def similar_classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     names = scan.where("chunk < 0").select("doc_id", "g")
     pairs = materialize(_pairs(_cells(docs, _weights(scan), width)), "pairs")
     release(docs.sparkSession)
-    members = pairs.select("h", F.col("a").alias("g")).unionByName(pairs.select("h", F.col("b").alias("g"))).distinct()
-    members = materialize(members, "members")
+    members = pairs.select("h", F.col("a").alias("g")).unionByName(pairs.select("h", F.col("b").alias("g")))
+    members = materialize(members.groupBy("g").agg(F.collect_set("h").alias("cells")), "members")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"g": batch["g"], "s": [shingles(t, width).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"g": batch["g"], "cells": batch["cells"], "s": [shingles(t, width).tobytes() for t in batch["text"]]})
 
-    wanted = materialize(names.join(members.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.min("doc_id").alias("doc_id")), "wanted")
-    held = doc_text(docs).join(sent(wanted), "doc_id").select("g", "text").mapInPandas(sets, "g long, s binary").join(members, "g")
+    # A set's cells travel with its document's id, so sets are dealt once, by cell; they are no more than the first fifth of it.
+    first = names.join(members.select("g"), "g", "left_semi").groupBy("g").agg(F.min("doc_id").alias("doc_id"))
+    wanted = materialize(first.join(members, "g"), "wanted")
+    met = doc_text(docs).join(sent(wanted, "cells"), "doc_id").select("g", "text", "cells")
+    held = met.mapInPandas(sets, "g long, cells array<long>, s binary").select(F.explode("cells").alias("h"), "g", "s")
     links = pairs.groupBy("h").cogroup(held.groupBy("h")).applyInPandas(_check, "u long, v long")
     tree = connected_components(links)
     out = materialize(names.join(tree, F.col("g") == F.col("vertex"), "left").select("doc_id", F.coalesce("root", "g").alias("class")), "classes")
