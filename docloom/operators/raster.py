@@ -9,11 +9,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import least_roots
 
 #: Fixed point of the table of sines and cosines.
 _ONE = 1 << 16
@@ -21,8 +22,6 @@ _ONE = 1 << 16
 
 def ink_runs(images: DataFrame) -> DataFrame:
     """Runs of the dark pixels of grey images (page_id, width, height, data)."""
-    import numpy as np
-
     from ..sources.images import _array, ink
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,22 +80,71 @@ def blurred(runs: DataFrame, across: int, down: int, least: int) -> DataFrame:
     return merged_runs(cut)
 
 
+def _joined_runs(group: pd.DataFrame) -> pd.DataFrame:
+    """Components of one page's runs, which do not overlap: every run meets the stretch of runs above it that it touches."""
+    group = group.sort_values(["y", "x1"])
+    y, a, b = (group[c].to_numpy() for c in ("y", "x1", "x2"))
+    left = a.min() - 1
+    wide = b.max() - left + 2
+    above = (y - 1 - y[0]) * wide
+    first = np.searchsorted((y - y[0]) * wide + b - left, above + a - left, "left")
+    n = np.maximum(np.searchsorted((y - y[0]) * wide + a - left, above + b - left, "right") - first, 0)
+    u = np.repeat(np.arange(len(y)), n)
+    v = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+    root, at = np.unique(least_roots(len(y), u, v), return_inverse=True)
+    box = pd.DataFrame({"group_id": at, "x1": a, "y1": y, "x2": b - 1, "y2": y, "pixels": b - a}).groupby("group_id", as_index=False)
+    out = box.agg({"x1": "min", "y1": "min", "x2": "max", "y2": "max", "pixels": "sum"})
+    out.insert(0, "page_id", group["page_id"].iloc[0])
+    return out
+
+
 def run_components(runs: DataFrame) -> DataFrame:
-    """Boxes (page_id, group_id, x1, y1, x2, y2; whole pixels, the last included) and pixels of connected runs, diagonal neighbours included."""
-    w = Window.partitionBy("page_id").orderBy("y", "x1")
-    one = merged_runs(runs).withColumn("id", F.struct("y", "x1"))
-    above = one.select("page_id", (F.col("y") + 1).alias("y"), F.col("x1").alias("a"), F.col("x2").alias("b"), F.col("id").alias("v"))
-    edges = one.join(above, ["page_id", "y"]).where("x1 <= b AND a <= x2").select("page_id", F.col("id").alias("u"), "v")
-    roots = components(edges)
-    met = one.join(roots.select("page_id", F.col("u").alias("id"), "root"), ["page_id", "id"], "left").withColumn("root", F.coalesce("root", "id"))
-    boxes = met.groupBy("page_id", "root").agg(F.min("x1").alias("x1"), F.min("y").alias("y1"), (F.max("x2") - 1).alias("x2"), F.max("y").alias("y2"), F.sum(F.col("x2") - F.col("x1")).alias("pixels"))
-    return boxes.withColumn("group_id", F.row_number().over(w.partitionBy("page_id").orderBy("root")).cast("long") - 1).select("page_id", "group_id", "x1", "y1", "x2", "y2", "pixels")
+    """Boxes (page_id, group_id, x1, y1, x2, y2; whole pixels, the last included) and pixels of connected runs, diagonal neighbours included; page by page."""
+    one = merged_runs(runs).select("page_id", *[F.col(c).cast("long").alias(c) for c in ("y", "x1", "x2")])
+    page = dict(one.dtypes)["page_id"]
+    return one.groupBy("page_id").applyInPandas(_joined_runs, f"page_id {page}, group_id long, x1 long, y1 long, x2 long, y2 long, pixels long")
+
+
+def _window(a: np.ndarray, across: int, down: int) -> np.ndarray:
+    """Sums over the window around every pixel; the outermost ``across`` columns and ``down`` rows are lost."""
+    s = np.pad(a.astype(np.int32).cumsum(0, dtype=np.int32).cumsum(1, dtype=np.int32), ((1, 0), (1, 0)))
+    h, w = 2 * down + 1, 2 * across + 1
+    return s[h:, w:] - s[:-h, w:] - s[h:, :-w] + s[:-h, :-w]
+
+
+def _paragraph_runs(y: np.ndarray, a: np.ndarray, b: np.ndarray, across: int, down: int, least: int, grow: int) -> pd.DataFrame:
+    """Runs of one page's ink blurred, cut and dilated, by stripes of rows."""
+    edge, tall = across + grow, down + grow
+    left, wide = int(a.min()) - 2 * edge, int((b.max() - a.min())) + 4 * edge
+    step = max(1, (1 << 23) // (wide + 1))
+    out = []
+    for top in range(int(y.min()) - tall, int(y.max()) + tall + 1, step):
+        on = (y >= top - tall) & (y < top + step + tall)
+        if on.any():
+            steps = np.zeros((min(step, int(y[on].max()) + tall + 1 - top) + 2 * tall, wide + 1), np.int32)
+            np.add.at(steps, (y[on] - top + tall, a[on] - left), 1)
+            np.add.at(steps, (y[on] - top + tall, b[on] - left), -1)
+            dark = _window(_window(steps.cumsum(1, dtype=np.int32)[:, :-1] > 0, across, down) >= least, grow, grow) > 0
+            turn = np.diff(np.pad(dark.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+            row, first = np.nonzero(turn == 1)
+            out.append(pd.DataFrame({"y": row + top, "x1": first + left + edge, "x2": np.nonzero(turn == -1)[1] + left + edge}))
+    return pd.concat(out)
 
 
 def paragraph_boxes(runs: DataFrame, across: int = 21, down: int = 3, share: float = 0.1, grow: int = 8) -> DataFrame:
-    """Paragraphs: components of the ink blurred (a share of the window), cut and dilated by ``grow`` pixels."""
+    """Paragraphs: components of the ink blurred (a share of the window), cut and dilated by ``grow`` pixels; a page is done in stripes where its runs are.
+
+    The same as ``run_components(dilated(blurred(...)))``.
+    """
     least = max(1, round(share * (2 * across + 1) * (2 * down + 1)))
-    return run_components(dilated(blurred(runs, across, down, least), grow, grow))
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        found = _paragraph_runs(*(group[c].to_numpy() for c in ("y", "x1", "x2")), across, down, least, grow)
+        found.insert(0, "page_id", group["page_id"].iloc[0])
+        return _joined_runs(found) if len(found) else pd.DataFrame(columns=["page_id", "group_id", "x1", "y1", "x2", "y2", "pixels"])
+
+    one = runs.select("page_id", *[F.col(c).cast("long").alias(c) for c in ("y", "x1", "x2")]).where("x1 < x2 AND y IS NOT NULL")
+    return one.groupBy("page_id").applyInPandas(run, f"page_id {dict(one.dtypes)['page_id']}, group_id long, x1 long, y1 long, x2 long, y2 long, pixels long")
 
 
 # straight lines
@@ -107,47 +155,112 @@ def _angles(n: int) -> list[tuple[int, int, int]]:
     return [(i, round(math.cos(math.pi * i / n) * _ONE), round(math.sin(math.pi * i / n) * _ONE)) for i in range(n)]
 
 
-def _voted(points: DataFrame, angles: int, keys: list[str]) -> DataFrame:
-    """Each point at every angle: rho, its distance from the origin across the line, and t, its place along it (fixed point)."""
-    table = F.array(*[F.struct(F.lit(i).alias("angle"), F.lit(c).cast("long").alias("c"), F.lit(s).cast("long").alias("s")) for i, c, s in _angles(angles)])
-    each = points.select(*keys, "x", "y", F.explode(table).alias("d"))
-    x, y = F.col("x").cast("long"), F.col("y").cast("long")
-    rho = F.shiftright(x * F.col("d.c") + y * F.col("d.s") + _ONE // 2, 16)
-    return each.select(*keys, "x", "y", F.col("d.angle").alias("angle"), rho.alias("rho"), (y * F.col("d.c") - x * F.col("d.s")).alias("t"))
+def _rho(x: np.ndarray, y: np.ndarray, c: int, s: int) -> np.ndarray:
+    """Distance of points from the origin across a direction, in whole pixels."""
+    return (x * c + y * s + _ONE // 2) >> 16
+
+
+def _page_votes(x: np.ndarray, y: np.ndarray, angles: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(angle, rho, votes) of the lines that at least ``least`` of a page's points vote for, one direction after the other."""
+    found, turns = [], np.array(_angles(angles), np.int64)
+    for part in np.array_split(turns, -(-len(turns) * len(x) // (1 << 18))) if len(x) < 1 << 18 else turns[:, None]:
+        rho = _rho(x, y, part[:, 1:2], part[:, 2:3])
+        low = int(rho.min())
+        wide = int(rho.max()) - low + 1
+        code = rho - low + np.arange(len(part))[:, None] * wide
+        if wide * len(part) < 16 * code.size + (1 << 20):
+            n = np.bincount(code.ravel())
+            k = np.flatnonzero(n >= least)
+            n = n[k]
+        else:
+            k, n = np.unique(code, return_counts=True)
+            k, n = k[n >= least], n[n >= least]
+        found.append((part[k // wide, 0], k % wide + low, n))
+    return tuple(np.concatenate(c).astype(np.int64) for c in zip(*found))
+
+
+def _by_page(points: DataFrame, keys: list[str], run, columns: str) -> DataFrame:
+    """``run`` over the whole x and y of each page, named by ``keys``: its columns behind the keys."""
+    names, types = [c.split()[0] for c in columns.split(", ")], dict(points.dtypes)
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        found = dict(zip(names, run(group["x"].to_numpy(), group["y"].to_numpy())))
+        return pd.DataFrame({**{k: [group[k].iloc[0]] * len(found[names[0]]) for k in keys}, **found})
+
+    whole = points.select(*keys, F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+    return whole.groupBy(*keys).applyInPandas(one, ", ".join(f"{k} {types[k]}" for k in keys) + ", " + columns)
 
 
 def line_votes(points: DataFrame, angles: int = 180, least: int = 10, keys: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """(keys, angle, rho, votes): lines ``x cos + y sin = rho`` that at least ``least`` points vote for; votes are counted before they are shuffled."""
-    return _voted(points, angles, list(keys)).groupBy(*keys, "angle", "rho").agg(F.count("*").alias("votes")).where(F.col("votes") >= least)
+    """(keys, angle, rho, votes): lines ``x cos + y sin = rho`` that at least ``least`` points vote for; a page's votes are counted where its points are and never shuffled."""
+    return _by_page(points, list(keys), lambda x, y: _page_votes(x, y, angles, least), "angle int, rho long, votes long")
+
+
+def _peaks(angle: np.ndarray, rho: np.ndarray, votes: np.ndarray, angles: int) -> np.ndarray:
+    """Places of the lines with the most votes (then the least angle and rho) within two steps, by falling votes."""
+    order = np.lexsort((rho, angle, -votes))
+    if not len(order):
+        return order
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    # a turn of half a circle gives the same line with the other sign
+    wide = 2 * int(np.abs(rho).max()) + 7
+    code = lambda a, r: a * wide + r + wide // 2
+    own = code(angle, rho)
+    by = np.argsort(own)
+    best = rank.copy()
+    for i in range(-2, 3):
+        a = angle + i
+        turned = np.where((a < 0) | (a >= angles), -rho, rho)
+        for j in range(-2, 3):
+            asked = code(a % angles, turned + j)
+            at = by[np.minimum(np.searchsorted(own, asked, sorter=by), len(by) - 1)]
+            best = np.minimum(best, np.where(own[at] == asked, rank[at], best))
+    return order[best[order] == rank[order]]
+
+
+def _segments(x: np.ndarray, y: np.ndarray, angles: int, least: int, length: float, gap: float) -> tuple:
+    """The segments of one page's points."""
+    angle, rho, votes = _page_votes(x, y, angles, least)
+    turns = np.array(_angles(angles), np.int64)
+    line, t = np.full(len(x), -1), np.zeros(len(x), np.int64)
+    peaks = _peaks(angle, rho, votes, angles)
+    free = np.arange(len(x))
+    # lines of equal votes together: a free point takes the nearest, then the first by angle and rho
+    for level in np.split(peaks, np.flatnonzero(np.diff(votes[peaks])) + 1):
+        off, own = np.full(len(free), 2), np.full(len(free), -1)
+        for some in np.array_split(level, max(1, len(level) * len(free) >> 20)):
+            if len(some) and len(free):
+                away = np.abs(_rho(x[free], y[free], turns[angle[some], 1][:, None], turns[angle[some], 2][:, None]) - rho[some][:, None])
+                near = away.argmin(0)
+                least_off = away[near, np.arange(len(free))]
+                own, off = np.where(least_off < off, some[near], own), np.minimum(off, least_off)
+        met, k = free[own >= 0], own[own >= 0]
+        line[met], t[met] = k, y[met] * turns[angle[k], 1] - x[met] * turns[angle[k], 2]
+        free = free[own < 0]
+    kept = np.flatnonzero(line >= 0)
+    kept = kept[np.lexsort((y[kept], x[kept], t[kept], rho[line[kept]], angle[line[kept]]))]
+    x, y, line, t = x[kept], y[kept], line[kept], t[kept]
+    again = np.r_[False, (x[1:] == x[:-1]) & (y[1:] == y[:-1]) & (line[1:] == line[:-1])][: len(x)]
+    x, y, line, t = x[~again], y[~again], line[~again], t[~again]
+    begin = np.flatnonzero(np.r_[True, (line[1:] != line[:-1]) | (np.diff(t) > int(gap * _ONE))][: len(x)])
+    end = np.r_[begin[1:], len(x)][: len(begin)]
+    far = ((x[begin] - x[end - 1]) ** 2 + (y[begin] - y[end - 1]) ** 2) >= float(length) ** 2
+    p, q, n = begin[far], end[far] - 1, (end - begin)[far]
+    first = x[p] <= x[q]
+    p, q = np.where(first, p, q), np.where(first, q, p)
+    place = np.lexsort((y[p], x[p], rho[line[p]], angle[line[p]]))
+    p, q, n = p[place], q[place], n[place]
+    return angle[line[p]], rho[line[p]], n, x[p], y[p], x[q], y[q], np.arange(len(p))
 
 
 def straight_lines(points: DataFrame, angles: int = 180, least: int = 10, length: float = 200.0, gap: float = 10.0, keys: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Segments (keys, line_id, x1, y1, x2, y2, votes) of distinct points (keys, x, y) that stand in a line, at any angle.
 
     Lines are the most voted ones of their neighbourhood (two steps in angle and distance). A point belongs to the most voted of the lines within a
-    pixel of it; a line's points, in order along it, are one segment until a gap, and stay if the segment is long enough.
+    pixel of it; a line's points, in order along it, are one segment until a gap, and stay if the segment is long enough. All of a page is done where its points are.
     """
-    keys = list(keys)
-    votes = line_votes(points, angles, least, tuple(keys))
-    rank = F.struct("votes", (-F.col("angle")).alias("a"), (-F.col("rho")).alias("r"))
-    # a turn of half a circle gives the same line with the other sign
-    near = F.flatten(F.transform(F.sequence(F.col("angle") - 2, F.col("angle") + 2), lambda a: F.transform(F.sequence(F.col("rho") - 2, F.col("rho") + 2), lambda r: F.struct(F.pmod(a, F.lit(angles)).alias("angle"), F.when((a < 0) | (a >= angles), -r).otherwise(r).alias("rho")))))
-    best = votes.select(*keys, rank.alias("rank"), F.explode(near).alias("n")).groupBy(*keys, F.col("n.angle").alias("angle"), F.col("n.rho").alias("rho")).agg(F.max("rank").alias("best"))
-    peaks = votes.join(best, [*keys, "angle", "rho"]).where(rank == F.col("best")).select(*keys, "angle", "rho", "votes")
-    wide = peaks.select(*keys, "angle", F.col("rho").alias("line_rho"), "votes", F.explode(F.array(F.col("rho") - 1, F.col("rho"), F.col("rho") + 1)).alias("rho"))
-    met = _voted(points, angles, keys).join(wide, [*keys, "angle", "rho"])
-    own = met.groupBy(*keys, "x", "y").agg(F.max(F.struct("votes", (-F.abs(F.col("rho") - F.col("line_rho"))).alias("off"), (-F.col("angle")).alias("a"), (-F.col("line_rho")).alias("r"), "t")).alias("m"))
-    own = own.select(*keys, "x", "y", (-F.col("m.a")).alias("angle"), (-F.col("m.r")).alias("rho"), "m.t", "m.votes")
-    w = Window.partitionBy(*keys, "angle", "rho").orderBy("t", "x", "y")
-    new = F.coalesce((F.col("t") - F.lag("t").over(w) > int(gap * _ONE)).cast("int"), F.lit(1))
-    parts = own.withColumn("_new", new).withColumn("part", F.sum("_new").over(w))
-    ends = parts.groupBy(*keys, "angle", "rho", "part").agg(F.min_by(F.struct("x", "y"), F.struct("t", "x", "y")).alias("p"), F.max_by(F.struct("x", "y"), F.struct("t", "x", "y")).alias("q"), F.count("*").alias("votes"))
-    size = (F.col("p.x") - F.col("q.x")) ** 2 + (F.col("p.y") - F.col("q.y")) ** 2
-    kept = ends.where(size >= float(length) ** 2)
-    first = F.col("p.x") <= F.col("q.x")
-    pick = lambda a, b, c: F.when(first, F.col(f"{a}.{c}")).otherwise(F.col(f"{b}.{c}"))
-    out = kept.select(*keys, "angle", "rho", "votes", pick("p", "q", "x").alias("x1"), pick("p", "q", "y").alias("y1"), pick("q", "p", "x").alias("x2"), pick("q", "p", "y").alias("y2"))
-    return out.withColumn("line_id", F.row_number().over(Window.partitionBy(*keys).orderBy("angle", "rho", "x1", "y1")).cast("long") - 1)
+    return _by_page(points, list(keys), lambda x, y: _segments(x, y, angles, least, length, gap), "angle int, rho long, votes long, x1 long, y1 long, x2 long, y2 long, line_id long")
 
 
 def run_points(runs: DataFrame) -> DataFrame:

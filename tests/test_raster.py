@@ -173,3 +173,29 @@ def test_coloured_masks(spark, tmp_path):
     told = masks.read_panoptic(spark, str(tmp_path / "p.json"), spark.createDataFrame([("a",)], "file_name string")).collect()
     assert sorted((r.image_id, r.segment_id, r.category, r.iscrowd) for r in told) == [(5, 7, "cat", 0), (5, 300, None, 1)]
     assert masks.areas(runs.where(F.lit(False))).count() == 0
+
+
+def _exchanges(df) -> int:
+    return str(df._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning")
+
+
+def test_votes_and_lines_stay_with_their_page(spark, sf):
+    """All points of a page are in one task: boxes are dealt once, pixels and votes never."""
+    for query in (raster_queries.line_votes, raster_queries.straight_lines, raster_queries.paragraph_boxes):
+        plan = query(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+        assert plan.count("Exchange") == 1 and plan.count("FlatMapGroupsInPandas") == 1
+
+
+def test_paragraphs_are_those_of_the_single_steps(spark):
+    grids = {k: np.random.default_rng(k).random((30, 60)) < p for k, p in enumerate((0.02, 0.1, 0.4, 0.9))}
+    runs = runs_of(spark, grids).unionByName(spark.createDataFrame([(0, -40, -7, 3), (0, 500, 900, 990), (9, 3, 5, 5)], "page_id long, y long, x1 long, x2 long"))
+    for across, down, share, grow in ((4, 1, 0.3, 2), (0, 0, 0.5, 0), (3, 2, 0.05, 1)):
+        least = max(1, round(share * (2 * across + 1) * (2 * down + 1)))
+        want = raster.run_components(raster.dilated(raster.blurred(runs.where("x1 < x2"), across, down, least), grow, grow))
+        assert sorted(raster.paragraph_boxes(runs, across, down, share, grow).collect()) == sorted(want.collect())
+
+
+def test_votes_of_far_points(spark):
+    """Places far apart are counted without a table of all distances between."""
+    points = spark.createDataFrame([(1, x, 7) for x in range(12)] + [(1, 10**9 + x, 7) for x in range(12)], "page_id long, x long, y long")
+    assert {(r.angle, r.rho): r.votes for r in raster.line_votes(points, 4, 24).collect()} == {(2, 7): 24}
