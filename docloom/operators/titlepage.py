@@ -27,14 +27,14 @@ def number_parts(number: Column) -> Column:
     return F.struct(F.when(prefix == "", "US").otherwise(prefix).alias("prefix"), F.regexp_extract(plain, r"\d+", 0).alias("digits"), F.when(suffix == "", every).otherwise(F.array(suffix)).alias("suffixes"))
 
 
-def document_numbers(lines: DataFrame, doc: str = "doc_id", line: str = "line") -> DataFrame:
-    """The most frequent document number of each document's lines (the first met among equals); from the id itself if that is one."""
-    own = number_candidate(F.col(doc).cast("string"))
+def document_numbers(lines: DataFrame, doc: str = "doc_id", line: str = "line", by_id: bool = True) -> DataFrame:
+    """The most frequent document number of each document's lines (the first met among equals); from the id itself if that is one and ids are names (``by_id``)."""
+    own = number_candidate(F.col(doc).cast("string")) if by_id else F.lit(None).cast("string")
     ids = lines.select(doc).distinct().select(doc, own.alias("own"))
     seen = lines.select(doc, "line_no", number_candidate(F.col(line)).alias("number")).where("number IS NOT NULL")
     n = seen.groupBy(doc, "number").agg(F.count("*").alias("n"), F.min("line_no").alias("f"))
     best = n.groupBy(doc).agg(F.max(F.struct("n", (-F.col("f")).alias("f"), "number")).alias("m")).select(doc, F.col("m.number").alias("best"))
-    out = ids.join(best, doc, "left").select(doc, F.coalesce("own", "best").alias("number")).where("number IS NOT NULL")
+    out = (ids.join(best, doc, "left") if by_id else best.withColumn("own", own)).select(doc, F.coalesce("own", "best").alias("number")).where("number IS NOT NULL")
     return out.select(doc, "number", number_parts(F.col("number")).alias("p")).select(doc, "number", "p.*")
 
 

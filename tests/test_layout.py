@@ -355,3 +355,46 @@ def test_native_documents_round_trip(spark, tmp_path):
 def test_pipeline_logs_revisions(spark, sf):
     out = pipeline.Pipeline("p").add("FunctionalRecognizer").add("GlassExtractorISC").process_full({"table_cells": grid(spark, sf).where("table_id < 50")})
     assert [(r.rev, r.module) for r in out["revisions"].orderBy("rev").collect()] == [(0, "FunctionalRecognizer"), (1, "GlassExtractorISC")]
+
+
+def test_document_numbers_of_numbered_rows(spark):
+    """A key of six digits is no document number unless ids are names."""
+    from docloom.operators import titlepage
+
+    lines = spark.createDataFrame([(123456, 1, "US 7000001 B2"), (123457, 1, "no number")], "doc_id long, line_no int, line string")
+    assert [r.number for r in titlepage.document_numbers(lines, by_id=False).collect()] == ["US7000001B2"]
+    assert {r.number for r in titlepage.document_numbers(lines).collect()} == {"123456", "123457"}
+
+
+def test_judged_boxes_take_turns(spark):
+    """Many detections that want the same few true boxes, against taking turns one by one; five labels a page and crowds."""
+    import random
+
+    from docloom.operators import evaluation
+
+    rng = random.Random(3)
+    box = lambda: (x := rng.randint(0, 6), y := rng.randint(0, 6), x + rng.randint(20, 45), y + rng.randint(20, 45))
+    cols = "page_id long, label string, area_id long, score double, x1 double, y1 double, x2 double, y2 double"
+    det = [(p, "abc"[i % 3], i, rng.randint(0, 4) / 4, *map(float, box())) for p in range(3) for i in range(45)]
+    true = [(p, "abc"[i % 3], i, *map(float, box()), i % 7 == 0) for p in range(3) for i in range(30)]
+    got = evaluation.judged_boxes(spark.createDataFrame(det, cols), spark.createDataFrame(true, "page_id long, label string, area_id long, x1 double, y1 double, x2 double, y2 double, crowd boolean"), most=12).collect()
+    want = set()
+    area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+    for p in range(3):
+        for label in "abc":
+            turn = sorted((d for d in det if d[:2] == (p, label)), key=lambda d: (-d[3], d[2]))[:12]
+            for name, (low, high) in evaluation.SIZES.items():
+                for o in evaluation.OVERLAPS:
+                    taken = set()
+                    for place, d in enumerate(turn, 1):
+                        asked = []
+                        for t in (t for t in true if t[:2] == (p, label)):
+                            inter = max(0, min(d[6], t[5]) - max(d[4], t[3])) * max(0, min(d[7], t[6]) - max(d[5], t[4]))
+                            iou = inter / area(d[4:]) if t[7] else inter / (area(d[4:]) + area(t[3:7]) - inter)
+                            if iou >= o and t[2] not in taken:
+                                asked.append((t[7] or not low <= area(t[3:7]) <= high, -iou, -t[2], t[7]))
+                        best = min(asked, default=None)
+                        if best and not best[3]:
+                            taken.add(-best[2])
+                        want.add((p, label, d[2], d[3], place, name, o, best is not None, best[0] if best else not low <= area(d[4:]) <= high))
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
