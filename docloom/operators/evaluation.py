@@ -175,41 +175,71 @@ def sine_positions(x: Column, y: Column, width: Column, height: Column, size: in
 LIMITS = (1, 10, 100)
 
 
-def judged_boxes(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, most: int = LIMITS[-1]) -> DataFrame:
-    """(page_id, label, area_id, score, place, boxes, overlap, hit, ignored): each of a page's ``most`` best detections of a label, for every range of sizes and overlap.
+def _first_free(det: np.ndarray, t: np.ndarray, crowd: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of pairs sorted by detection and its choice, the places of those that come about: each true box goes to the best detection that asks for it, crowds to all.
 
-    By falling score (then area_id) a detection takes the free true box that it overlaps most (the last by area_id among equals), at least by ``overlap``; true
-    boxes of other sizes and crowds (``crowd``, if there) only where none other is left, and such detections are ignored, as are those of other
-    sizes that find nothing. A crowd may be found again and again, and its overlap is the share of the detection alone.
+    Detections ask in rounds; who is refused asks for the next. True boxes all prefer the same order, so this is what taking turns in that order gives.
     """
+    left = np.arange(len(det))
+    while True:
+        first = left[np.r_[True, det[left][1:] != det[left][:-1]]] if len(left) else left
+        own = first[~crowd[first]]
+        own = own[np.lexsort((place[own], t[own]))]
+        refused = own[1:][t[own][1:] == t[own][:-1]]
+        if not len(refused):
+            return first
+        left = left[~np.isin(left, refused)]
+
+
+def judged_detections(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, most: int = LIMITS[-1]) -> DataFrame:
+    """``judged_boxes`` as one row for each detection: ``found`` holds for every range of sizes and in it every overlap 1 for a hit, plus 2 if ignored."""
     truth = truth if "crowd" in truth.columns else truth.withColumn("crowd", F.lit(False))
     best = Window.partitionBy("page_id", "label").orderBy(F.desc("score"), "area_id")
     ranked = detections.select("page_id", "label", "area_id", "score", "x1", "y1", "x2", "y2").withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
     a, b = Box.of("a"), Box.of("b")
-    on = (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.label") == F.col("b.label")) & a.overlaps(b)
     width, height = F.least(a.x2, b.x2) - F.greatest(a.x1, b.x1), F.least(a.y2, b.y2) - F.greatest(a.y1, b.y1)
     share = F.when(F.col("b.crowd"), width * height / a.area).otherwise(width * height / (a.area + b.area - width * height))
-    near = F.collect_list(F.when(share >= min(overlaps), F.struct(share.alias("iou"), F.col("b.area_id").alias("t"), F.col("b.crowd").alias("crowd"), b.area.alias("size"))))
+    on = (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.label") == F.col("b.label")) & a.overlaps(b) & (share >= min(overlaps))
     own = truth.select(*[F.col(c).alias(c) for c in ("page_id", "label", "area_id", "x1", "y1", "x2", "y2", "crowd")])
-    met = ranked.alias("a").join(own.alias("b"), on, "left").groupBy("a.page_id", "a.label", "a.area_id", "a.score", "a.place", a.area.alias("size")).agg(near.alias("near"))
-    schema = "page_id long, label string, area_id long, score double, place int, boxes string, overlap double, hit boolean, ignored boolean"
+    pairs = ranked.alias("a").join(own.alias("b"), on, "left").select("a.page_id", "a.label", "a.area_id", "a.score", "a.place", a.area.alias("size"), F.when(F.col("b.area_id").isNotNull(), share).alias("iou"), F.coalesce("b.area_id", F.lit(0)).cast("long").alias("t"), F.coalesce("b.crowd", F.lit(False)).alias("crowd"), F.coalesce(b.area, F.lit(0.0)).cast("double").alias("true_size"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows = list(group.sort_values("place")[["page_id", "label", "area_id", "score", "place", "size", "near"]].itertuples(index=False, name=None))
-        out = []
-        for name, (low, high) in SIZES.items():
+        label = pd.factorize(group["label"], use_na_sentinel=False)[0]
+        place = group["place"].to_numpy()
+        _, one, det = np.unique(label.astype(np.int64) * (most + 1) + place, return_index=True, return_inverse=True)
+        met = group["iou"].notna().to_numpy()
+        det_, iou, crowd, true, place_ = det[met], group["iou"].to_numpy(float)[met], group["crowd"].to_numpy(bool)[met], group["true_size"].to_numpy()[met], place[met]
+        ids = group["t"].to_numpy(np.int64)[met]
+        t = np.unique(ids, return_inverse=True)[1] * (label.max() + 1) + label[met]
+        size = group["size"].to_numpy()[one]
+        found = np.empty((len(one), len(SIZES), len(overlaps)), np.int8)
+        for i, (low, high) in enumerate(SIZES.values()):
             # own size first, then the most overlap, then the last by id
-            lists = [sorted(((n["crowd"] or not low <= n["size"] <= high, -n["iou"], -n["t"], n["crowd"]) for n in near)) for *_, near in rows]
-            for overlap in overlaps:
-                taken: set = set()
-                for (page, label, area, score, place, size, _), near in zip(rows, lists):
-                    found = next((n for n in near if -n[1] >= overlap and n[2] not in taken), None)
-                    if found is not None and not found[3]:
-                        taken.add(found[2])
-                    out.append((page, label, area, score, place, name, overlap, found is not None, bool(found[0]) if found else not low <= size <= high))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+            other = crowd | ~((low <= true) & (true <= high))
+            order = np.lexsort((-ids, -iou, other, det_))
+            found[:, i] = np.where((low <= size) & (size <= high), 0, 2)[:, None]
+            for j, overlap in enumerate(overlaps):
+                asked = order[iou[order] >= overlap]
+                hit = asked[_first_free(det_[asked], t[asked], crowd[asked], place_[asked])]
+                found[det_[hit], i, j] = 1 + 2 * other[hit]
+        out = group.iloc[one][["page_id", "label", "area_id", "score", "place"]].copy()
+        out["found"] = list(found.reshape(len(one), -1))
+        return out
 
-    return met.groupBy("page_id", "label").applyInPandas(run, schema)
+    return pairs.groupBy("page_id").applyInPandas(run, "page_id long, label string, area_id long, score double, place int, found array<byte>")
+
+
+def judged_boxes(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, most: int = LIMITS[-1]) -> DataFrame:
+    """(page_id, label, area_id, score, place, boxes, overlap, hit, ignored): each of a page's ``most`` best detections of a label, for every range of sizes and overlap.
+
+    By falling score (then area_id) a detection takes the free true box that it overlaps most (the last by area_id among equals), at least by ``overlap``; true
+    boxes of other sizes and crowds (``crowd``, if there) only where none other is left, and such detections are ignored, as are those of other
+    sizes that find nothing. A crowd may be found again and again, and its overlap is the share of the detection alone.
+    """
+    judged = judged_detections(detections, truth, overlaps, most)
+    kinds = F.array(*[F.struct(F.lit(k).alias("boxes"), F.lit(o).alias("overlap")) for k in SIZES for o in overlaps])
+    each = judged.select("page_id", "label", "area_id", "score", "place", F.explode(F.arrays_zip(kinds.alias("k"), F.col("found").alias("f"))).alias("e"))
+    return each.select("page_id", "label", "area_id", "score", "place", "e.k.boxes", "e.k.overlap", (F.col("e.f") % 2 == 1).alias("hit"), (F.col("e.f") >= 2).alias("ignored"))
 
 
 def recall_precision(judged: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, limits: tuple[int, ...] = LIMITS) -> DataFrame:
