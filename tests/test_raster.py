@@ -199,3 +199,9 @@ def test_votes_of_far_points(spark):
     """Places far apart are counted without a table of all distances between."""
     points = spark.createDataFrame([(1, x, 7) for x in range(12)] + [(1, 10**9 + x, 7) for x in range(12)], "page_id long, x long, y long")
     assert {(r.angle, r.rho): r.votes for r in raster.line_votes(points, 4, 24).collect()} == {(2, 7): 24}
+
+
+def test_masks_are_measured_in_their_row(spark, sf):
+    """Columns of a segment never leave its row: boxes are dealt once, and nothing else is."""
+    plan = raster_queries.mask_areas(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert plan.count("Exchange") == 1 and "Window" not in plan
