@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box
-from .graph import components
+from .graph import page_components
 from .spatial import box_join
 
 
@@ -26,7 +26,7 @@ def density_clusters(points: DataFrame, distance: float, least: int, keys: tuple
     core = near.groupBy(*keys, "a").agg(F.count("*").alias("n")).where(F.col("n") >= least).select(*keys, "a")
     met = near.join(core, [*keys, "a"])  # from core points to all near them
     joined = met.join(core.withColumnRenamed("a", "b"), [*keys, "b"], "left_semi").where("a <= b")
-    roots = components(joined.select(*keys, F.col("a").alias("u"), F.col("b").alias("v")), tuple(keys))
+    roots = page_components(joined.select(*keys, F.col("a").alias("u"), F.col("b").alias("v")), tuple(keys))
     named = met.join(roots.select(*keys, F.col("u").alias("a"), "root"), [*keys, "a"]).groupBy(*keys, F.col("b").alias("point_id")).agg(F.min("root").alias("least"))
     own_root = roots.select(*keys, F.col("u").alias("point_id"), "root", F.lit(True).alias("core"))
     out = points.join(own_root, [*keys, "point_id"], "left").join(named, [*keys, "point_id"], "left")
@@ -54,7 +54,7 @@ def line_clusters(lines: DataFrame, distance: float = 25.0) -> DataFrame:
     gap = lambda a, b: a.gap_x(b) ** 2 + a.gap_y(b) ** 2
     near = box_join(own, own.select(*[F.col(c).alias(c) for c in own.columns]), lambda a, b: gap(a, b) <= float(distance) ** 2, keys=("page_id", "upright"))
     pairs = near.where("a.area_id < b.area_id").select(F.col("a.page_id").alias("page_id"), F.col("a.area_id").alias("u"), F.col("b.area_id").alias("v"))
-    roots = components(pairs).select("page_id", F.col("u").alias("area_id"), "root")
+    roots = page_components(pairs).select("page_id", F.col("u").alias("area_id"), "root")
     met = own.join(roots, ["page_id", "area_id"], "left").withColumn("group_id", F.coalesce("root", "area_id"))
     sums = _sums(*(F.col(c) for c in ("x1", "x2", "y1", "y2")))
     total = met.groupBy("page_id", "group_id", "upright").agg(*[F.sum(v).alias(k) for k, v in sums.items()], F.min("x1").alias("x1"), F.max("x2").alias("x2"), F.min("y1").alias("y1"), F.max("y2").alias("y2"), F.count("*").alias("segments")).where("n > 1")

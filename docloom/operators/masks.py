@@ -55,9 +55,9 @@ def polygon_columns(polygons: DataFrame, one_part: bool = False) -> DataFrame:
     return parts.where("size(flatten(parts)) > 0").select(*_KEYS, F.explode(F.array(columns)).alias("columns"))
 
 
-def polygon_runs(polygons: DataFrame) -> DataFrame:
+def polygon_runs(polygons: DataFrame, one_part: bool = False) -> DataFrame:
     """Runs of the polygons of ``polygon_columns``; none overlap."""
-    each = polygon_columns(polygons).select(*_KEYS, F.explode("columns").alias("c")).select(*_KEYS, "c.x", F.explode("c.runs").alias("r"))
+    each = polygon_columns(polygons, one_part).select(*_KEYS, F.explode("columns").alias("c")).select(*_KEYS, "c.x", F.explode("c.runs").alias("r"))
     return each.select(*_KEYS, "x", "r.y1", "r.y2")
 
 
