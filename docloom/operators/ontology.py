@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,19 +29,29 @@ def schema(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(*r, "schema") for r in rows], TRIPLE)
 
 
-def _told(rows: DataFrame, source: Column, *triples: tuple[Column, str, Column]) -> DataFrame:
+def _told(rows: DataFrame, source: Column, *triples: tuple[Column, str, Column], keep: tuple[str, ...] = ()) -> DataFrame:
     each = F.explode(F.array(*[F.struct(s.alias("subject"), F.lit(p).alias("predicate"), o.cast("string").alias("object")) for s, p, o in triples]))
-    return rows.select(each.alias("t"), source.cast("string").alias("source")).select("t.*", "source").where("subject IS NOT NULL AND object IS NOT NULL AND object <> ''")
+    return rows.select(*keep, each.alias("t"), source.cast("string").alias("source")).select(*keep, "t.*", "source").where("subject IS NOT NULL AND object IS NOT NULL AND object <> ''")
 
 
-def record_triples(points: DataFrame) -> DataFrame:
-    """Triples of setpoints (doc_id, glass_id, property, value, unit), their document as source: patents have glasses, those have attributes with value, unit and property."""
+def told_triples(points: DataFrame) -> DataFrame:
+    """Triples of setpoints (doc_id, glass_id, property, value, unit) with their doc_id and source, as often as a setpoint says them."""
+    if dict(points.dtypes)["doc_id"] == "string":  # a null and an empty one are one document
+        points = points.withColumn("doc_id", F.coalesce("doc_id", F.lit("")))
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     patent, glass = F.concat(F.lit("patent/"), doc), F.concat_ws("/", F.lit("glass"), doc, F.col("glass_id"))
     attribute, prop = F.concat_ws("/", F.lit("attribute"), doc, F.col("glass_id"), F.col("property")), F.concat(F.lit("property/"), F.col("property"))
     kind = lambda s, c: (s, "type", F.lit(c))
     unit = F.when(F.col("unit").isin(*knowledge.UNITS), F.concat(F.lit("unit/"), F.col("unit")))
-    return _told(points, doc, kind(patent, "Patent"), (patent, "has_glass", glass), kind(glass, "Glass"), (glass, "has_attribute", attribute), kind(attribute, "Attribute"), (attribute, "has_value", F.col("value")), (attribute, "has_unit", unit), (attribute, "of_property", prop), kind(prop, "Property"), (prop, "has_abbrv", F.col("property"))).distinct()
+    return _told(points, doc, kind(patent, "Patent"), (patent, "has_glass", glass), kind(glass, "Glass"), (glass, "has_attribute", attribute), kind(attribute, "Attribute"), (attribute, "has_value", F.col("value")), (attribute, "has_unit", unit), (attribute, "of_property", prop), kind(prop, "Property"), (prop, "has_abbrv", F.col("property")), keep=("doc_id",))
+
+
+def record_triples(points: DataFrame) -> DataFrame:
+    """Triples of setpoints (doc_id, glass_id, property, value, unit), their document as source: patents have glasses, those have attributes with value, unit and property.
+
+    Repeated ones are found inside a document, where points dealt by document are.
+    """
+    return told_triples(points).distinct().drop("doc_id")
 
 
 def metadata_triples(records: DataFrame) -> DataFrame:
@@ -73,13 +85,22 @@ def above(spark: SparkSession, classes: DataFrame) -> DataFrame:
     )
 
 
-def types(triples: DataFrame, classes: DataFrame) -> DataFrame:
-    """(entity, class): what entities are, said or following from a property's class or range, with all classes above."""
-    said = triples.where("predicate = 'type'").select(F.col("subject").alias("entity"), F.col("object").alias("class"))
-    of = lambda p, name: classes.where(F.col("predicate") == p).select(F.col("subject").alias("predicate"), F.col("object").alias(name))
-    domains = triples.join(F.broadcast(of("domain", "class")), "predicate").select(F.col("subject").alias("entity"), "class")
-    ranges = triples.join(F.broadcast(of("range", "class").where("class <> 'str'")), "predicate").select(F.col("object").alias("entity"), "class")
-    every = said.unionByName(domains).unionByName(ranges).distinct()
+def types(triples: DataFrame, classes: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """(entity, class): what entities are, said or following from a property's class or range, with all classes above.
+
+    All three follow from a triple at once. Repeated ones are left out inside the keys of ``within`` first, then over all.
+    """
+    rules = classes.where("predicate = 'domain' OR predicate = 'range' AND object <> 'str'").groupBy(F.col("subject").alias("predicate"))
+    rules = rules.agg(*[F.collect_set(F.when(F.col("predicate") == p, F.col("object"))).alias(p) for p in ("domain", "range")])
+    pair = lambda e, c: F.struct(e.alias("entity"), c.alias("class"))
+    s, o = F.col("subject"), F.col("object")
+    said = F.when(F.col("predicate") == "type", F.array(pair(s, o)))
+    follow = [F.transform("domain", lambda c: pair(s, c)), F.transform("range", lambda c: pair(o, c))]
+    none = F.array().cast("array<struct<entity:string,class:string>>")
+    every = triples.join(F.broadcast(rules), "predicate", "left").select(*within, F.explode(F.concat(*[F.coalesce(x, none) for x in (said, *follow)])).alias("e")).select(*within, "e.*")
+    if within:
+        every = every.distinct()
+    every = every.select("entity", "class").repartition("entity").distinct()
     up = above(triples.sparkSession, classes)
     return every.join(F.broadcast(up), "class", "left").select("entity", F.coalesce("above", "class").alias("class")).distinct()
 
@@ -95,3 +116,27 @@ def closure(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
             return now
         n = more
     raise RuntimeError("the closure did not settle")
+
+
+def reached(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of the vertices 0 to n - 1 that a chain of the edges (a, b) joins; what a round finds is led on by one edge in the next."""
+    new = seen = np.unique(a.astype(np.int64) * n + b)
+    to, first = seen % n, np.searchsorted(seen // n, np.arange(n + 1))
+    while len(new):
+        size = np.diff(first)[new % n]
+        at = np.repeat(first[new % n] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        new = np.setdiff1d(np.repeat(new // n, size) * n + to[at], seen)
+        seen = np.union1d(seen, new)
+    return seen // n, seen % n
+
+
+def document_closure(edges: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``closure`` of edges with a key where all chains of a subject lie inside one key's edges, as those of a document do: each is done by itself, without an exchange if the edges are dealt by it."""
+
+    def run(group: pa.Table) -> pa.Table:
+        names = pa.concat_arrays([c for side in ("subject", "object") for c in group[side].chunks]).dictionary_encode()
+        code = names.indices.to_numpy()
+        a, b = reached(len(names.dictionary), *np.split(code, 2))
+        return pa.table({"subject": names.dictionary.take(pa.array(a)), "object": names.dictionary.take(pa.array(b))})
+
+    return edges.where("subject IS NOT NULL AND object IS NOT NULL").select(key, "subject", "object").groupBy(key).applyInArrow(run, "subject string, object string")

@@ -38,14 +38,14 @@ _DOMAINS = ", ".join(f"('{p}', '{a}', '{b}')" for p, (a, b, _) in ontology.PROPE
 @query("ontology_types", _TRIPLES + f", up(class, above) AS (VALUES {_CLASSES}), ps(predicate, own, too) AS (VALUES {_DOMAINS}), e AS (SELECT subject AS entity, object AS class FROM t WHERE predicate = 'type' UNION SELECT subject, own FROM t JOIN ps USING (predicate) UNION SELECT object, too FROM t JOIN ps USING (predicate) WHERE too <> 'str') SELECT DISTINCT entity, above AS class FROM e JOIN up USING (class)")
 def ontology_types(spark, d):
     """What every entity is: said, by properties' classes and ranges, and by the classes above."""
-    return ontology.types(ontology.record_triples(_points(spark, d)), ontology.schema(spark))
+    return ontology.types(ontology.told_triples(_points(spark, d)), ontology.schema(spark), ("doc_id",))
 
 
 @query("ontology_closure", _TRIPLES.replace("WITH ", "WITH RECURSIVE ", 1) + ", e AS (SELECT DISTINCT subject, object FROM t WHERE predicate IN ('has_glass', 'has_attribute', 'has_unit', 'of_property')), r AS (SELECT subject, object FROM e UNION SELECT r.subject, e.object FROM r JOIN e ON e.subject = r.object) SELECT subject, object FROM r")
 def ontology_closure(spark, d):
     """All that every entity leads to over glasses, attributes, units and properties."""
-    links = ontology.record_triples(_points(spark, d)).where("predicate IN ('has_glass', 'has_attribute', 'has_unit', 'of_property')")
-    return ontology.closure(links)
+    links = ontology.told_triples(_points(spark, d)).where("predicate IN ('has_glass', 'has_attribute', 'has_unit', 'of_property')")
+    return ontology.document_closure(links)  # only units and properties are shared by documents, and they lead to nothing
 
 
 _TOKENS = f"""WITH b AS ({BOXES_SQL}), w AS (SELECT page_id, area_id, 'w ' || area_id AS content, x1, y1, x2, y2 FROM b WHERE category = 'String'),
