@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box
+from .cluster import _near
+from .graph import cut
 
 #: Overlaps at which precision is averaged, and the edges of small, medium and large areas.
 OVERLAPS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
@@ -74,52 +78,94 @@ def optimal_matches(detections: DataFrame, truth: DataFrame, weights: tuple[floa
     return detections.select(*own).groupBy("page_id").cogroup(second.groupBy("page_id")).applyInPandas(run, "page_id long, area_id long, true_id long, cost double")
 
 
+def _page(d: pa.Table, t: pa.Table, least: float, most: int | None = None) -> dict[str, np.ndarray]:
+    """A page's detections by label, falling score and id (``at``, ``place`` in their label), and the pairs (``det``, ``true``, ``iou``) with true boxes of their label that share ``least`` or more.
+
+    A true box that is a ``crowd`` shares the detection alone.
+    """
+    code = pa.concat_arrays([c.cast(pa.string()) for x in (d, t) for c in x["label"].chunks] or [pa.array([], pa.string())]).dictionary_encode().indices.fill_null(-1).to_numpy()
+    own, other = code[: len(d)], code[len(d) :]
+    at = np.lexsort((d["area_id"].to_numpy(), -d["score"].to_numpy().astype(float), own))
+    first = np.flatnonzero(np.r_[True, own[at][1:] != own[at][:-1]]) if len(at) else at
+    place = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)])) + 1
+    if most is not None:
+        at, place = at[place <= most], place[place <= most]
+    a, b = (np.stack([x[c].to_numpy().astype(float) for c in ("x1", "y1", "x2", "y2")], 1) for x in (d, t))
+    a = a[at]
+    pairs = np.sort(_near(np.concatenate([a, b]), 0.0, 0.0), axis=1)
+    i, j = pairs[(pairs[:, 0] < len(a)) & (pairs[:, 1] >= len(a))].T
+    j = j - len(a)
+    same = (own[at][i] == other[j]) & (own[at][i] >= 0)
+    i, j = i[same], j[same]
+    width, height = np.minimum(a[i, 2], b[j, 2]) - np.maximum(a[i, 0], b[j, 0]), np.minimum(a[i, 3], b[j, 3]) - np.maximum(a[i, 1], b[j, 1])
+    size = lambda x: (x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1])
+    crowd = t["crowd"].to_numpy(zero_copy_only=False).astype(bool) if "crowd" in t.column_names else np.zeros(len(b), bool)
+    over = (a[i, 0] < b[j, 2]) & (b[j, 0] < a[i, 2]) & (a[i, 1] < b[j, 3]) & (b[j, 1] < a[i, 3])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        iou = width * height / np.where(crowd[j], size(a)[i], size(a)[i] + size(b)[j] - width * height)
+    near = over & (iou >= least)
+    return {"at": at, "place": place, "size": size(a), "det": i[near], "true": j[near], "iou": iou[near], "crowd": crowd, "true_size": size(b), "label": other}
+
+
+def _boxes(boxes: DataFrame, *extra: str) -> DataFrame:
+    """Boxes with columns of their own: both sides may come from one table."""
+    return boxes.select(*[F.col(c).alias(c) for c in ("page_id", "label", "area_id", *extra, "x1", "y1", "x2", "y2")])
+
+
+def greedy_detections(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """``greedy_matches`` as one row for each detection: ``true_ids`` and ``true_sizes`` hold one value for every overlap."""
+
+    def run(key, d: pa.Table, t: pa.Table) -> pa.Table:
+        page = _page(d, t, min(overlaps))
+        det, true, iou, at = page["det"], page["true"], page["iou"], page["at"]
+        ids = t["area_id"].to_numpy()
+        order = np.lexsort((-ids[true], -iou, det))
+        best = np.full((len(at), len(overlaps)), -1)
+        for k, overlap in enumerate(overlaps):
+            asked = order[iou[order] >= overlap]
+            hit = asked[_first_free(det[asked], true[asked], np.zeros(len(asked), bool), page["place"][det[asked]])]
+            best[det[hit], k] = true[hit]
+        starts, taken = pa.array(np.arange(len(at) + 1) * len(overlaps), pa.int32()), pa.array(best.ravel(), mask=best.ravel() < 0)
+        lists = lambda v: pa.ListArray.from_arrays(starts, pa.array(v).take(taken))
+        own = d.select(["page_id", "label", "area_id", "score"]).take(pa.array(at))
+        return own.append_column("size", pa.array(page["size"])).append_column("true_ids", lists(ids)).append_column("true_sizes", lists(page["true_size"]))
+
+    schema = "page_id long, label string, area_id long, score double, size double, true_ids array<long>, true_sizes array<double>"
+    return _boxes(detections, "score").groupBy("page_id").cogroup(_boxes(truth).groupBy("page_id")).applyInArrow(run, schema)
+
+
+def _each_overlap(found: DataFrame, overlaps: tuple[float, ...]) -> DataFrame:
+    e = F.explode(F.arrays_zip(F.array(*map(F.lit, overlaps)).alias("overlap"), F.col("true_ids").alias("true_id"), F.col("true_sizes").alias("true_size")))
+    return found.select("page_id", "label", "area_id", "score", "size", e.alias("e")).select("page_id", "label", "area_id", "score", "size", "e.overlap", "e.true_id", "e.true_size")
+
+
 def greedy_matches(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = (0.5,)) -> DataFrame:
     """(page_id, label, area_id, score, size, overlap, true_id): by falling score, each detection takes the free true box it
     overlaps most, at least by ``overlap``; null where none is left. One row for each detection and overlap."""
-    a, b = Box.of("a"), Box.of("b")
-    on = (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.label") == F.col("b.label")) & a.overlaps(b)
-    near = F.collect_list(F.when(F.col("b.area_id").isNotNull() & (a.iou(b) >= min(overlaps)), F.struct(a.iou(b).alias("iou"), F.col("b.area_id").alias("t"))))
-    met = detections.alias("a").join(truth.alias("b"), on, "left").groupBy("a.page_id", "a.label", "a.area_id", "a.score", a.area.alias("size")).agg(F.sort_array(near, asc=False).alias("near"))
-    schema = "page_id long, label string, area_id long, score double, size double, overlap double, true_id long"
+    return _each_overlap(greedy_detections(detections, truth, overlaps), overlaps).drop("true_size")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group, out = group.sort_values(["score", "area_id"], ascending=[False, True]), []
-        for overlap in overlaps:
-            taken = set()
-            for r in group.itertuples(index=False):
-                best = next((n["t"] for n in r.near if n["iou"] >= overlap and n["t"] not in taken), None)
-                taken.add(best)
-                out.append((r.page_id, r.label, r.area_id, r.score, r.size, overlap, best))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")]).astype({"true_id": "Int64"})
 
-    return met.groupBy("page_id", "label").applyInPandas(run, schema)
-
-
-def precision_curves(matches: DataFrame, truth: DataFrame, keys: tuple[str, ...] = ("label", "overlap")) -> DataFrame:
+def precision_curves(matches: DataFrame, truth: DataFrame, keys: tuple[str, ...] = ("label", "overlap"), of: tuple[str, ...] = ("label",)) -> DataFrame:
     """Precision, recall and average precision (area under the steps) of greedy matches per key.
 
     Ranks are counted by page first and added up, so no task holds a whole class: detections of one score are one step.
     """
-    n = truth.groupBy("label").agg(F.count("*").alias("n"))
+    n = truth.groupBy(*of).agg(F.count("*").alias("n"))
     steps = matches.groupBy(*keys, "score").agg(F.count("*").alias("k"), F.count("true_id").alias("hits"))
     w = Window.partitionBy(*keys).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = steps.select(*keys, "hits", F.sum("hits").over(w).alias("tp"), F.sum("k").over(w).alias("seen")).join(n, "label")
+    curve = steps.select(*keys, "hits", F.sum("hits").over(w).alias("tp"), F.sum("k").over(w).alias("seen")).join(n, list(of))
     return curve.groupBy(*keys).agg((F.sum(F.col("hits") * F.col("tp") / F.col("seen")) / F.first("n")).alias("ap"), (F.max("tp") / F.first("n")).alias("recall"), (F.max("tp") / F.max("seen")).alias("precision"))
 
 
 def box_scores(detections: DataFrame, truth: DataFrame) -> DataFrame:
     """Average precision by size of box (all, small, medium, large) over ten overlaps, and at 0.5 and 0.75."""
-    matches = greedy_matches(detections, truth, OVERLAPS)
-    sized = lambda t, c, lo, hi: t.where((F.col(c) >= lo) & (F.col(c) < hi))
-    own, out = truth.withColumn("size", Box.of().area), None
-    for name, (lo, hi) in SIZES.items():
-        # a detection that found a box of another size doesn't count for or against this size
-        other = sized(own, "size", lo, hi).select(F.col("area_id").alias("true_id"), "page_id")
-        found = matches.join(other, ["true_id", "page_id"], "left_semi").unionByName(sized(matches.where("true_id IS NULL"), "size", lo, hi).select("true_id", "page_id", "label", "area_id", "score", "size", "overlap"))
-        part = precision_curves(found, sized(own, "size", lo, hi)).groupBy(F.lit(name).alias("boxes")).agg(F.avg("ap").alias("ap"), F.avg(F.when(F.col("overlap") == 0.5, F.col("ap"))).alias("ap50"), F.avg(F.when(F.col("overlap") == 0.75, F.col("ap"))).alias("ap75"), F.avg("recall").alias("ar"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    sizes = F.explode(F.array(*[F.struct(F.lit(k).alias("boxes"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for k, (lo, hi) in SIZES.items()]))
+    sized = lambda t, size, *cols: t.select(*cols, size.alias("own"), sizes.alias("s")).where("own >= s.lo AND own < s.hi").select(*cols, F.col("s.boxes").alias("boxes"))
+    # a detection that found a box of another size doesn't count for or against this size
+    matches = _each_overlap(greedy_detections(detections, truth, OVERLAPS), OVERLAPS)
+    found = sized(matches, F.when(F.col("true_id").isNull(), F.col("size")).otherwise(F.col("true_size")), "label", "overlap", "score", "true_id")
+    curves = precision_curves(found, sized(truth, Box.of().area, "label"), ("boxes", "label", "overlap"), ("boxes", "label"))
+    return curves.groupBy("boxes").agg(F.avg("ap").alias("ap"), F.avg(F.when(F.col("overlap") == 0.5, F.col("ap"))).alias("ap50"), F.avg(F.when(F.col("overlap") == 0.75, F.col("ap"))).alias("ap75"), F.avg("recall").alias("ar"))
 
 
 def panoptic_quality(segments: DataFrame, truth: DataFrame, common: DataFrame) -> DataFrame:
@@ -171,6 +217,8 @@ def sine_positions(x: Column, y: Column, width: Column, height: Column, size: in
 
 # evaluation of boxes by size, overlap and number of detections
 
+#: Detections of a range that are counted at once.
+PART_ROWS = 250_000
 #: Fixed value: most detections of a page and label that count.
 LIMITS = (1, 10, 100)
 
@@ -194,39 +242,27 @@ def _first_free(det: np.ndarray, t: np.ndarray, crowd: np.ndarray, place: np.nda
 def judged_detections(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, most: int = LIMITS[-1]) -> DataFrame:
     """``judged_boxes`` as one row for each detection: ``found`` holds for every range of sizes and in it every overlap 1 for a hit, plus 2 if ignored."""
     truth = truth if "crowd" in truth.columns else truth.withColumn("crowd", F.lit(False))
-    best = Window.partitionBy("page_id", "label").orderBy(F.desc("score"), "area_id")
-    ranked = detections.select("page_id", "label", "area_id", "score", "x1", "y1", "x2", "y2").withColumn("place", F.row_number().over(best)).where(F.col("place") <= most)
-    a, b = Box.of("a"), Box.of("b")
-    width, height = F.least(a.x2, b.x2) - F.greatest(a.x1, b.x1), F.least(a.y2, b.y2) - F.greatest(a.y1, b.y1)
-    share = F.when(F.col("b.crowd"), width * height / a.area).otherwise(width * height / (a.area + b.area - width * height))
-    on = (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.label") == F.col("b.label")) & a.overlaps(b) & (share >= min(overlaps))
-    own = truth.select(*[F.col(c).alias(c) for c in ("page_id", "label", "area_id", "x1", "y1", "x2", "y2", "crowd")])
-    pairs = ranked.alias("a").join(own.alias("b"), on, "left").select("a.page_id", "a.label", "a.area_id", "a.score", "a.place", a.area.alias("size"), F.when(F.col("b.area_id").isNotNull(), share).alias("iou"), F.coalesce("b.area_id", F.lit(0)).cast("long").alias("t"), F.coalesce("b.crowd", F.lit(False)).alias("crowd"), F.coalesce(b.area, F.lit(0.0)).cast("double").alias("true_size"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        label = pd.factorize(group["label"], use_na_sentinel=False)[0]
-        place = group["place"].to_numpy()
-        _, one, det = np.unique(label.astype(np.int64) * (most + 1) + place, return_index=True, return_inverse=True)
-        met = group["iou"].notna().to_numpy()
-        det_, iou, crowd, true, place_ = det[met], group["iou"].to_numpy(float)[met], group["crowd"].to_numpy(bool)[met], group["true_size"].to_numpy()[met], place[met]
-        ids = group["t"].to_numpy(np.int64)[met]
-        t = np.unique(ids, return_inverse=True)[1] * (label.max() + 1) + label[met]
-        size = group["size"].to_numpy()[one]
-        found = np.empty((len(one), len(SIZES), len(overlaps)), np.int8)
+
+    def run(key, d: pa.Table, t: pa.Table) -> pa.Table:
+        page = _page(d, t, min(overlaps), most)
+        det, true, iou, at, place = page["det"], page["true"], page["iou"], page["at"], page["place"]
+        ids, crowd, size, true_size = t["area_id"].to_numpy()[true], page["crowd"][true], page["size"], page["true_size"][true]
+        found = np.empty((len(at), len(SIZES), len(overlaps)), np.int8)
         for i, (low, high) in enumerate(SIZES.values()):
             # own size first, then the most overlap, then the last by id
-            other = crowd | ~((low <= true) & (true <= high))
-            order = np.lexsort((-ids, -iou, other, det_))
+            other = crowd | ~((low <= true_size) & (true_size <= high))
+            order = np.lexsort((-ids, -iou, other, det))
             found[:, i] = np.where((low <= size) & (size <= high), 0, 2)[:, None]
             for j, overlap in enumerate(overlaps):
                 asked = order[iou[order] >= overlap]
-                hit = asked[_first_free(det_[asked], t[asked], crowd[asked], place_[asked])]
-                found[det_[hit], i, j] = 1 + 2 * other[hit]
-        out = group.iloc[one][["page_id", "label", "area_id", "score", "place"]].copy()
-        out["found"] = list(found.reshape(len(one), -1))
-        return out
+                hit = asked[_first_free(det[asked], true[asked], crowd[asked], place[det[asked]])]
+                found[det[hit], i, j] = 1 + 2 * other[hit]
+        own = d.select(["page_id", "label", "area_id", "score"]).take(pa.array(at)).append_column("place", pa.array(place, pa.int32()))
+        starts = pa.array(np.arange(len(at) + 1) * len(SIZES) * len(overlaps), pa.int32())
+        return own.append_column("found", pa.ListArray.from_arrays(starts, pa.array(found.ravel())))
 
-    return pairs.groupBy("page_id").applyInPandas(run, "page_id long, label string, area_id long, score double, place int, found array<byte>")
+    own = _boxes(detections, "score").groupBy("page_id").cogroup(_boxes(truth, "crowd").groupBy("page_id"))
+    return own.applyInArrow(run, "page_id long, label string, area_id long, score double, place int, found array<byte>")
 
 
 def judged_boxes(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, most: int = LIMITS[-1]) -> DataFrame:
@@ -246,23 +282,69 @@ def recall_precision(judged: DataFrame, truth: DataFrame, overlaps: tuple[float,
     """(label, boxes, overlap, most, ap, recall): average precision at 101 recall places, and recall, with at most ``most`` detections of a page.
 
     The precision at a place is the greatest of all steps with that recall or more: steps leave the greatest precision of each place they reach, and a
-    running maximum from the right over those 101 places does the rest. Steps are counted in slices of scores first and inside them
-    afterwards, so no task holds a whole label. Labels without a true box of a size have no row for it.
+    running maximum from the right over those 101 places does the rest. Detections are dealt by ranges of their order; hits are counted for each range first and
+    inside it afterwards, so no task holds a whole label. ``judged`` has the rows of ``judged_detections`` or of ``judged_boxes``. Labels without a true box of a size have no row for it.
     """
     truth = truth if "crowd" in truth.columns else truth.withColumn("crowd", F.lit(False))
     sizes = F.explode(F.array(*[F.struct(F.lit(k).alias("boxes"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for k, (lo, hi) in SIZES.items()]))
     real = truth.where("NOT crowd").select("label", Box.of().area.alias("size"), sizes.alias("s")).where("size BETWEEN s.lo AND s.hi").groupBy("label", "s.boxes").agg(F.count("*").alias("n"))
+    real = cut(real, "real")
     keys = ["label", "boxes", "overlap", "most"]
-    most = F.explode(F.filter(F.array(*map(F.lit, limits)), lambda m: F.col("place") <= m))
-    steps = judged.where("NOT ignored").select("label", "boxes", "overlap", "score", "page_id", "area_id", F.col("hit").cast("long").alias("hit"), most.alias("most")).withColumn("slice", F.floor(F.col("score") * 256))
-    before = Window.partitionBy(*keys).orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
-    slices = steps.groupBy(*keys, "slice").agg(F.sum("hit").alias("h"), F.count("*").alias("k"))
-    slices = slices.select(*keys, "slice", F.coalesce(F.sum("h").over(before), F.lit(0)).alias("h"), F.coalesce(F.sum("k").over(before), F.lit(0)).alias("k"))
-    inside = Window.partitionBy(*keys, "slice").orderBy(F.desc("score"), "page_id", "area_id")
-    counted = steps.withColumn("tp", F.sum("hit").over(inside)).withColumn("seen", F.row_number().over(inside)).join(slices, [*keys, "slice"]).join(real, ["label", "boxes"])
-    tp, seen = F.col("tp") + F.col("h"), F.col("seen") + F.col("k")
-    places = counted.select(*keys, "n", tp.alias("tp"), F.expr("((tp + h) * 100) div n").alias("place"), (tp / seen).alias("precision"))
-    places = places.groupBy(*keys, "place").agg(F.max("precision").alias("precision"), F.max("tp").alias("tp"))
+    kinds = [(k, o, m) for k in SIZES for o in overlaps for m in limits]
+    if "found" not in judged.columns:  # one row for each detection
+        flag = lambda k, o: F.max(F.when((F.col("boxes") == k) & (F.col("overlap") == o), F.col("hit").cast("int") + 2 * F.col("ignored").cast("int")))
+        judged = judged.groupBy("page_id", "label", "area_id", "score", "place").agg(F.array(*[F.coalesce(flag(k, o), F.lit(2)).cast("byte") for k in SIZES for o in overlaps]).alias("found"))
+    judged = cut(judged.select("label", "score", "page_id", "area_id", "place", "found"), "judged")
+    parts = max(int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-judged.count() // PART_ROWS))
+    ranged = judged.repartitionByRange(parts, "label", F.desc("score"), "page_id", "area_id")
+    dealt = cut(ranged.withColumn("part", F.spark_partition_id()), "dealt")
+
+    def steps(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """For rows and kinds whether a detection is a hit and whether it counts at all."""
+        f = np.repeat(rows["found"].combine_chunks().flatten().to_numpy().reshape(-1, len(kinds) // len(limits)), len(limits), axis=1)
+        counts = (f < 2) & (rows["place"].to_numpy()[:, None] <= np.tile(limits, len(kinds) // len(limits)))
+        return counts & (f == 1), counts
+
+    def sums(batches):
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            hit, counts = steps(rows)
+            label = rows["label"].combine_chunks().dictionary_encode()
+            part = rows["part"].to_numpy()
+            for p in np.unique(part):
+                for k, name in enumerate(label.dictionary.to_pylist()):
+                    own = (part == p) & (label.indices.fill_null(-1).to_numpy() == k)
+                    if own.any():
+                        yield pa.RecordBatch.from_pydict({"part": pa.array([p] * len(kinds), pa.int32()), "label": [name] * len(kinds), "kind": pa.array(range(len(kinds)), pa.int32()), "tp": hit[own].sum(0), "seen": counts[own].sum(0)})
+
+    sum_ = dealt.mapInArrow(sums, "part int, label string, kind int, tp long, seen long").groupBy("part", "label", "kind").agg(F.sum("tp").alias("tp"), F.sum("seen").alias("seen"))
+    before = Window.partitionBy("label", "kind").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    named = F.array(*[F.struct(F.lit(k).alias("boxes"), F.lit(o).alias("overlap"), F.lit(m).alias("most")) for k, o, m in kinds])
+    starts = sum_.select("part", "label", "kind", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("tp", "seen")]).withColumn("boxes", F.get(named, F.col("kind"))["boxes"]).join(F.broadcast(real), ["label", "boxes"]).select("part", "label", "kind", "tp", "seen", "n")
+
+    def run(key, rows: pa.Table, begin: pa.Table) -> pa.Table:
+        out = []
+        label, score = np.array(rows["label"].to_pylist(), object), rows["score"].to_numpy()
+        for name in sorted({x for x in begin["label"].to_pylist()}):
+            own = np.flatnonzero(label == name)
+            own = own[np.lexsort((rows["area_id"].to_numpy()[own], rows["page_id"].to_numpy()[own], -score[own]))]
+            hit, counts = steps(rows.take(pa.array(own)))
+            for b in begin.filter(pc.equal(begin["label"], name)).to_pylist():
+                k = b["kind"]
+                at = np.flatnonzero(hit[:, k])
+                if not len(at):
+                    continue
+                # between two hits the precision falls: of all steps with one recall the hits decide
+                tp, seen = b["tp"] + np.arange(1, len(at) + 1), b["seen"] + np.cumsum(counts[:, k])[at]
+                place = tp * 100 // b["n"]
+                first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+                out.append((name, k, place[first], np.maximum.reduceat(tp / seen, first), tp[np.r_[first[1:], len(tp)] - 1]))
+        flat = lambda i, kind: pa.array(np.concatenate([x[i] for x in out]) if out else [], kind)
+        size = [len(x[2]) for x in out]
+        return pa.table({"label": pa.array([x[0] for x, n in zip(out, size) for _ in range(n)], pa.string()), "kind": pa.array([x[1] for x, n in zip(out, size) for _ in range(n)], pa.int32()), "place": flat(2, pa.int64()), "precision": flat(3, pa.float64()), "tp": flat(4, pa.int64())})
+
+    places = dealt.groupBy("part").cogroup(starts.groupBy("part")).applyInArrow(run, "label string, kind int, place long, precision double, tp long")
+    places = places.groupBy("label", "kind", "place").agg(F.max("precision").alias("precision"), F.max("tp").alias("tp")).withColumn("k", F.get(named, F.col("kind"))).select("label", "k.*", "place", "precision", "tp")
     up = Window.partitionBy(*keys).orderBy("place")
     right = F.max("precision").over(Window.partitionBy(*keys).orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, 0))
     filled = places.withColumn("w", right * (F.col("place") - F.coalesce(F.lag("place").over(up), F.lit(-1))))
@@ -274,6 +356,6 @@ def recall_precision(judged: DataFrame, truth: DataFrame, overlaps: tuple[float,
 
 def box_evaluation(detections: DataFrame, truth: DataFrame, overlaps: tuple[float, ...] = OVERLAPS, limits: tuple[int, ...] = LIMITS) -> DataFrame:
     """Means over labels and overlaps: (boxes, most, ap, ap50, ap75, ar)."""
-    curves = recall_precision(judged_boxes(detections, truth, overlaps, max(limits)), truth, overlaps, limits)
+    curves = recall_precision(judged_detections(detections, truth, overlaps, max(limits)), truth, overlaps, limits)
     at = lambda o: F.avg(F.when(F.col("overlap") == o, F.col("ap")))
     return curves.groupBy("boxes", "most").agg(F.avg("ap").alias("ap"), at(0.5).alias("ap50"), at(0.75).alias("ap75"), F.avg("recall").alias("ar"))

@@ -52,7 +52,7 @@ def judged_boxes(spark, d):
 @query("recall_precision", _JUDGED + _CURVES + "SELECT label, boxes, overlap, most, round(ap, 9) AS ap, round(recall, 9) AS recall FROM v")
 def recall_precision(spark, d):
     moved, truth = _moved(spark, d)
-    return evaluation.recall_precision(evaluation.judged_boxes(moved, truth), truth).select("label", "boxes", "overlap", "most", F.round("ap", 9).alias("ap"), F.round("recall", 9).alias("recall"))
+    return evaluation.recall_precision(evaluation.judged_detections(moved, truth), truth).select("label", "boxes", "overlap", "most", F.round("ap", 9).alias("ap"), F.round("recall", 9).alias("recall"))
 
 
 @query("box_evaluation", _JUDGED + _CURVES + "SELECT boxes, most, round(avg(ap), 9) AS ap, round(avg(ap) FILTER (overlap = 0.5), 9) AS ap50, round(avg(ap) FILTER (overlap = 0.75), 9) AS ap75, round(avg(recall), 9) AS ar FROM v GROUP BY ALL")

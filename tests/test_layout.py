@@ -430,3 +430,29 @@ def test_placed_cells_need_no_join(spark, sf):
 
     plan = catalogue.queries()["placed_cells"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "InPandas" not in plan
+
+
+def test_recall_precision_over_ranges(spark):
+    """Detections of equal scores fall into several ranges: the steps are those of one list."""
+    rng = np.random.default_rng(11)
+    judged = [(int(p), "a", i, round(float(s), 1), int(k), [int(x) for x in f]) for i, (p, s, k, f) in enumerate(zip(rng.integers(0, 9, 600), rng.random(600), rng.integers(1, 15, 600), rng.choice([0, 1, 2], (600, 4), p=[0.4, 0.5, 0.1])))]
+    wide = spark.createDataFrame(judged, "page_id long, label string, area_id long, score double, place int, found array<byte>")
+    truth = spark.createDataFrame([(0, "a", i, 0.0, 0.0, 10.0, 10.0) for i in range(700)], "page_id long, label string, area_id long, x1 double, y1 double, x2 double, y2 double")
+    got = {(r.boxes, r.most): (r.ap, r.recall) for r in evaluation.recall_precision(wide, truth, (0.5,), (1, 10)).collect()}
+    assert set(got) == {(k, m) for k in ("all", "small") for m in (1, 10)}
+    for (boxes, most), (ap, recall) in got.items():
+        at, tp, steps = list(evaluation.SIZES).index(boxes), 0, []
+        listed = [r[5][at] for r in sorted(judged, key=lambda r: (-r[3], r[0], r[2])) if r[4] <= most and r[5][at] < 2]
+        for seen, hit in enumerate(listed, 1):
+            tp += hit
+            steps.append((tp * 100 // 700, tp / seen))
+        want = sum(max((p for k, p in steps if k >= i), default=0) for i in range(101)) / 101
+        assert abs(ap - want) < 1e-9 and recall == tp / 700
+
+
+@pytest.mark.parametrize("name", ["detection_sizes", "detection_precision"])
+def test_pages_are_matched_once(spark, sf, name):
+    from docloom import catalogue
+
+    plan = catalogue.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1 and "InPandas" not in plan
