@@ -67,7 +67,7 @@ def right_blocks(labels: DataFrame, areas: DataFrame, middles: DataFrame) -> Dat
     a, b = Box.of("a"), Box.of("b")
     side = F.coalesce(F.col("middle"), F.lit(0.0))
     same = (side == 0) | ((a.middle[0] < side) == (b.middle[0] < side))
-    met = labels.join(middles, "page_id", "left").alias("a").join(areas.where(F.col("category").isin("Paragraph", "Line")).alias("b"), (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.area_id") != F.col("b.area_id")) & a.meets_y(b) & same)
+    met = labels.join(middles.hint("merge"), "page_id", "left").alias("a").join(areas.where(F.col("category").isin("Paragraph", "Line")).alias("b").hint("merge"), (F.col("a.page_id") == F.col("b.page_id")) & (F.col("a.area_id") != F.col("b.area_id")) & a.meets_y(b) & same)
     rows = met.select(F.col("a.page_id").alias("page_id"), F.col("a.area_id").alias("label"), F.when(F.col("b.category") == "Paragraph", 0).otherwise(1).alias("kind"), F.struct("b.y1", "b.x1", "b.area_id", "b.content").alias("x"))
     lists = rows.groupBy("page_id", "label", "kind").agg(F.sort_array(F.collect_list("x")).alias("l"))
     best = lists.groupBy("page_id", "label").agg(F.min(F.struct("kind", "l")).alias("m"))
@@ -116,14 +116,15 @@ def from_title_page(areas: DataFrame, pages: DataFrame) -> DataFrame:
     ``areas``: doc_id, page_id, area_id, category, content, box; ``pages``: doc_id, page_id, img_width, division. Each code's area is the one that carries it
     (``first_labels``); its text is what stands right of it on its side of the page (``right_blocks``), or what follows the code in the area itself. Documents without any are left out.
     """
-    labels = first_labels(areas).join(areas.select("doc_id", "area_id", "page_id", "content", "x1", "y1", "x2", "y2"), ["doc_id", "area_id"])
-    middles = pages.select("doc_id", "page_id").join(page_middle(pages), "doc_id").select("page_id", "middle")
+    # areas may be many more bytes than the files they are made from, by whose size Spark would choose to send them to all tasks
+    labels = first_labels(areas).join(areas.select("doc_id", "area_id", "page_id", "content", "x1", "y1", "x2", "y2").hint("merge"), ["doc_id", "area_id"])
+    middles = pages.select("doc_id", "page_id").join(page_middle(pages).hint("merge"), "doc_id").select("page_id", "middle")
     text = areas.where(F.col("content").isNotNull())
     # a label is no text of another label
-    others = text.join(labels.select("page_id", "area_id").distinct(), ["page_id", "area_id"], "left_anti")
+    others = text.join(labels.select("page_id", "area_id").distinct().hint("merge"), ["page_id", "area_id"], "left_anti")
     right = right_blocks(labels.select("page_id", "area_id", "x1", "y1", "x2", "y2").distinct(), others, middles).select("page_id", F.col("label").alias("area_id"), F.col("content").alias("beside"))
     own = F.nullif(F.trim(F.regexp_replace("content", r"^\s*[\[(]?\s*\d\d\s*[\])]?", "")), F.lit(""))
-    told = labels.withColumn("own", own).join(right, ["page_id", "area_id"], "left").withColumn("text", F.coalesce("own", "beside")).where("text IS NOT NULL")
+    told = labels.withColumn("own", own).join(right.hint("merge"), ["page_id", "area_id"], "left").withColumn("text", F.coalesce("own", "beside")).where("text IS NOT NULL")
     first = lambda codes: F.min(F.when(F.col("code").cast("int").isin(*codes), F.struct(F.array_position(F.array(*map(F.lit, codes)), F.col("code").cast("int")).alias("k"), "text")))["text"]
     out = told.groupBy("doc_id").agg(*[first(codes).alias(name) for name, codes in FIELDS.items()])
     return out.select("doc_id", F.regexp_replace("title", r"^(?:\[[A-Z]{2}\])\s", "").alias("title"), "inventors", "applicant", "assignee", any_date(F.col("published")).alias("publication_date"), F.array_sort(F.array_distinct(ipc_codes(F.col("classes")))).alias("ipc"), "abstract")
