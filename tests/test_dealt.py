@@ -37,3 +37,15 @@ def test_null_and_empty_document_are_one(spark):
     points = spark.createDataFrame([(None, "g", "p", "1", "C"), ("", "g", "p", "1", "C")], "doc_id string, glass_id string, property string, value string, unit string")
     got = [tuple(r) for r in ontology.record_triples(points).collect()]
     assert len(got) == len(set(got)) and ("patent/", "has_glass", "glass//g", "") in got
+
+
+def test_title_pages_are_not_sent_to_all_tasks(spark, sf):
+    """A small file of customers makes many areas: Spark's guess from the file's size must not decide."""
+    assert "BroadcastExchange" not in catalogue.queries()["title_page_records"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["numbering_runs", "table_orientation"])
+def test_cells_of_tables_are_not_exchanged(spark, sf, name):
+    """Only lines are dealt, once for each axis at most; cells stay where their table is."""
+    plan = catalogue.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 0 and plan.count("ENSURE_REQUIREMENTS") == 0
