@@ -2,70 +2,102 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import Box
-from .graph import components, cut
-from .spatial import box_join
+from .cluster import runs
+from .graph import least_roots
 from .tables import modal_width
 
+_BOX = ("x1", "y1", "x2", "y2")
 
-def barred(hull: Box, line: Box) -> Column:
-    """Whether a line runs across a hull: strictly between its sides and beyond both of its ends."""
-    upright = (hull.x1 < line.x1) & (hull.x2 > line.x1) & (hull.y1 > line.y1) & (hull.y2 < line.y2)
-    flat = (hull.y1 < line.y1) & (hull.y2 > line.y1) & (hull.x1 > line.x1) & (hull.x2 < line.x2)
-    return upright | flat
 
+def _corners(boxes: pa.Table) -> np.ndarray:
+    return np.stack([boxes[c].to_numpy().astype(float) for c in _BOX], 1)
 
-def open_pairs(cells: DataFrame, barriers: DataFrame, tolerance: float, reach: float = 10_000.0) -> DataFrame:
-    """(page_id, u, v), u < v: cells with at least ``tolerance`` of their heights in common, at most ``reach`` apart sideways, whose hull no barrier runs across."""
-    own = cells.select("page_id", "area_id", "x1", "y1", "x2", "y2")
-    other = own.select(*[F.col(c).alias(c) for c in own.columns])
-    met = box_join(own, other, lambda a, b: (F.col("a.area_id") < F.col("b.area_id")) & (a.y1 <= b.y2 - tolerance) & (a.y2 >= b.y1 + tolerance) & (a.x1 <= b.x2 + reach) & (a.x2 >= b.x1 - reach))
-    hull = Box.of("a").union(Box.of("b"))
-    pairs = met.select(F.col("a.page_id").alias("page_id"), F.col("a.area_id").alias("u"), F.col("b.area_id").alias("v"), *hull.columns())
-    lines = barriers.select("page_id", *[F.col(c).alias(c) for c in ("x1", "y1", "x2", "y2")])
-    on = (F.col("p.page_id") == F.col("l.page_id")) & barred(Box.of("p"), Box.of("l"))
-    return pairs.alias("p").join(lines.alias("l"), on, "left_anti").select("page_id", "u", "v")
 
+def barred(hulls: np.ndarray, lines: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """Whether a line runs across each hull: strictly between its sides and beyond both of its ends."""
+    out = np.zeros(len(hulls), bool)
+    step = max(1, block // max(1, len(lines)))
+    for k in range(0, len(hulls), step):
+        h, d = hulls[k : k + step, None], lines[None]
+        upright = (h[..., 0] < d[..., 0]) & (h[..., 2] > d[..., 0]) & (h[..., 1] > d[..., 1]) & (h[..., 3] < d[..., 3])
+        flat = (h[..., 1] < d[..., 1]) & (h[..., 3] > d[..., 1]) & (h[..., 0] > d[..., 0]) & (h[..., 2] < d[..., 2])
+        out[k : k + step] = (upright | flat).any(1)
+    return out
 
-def _walk(cells: DataFrame, pairs: DataFrame, seed: int) -> DataFrame:
-    """Each cell with the cell of its group that this seed's order puts first."""
-    order = lambda c: F.struct(F.xxhash64(F.lit(seed), "page_id", c).alias("place"), F.col(c).alias("id"))
-    roots = components(pairs.select("page_id", order("u").alias("u"), order("v").alias("v")))
-    named = roots.select("page_id", F.col("u.id").alias("area_id"), F.col("root.id").alias("first"))
-    return cells.select("page_id", "area_id").join(named, ["page_id", "area_id"], "left").withColumn("first", F.coalesce("first", "area_id"))
 
+def open_pairs(b: np.ndarray, lines: np.ndarray, tolerance: float, reach: float = 10_000.0) -> tuple[np.ndarray, np.ndarray]:
+    """(u, v), u < v: cells of a page with at least ``tolerance`` of their heights in common, at most ``reach`` apart sideways, whose hull no line runs across.
 
-def _apart(before: DataFrame, now: DataFrame) -> DataFrame:
-    """(page_id, apart): mean share of a group, of the largest one's size, in which two groupings of a page differ."""
-    sized = lambda g, name: g.join(g.groupBy("page_id", "first").agg(F.count("*").alias("n")), ["page_id", "first"]).select("page_id", "area_id", F.col("first").alias(name), F.col("n").alias(f"n_{name}"))
-    both = sized(before, "old").join(sized(now, "new"), ["page_id", "area_id"]).groupBy("page_id", "old", "n_old", "new", "n_new").agg(F.count("*").alias("both"))
+    Cells sorted by their tops meet only a run of those after them.
+    """
+    order, us, vs = np.argsort(b[:, 1], kind="stable"), [], []
+    end = b[order, 3] - tolerance
+    for i, j in runs(np.searchsorted(b[order, 1], end + 1e-9 * (np.abs(end) + 1), side="right")):
+        u, v = np.minimum(order[i], order[j]), np.maximum(order[i], order[j])
+        met = (b[u, 1] <= b[v, 3] - tolerance) & (b[u, 3] >= b[v, 1] + tolerance) & (b[u, 0] <= b[v, 2] + reach) & (b[u, 2] >= b[v, 0] - reach)
+        u, v = u[met], v[met]
+        free = ~barred(np.c_[np.minimum(b[u, :2], b[v, :2]), np.maximum(b[u, 2:], b[v, 2:])], lines)
+        us.append(u[free])
+        vs.append(v[free])
+    return np.concatenate(us), np.concatenate(vs)
+
+
+def _walk(n: int, u: np.ndarray, v: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Each cell with the cell of its group that the order (places of the cells) puts first."""
+    return np.argsort(order)[least_roots(n, order[u], order[v])[order]]
+
+
+def _apart(old: np.ndarray, new: np.ndarray) -> float:
+    """Mean share of a group, of the largest one's size, in which two groupings of a page differ."""
+    n_old, n_new = np.bincount(old), np.bincount(new)
+    pair, both = np.unique(np.c_[new, old], axis=0, return_counts=True)
     # the old group that shares most with a new one is what that one was
-    best = both.groupBy("page_id", "new", "n_new").agg(F.max(F.struct("both", "n_old"))["n_old"].alias("n_old"), F.max("both").alias("both"))
-    return best.groupBy("page_id").agg((F.avg(F.col("n_new") + F.col("n_old") - 2 * F.col("both")) / F.max("n_new")).alias("apart"))
+    best = np.lexsort((n_old[pair[:, 1]], both, pair[:, 0]))
+    best = best[np.r_[pair[best[1:], 0] != pair[best[:-1], 0], True]]
+    own, was = pair[best].T
+    return float((n_new[own] + n_old[was] - 2 * both[best]).mean() / n_new.max())
 
 
 def row_chains(cells: DataFrame, barriers: DataFrame, tolerance: float = 0.0, most_walks: int = 10, convergence: float = 0.1, seed: int = 7) -> DataFrame:
     """Rows of cells: page_id, area_id, row_no (from 0 by the row's top, then its least area_id), place (from 0 by x1, then area_id), n (cells of the row).
 
     A walk starts at the first cell of a seeded order and takes all it reaches over open pairs; the next cell not yet taken
-    starts the next row. Walks with other seeds are repeated until two groupings differ by ``convergence`` at most on every page, or ``most_walks`` are
-    done; as pairs are open both ways, no order changes a group, and the second walk confirms the first.
+    starts the next row. Walks with other seeds are repeated until two groupings of the page differ by ``convergence`` at most, or ``most_walks`` are
+    done; as pairs are open both ways, no order changes a group, and the second walk confirms the first. A page is done by itself,
+    without an exchange if cells and barriers are dealt by page; cells without a page or an id are left out.
     """
-    pairs = cut(open_pairs(cells, barriers, tolerance), "pairs")
-    now = None
-    for k in range(max(1, most_walks)):
-        before, now = now, cut(_walk(cells, pairs, seed + k), "walk")
-        if before is not None and _apart(before, now).where(F.col("apart") > convergence).isEmpty():
-            break
-    placed = now.join(cells.select("page_id", "area_id", "x1", "y1"), ["page_id", "area_id"])
-    group = Window.partitionBy("page_id", "first")
-    marked = placed.withColumn("top", F.min("y1").over(group)).withColumn("least", F.min("area_id").over(group)).withColumn("n", F.count("*").over(group))
-    row = F.dense_rank().over(Window.partitionBy("page_id").orderBy("top", "least")).cast("long") - 1
-    place = F.row_number().over(Window.partitionBy("page_id", "first").orderBy("x1", "area_id")).cast("long") - 1
-    return marked.select("page_id", "area_id", row.alias("row_no"), place.alias("place"), "n")
+
+    def run(key: tuple, own: pa.Table, drawn: pa.Table) -> pa.Table:
+        own = own.sort_by("area_id")
+        ids, b = own["area_id"].to_numpy(), _corners(own)
+        n = len(ids)
+        if not n:
+            return pa.table({"page_id": pa.array([], pa.int64()), **{c: pa.array([], pa.int64()) for c in ("area_id", "row_no", "place", "n")}})
+        u, v = open_pairs(b, _corners(drawn), tolerance)
+        now = None
+        for k in range(max(1, most_walks)):
+            before, now = now, _walk(n, u, v, np.random.default_rng([seed + k, n]).permutation(n))
+            if before is not None and _apart(before, now) <= convergence:
+                break
+        group, size = np.unique(now, return_inverse=True, return_counts=True)[1:]
+        top, least = np.full(len(size), np.nan), np.full(len(size), n)
+        np.fmin.at(top, group, b[:, 1])
+        np.minimum.at(least, group, np.arange(n))
+        rank = np.empty(len(size), np.int64)
+        rank[np.lexsort((least, np.where(np.isnan(top), -np.inf, top)))] = np.arange(len(size))
+        row, order = rank[group], np.lexsort((np.arange(n), np.where(np.isnan(b[:, 0]), -np.inf, b[:, 0]), group))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n) - np.repeat(np.cumsum(size) - size, size)
+        return pa.table({"page_id": pa.array([key[0].as_py()] * n, pa.int64()), **{c: pa.array(x, pa.int64()) for c, x in (("area_id", ids), ("row_no", row), ("place", place), ("n", size[group]))}})
+
+    own = cells.where("page_id IS NOT NULL AND area_id IS NOT NULL").select(*[F.col(c).alias(c) for c in ("page_id", "area_id", *_BOX)])
+    drawn = barriers.select(*[F.col(c).alias(c) for c in ("page_id", *_BOX)])
+    return own.groupBy("page_id").cogroup(drawn.groupBy("page_id")).applyInArrow(run, "page_id long, area_id long, row_no long, place long, n long")
 
 
 def probable_width(rows: DataFrame) -> DataFrame:

@@ -98,3 +98,11 @@ def test_sliding_stream(spark, tmp_path):
         every = [v for v in own if v is not None]
         want = (user, i, *sliding.measures(own[-20:]), sum(every) / len(every) if every else None, min(20, len(own)))
         assert all(a == b or abs(a - b) < 1e-9 for a, b in zip(got[i], want)), (got[i], want)
+
+
+def test_rows_are_found_where_their_page_is(spark, sf):
+    """Cells and barriers are dealt by page once each; nothing is written between, and no join follows."""
+    from docloom import catalogue
+
+    plan = catalogue.queries()["row_chains"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
