@@ -114,7 +114,11 @@ def widened(cells: DataFrame, lines: DataFrame) -> DataFrame:
     """
     at = lambda r: F.max(F.when(F.col("r") == r, F.struct("cell_id", "x1", "x2")))
     top = cells.where("r < 3").groupBy("table_id", "c").agg(*[at(r).alias(f"a{r}") for r in range(3)])
+    # all that follows are windows along a table's columns: with cells and lines dealt by table nothing is exchanged
+    stabs = lines.groupBy("table_id").agg(F.collect_set("x1").alias("stabs"))
+    top = top.join(stabs.hint("merge"), "table_id", "left")
     w = Window.partitionBy("table_id").orderBy("c")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
 
     def near(name: str, step: int) -> Column:
         """The cell ``step`` columns on; none where that column has no cell in any row."""
@@ -122,17 +126,17 @@ def widened(cells: DataFrame, lines: DataFrame) -> DataFrame:
         return F.when(move("c", abs(step)).over(w) == F.col("c") + step, move(name, abs(step)).over(w))
 
     for upper, lower in (("a0", "a1"), ("a0", "a2"), ("a1", "a2")):
-        seen = top.withColumn("left", near(lower, -1)).withColumn("right", near(lower, 1)).withColumn("l", near(upper, -1)).withColumn("r", near(upper, 1))
-        fits = seen.where(F.col(upper).isNotNull() & F.col("l").isNull() & F.col("r").isNull() & F.col("left").isNotNull() & F.col(lower).isNotNull() & F.col("right").isNotNull())
-        fits = fits.select("table_id", "c", F.col("left.x1").cast("long").alias("lo"), F.col("right.x2").cast("long").alias("hi"), F.col(upper).alias("cell"))
-        stab = lines.select(F.col("table_id").alias("t"), F.col("x1").alias("stab"))
-        free = fits.join(stab, (F.col("t") == F.col("table_id")) & (F.col("stab") >= F.col("lo")) & (F.col("stab") < F.col("hi")), "left_anti")
+        seen = top.withColumns({"left": near(lower, -1), "right": near(lower, 1), "l": near(upper, -1), "r": near(upper, 1)})
+        lo, hi = F.col("left.x1").cast("long"), F.col("right.x2").cast("long")
+        crossed = F.coalesce(F.exists("stabs", lambda s: (s >= lo) & (s < hi)), F.lit(False))
+        empty = F.col(upper).isNotNull() & F.col("l").isNull() & F.col("r").isNull() & F.col("left").isNotNull() & F.col(lower).isNotNull() & F.col("right").isNotNull()
+        free = seen.withColumn("fits", empty & ~crossed)
         # places two apart follow each other: the first, third, ... of a run are taken
-        start = F.coalesce((F.col("c") - F.lag("c").over(w) != 2).cast("int"), F.lit(1))
-        run = free.withColumn("start", start).withColumn("run", F.sum("start").over(w))
-        taken = run.withColumn("k", F.row_number().over(Window.partitionBy("table_id", "run").orderBy("c"))).where("k % 2 = 1")
-        new = taken.select("table_id", F.explode(F.array(F.col("c") - 1, F.col("c") + 1)).alias("c"), F.col("cell").alias("new"))
-        top = top.join(new, ["table_id", "c"], "left").withColumn(upper, F.coalesce(upper, "new")).drop("new")
+        start = F.col("fits") & ~F.coalesce(F.col("c") - F.last(F.when(F.col("fits"), F.col("c")), ignorenulls=True).over(before) == 2, F.lit(False))
+        run = free.withColumn("start", start).withColumn("k", F.sum(F.col("fits").cast("int")).over(w))
+        first = F.last(F.when(F.col("start"), F.col("k")), ignorenulls=True).over(w)
+        taken = run.withColumn("new", F.when(F.col("fits") & ((F.col("k") - first) % 2 == 0), F.col(upper)))
+        top = taken.withColumn(upper, F.coalesce(upper, near("new", -1), near("new", 1))).select("table_id", "c", "a0", "a1", "a2", "stabs")
     top = top.withColumns({"a0": F.coalesce("a0", "a1"), "a1": F.coalesce("a1", "a0")})
     flat = top.select("table_id", "c", F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.col(f"a{r}.cell_id").alias("cell_id")) for r in range(3)])).alias("x")).select("table_id", "x.r", "c", "x.cell_id").where("cell_id IS NOT NULL")
     return flat.unionByName(cells.where("r >= 3").select("table_id", "r", "c", "cell_id"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import chains
-from .fixtures import BOXES_SQL, boxes, table
+from .fixtures import BOXES_SQL, boxes, deal, table
 from .registry import query
 
 _ROWS = f"""WITH RECURSIVE b AS ({BOXES_SQL}), c AS (SELECT * FROM b WHERE category = 'TableCell'), l AS (SELECT page_id, x1 - 100 AS x1, y1, x2 + 100 AS x2, y1 AS y2 FROM b WHERE category = 'DrawnLine'),
@@ -56,10 +56,10 @@ SELECT table_id, CAST(r AS INTEGER) AS r, c, cell_id FROM o WHERE cell_id IS NOT
 @query("widened_spans", _widened_sql())
 def widened_spans(spark, d):
     """Cells of every order's table widened between upright lines."""
-    lines = table(spark, d, "lineitem")
+    lines = deal(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("table_id"), "l_linenumber"), "table_id")
     i = F.col("table_id")
-    grid = lines.select(F.col("l_orderkey").alias("table_id")).distinct().withColumn("r", F.explode(F.array(*map(F.lit, range(4))))).withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))))
+    grid = lines.select("table_id").distinct().withColumn("r", F.explode(F.array(*map(F.lit, range(4))))).withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(7).cast("long"))))
     kept = ~((i * 31 + F.col("r") * 17 + F.col("c") * (7 + F.col("r"))) % 5).isin(0, 3) | ((F.col("r") == 2) & (i % 2 == 0))
     cells = grid.where(kept).select("table_id", "r", "c", (i * 100 + F.col("r") * 10 + F.col("c")).alias("cell_id"), (60 * F.col("c") + i % 7).cast("double").alias("x1"), (60 * F.col("c") + 40).cast("double").alias("x2"))
-    upright = lines.where("l_linenumber % 3 = 0").select(F.col("l_orderkey").alias("table_id"), (60 * F.col("l_linenumber") + 50).cast("double").alias("x1"))
+    upright = lines.where("l_linenumber % 3 = 0").select("table_id", (60 * F.col("l_linenumber") + 50).cast("double").alias("x1"))
     return chains.widened(cells, upright)

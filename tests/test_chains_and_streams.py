@@ -106,3 +106,11 @@ def test_rows_are_found_where_their_page_is(spark, sf):
 
     plan = catalogue.queries()["row_chains"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_spans_are_widened_where_their_table_is(spark, sf):
+    """Only lines are dealt, by table; cells and upright lines are neither exchanged nor sent to all tasks, whatever the files' size."""
+    from docloom import catalogue
+
+    plan = catalogue.queries()["widened_spans"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_NUM") == plan.count("FileScan") and "BroadcastExchange" not in plan
