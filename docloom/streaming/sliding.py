@@ -38,8 +38,7 @@ class Sliding(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        key = StructType([StructField("us", LongType()), StructField("event_id", LongType())])
-        self.waiting = handle.getMapState("waiting", key, StructType([StructField("value", DoubleType())]))
+        self.waiting = handle.getListState("waiting", StructType([StructField("us", LongType()), StructField("event_id", LongType()), StructField("value", DoubleType())]))
         self.past = handle.getValueState("past", StructType([StructField("last", ArrayType(DoubleType())), StructField("n", LongType()), StructField("total", DoubleType())]))
         self.timer = handle.getValueState("timer", StructType([StructField("ms", LongType())]))
 
@@ -53,33 +52,33 @@ class Sliding(StatefulProcessor):
             self.timer.update((ms,))
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        first = None
-        for r in rows:
-            self.waiting.updateValue((r.us, r.event_id), (r.value,))  # the same event again changes nothing
-            first = r.us if first is None else min(first, r.us)
-        if first is not None:
-            self._wake(first // 1000 + 1)
+        new = [(r.us, r.event_id, r.value) for r in rows]
+        if new:
+            self.waiting.appendList(new)  # all events of a batch in one call
+            self._wake(min(r[0] for r in new) // 1000 + 1)
         yield from ()
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
         until = timerValues.getCurrentWatermarkInMs()
         self.timer.clear()
-        found = sorted((tuple(k), v[0]) for k, v in self.waiting.iterator())
+        found = {(us, event_id): value for us, event_id, value in self.waiting.get()}  # the same event again changes nothing
         last, n, total = self.past.get() if self.past.exists() else ([], 0, 0.0)
-        last, rest = list(last), None
-        for (us, event_id), value in found:
+        last, rest = list(last), []
+        for (us, event_id), value in sorted(found.items(), key=lambda x: x[0]):
             if us // 1000 + 1 > until:
-                rest = us
-                break
+                rest.append((us, event_id, value))
+                continue
             last = [*last, value][-self.width :]
             if value is not None:
                 n, total = n + 1, total + value
-            self.waiting.removeKey((us, event_id))
             mean, top, mid = measures(last)
             yield Row(user_id=key[0], event_id=event_id, mean=mean, top=top, mid=mid, overall=total / n if n else None, n=len(last))
         self.past.update((last[-(self.width - 1) :], n, total))
-        if rest is not None:
-            self._wake(rest // 1000 + 1)
+        if rest:
+            self.waiting.put(rest)
+            self._wake(rest[0][0] // 1000 + 1)
+        else:
+            self.waiting.clear()
 
     def close(self) -> None:
         pass

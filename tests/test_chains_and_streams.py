@@ -114,3 +114,48 @@ def test_spans_are_widened_where_their_table_is(spark, sf):
 
     plan = catalogue.queries()["widened_spans"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == plan.count("REPARTITION_BY_NUM") == plan.count("FileScan") and "BroadcastExchange" not in plan
+
+
+def test_a_user_waits_in_few_calls():
+    """State is asked for by batch and by timer, not by event: calls don't grow with a user's events."""
+    calls = []
+
+    class State:
+        def __init__(self):
+            self.held = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.held is not None
+
+        def get(self):
+            calls.append("get")
+            return iter(self.held or []) if isinstance(self.held, list) else self.held
+
+        def update(self, value):
+            calls.append("update")
+            self.held = value
+
+        def put(self, values):
+            self.update(values)
+
+        def appendList(self, values):
+            self.update((self.held or []) + values)
+
+        def clear(self):
+            self.update(None)
+
+    class Handle:
+        getListState = getValueState = getMapState = lambda self, *a: State()
+        registerTimer = deleteTimer = lambda self, ms: None
+
+    class Now:
+        getCurrentWatermarkInMs = lambda self: 900
+
+    rows = [sliding.Row(us=1000 * i, event_id=i, value=float(i % 7)) for i in range(1000)]
+    s = sliding.Sliding()
+    s.init(Handle())
+    assert not list(s.handleInputRows((1,), iter(random.Random(1).sample(rows, 1000)), None))
+    told = list(s.handleExpiredTimer((1,), Now(), None))
+    assert [r.event_id for r in told] == list(range(900)) and len(s.waiting.held) == 100 and len(calls) < 20
+    assert told[-1].overall == pytest.approx(sum(i % 7 for i in range(900)) / 900) and told[-1].top == 6.0
