@@ -49,3 +49,12 @@ def test_cells_of_tables_are_not_exchanged(spark, sf, name):
     """Only lines are dealt, once for each axis at most; cells stay where their table is."""
     plan = catalogue.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 0 and plan.count("ENSURE_REQUIREMENTS") == 0
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_are_made_in_compiled_code(spark, sf):
+    """A lambda over the array of a line's cells would have Spark interpret all that builds them."""
+    assert "lambda" not in plan_of(catalogue.queries()["cell_spans"](spark, sf))
