@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 from docloom import catalogue
-from docloom.operators import ontology
+from docloom.operators import ontology, tables
 from pyspark.sql import functions as F
 
 
@@ -58,3 +58,24 @@ def plan_of(df) -> str:
 def test_cells_are_made_in_compiled_code(spark, sf):
     """A lambda over the array of a line's cells would have Spark interpret all that builds them."""
     assert "lambda" not in plan_of(catalogue.queries()["cell_spans"](spark, sf))
+
+
+@pytest.mark.parametrize("name", ["table_html", "table_csv", "table_markdown"])
+def test_tables_are_filled_without_a_join(spark, sf, name):
+    df = catalogue.queries()[name](spark, sf)
+    assert exchanges(df) == 1 and "Join" not in plan_of(df)
+
+
+def test_dense_is_the_joined_rectangle(spark):
+    """Holes, a place taken twice, cells without a place, a table of one place and one whose cells have none."""
+    rng = np.random.default_rng(5)
+    rows = [(t, r, c, f"{t} {r} {c}") for t in range(6) for r, c in rng.integers(0, 6, (7, 2)).tolist()]
+    rows += [(0, 3, 3, None), (1, None, 2, "x"), (1, None, 1, "x"), (2, 8, None, "y"), (3, -1, 2, "z"), (7, 0, 0, "one"), (8, 1, None, "a"), (8, None, 1, "b"), (9, 0, 4, "end"), (10, None, 1, "none")]
+    cells = spark.createDataFrame(rows, "table_id long, r int, c int, content string")
+    size = cells.groupBy("table_id").agg(F.max("r").alias("mr"), F.max("c").alias("mc"))
+    places = size.select("table_id", "mc", F.explode(F.expr("sequence(0, mr)")).alias("r")).select("table_id", "r", F.explode(F.expr("sequence(0, mc)")).alias("c"))
+    want = places.join(cells, ["table_id", "r", "c"], "left")
+    got = tables.dense(cells)
+    assert got.dtypes == want.dtypes
+    key = lambda x: tuple((v is None, v) for v in x)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
