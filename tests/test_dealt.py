@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from docloom import catalogue
+from docloom.functions import knowledge
 from docloom.operators import ontology, tables
 from pyspark.sql import functions as F
 
@@ -60,6 +61,20 @@ def test_cells_are_made_in_compiled_code(spark, sf):
     assert "lambda" not in plan_of(catalogue.queries()["cell_spans"](spark, sf))
 
 
+def test_last_writes_are_found_by_one_sort(spark, sf):
+    """No sets or structs carried through two aggregations of strings; heads and widths share a sort."""
+    plan = plan_of(catalogue.queries()["setpoint_last_wins"](spark, sf))
+    assert "ObjectHashAggregate" not in plan and plan.count("Sort [") <= 4
+
+
+def test_last_write_wins_with_all_tables(spark):
+    """Two tables name a glass; one says a property twice, and one head has an empty twin."""
+    rows = [("d", 1, 0, 1, "Ex. 1"), ("d", 1, 0, 2, "Ex. 2"), ("d", 1, 1, 0, "B2O3"), ("d", 1, 1, 1, "4"), ("d", 1, 1, 2, "5"), ("d", 1, 2, 0, "B2O3"), ("d", 1, 2, 1, "6 %"), ("d", 2, 0, 2, "Ex. 1"), ("d", 2, 0, 2, None), ("d", 2, 1, 0, "MgO"), ("d", 2, 1, 2, "7"), ("d", 2, 2, 0, "B2O3"), ("d", 2, 2, 2, None), ("d", 3, 0, 2, "Ex. 1"), ("d", 3, 1, 0, "B2O3"), ("d", 3, 1, 2, "8"), ("d", 3, 2, 2, "9")]
+    cells = spark.createDataFrame([(*r, False) for r in rows], "doc_id string, table_id long, r int, c int, content string, transposed boolean")
+    got = {(r.glass_id, r.property): (r.value, r.unit, list(r.tables)) for r in tables.setpoints(cells, knowledge.DEFAULT).collect()}
+    assert got == {("Ex-1", "B₂O₃"): ("8", "", [1, 3]), ("Ex-2", "B₂O₃"): ("5", "", [1]), ("Ex-1", "MgO"): ("7", "", [2])}
+
+
 @pytest.mark.parametrize("name", ["table_html", "table_csv", "table_markdown"])
 def test_tables_are_filled_without_a_join(spark, sf, name):
     df = catalogue.queries()[name](spark, sf)
