@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import knowledge
@@ -30,12 +30,17 @@ def schema(spark: SparkSession) -> DataFrame:
 
 
 def _told(rows: DataFrame, source: Column, *triples: tuple[Column, str, Column], keep: tuple[str, ...] = ()) -> DataFrame:
-    each = F.explode(F.array(*[F.struct(s.alias("subject"), F.lit(p).alias("predicate"), o.cast("string").alias("object")) for s, p, o in triples]))
+    """Triples of rows; a fourth entry of a triple tells which rows say it."""
+    one = lambda s, p, o: F.struct(s.alias("subject"), F.lit(p).alias("predicate"), o.cast("string").alias("object"))
+    each = F.explode(F.array(*[F.when(t[3], one(*t[:3])) if len(t) > 3 else one(*t) for t in triples]))
     return rows.select(*keep, each.alias("t"), source.cast("string").alias("source")).select(*keep, "t.*", "source").where("subject IS NOT NULL AND object IS NOT NULL AND object <> ''")
 
 
-def told_triples(points: DataFrame) -> DataFrame:
-    """Triples of setpoints (doc_id, glass_id, property, value, unit) with their doc_id and source, as often as a setpoint says them."""
+def told_triples(points: DataFrame, once: bool = False) -> DataFrame:
+    """Triples of setpoints (doc_id, glass_id, property, value, unit) with their doc_id and source, as often as a setpoint says them.
+
+    With ``once`` a document's first setpoint, the first of a glass and the first with a property alone say what belongs to those.
+    """
     if dict(points.dtypes)["doc_id"] == "string":  # a null and an empty one are one document
         points = points.withColumn("doc_id", F.coalesce("doc_id", F.lit("")))
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -43,14 +48,26 @@ def told_triples(points: DataFrame) -> DataFrame:
     attribute, prop = F.concat_ws("/", F.lit("attribute"), doc, F.col("glass_id"), F.col("property")), F.concat(F.lit("property/"), F.col("property"))
     kind = lambda s, c: (s, "type", F.lit(c))
     unit = F.when(F.col("unit").isin(*knowledge.UNITS), F.concat(F.lit("unit/"), F.col("unit")))
-    return _told(points, doc, kind(patent, "Patent"), (patent, "has_glass", glass), kind(glass, "Glass"), (glass, "has_attribute", attribute), kind(attribute, "Attribute"), (attribute, "has_value", F.col("value")), (attribute, "has_unit", unit), (attribute, "of_property", prop), kind(prop, "Property"), (prop, "has_abbrv", F.col("property")), keep=("doc_id",))
-
-
-def record_triples(points: DataFrame) -> DataFrame:
+    say = {"document": (), "glass": (), "property": ()}
+    if once:  # points in the order of setpoints are sorted again for the properties only
+        orders = {"document": (("doc_id",), ("glass_id", "property")), "glass": (("doc_id", "glass_id"), ("property",)), "property": (("doc_id", "property"), ("glass_id",))}
+        for name, (keys, by) in orders.items():
+            points = points.withColumn(f"_{name}", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)) == 1)
+        say = {name: (F.col(f"_{name}"),) for name in orders}
+    of_document, of_glass, of_property = say.values()
+    triples = [(*kind(patent, "Patent"), *of_document), (patent, "has_glass", glass, *of_glass), (*kind(glass, "Glass"), *of_glass), (glass, "has_attribute", attribute), kind(attribute, "Attribute"), (attribute, "has_value", F.col("value")), (attribute, "has_unit", unit), (attribute, "of_property", prop), (*kind(prop, "Property"), *of_property), (prop, "has_abbrv", F.col("property"), *of_property)]
+    return _told(points, doc, *triples, keep=("doc_id",))
+
+
+def record_triples(points: DataFrame, written_once: bool = False) -> DataFrame:
     """Triples of setpoints (doc_id, glass_id, property, value, unit), their document as source: patents have glasses, those have attributes with value, unit and property.
 
-    Repeated ones are found inside a document, where points dealt by document are.
+    Repeated ones are found inside a document, where points dealt by document are. ``written_once`` says that there is one point
+    for a glass and property of a document, and no slash that could blur two glasses' names, as ``setpoints`` gives them: then no
+    triple has to be looked up among the others.
     """
+    if written_once and dict(points.dtypes)["doc_id"] != "string":
+        return told_triples(points, once=True).drop("doc_id")
     return told_triples(points).distinct().drop("doc_id")
 
 

@@ -28,7 +28,7 @@ t AS (
 @query("ontology_triples", _TRIPLES + "SELECT subject, predicate, object, coalesce(CAST(doc_id AS VARCHAR), '') AS source FROM t")
 def ontology_triples(spark, d):
     """Extraction records of all tables as triples."""
-    return ontology.record_triples(_points(spark, d))
+    return ontology.record_triples(_points(spark, d), written_once=True)
 
 
 _CLASSES = ", ".join(f"('{c}', '{u}')" for c in ontology.CLASSES for u in (c, "Thing"))

@@ -75,6 +75,14 @@ def test_last_write_wins_with_all_tables(spark):
     assert got == {("Ex-1", "B₂O₃"): ("8", "", [1, 3]), ("Ex-2", "B₂O₃"): ("5", "", [1]), ("Ex-1", "MgO"): ("7", "", [2])}
 
 
+def test_triples_of_points_written_once_are_not_looked_up(spark, sf):
+    points = spark.createDataFrame([(d, f"g{g}", f"p{p}", str(p), "wt%" if p % 2 else "C") for d in (1, 2, None) for g in range(3) for p in range(g, 4)] + [(1, "g0", "", "", "C")], "doc_id long, glass_id string, property string, value string, unit string")
+    got = [tuple(r) for r in ontology.record_triples(points, written_once=True).collect()]
+    assert len(got) == len(set(got)) and set(got) == {tuple(r) for r in ontology.record_triples(points).collect()}
+    keys = [x.split("]")[0] for x in plan_of(catalogue.queries()["ontology_triples"](spark, sf)).split("keys=[")[1:]]
+    assert keys and not any("subject" in k for k in keys)
+
+
 @pytest.mark.parametrize("name", ["table_html", "table_csv", "table_markdown"])
 def test_tables_are_filled_without_a_join(spark, sf, name):
     df = catalogue.queries()[name](spark, sf)
