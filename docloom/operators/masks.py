@@ -10,9 +10,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .cluster import _near
 from .evaluation import panoptic_quality
 
 _KEYS = ("image_id", "segment_id")
@@ -28,6 +31,143 @@ def merged(runs: DataFrame, *more: str) -> DataFrame:
     return marked.groupBy(*by, "_n").agg(F.min("y1").alias("y1"), F.max("y2").alias("y2")).select(*by, "y1", "y2")
 
 
+#: Cuts of columns that are looked at together; the columns of one polygon always are.
+_CUTS = 1 << 15
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """Numbers of a column; what is null is no number."""
+    return pc.cast(column, pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def _corners(points: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of points of each row, and x and y of them all."""
+    n = pc.fill_null(pc.list_value_length(points), 0).to_numpy().astype(np.int64)
+    flat = pc.list_flatten(points)
+    flat = flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat
+    return n, _numbers(pc.struct_field(flat, "x")), _numbers(pc.struct_field(flat, "y"))
+
+
+def _spans(n: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each of the numbers, one after the other."""
+    return np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _again(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row is like the one before it."""
+    same = np.ones(max(len(columns[0]) - 1, 0), bool)
+    for c in columns:
+        same &= c[1:] == c[:-1]
+    return np.r_[False, same][: len(columns[0])]
+
+
+def _united(segment: np.ndarray, x: np.ndarray, y1: np.ndarray, y2: np.ndarray, sort: bool = True) -> tuple[np.ndarray, ...]:
+    """Runs by segment, column and begin; those of one column that overlap or touch as one."""
+    if sort:
+        order = np.lexsort((y1, x, segment))
+        segment, x, y1, y2 = (c[order] for c in (segment, x, y1, y2))
+    again = _again(segment, x)
+    if not again.any():
+        return segment, x, y1, y2
+    # ends of earlier columns lie below those of later ones, so one running maximum serves all
+    low = int(y1.min())
+    lift = (np.cumsum(~again) - 1) * (int(y2.max()) - low + 1) - low
+    reach = np.maximum.accumulate(y2 + lift)
+    new = np.flatnonzero(~again | (y1 + lift > np.r_[0, reach[:-1]]))
+    end = reach[np.r_[new[1:], len(x)] - 1] - lift[new]
+    return segment[new], x[new], y1[new], end
+
+
+def _sorted(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Whole numbers in rows, sorted; as one number each where that holds them."""
+    low = [int(c.min()) for c in columns]
+    bits = [(int(c.max()) - a).bit_length() for c, a in zip(columns, low)]
+    if sum(bits) > 62:
+        order = np.lexsort(columns[::-1])
+        return tuple(c[order] for c in columns)
+    code = columns[0] - low[0]
+    for c, a, n in zip(columns[1:], low[1:], bits[1:]):
+        code = (code << n) + (c - a)
+    code.sort()
+    out = []
+    for a, n in list(zip(low, bits))[:0:-1]:
+        out.append((code & ((1 << n) - 1)) + a)
+        code = code >> n
+    return code + low[0], *out[::-1]
+
+
+def _polygon_runs(n: np.ndarray, x: np.ndarray, y: np.ndarray, segment: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Runs (segment, x, y1, y2) of polygons with so many points each, ``n``, and the points' ``x`` and ``y``; ``segment`` numbers the polygons' segments and does not fall. Some segments at a time.
+
+    A pixel is inside if its middle is, by the even-odd rule: every column of middles is cut by a polygon's edges, and the cuts are
+    taken in pairs. A middle on a left or upper edge is inside, on a right or lower edge outside.
+    """
+    ring = np.repeat(np.arange(len(n)), n)
+    last = np.cumsum(n)[n > 0] - 1
+    to = np.arange(1, len(x) + 1)
+    to[last] = last + 1 - n[n > 0]
+    # columns whose middle lies in [low, high)
+    lo, hi = np.ceil(np.fmin(x, x[to]) - 0.5), np.ceil(np.fmax(x, x[to]) - 0.5)
+    kept = np.flatnonzero(lo < hi)
+    ring, xa, ya, dx, dy = ring[kept], x[kept], y[kept], (x[to] - x)[kept], (y[to] - y)[kept]
+    lo, wide = lo[kept].astype(np.int64), (hi - lo)[kept].astype(np.int64)
+    upto, own, at, parts = np.cumsum(wide), segment[ring], 0, bool(_again(segment).any())
+    while at < len(ring):
+        to = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + _CUTS, "right"))
+        # whole segments
+        to = int(np.searchsorted(own, own[max(to, at + 1) - 1], "right")) if to < len(own) else to
+        w = wide[at:to]
+        e = np.repeat(np.arange(at, to), w)
+        column = lo[e] + _spans(w)
+        cut = np.ceil(np.round(ya[e] + (column + 0.5 - xa[e]) * dy[e] / dx[e] - 0.5, 9))
+        r, known = ring[e], np.isfinite(cut)
+        if not known.all():
+            r, column, cut = r[known], column[known], cut[known]
+        at = to
+        if len(r):
+            r, column, cut = _sorted(r, column, cut.astype(np.int64))
+            # cuts of a column in pairs
+            begin = np.flatnonzero(~_again(r, column))
+            place = np.arange(len(r)) - np.repeat(begin, np.diff(np.r_[begin, len(r)]))
+            first = np.flatnonzero((place[:-1] & 1 == 0) & (place[1:] & 1 == 1) & (cut[:-1] < cut[1:]))
+            yield _united(segment[r[first]], column[first], cut[first], cut[first + 1], parts)
+
+
+def _gathered(polygons: DataFrame, one_part: bool, *more: str) -> DataFrame:
+    """One row for each segment: ``rings``, the points of its parts."""
+    rings = polygons.where(F.size("points") > 2)
+    if one_part:
+        return rings.select(*_KEYS, *more, F.array("points").alias("rings"))
+    return rings.groupBy(*_KEYS, *more).agg(F.collect_list("points").alias("rings"))
+
+
+def _rasterised(table: pa.Table | pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """``_polygon_runs`` of rows with ``rings``; a segment is numbered by its row."""
+    rings = table["rings"]
+    rings = rings.combine_chunks() if isinstance(rings, pa.ChunkedArray) else rings
+    parts = pc.list_value_length(rings).to_numpy()
+    yield from _polygon_runs(*_corners(pc.list_flatten(rings)), np.repeat(np.arange(len(parts)), parts))
+
+
+def _typed(df: DataFrame, *names: str) -> str:
+    return ", ".join(f"{c} {dict(df.dtypes)[c]}" for c in names)
+
+
+def polygon_runs(polygons: DataFrame, one_part: bool = False) -> DataFrame:
+    """Runs of polygons (image_id, segment_id, part, points as an array of (x, y)); parts of one segment are united, so no runs overlap.
+
+    Columns are cut where the segment's row is, many segments at a time. Where every segment is known to have one polygon (``one_part``), rows are taken as they are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for segment, x, y1, y2 in _rasterised(batch):
+                yield pa.RecordBatch.from_arrays([*(batch[k].take(pa.array(segment)) for k in _KEYS), *map(pa.array, (x, y1, y2))], [*_KEYS, "x", "y1", "y2"])
+
+    rows = _gathered(polygons, one_part)
+    return rows.mapInArrow(run, _typed(rows, *_KEYS) + ", x long, y1 long, y2 long")
+
+
 def polygon_columns(polygons: DataFrame, one_part: bool = False) -> DataFrame:
     """Polygons (image_id, segment_id, part, points as an array of (x, y); parts of one segment are united) as one row for each segment: ``columns``, an array of (x, runs).
 
@@ -55,12 +195,6 @@ def polygon_columns(polygons: DataFrame, one_part: bool = False) -> DataFrame:
     return parts.where("size(flatten(parts)) > 0").select(*_KEYS, F.explode(F.array(columns)).alias("columns"))
 
 
-def polygon_runs(polygons: DataFrame, one_part: bool = False) -> DataFrame:
-    """Runs of the polygons of ``polygon_columns``; none overlap."""
-    each = polygon_columns(polygons, one_part).select(*_KEYS, F.explode("columns").alias("c")).select(*_KEYS, "c.x", F.explode("c.runs").alias("r"))
-    return each.select(*_KEYS, "x", "r.y1", "r.y2")
-
-
 def column_areas(columns: DataFrame) -> DataFrame:
     """``areas`` of segments that are one row each."""
     pixels = "aggregate(columns, 0L, (n, c) -> n + aggregate(c.runs, 0L, (m, r) -> m + r.y2 - r.y1))"
@@ -68,6 +202,61 @@ def column_areas(columns: DataFrame) -> DataFrame:
     return columns.where("size(columns) > 0").select(*_KEYS, F.expr(pixels).alias("pixels"), F.expr(ends("array_min", "c.x")).alias("x1"), F.expr(ends("array_min", "c.runs[0].y1")).alias("y1"), F.expr(ends("array_max", "c.x")).alias("x2"), (F.expr(ends("array_max", "get(c.runs, size(c.runs) - 1).y2")) - 1).alias("y2"))
 
 
+def _shared(row: np.ndarray, x: np.ndarray, y1: np.ndarray, y2: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pixels of each mask of one image, and (own, true, pixels) of the masks that share some; ``row`` numbers the masks, whose runs come in order, ``real`` tells which are true.
+
+    Masks whose boxes meet are compared column by column: what a mask has in a column is looked up by the column's place.
+    """
+    size = np.bincount(row, y2 - y1, len(real)).astype(np.int64)
+    new = np.flatnonzero(~_again(row))
+    if not len(new):
+        return size, *[np.zeros(0, np.int64)] * 3
+    some, first, last = row[new], x[new], x[np.r_[new[1:], len(x)] - 1]
+    box = np.stack([first, np.minimum.reduceat(y1, new), last, np.maximum.reduceat(y2, new) - 1], 1)
+    base = np.cumsum(last - first + 1) - (last - first + 1) - first  # place of a mask's column 0
+    begin = np.r_[0, np.cumsum(np.bincount(np.repeat(base, np.diff(np.r_[new, len(x)])) + x, minlength=int(base[-1] + last[-1]) + 1))]
+    pairs = _near(box, 0, 0)
+    turned = real[some[pairs[:, 0]]]
+    own, true = np.where(turned, pairs[:, 1], pairs[:, 0]), np.where(turned, pairs[:, 0], pairs[:, 1])
+    met = ~real[some[own]] & real[some[true]]
+    own, true = own[met], true[met]
+    low, pixels = np.maximum(first[own], first[true]), np.zeros(len(own), np.int64)
+    wide = np.minimum(last[own], last[true]) - low + 1
+    upto, at = np.cumsum(wide), 0
+    while at < len(own):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + _CUTS, "right")))
+        k = np.repeat(np.arange(at, to), wide[at:to])
+        column = low[k] + _spans(wide[at:to])
+        i, j = base[own[k]] + column, base[true[k]] + column
+        n = begin[j + 1] - begin[j]
+        # every run of one with every run of the other
+        each = (begin[i + 1] - begin[i]) * n
+        k, i, j, n, place = np.repeat(k, each), np.repeat(begin[i], each), np.repeat(begin[j], each), np.repeat(n, each), _spans(each)
+        i, j = i + place // n, j + place % n
+        pixels[at:to] = np.bincount(k - at, np.maximum(np.minimum(y2[i], y2[j]) - np.maximum(y1[i], y1[j]), 0), to - at)
+        at = to
+    own, true, pixels = own[pixels > 0], true[pixels > 0], pixels[pixels > 0]
+    return size, some[own], some[true], pixels
+
+
+def _polygons_shared(image: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    runs = [np.concatenate(c) for c in zip(*_rasterised(image))] or [np.zeros(0, np.int64)] * 4
+    return _shared(*runs, image["real"].to_numpy().astype(bool))
+
+
+def polygon_overlap(polygons: DataFrame, one_part: bool = False) -> DataFrame:
+    """``overlap`` of polygons (image_id, segment_id, part, real, points), true ones where ``real``; an image is done where its polygons are."""
+
+    def run(image: pa.Table) -> pa.Table:
+        size, own, true, pixels = _polygons_shared(image)
+        ids = image["segment_id"]
+        columns = [image["image_id"].take(pa.array(own)), ids.take(pa.array(own)), ids.take(pa.array(true)), *map(pa.array, (pixels, pixels / (size[own] + size[true] - pixels)))]
+        return pa.table(columns, names=["image_id", "segment_id", "true_id", "pixels", "iou"])
+
+    types = dict(polygons.dtypes)
+    return _gathered(polygons, one_part, "real").groupBy("image_id").applyInArrow(run, _typed(polygons, *_KEYS) + f", true_id {types['segment_id']}, pixels long, iou double")
+
+
 def counted_runs(masks: DataFrame) -> DataFrame:
     """Runs of run-length masks (image_id, segment_id, height, counts): lengths of background and mask in turn, column by column."""
     each = masks.select(*_KEYS, "height", F.posexplode("counts").alias("k", "n"))

@@ -205,3 +205,22 @@ def test_masks_are_measured_in_their_row(spark, sf):
     """Columns of a segment never leave its row: boxes are dealt once, and nothing else is."""
     plan = raster_queries.mask_areas(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
     assert plan.count("Exchange") == 1 and "Window" not in plan
+
+
+def _stars(spark, seed=3):
+    """Polygons of two images for both sides: some of several parts, some with one point only, one far away; one image has true ones only."""
+    r = random.Random(seed)
+    at = lambda: {"x": r.randint(-40, 80) / 4, "y": r.randint(-40, 80) / 4}
+    rows = [(image, k, part, real, "abc"[k % 3] if k else None, [at() for _ in range(r.choice((1, 3, 4, 7)))]) for image in (1, 2) for k in range(14) for real in (False, True) for part in range(r.randint(1, 3))]
+    rows += [(2, 99, 0, real, "a", [{"x": x, "y": y} for x, y in ((1e6, 1e9), (1e6 + 3, 1e9), (1e6, 1e9 + 4))]) for real in (False, True)] + [(3, 5, 0, True, "a", [at() for _ in range(9)])]
+    return spark.createDataFrame(rows, "image_id long, segment_id long, part int, real boolean, category string, points array<struct<x:double,y:double>>")
+
+
+def test_polygons_meet_in_their_image(spark, sf):
+    """Polygons compared inside the image are those compared by runs, and boxes are dealt once."""
+    stars = _stars(spark)
+    own, true = (masks.polygon_runs(stars.where(side)) for side in ("NOT real", "real"))
+    want = sorted(map(tuple, masks.overlap(own, true).collect()))
+    assert sorted(map(tuple, masks.polygon_overlap(stars).collect())) == want and len(want) > 100
+    plan = raster_queries.mask_overlaps(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert plan.count("Exchange") == 1 and plan.count("FlatMapGroupsInArrow") == 1 and "Join" not in plan
