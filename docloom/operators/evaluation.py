@@ -178,7 +178,12 @@ def panoptic_quality(segments: DataFrame, truth: DataFrame, common: DataFrame) -
     met = common.join(a, ["image_id", "segment_id"]).join(b, ["image_id", "true_id"]).where("category = true_category")
     hit = met.withColumn("iou", F.col("pixels") / (F.col("own") + F.col("real") - F.col("pixels"))).where("iou > 0.5").groupBy("category").agg(F.count("*").alias("tp"), F.sum("iou").alias("iou"))
     n = segments.groupBy("category").agg(F.count("*").alias("found"), F.lit(0).cast("long").alias("real")).unionByName(truth.groupBy("category").agg(F.lit(0).cast("long").alias("found"), F.count("*").alias("real"))).groupBy("category").agg(F.sum("found").alias("found"), F.sum("real").alias("real"))
-    out = n.join(hit, "category", "left").fillna({"tp": 0, "iou": 0.0})
+    return quality_of_counts(n.join(hit, "category", "left"))
+
+
+def quality_of_counts(counts: DataFrame) -> DataFrame:
+    """``panoptic_quality`` from each category's segments (``found``, ``real``), the found ones (``tp``) and their shares' sum (``iou``)."""
+    out = counts.fillna({"tp": 0, "iou": 0.0})
     rq = F.col("tp") / ((F.col("found") + F.col("real")) / 2)
     sq = F.when(F.col("tp") > 0, F.col("iou") / F.col("tp")).otherwise(0.0)
     return out.select("category", sq.alias("sq"), rq.alias("rq"), (sq * rq).alias("pq"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .cluster import _near
-from .evaluation import panoptic_quality
+from .evaluation import panoptic_quality, quality_of_counts
 
 _KEYS = ("image_id", "segment_id")
 
@@ -257,6 +257,25 @@ def polygon_overlap(polygons: DataFrame, one_part: bool = False) -> DataFrame:
     return _gathered(polygons, one_part, "real").groupBy("image_id").applyInArrow(run, _typed(polygons, *_KEYS) + f", true_id {types['segment_id']}, pixels long, iou double")
 
 
+def polygon_quality(polygons: DataFrame, one_part: bool = False) -> DataFrame:
+    """``mask_quality`` of polygons (image_id, segment_id, part, category, real, points), true ones where ``real``; only counts of each category leave an image."""
+
+    def run(image: pa.Table) -> pa.Table:
+        size, own, true, pixels = _polygons_shared(image)
+        names = image["category"].combine_chunks().dictionary_encode()
+        code, real = pc.fill_null(names.indices, len(names.dictionary)).to_numpy(), image["real"].to_numpy().astype(bool)
+        iou = pixels / (size[own] + size[true] - pixels)
+        hit = (code[own] == code[true]) & (code[own] < len(names.dictionary)) & (iou > 0.5)
+        n = lambda rows, weights=None: np.bincount(code[rows], weights, len(names.dictionary) + 1)
+        category = pa.concat_arrays([names.dictionary, pa.nulls(1, names.dictionary.type)])
+        columns = n(~real & (size > 0)), n(real & (size > 0)), n(own[hit]), n(own[hit], iou[hit]).astype(float)
+        return pa.table([category, *map(pa.array, columns)], names=["category", "found", "real", "tp", "iou"])
+
+    rows = _gathered(polygons, one_part, "category", "real")
+    counts = rows.groupBy("image_id").applyInArrow(run, _typed(polygons, "category") + ", found long, real long, tp long, iou double")
+    return quality_of_counts(counts.groupBy("category").agg(*[F.sum(c).alias(c) for c in ("found", "real", "tp", "iou")]).where("found + real > 0"))
+
+
 def counted_runs(masks: DataFrame) -> DataFrame:
     """Runs of run-length masks (image_id, segment_id, height, counts): lengths of background and mask in turn, column by column."""
     each = masks.select(*_KEYS, "height", F.posexplode("counts").alias("k", "n"))

@@ -224,3 +224,16 @@ def test_polygons_meet_in_their_image(spark, sf):
     assert sorted(map(tuple, masks.polygon_overlap(stars).collect())) == want and len(want) > 100
     plan = raster_queries.mask_overlaps(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
     assert plan.count("Exchange") == 1 and plan.count("FlatMapGroupsInArrow") == 1 and "Join" not in plan
+
+
+def test_quality_is_counted_in_the_image(spark, sf):
+    """Counts of images give the quality that joins give; nothing but counts is exchanged."""
+    stars = _stars(spark, 8)
+    stars = stars.unionByName(stars.where("NOT real AND segment_id < 7").select(F.lit(7).cast("long").alias("image_id"), "segment_id", "part", F.explode(F.array(F.lit(False), F.lit(True))).alias("real"), "category", "points"))
+    sides = [stars.where(side) for side in ("NOT real", "real")]
+    named = [side.select("image_id", "segment_id", "category").distinct() for side in sides]
+    want = {r.category: r for r in masks.mask_quality(*map(masks.polygon_runs, sides), *named).collect()}
+    got = {r.category: r for r in masks.polygon_quality(stars).collect()}
+    assert set(got) == set(want) == {"a", "b", "c", None} and all(got[k] == pytest.approx(tuple(want[k])) if k else got[k][1:] == (0, 0, 0) for k in got) and got["b"].pq > 0
+    plan = raster_queries.mask_quality(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert plan.count("Exchange") == 2 and plan.count("FlatMapGroupsInArrow") == 1 and "Join" not in plan
