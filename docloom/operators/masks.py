@@ -168,38 +168,21 @@ def polygon_runs(polygons: DataFrame, one_part: bool = False) -> DataFrame:
     return rows.mapInArrow(run, _typed(rows, *_KEYS) + ", x long, y1 long, y2 long")
 
 
-def polygon_columns(polygons: DataFrame, one_part: bool = False) -> DataFrame:
-    """Polygons (image_id, segment_id, part, points as an array of (x, y); parts of one segment are united) as one row for each segment: ``columns``, an array of (x, runs).
+def polygon_areas(polygons: DataFrame, one_part: bool = False) -> DataFrame:
+    """``areas`` of polygons; their runs are summed where they are made."""
 
-    A pixel is inside if its middle is, by the even-odd rule: every column of middles is cut by a polygon's edges, and the cuts are
-    taken in pairs. A middle on a left or upper edge is inside, on a right or lower edge outside. All of it is done inside the segment's row.
-    Where every segment is known to have one polygon (``one_part``), rows are taken as they are.
-    """
-    # columns whose middle lies in [low, high)
-    edge = """named_struct('xa', CAST(a.x AS DOUBLE), 'ya', CAST(a.y AS DOUBLE), 'xb', CAST(b.x AS DOUBLE), 'yb', CAST(b.y AS DOUBLE),
-      'lo', CAST(ceil(least(CAST(a.x AS DOUBLE), CAST(b.x AS DOUBLE)) - 0.5D) AS BIGINT), 'hi', CAST(ceil(greatest(CAST(a.x AS DOUBLE), CAST(b.x AS DOUBLE)) - 0.5D) AS BIGINT) - 1)"""
-    edges = F.expr(f"filter(zip_with(points, concat(slice(points, 2, size(points)), slice(points, 1, 1)), (a, b) -> {edge}), e -> e.lo <= e.hi)")
-    rings = polygons.where(F.size("points") > 2)
-    parts = rings.select(*_KEYS, F.array(edges).alias("parts")) if one_part else rings.select(*_KEYS, edges.alias("edges")).groupBy(*_KEYS).agg(F.collect_list("edges").alias("parts"))
-    cuts = """array_sort(transform(filter(edges, e -> e.lo <= x AND x <= e.hi), e -> e.ya + (x + 0.5D - e.xa) * (e.yb - e.ya) / (e.xb - e.xa)))"""
-    rows = f"transform({cuts}, at -> CAST(ceil(round(at - 0.5D, 9)) AS BIGINT))"
-    pairs = f"transform(array({rows}), c -> filter(transform(sequence(0, greatest(size(c) div 2 - 1, 0)), i -> named_struct('y1', get(c, 2 * i), 'y2', get(c, 2 * i + 1))), r -> r.y1 < r.y2))[0]"
-    runs = f"array_sort(flatten(transform(parts, edges -> {pairs})))"
-    # runs that overlap or touch as one
-    last = "element_at(l, -1)"
-    joined = f"aggregate({runs}, CAST(array() AS ARRAY<STRUCT<y1: BIGINT, y2: BIGINT>>), (l, r) -> CASE WHEN size(l) > 0 AND r.y1 <= {last}.y2 THEN concat(slice(l, 1, size(l) - 1), array(named_struct('y1', {last}.y1, 'y2', greatest({last}.y2, r.y2)))) ELSE concat(l, array(r)) END)".replace("element_at(l, -1)", "get(l, size(l) - 1)")
-    ends = "transform(flatten(parts), e -> e.{})"
-    xs = f"sequence(array_min({ends.format('lo')}), array_max({ends.format('hi')}))"
-    columns = F.expr(f"filter(transform({xs}, x -> named_struct('x', x, 'runs', {joined})), c -> size(c.runs) > 0)")
-    # as a generated column, so that tests on the columns do not make them twice
-    return parts.where("size(flatten(parts)) > 0").select(*_KEYS, F.explode(F.array(columns)).alias("columns"))
-
-
-def column_areas(columns: DataFrame) -> DataFrame:
-    """``areas`` of segments that are one row each."""
-    pixels = "aggregate(columns, 0L, (n, c) -> n + aggregate(c.runs, 0L, (m, r) -> m + r.y2 - r.y1))"
-    ends = lambda f, v: f"{f}(transform(columns, c -> {v}))"
-    return columns.where("size(columns) > 0").select(*_KEYS, F.expr(pixels).alias("pixels"), F.expr(ends("array_min", "c.x")).alias("x1"), F.expr(ends("array_min", "c.runs[0].y1")).alias("y1"), F.expr(ends("array_max", "c.x")).alias("x2"), (F.expr(ends("array_max", "get(c.runs, size(c.runs) - 1).y2")) - 1).alias("y2"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for segment, x, y1, y2 in _rasterised(batch):
+                if len(segment):
+                    new = np.flatnonzero(~_again(segment))
+                    end = np.r_[new[1:], len(x)] - 1
+                    # runs are in the order of their columns
+                    sums = np.add.reduceat(y2 - y1, new), x[new], np.minimum.reduceat(y1, new), x[end], np.maximum.reduceat(y2, new) - 1
+                    yield pa.RecordBatch.from_arrays([*(batch[k].take(pa.array(segment[new])) for k in _KEYS), *map(pa.array, sums)], [*_KEYS, "pixels", "x1", "y1", "x2", "y2"])
+
+    rows = _gathered(polygons, one_part)
+    return rows.mapInArrow(run, _typed(rows, *_KEYS) + ", pixels long, x1 long, y1 long, x2 long, y2 long")
 
 
 def _shared(row: np.ndarray, x: np.ndarray, y1: np.ndarray, y2: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -237,3 +237,11 @@ def test_quality_is_counted_in_the_image(spark, sf):
     assert set(got) == set(want) == {"a", "b", "c", None} and all(got[k] == pytest.approx(tuple(want[k])) if k else got[k][1:] == (0, 0, 0) for k in got) and got["b"].pq > 0
     plan = raster_queries.mask_quality(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
     assert plan.count("Exchange") == 2 and plan.count("FlatMapGroupsInArrow") == 1 and "Join" not in plan
+
+
+def test_areas_are_summed_where_runs_are_made(spark, sf):
+    """Many segments of a batch at a time, the same as areas of their runs."""
+    rows = _stars(spark, 11).where("real")
+    assert sorted(map(tuple, masks.polygon_areas(rows).collect())) == sorted(map(tuple, masks.areas(masks.polygon_runs(rows)).collect()))
+    plan = raster_queries.mask_areas(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert plan.count("MapInArrow") == 1 and "lambda" not in plan
