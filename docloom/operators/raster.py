@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from .graph import least_roots
 
+#: Pixels of a page that are looked at together where its rows allow.
+_STRIPE = 1 << 20
+
 #: Fixed point of the table of sines and cosines.
 _ONE = 1 << 16
 
@@ -80,10 +83,8 @@ def blurred(runs: DataFrame, across: int, down: int, least: int) -> DataFrame:
     return merged_runs(cut)
 
 
-def _joined_runs(group: pd.DataFrame) -> pd.DataFrame:
-    """Components of one page's runs, which do not overlap: every run meets the stretch of runs above it that it touches."""
-    group = group.sort_values(["y", "x1"])
-    y, a, b = (group[c].to_numpy() for c in ("y", "x1", "x2"))
+def _components(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> dict[str, np.ndarray]:
+    """Components of one page's runs, by row and begin and not overlapping: every run meets the stretch of runs above it that it touches."""
     left = a.min() - 1
     wide = b.max() - left + 2
     above = (y - 1 - y[0]) * wide
@@ -92,10 +93,16 @@ def _joined_runs(group: pd.DataFrame) -> pd.DataFrame:
     u = np.repeat(np.arange(len(y)), n)
     v = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
     root, at = np.unique(least_roots(len(y), u, v), return_inverse=True)
-    box = pd.DataFrame({"group_id": at, "x1": a, "y1": y, "x2": b - 1, "y2": y, "pixels": b - a}).groupby("group_id", as_index=False)
-    out = box.agg({"x1": "min", "y1": "min", "x2": "max", "y2": "max", "pixels": "sum"})
-    out.insert(0, "page_id", group["page_id"].iloc[0])
-    return out
+    order = np.argsort(at, kind="stable")
+    begin = np.searchsorted(at[order], np.arange(len(root)))
+    each = lambda f, v: f.reduceat(v[order], begin)
+    return {"group_id": np.arange(len(root)), "x1": each(np.minimum, a), "y1": each(np.minimum, y), "x2": each(np.maximum, b) - 1, "y2": each(np.maximum, y), "pixels": each(np.add, b - a)}
+
+
+def _joined_runs(group: pd.DataFrame) -> pd.DataFrame:
+    """``_components`` of one page's runs."""
+    group = group.sort_values(["y", "x1"])
+    return pd.DataFrame({"page_id": group["page_id"].iloc[0], **_components(*(group[c].to_numpy() for c in ("y", "x1", "x2")))})
 
 
 def run_components(runs: DataFrame) -> DataFrame:
@@ -105,45 +112,76 @@ def run_components(runs: DataFrame) -> DataFrame:
     return one.groupBy("page_id").applyInPandas(_joined_runs, f"page_id {page}, group_id long, x1 long, y1 long, x2 long, y2 long, pixels long")
 
 
-def _window(a: np.ndarray, across: int, down: int) -> np.ndarray:
-    """Sums over the window around every pixel; the outermost ``across`` columns and ``down`` rows are lost."""
-    s = np.pad(a.astype(np.int32).cumsum(0, dtype=np.int32).cumsum(1, dtype=np.int32), ((1, 0), (1, 0)))
-    h, w = 2 * down + 1, 2 * across + 1
-    return s[h:, w:] - s[:-h, w:] - s[h:, :-w] + s[:-h, :-w]
+def _window(a: np.ndarray, n: int, step: int, join: np.ufunc) -> np.ndarray:
+    """``join`` of ``n`` values, each ``step`` behind the one before, for all places of a flat array that have them: of windows doubled in size."""
+    out, has, part, size = None, 0, a, 1
+    while True:
+        if n & size:
+            if out is None:
+                out = part
+            else:
+                left = len(a) - (has + size - 1) * step
+                out = join(out[:left], part[has * step : has * step + left])
+            has += size
+        if has == n:
+            return out
+        part = join(part[: len(part) - size * step], part[size * step :])
+        size *= 2
+
 
+def _paragraph_runs(y: np.ndarray, a: np.ndarray, b: np.ndarray, across: int, down: int, least: int, grow: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs (y, x1, x2) of one page's ink blurred, cut and dilated, by stripes of rows; by row and begin.
 
-def _paragraph_runs(y: np.ndarray, a: np.ndarray, b: np.ndarray, across: int, down: int, least: int, grow: int) -> pd.DataFrame:
-    """Runs of one page's ink blurred, cut and dilated, by stripes of rows."""
+    A stripe is one flat array, with so much room between rows that windows never reach the next one's ink.
+    """
     edge, tall = across + grow, down + grow
-    left, wide = int(a.min()) - 2 * edge, int((b.max() - a.min())) + 4 * edge
-    step = max(1, (1 << 23) // (wide + 1))
-    out = []
+    left, wide = int(a.min()) - edge, int(b.max() - a.min()) + 4 * edge + 1
+    step = max(8 * tall, _STRIPE // wide, 1)
+    kind = np.min_scalar_type((2 * across + 1) * (2 * down + 1))
+    out = [[], [], []]
     for top in range(int(y.min()) - tall, int(y.max()) + tall + 1, step):
-        on = (y >= top - tall) & (y < top + step + tall)
-        if on.any():
-            steps = np.zeros((min(step, int(y[on].max()) + tall + 1 - top) + 2 * tall, wide + 1), np.int32)
-            np.add.at(steps, (y[on] - top + tall, a[on] - left), 1)
-            np.add.at(steps, (y[on] - top + tall, b[on] - left), -1)
-            dark = _window(_window(steps.cumsum(1, dtype=np.int32)[:, :-1] > 0, across, down) >= least, grow, grow) > 0
-            turn = np.diff(np.pad(dark.astype(np.int8), ((0, 0), (1, 1))), axis=1)
-            row, first = np.nonzero(turn == 1)
-            out.append(pd.DataFrame({"y": row + top, "x1": first + left + edge, "x2": np.nonzero(turn == -1)[1] + left + edge}))
-    return pd.concat(out)
+        on = np.flatnonzero((y >= top - tall) & (y < top + step + tall))
+        if not len(on):
+            continue
+        rows = min(step, int(y[on].max()) + tall + 1 - top)
+        # place p of the windows' results is the pixel ``edge`` to the right and ``tall`` below of place p of the ink
+        ink = np.zeros((rows + 2 * tall) * wide + 2 * edge, kind)
+        start, n = (y[on] - top + tall) * wide + a[on] - left + edge, b[on] - a[on]
+        upto, k = np.cumsum(n), 0
+        while k < len(n):
+            to = max(k + 1, int(np.searchsorted(upto, (upto[k - 1] if k else 0) + (1 << 20), "right")))
+            ink[np.repeat(start[k:to] - upto[k:to] + n[k:to], n[k:to]) + np.arange(upto[k] - n[k], upto[to - 1])] = 1
+            k = to
+        dark = _window(_window(ink, 2 * across + 1, 1, np.add), 2 * down + 1, wide, np.add) >= least
+        dark = _window(_window(dark, 2 * grow + 1, 1, np.logical_or), 2 * grow + 1, wide, np.logical_or)
+        turn = np.flatnonzero(dark[1:] != dark[:-1]) + 1
+        turn = np.r_[[0] * int(dark[0]), turn, [len(dark)] * int(dark[-1])].astype(np.int64)
+        row, first = np.divmod(turn[::2], wide)
+        for c, v in zip(out, (row + top, first + left, turn[1::2] - row * wide + left)):
+            c.append(v)
+    return tuple(np.concatenate(c) for c in out)
 
 
 def paragraph_boxes(runs: DataFrame, across: int = 21, down: int = 3, share: float = 0.1, grow: int = 8) -> DataFrame:
     """Paragraphs: components of the ink blurred (a share of the window), cut and dilated by ``grow`` pixels; a page is done in stripes where its runs are.
 
-    The same as ``run_components(dilated(blurred(...)))``.
+    The same as ``run_components(dilated(blurred(...)))``. A run may stand for all rows from y to ``y2``, y2 behind the last.
     """
     least = max(1, round(share * (2 * across + 1) * (2 * down + 1)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        found = _paragraph_runs(*(group[c].to_numpy() for c in ("y", "x1", "x2")), across, down, least, grow)
-        found.insert(0, "page_id", group["page_id"].iloc[0])
-        return _joined_runs(found) if len(found) else pd.DataFrame(columns=["page_id", "group_id", "x1", "y1", "x2", "y2", "pixels"])
-
-    one = runs.select("page_id", *[F.col(c).cast("long").alias(c) for c in ("y", "x1", "x2")]).where("x1 < x2 AND y IS NOT NULL")
+        y, a, b, n = group[["y", "x1", "x2", "n"]].to_numpy().T
+        y, a, b = np.repeat(y - np.cumsum(n) + n, n) + np.arange(n.sum()), np.repeat(a, n), np.repeat(b, n)
+        found = _paragraph_runs(y, a, b, across, down, least, grow)
+        if not len(found[0]):
+            return pd.DataFrame(columns=["page_id", "group_id", "x1", "y1", "x2", "y2", "pixels"])
+        each = _components(*found)
+        out = pd.DataFrame(np.stack(list(each.values()), 1), columns=list(each), copy=False)
+        out.insert(0, "page_id", group["page_id"].iloc[0])
+        return out
+
+    rows = F.col("y2").cast("long") - F.col("y").cast("long") if "y2" in runs.columns else F.lit(1).cast("long")
+    one = runs.select("page_id", *[F.col(c).cast("long").alias(c) for c in ("y", "x1", "x2")], rows.alias("n")).where("x1 < x2 AND y IS NOT NULL AND n > 0")
     return one.groupBy("page_id").applyInPandas(run, f"page_id {dict(one.dtypes)['page_id']}, group_id long, x1 long, y1 long, x2 long, y2 long, pixels long")
 
 

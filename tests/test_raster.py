@@ -245,3 +245,20 @@ def test_areas_are_summed_where_runs_are_made(spark, sf):
     assert sorted(map(tuple, masks.polygon_areas(rows).collect())) == sorted(map(tuple, masks.areas(masks.polygon_runs(rows)).collect()))
     plan = raster_queries.mask_areas(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
     assert plan.count("MapInArrow") == 1 and "lambda" not in plan
+
+
+def test_text_boxes_are_ink_without_rows_of_their_own(spark, sf):
+    """Boxes go to their page as they are, and mean the same as their rows."""
+    rows = raster_queries._text_rows(spark, sf)
+    assert sorted(raster_queries.paragraph_boxes(spark, sf).collect()) == sorted(raster.paragraph_boxes(rows, 10, 3, 0.3, 4).collect())
+    assert "Generate" not in raster_queries.paragraph_boxes(spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stripes_of_a_page_are_the_page(monkeypatch):
+    """Windows reach over the edges of stripes, rows far apart and ink up to both sides."""
+    y, x = np.nonzero(np.random.default_rng(2).random((300, 40)) < 0.2)
+    y = np.r_[y, y + 900]
+    x = np.r_[x, x]
+    whole = raster._paragraph_runs(y, x, x + 1, 3, 2, 8, 1)
+    monkeypatch.setattr(raster, "_STRIPE", 1)
+    assert all((a == b).all() for a, b in zip(whole, raster._paragraph_runs(y, x, x + 1, 3, 2, 8, 1), strict=True)) and len(whole[0]) > 500
