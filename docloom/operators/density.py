@@ -2,35 +2,81 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import Box
-from .graph import page_components
+from .graph import least_roots, page_components
 from .spatial import box_join
 
 
+#: Pairs of points that are looked at together.
+_PAIRS = 1 << 18
+
+
+def _near_points(x: np.ndarray, y: np.ndarray, distance: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (a, b) of points within the distance, in both directions and with themselves, some at a time: each point meets those of the grid cells around it."""
+    cx, cy = (np.floor(v / distance) for v in (x, y))
+    # numbers of the columns and rows of cells that hold points; those side by side differ by one, others by more
+    cx, cy = (np.cumsum(np.r_[0, np.minimum(np.diff(own), 2)])[at].astype(np.int64) for own, at in (np.unique(c, return_inverse=True) for c in (cx, cy)))
+    tall = int(cy.max()) + 3
+    code = cx * tall + cy + 1
+    order = np.argsort(code, kind="stable")
+    held = code[order]
+    for step in (-tall, 0, tall):
+        first, end = (np.searchsorted(held, held + step + k, side) for k, side in ((-1, "left"), (1, "right")))
+        n = end - first
+        upto, at = np.cumsum(n), 0
+        while at < len(n):
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + _PAIRS, "right")))
+            some = n[at:to]
+            a, b = np.repeat(order[at:to], some), order[np.repeat(first[at:to] - np.cumsum(some) + some, some) + np.arange(some.sum())]
+            met = (x[a] - x[b]) ** 2 + (y[a] - y[b]) ** 2 <= distance**2
+            yield a[met], b[met]
+            at = to
+
+
+def _clusters(x: np.ndarray, y: np.ndarray, distance: float, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each of one page's points is a core point, and its cluster's first point (the number of points where there is none)."""
+    count, root = np.zeros(len(x), np.int64), None
+    for a, _ in _near_points(x, y, distance):
+        count += np.bincount(a, minlength=len(x))
+    core = count >= least
+    for a, b in _near_points(x, y, distance):
+        kept = core[a] & core[b] & (a < b)
+        root = least_roots(len(x), a[kept], b[kept], root)
+    named = np.where(core, root, len(x))
+    for a, b in _near_points(x, y, distance):
+        kept = core[a] & ~core[b]
+        np.minimum.at(named, b[kept], root[a[kept]])
+    return core, named
+
+
 def density_clusters(points: DataFrame, distance: float, least: int, keys: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Points (keys, point_id, x, y) with ``core`` and ``cluster``.
 
     A point with at least ``least`` points within ``distance``, itself included, is a core point. Core points within the
     distance of each other are one cluster, named by its least point_id; another point belongs to the least cluster with a core point
-    within the distance, and to none (null) where there is none. Points meet those of the nine grid cells around them only.
+    within the distance, and to none (null) where there is none. Points meet those of the nine grid cells around them only; a page is done where its points are.
     """
-    keys = list(keys)
-    cell = lambda c: F.floor(F.col(c) / distance)
-    own = points.select(*keys, "point_id", "x", "y", cell("x").alias("cx"), cell("y").alias("cy"))
-    around = F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    asked = own.select(*keys, F.col("point_id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.explode(around).alias("c")).select(*keys, "a", "ax", "ay", "c.cx", "c.cy")
-    near = asked.join(own, [*keys, "cx", "cy"]).where((F.col("ax") - F.col("x")) ** 2 + (F.col("ay") - F.col("y")) ** 2 <= float(distance) ** 2).select(*keys, "a", F.col("point_id").alias("b"))
-    core = near.groupBy(*keys, "a").agg(F.count("*").alias("n")).where(F.col("n") >= least).select(*keys, "a")
-    met = near.join(core, [*keys, "a"])  # from core points to all near them
-    joined = met.join(core.withColumnRenamed("a", "b"), [*keys, "b"], "left_semi").where("a <= b")
-    roots = page_components(joined.select(*keys, F.col("a").alias("u"), F.col("b").alias("v")), tuple(keys))
-    named = met.join(roots.select(*keys, F.col("u").alias("a"), "root"), [*keys, "a"]).groupBy(*keys, F.col("b").alias("point_id")).agg(F.min("root").alias("least"))
-    own_root = roots.select(*keys, F.col("u").alias("point_id"), "root", F.lit(True).alias("core"))
-    out = points.join(own_root, [*keys, "point_id"], "left").join(named, [*keys, "point_id"], "left")
-    return out.withColumn("cluster", F.coalesce("root", "least")).withColumn("core", F.coalesce("core", F.lit(False))).drop("root", "least")
+
+    def run(page: pa.Table) -> pa.Table:
+        page = page.take(pc.sort_indices(page, [("point_id", "ascending")]))  # the first point is the least
+        x, y = (pc.cast(page[c], pa.float64()).to_numpy() for c in ("x", "y"))
+        placed = np.flatnonzero(np.isfinite(x) & np.isfinite(y))
+        core, named = np.zeros(len(x), bool), np.full(len(x), len(placed))
+        if len(placed):
+            core[placed], named[placed] = _clusters(x[placed], y[placed], float(distance), least)
+        first = pa.array(np.r_[placed, 0][named], mask=named == len(placed))
+        return page.append_column("core", pa.array(core)).append_column("cluster", page["point_id"].take(first))
+
+    types = ", ".join(f"`{c}` {t}" for c, t in points.dtypes)
+    return points.groupBy(*keys).applyInArrow(run, f"{types}, core boolean, cluster {dict(points.dtypes)['point_id']}")
 
 
 def _sums(x1, x2, y1, y2) -> dict:

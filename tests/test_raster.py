@@ -262,3 +262,17 @@ def test_stripes_of_a_page_are_the_page(monkeypatch):
     whole = raster._paragraph_runs(y, x, x + 1, 3, 2, 8, 1)
     monkeypatch.setattr(raster, "_STRIPE", 1)
     assert all((a == b).all() for a, b in zip(whole, raster._paragraph_runs(y, x, x + 1, 3, 2, 8, 1), strict=True)) and len(whole[0]) > 500
+
+
+def test_density_clusters_stay_with_their_page(spark, sf):
+    """Boxes are dealt by page once; points, pairs and clusters never, whatever the sides' sizes."""
+    plan = raster_queries.density_clusters(spark, sf)._jdf.queryExecution().toString().split("Physical Plan")[-1]
+    assert plan.count("Exchange") == 1 and plan.count("FlatMapGroupsInArrow") == 1 and "Join" not in plan
+
+
+def test_density_clusters_of_odd_points(spark):
+    """Points without a place, far apart, of another name's type, and columns that are only passed on."""
+    rows = [(1, "b", 0.0, 0.0, "p"), (1, "a", 3.0, 0.0, None), (1, "c", 6.0, 0.0, "q"), (1, "d", None, 0.0, "r"), (1, "e", float("nan"), 1.0, "s"), (1, "g", -1e12, 1e12, "t"), (1, "f", -1e12, 1e12 + 2, "u"), (2, "z", None, None, "v")]
+    got = density.density_clusters(spark.createDataFrame(rows, "page_id long, point_id string, x double, y double, more string"), 3.0, 3)
+    assert got.columns == ["page_id", "point_id", "x", "y", "more", "core", "cluster"]
+    assert {(r.point_id, r.core, r.cluster, r.more) for r in got.collect()} == {("a", True, "a", None), ("b", False, "a", "p"), ("c", False, "a", "q"), *((k, False, None, m) for k, m in zip("degfz", "rstuv"))}
