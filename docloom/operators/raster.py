@@ -112,27 +112,31 @@ def run_components(runs: DataFrame) -> DataFrame:
     return one.groupBy("page_id").applyInPandas(_joined_runs, f"page_id {page}, group_id long, x1 long, y1 long, x2 long, y2 long, pixels long")
 
 
-def _window(a: np.ndarray, n: int, step: int, join: np.ufunc) -> np.ndarray:
-    """``join`` of ``n`` values, each ``step`` behind the one before, for all places of a flat array that have them: of windows doubled in size."""
-    out, has, part, size = None, 0, a, 1
+def _window(room: list[np.ndarray], long: int, n: int, step: int, join: np.ufunc) -> int:
+    """``join`` of ``n`` values, each ``step`` behind the one before, for all places of the first ``long`` of ``room[0]`` that have them: of windows doubled in size.
+
+    The result is in ``room[0]`` again, its length is returned; the other two arrays of ``room`` are worked in.
+    """
+    part, out, has, size = 0, None, 0, 1
     while True:
-        if n & size:
-            if out is None:
-                out = part
-            else:
-                left = len(a) - (has + size - 1) * step
-                out = join(out[:left], part[has * step : has * step + left])
+        if n & size and out is None:
+            out, has = part, size
+        elif n & size:
+            left = long - (has + size - 1) * step
+            join(room[out][:left], room[part][has * step : has * step + left], out=room[out][:left])
             has += size
         if has == n:
-            return out
-        part = join(part[: len(part) - size * step], part[size * step :])
-        size *= 2
+            room[0], room[out] = room[out], room[0]
+            return long - (n - 1) * step
+        to, left = min({0, 1, 2} - {part, out}), long - (2 * size - 1) * step
+        join(room[part][:left], room[part][size * step : size * step + left], out=room[to][:left])
+        part, size = to, 2 * size
 
 
-def _paragraph_runs(y: np.ndarray, a: np.ndarray, b: np.ndarray, across: int, down: int, least: int, grow: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _paragraph_runs(y: np.ndarray, a: np.ndarray, b: np.ndarray, across: int, down: int, least: int, grow: int, room: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs (y, x1, x2) of one page's ink blurred, cut and dilated, by stripes of rows; by row and begin.
 
-    A stripe is one flat array, with so much room between rows that windows never reach the next one's ink.
+    A stripe is one flat array, with so much room between rows that windows never reach the next one's ink. ``room`` keeps the arrays from page to page.
     """
     edge, tall = across + grow, down + grow
     left, wide = int(a.min()) - edge, int(b.max() - a.min()) + 4 * edge + 1
@@ -145,17 +149,24 @@ def _paragraph_runs(y: np.ndarray, a: np.ndarray, b: np.ndarray, across: int, do
             continue
         rows = min(step, int(y[on].max()) + tall + 1 - top)
         # place p of the windows' results is the pixel ``edge`` to the right and ``tall`` below of place p of the ink
-        ink = np.zeros((rows + 2 * tall) * wide + 2 * edge, kind)
+        long = (rows + 2 * tall) * wide + 2 * edge
+        if not room or len(room[0]) < long:
+            room[:] = [np.empty(long, kind) for _ in range(3)]
+        ink = room[0]
+        ink[:long] = 0
         start, n = (y[on] - top + tall) * wide + a[on] - left + edge, b[on] - a[on]
         upto, k = np.cumsum(n), 0
         while k < len(n):
-            to = max(k + 1, int(np.searchsorted(upto, (upto[k - 1] if k else 0) + (1 << 20), "right")))
+            to = max(k + 1, int(np.searchsorted(upto, (upto[k - 1] if k else 0) + (1 << 14), "right")))
             ink[np.repeat(start[k:to] - upto[k:to] + n[k:to], n[k:to]) + np.arange(upto[k] - n[k], upto[to - 1])] = 1
             k = to
-        dark = _window(_window(ink, 2 * across + 1, 1, np.add), 2 * down + 1, wide, np.add) >= least
-        dark = _window(_window(dark, 2 * grow + 1, 1, np.logical_or), 2 * grow + 1, wide, np.logical_or)
-        turn = np.flatnonzero(dark[1:] != dark[:-1]) + 1
-        turn = np.r_[[0] * int(dark[0]), turn, [len(dark)] * int(dark[-1])].astype(np.int64)
+        long = _window(room, _window(room, long, 2 * across + 1, 1, np.add), 2 * down + 1, wide, np.add)
+        dark = [room[k].view(np.bool_) for k in (1, 2, 0)]
+        np.greater_equal(room[0][:long], least, out=dark[0][:long])
+        long = _window(dark, _window(dark, long, 2 * grow + 1, 1, np.logical_or), 2 * grow + 1, wide, np.logical_or)
+        on, turned = dark[0][:long], dark[1][: long - 1]
+        np.not_equal(on[1:], on[:-1], out=turned)
+        turn = np.r_[[0] * int(on[0]), np.flatnonzero(turned) + 1, [long] * int(on[-1])].astype(np.int64)
         row, first = np.divmod(turn[::2], wide)
         for c, v in zip(out, (row + top, first + left, turn[1::2] - row * wide + left)):
             c.append(v)
@@ -167,18 +178,15 @@ def paragraph_boxes(runs: DataFrame, across: int = 21, down: int = 3, share: flo
 
     The same as ``run_components(dilated(blurred(...)))``. A run may stand for all rows from y to ``y2``, y2 behind the last.
     """
-    least = max(1, round(share * (2 * across + 1) * (2 * down + 1)))
+    least, room = max(1, round(share * (2 * across + 1) * (2 * down + 1))), []
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        y, a, b, n = group[["y", "x1", "x2", "n"]].to_numpy().T
+        y, a, b, n = (group[c].to_numpy() for c in ("y", "x1", "x2", "n"))
         y, a, b = np.repeat(y - np.cumsum(n) + n, n) + np.arange(n.sum()), np.repeat(a, n), np.repeat(b, n)
-        found = _paragraph_runs(y, a, b, across, down, least, grow)
+        found = _paragraph_runs(y, a, b, across, down, least, grow, room)
         if not len(found[0]):
             return pd.DataFrame(columns=["page_id", "group_id", "x1", "y1", "x2", "y2", "pixels"])
-        each = _components(*found)
-        out = pd.DataFrame(np.stack(list(each.values()), 1), columns=list(each), copy=False)
-        out.insert(0, "page_id", group["page_id"].iloc[0])
-        return out
+        return pd.DataFrame({"page_id": group["page_id"].iloc[0], **_components(*found)})
 
     rows = F.col("y2").cast("long") - F.col("y").cast("long") if "y2" in runs.columns else F.lit(1).cast("long")
     one = runs.select("page_id", *[F.col(c).cast("long").alias(c) for c in ("y", "x1", "x2")], rows.alias("n")).where("x1 < x2 AND y IS NOT NULL AND n > 0")

@@ -259,9 +259,9 @@ def test_stripes_of_a_page_are_the_page(monkeypatch):
     y, x = np.nonzero(np.random.default_rng(2).random((300, 40)) < 0.2)
     y = np.r_[y, y + 900]
     x = np.r_[x, x]
-    whole = raster._paragraph_runs(y, x, x + 1, 3, 2, 8, 1)
+    whole = raster._paragraph_runs(y, x, x + 1, 3, 2, 8, 1, [])
     monkeypatch.setattr(raster, "_STRIPE", 1)
-    assert all((a == b).all() for a, b in zip(whole, raster._paragraph_runs(y, x, x + 1, 3, 2, 8, 1), strict=True)) and len(whole[0]) > 500
+    assert all((a == b).all() for a, b in zip(whole, raster._paragraph_runs(y, x, x + 1, 3, 2, 8, 1, []), strict=True)) and len(whole[0]) > 500
 
 
 def test_density_clusters_stay_with_their_page(spark, sf):
